@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,23 +99,33 @@ def _digest(items: set[str]) -> str:
     return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
 
 
-def _scan(frames: Iterator[pd.DataFrame], matcher: Matcher, mode: str, share: int) -> Iterator[pd.DataFrame]:
-    for pdf in frames:
-        rows, keep, texts = [], [], []
-        for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
+def _scan(batches: Iterator[pa.RecordBatch], matcher: Matcher, share: int) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    for batch in batches:
+        rows = []
+        for text in batch.column("text").to_pylist():
             words = alnum_words(text)
             hit, items = matcher.hits(words)
             n = int(hit.sum())
-            bad = n > 0 and share * n >= len(words)
-            if mode == "report":
-                rows.append((doc_id, len(words), n, len(items), _digest(items), bad))
-            else:
-                keep.append(not bad)
-                texts.append(cut(text, hit) if n and not bad and mode == "spans" else text)
-        if mode == "report":
-            yield pd.DataFrame(rows, columns=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
-        else:
-            yield pdf.assign(text=texts)[keep]
+            rows.append((len(words), n, len(items), _digest(items), n > 0 and share * n >= len(words)))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
+
+
+def _clean(batches: Iterator[pa.RecordBatch], matcher: Matcher, share: int, cut_spans: bool) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep, texts = [], []
+        for text in batch.column("text").to_pylist():
+            words = alnum_words(text)
+            hit, _ = matcher.hits(words)
+            n = int(hit.sum())
+            keep.append(not (n > 0 and share * n >= len(words)))
+            texts.append(cut(text, hit) if cut_spans and n and keep[-1] else text)
+        if cut_spans:
+            at = batch.schema.get_field_index("text")
+            batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+        yield batch.filter(pa.array(keep, pa.bool_()))
 
 
 def _items(benchmark: DataFrame, bound: int) -> list[tuple[object, str | None]] | None:
@@ -140,8 +151,8 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: i
         return _report_by_join(docs, benchmark, window, share)
     sent = docs.sparkSession.sparkContext.broadcast(items)
     schema = f"doc_id {_with_id_type(docs)}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInPandas(
-        lambda frames: _scan(frames, _matcher(sent, window), "report", share), schema
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
+        lambda batches: _scan(batches, _matcher(sent, window), share), schema
     )
 
 
@@ -154,7 +165,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: in
         bad = _report_by_join(docs, benchmark, window, share).filter("contaminated").select("doc_id").distinct()
         return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
     sent = docs.sparkSession.sparkContext.broadcast(items)
-    return docs.mapInPandas(lambda frames: _scan(frames, _matcher(sent, window), mode, share), docs.schema)
+    return docs.mapInArrow(lambda batches: _clean(batches, _matcher(sent, window), share, mode == "spans"), docs.schema)
 
 
 _MATCHERS: dict = {}
@@ -196,7 +207,7 @@ def _report_by_join(docs: DataFrame, benchmark: DataFrame, window: int, share: i
     hits = mine.select("id", "at", "m", "h", "w").join(grams.withColumnRenamed("id", "item"), ["m", "h", "w"]).select("id", "at", "m", "item")
     words = hits.select("id", F.explode(F.sequence("at", F.col("at") + F.col("m") - 1)).alias("i")).distinct().groupBy("id").agg(F.count("i").alias("n_hit"))
     items = hits.select("id", "item").distinct().groupBy("id").agg(F.array_sort(F.collect_list("item")).alias("items"))
-    counts = own.select("id", "doc_id", "text").mapInPandas(_count, f"id long, doc_id {_with_id_type(docs)}, n_words long")
+    counts = own.select("id", "doc_id", "text").mapInArrow(_count, f"id long, doc_id {_with_id_type(docs)}, n_words long")
     none = F.coalesce("items", F.array().cast("array<string>"))
     out = counts.join(words, "id", "left").join(items, "id", "left").withColumn("n_hit", F.coalesce("n_hit", F.lit(0)))
     return out.select(
@@ -205,6 +216,7 @@ def _report_by_join(docs: DataFrame, benchmark: DataFrame, window: int, share: i
     )
 
 
-def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in frames:
-        yield pdf.assign(n_words=[len(alnum_words(t)) for t in pdf["text"]])[["id", "doc_id", "n_words"]]
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n = pa.array([len(alnum_words(t)) for t in batch.column("text").to_pylist()], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("doc_id"), n], ["id", "doc_id", "n_words"])

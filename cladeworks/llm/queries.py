@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, sharding, simhash, url_rules
+from . import decontam, jaccard, sharding, simhash, url_rules
 from .workspace import small_batches
 
 URL_RULES: list[url_rules.Rule] = [
@@ -35,9 +35,13 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(_read(spark, sf_dir, "pages"), url_rules.rules_frame(spark, URL_RULES))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_components(_read(spark, sf_dir, "documents"), jaccard.Likeness(words=3, percent=90))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hash_tree_sharding, op2_simhash, op3_url_rules, op6_decontamination)}
+    return {f.__name__: f for f in (op1_hash_tree_sharding, op2_simhash, op3_url_rules, op5_ngram_jaccard, op6_decontamination)}

@@ -16,10 +16,11 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .text import mix, shingle_hashes, space_words, word_hashes
 
@@ -55,12 +56,12 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _pairs(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by (bucket, halo, doc_id, text); each bucket ends with the first row after it."""
     held = None  # the last row: bucket, halo, doc_id, text, fingerprint
-    for pdf in frames:
+    for batch in batches:
         rows = []
-        for bucket, halo, doc_id, text in zip(pdf["bucket"], pdf["halo"], pdf["doc_id"], pdf["text"], strict=True):
+        for bucket, halo, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("bucket", "halo", "doc_id", "text")), strict=True):
             if held and held[0] == bucket and held[1]:
                 continue  # only the first row of a halo counts
             now = (bucket, halo, doc_id, text, fingerprint(text))
@@ -72,7 +73,8 @@ def _pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     print_new.tobytes().hex(), likeness(held[4], print_new), likeness(held[4], now[4]),
                 ))
             held = now
-        yield pd.DataFrame(rows, columns=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+        columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
 def fingerprints(docs: DataFrame, buckets: int | None = None, sample_rows: int = 4096) -> DataFrame:
@@ -111,7 +113,8 @@ def fingerprints(docs: DataFrame, buckets: int | None = None, sample_rows: int =
     halo = rows.join(F.broadcast(starts), is_first).select("doc_id", "text", "bucket", F.lit(True).alias("halo"))  # starts: at most ``buckets`` rows
     dealt = own.unionByName(halo).repartition(max(1, len(bounds) + 1), "bucket").sortWithinPartitions("bucket", "halo", "doc_id", "text")
     schema = f"doc_id {kind.simpleString()}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return dealt.select("bucket", "halo", "doc_id", "text").mapInPandas(_pairs, schema)
+    arrow = to_arrow_schema(T._parse_datatype_string(schema))
+    return dealt.select("bucket", "halo", "doc_id", "text").mapInArrow(lambda batches: _pairs(batches, arrow), schema)
 
 
 def hamming(a: Column, b: Column) -> Column:

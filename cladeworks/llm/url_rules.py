@@ -38,7 +38,7 @@ def reversed_host(host: Column) -> Column:
 
 def _sweep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows come sorted by (bucket, key, kind): rules before the pages of their own key."""
-    bucket, stack = None, []  # stack: (key prefix, [(path, rule text, verdict), ...] longest path first)
+    bucket, stack = None, []  # stack: (key prefix, [(path, rule text, verdict), ...])
     for pdf in frames:
         rows = []
         for b, key, kind, page_id, url_host, path, rule, verdict in pdf.itertuples(index=False, name=None):
@@ -104,9 +104,10 @@ def judge(
     )
     sweep_in = page_rows.select(*schema).unionByName(rule_rows.select(*schema))
     dealt = sweep_in.repartition(last + 1, "bucket").sortWithinPartitions("bucket", "key", "kind")
-    kind_of_id = pages.schema["page_id"].dataType.simpleString()
-    swept = dealt.mapInPandas(_sweep, f"page_id {kind_of_id}, host string, path string, rule string, verdict string")
-    return swept.withColumn("verdict", F.coalesce("verdict", F.lit(default)))
+    kind_of_id = pages.schema["page_id"].dataType
+    # ids travel as strings: pandas has no integer column with nulls
+    swept = dealt.withColumn("page_id", F.col("page_id").cast("string")).mapInPandas(_sweep, "page_id string, host string, path string, rule string, verdict string")
+    return swept.withColumns({"page_id": F.col("page_id").cast(kind_of_id), "verdict": F.coalesce("verdict", F.lit(default))})
 
 
 def rules_frame(spark: SparkSession, rules: list[Rule]) -> DataFrame:
