@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam, jaccard, sharding, simhash, url_rules
+from . import decontam, jaccard, line_dedup, quality, sharding, simhash, token_counts, toxicity, url_rules
 from .workspace import small_batches
 
 URL_RULES: list[url_rules.Rule] = [
@@ -35,6 +36,10 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(_read(spark, sf_dir, "pages"), url_rules.rules_frame(spark, URL_RULES))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(_read(spark, sf_dir, "documents"), jaccard.Likeness(words=3, percent=90))
 
@@ -43,5 +48,33 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+#: Where the public vocabulary files are; only the driver reads them.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken") -> DataFrame:
+    docs = token_counts.sample_edits(_read(spark, sf_dir, "documents"))
+    return token_counts.count_tokens(docs, token_counts.read_ranks(vocabulary))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, lines, deleted lines, the longest shared run's power of two, and the SHA-256 of the text that is left."""
+    out = line_dedup.dedup_lines(_read(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_deleted").alias("n_deleted"), F.col("__shared").alias("shared_run"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+_ALL = (
+    op1_hash_tree_sharding, op2_simhash, op3_url_rules, op4_quality, op5_ngram_jaccard, op6_decontamination,
+    op7_token_counts, op9_toxicity, op10_line_dedup,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hash_tree_sharding, op2_simhash, op3_url_rules, op5_ngram_jaccard, op6_decontamination)}
+    return {f.__name__: f for f in _ALL}
