@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .text import mix, shingle_hashes, space_words, word_hashes
+from .text import mix, shingle_sets
 from .workspace import Workspace
 
 BANDS, ROWS = 8, 4
@@ -42,7 +42,7 @@ HEAVY_FROM, HEAVY_MOST = 16, 1 << 18
 #: Sets that one hub is verified against in one task.
 FAN = 256
 _FLUSH = 4 << 20  # shingles counted at once in a map task
-_ODD = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
+BINS = 128
 
 
 @dataclass(frozen=True)
@@ -57,62 +57,74 @@ class Likeness:
         return 1 - self.percent / 100
 
 
-def shingle_set(text: str | None, words: int) -> np.ndarray:
-    """The sorted distinct shingle hashes of a text."""
-    return np.unique(shingle_hashes(word_hashes(space_words(text)), words))
-
-
 def _node(own: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(own.tobytes(), seed=len(own)) - (1 << 63)
 
 
-def _bands(own: np.ndarray) -> list[int]:
+_EDGES = (np.arange(BANDS * ROWS, dtype=np.uint64) << np.uint64(64 - (BANDS * ROWS).bit_length() + 1))
+
+
+def _minima(own: np.ndarray) -> np.ndarray:
+    """The smallest shingle of each of BANDS * ROWS parts of the hash range (an empty part: its edge)."""
+    at = np.searchsorted(own, _EDGES)
+    return np.where(np.append(at[1:], len(own)) > at, own[np.minimum(at, len(own) - 1)], _EDGES)
+
+
+def _bands(sets: list[np.ndarray | None]) -> list[list[int] | None]:
     """One hash for each band of ROWS minima."""
-    least = np.array([(own * m).min() for m in _ODD], np.uint64).reshape(BANDS, ROWS)
-    acc = least[:, 0] + np.arange(BANDS, dtype=np.uint64)
+    some = [_minima(own) for own in sets if own is not None]
+    if not some:
+        return [None] * len(sets)
+    least = np.array(some).reshape(-1, BANDS, ROWS)
+    acc = least[:, :, 0] + np.arange(BANDS, dtype=np.uint64)
     for k in range(1, ROWS):
-        acc = mix(acc) + least[:, k]
-    return mix(acc).view(np.int64).tolist()
+        acc = mix(acc) + least[:, :, k]
+    rows = iter(mix(acc).view(np.int64).tolist())
+    return [None if own is None else next(rows) for own in sets]
+
+
+def _bins(own: np.ndarray) -> bytes | None:
+    """How many shingles each of BINS parts of the hash range has: an exact bound of any overlap.  None if one has over 255."""
+    counts = np.bincount((own >> np.uint64(57)).astype(np.int64), minlength=BINS)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
+
+
+_SKETCH = pa.schema([("n", pa.int64()), ("node", pa.int64()), ("bands", pa.list_(pa.int64())), ("bins", pa.binary()), ("token", pa.int64())])
 
 
 def _sketch(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """A row for each document (doc_id, n, node, bands) and, apart, counts of shingles seen often (token, n)."""
+    """A row for each document (doc_id, n, node, bands, bins) and, apart, counts of shingles seen often (token, n)."""
     held, size = [], 0
 
+    def made(ids: pa.Array, columns: list) -> pa.RecordBatch:
+        arrays = [pa.nulls(len(ids), f.type) if c is None else pa.array(c, f.type) for c, f in zip(columns, _SKETCH, strict=True)]
+        return pa.RecordBatch.from_arrays([ids, *arrays], ["doc_id", *_SKETCH.names])
+
     def often(kind: pa.DataType) -> pa.RecordBatch:
         tokens, counts = np.unique(np.concatenate(held), return_counts=True)
         tokens, counts = tokens[counts >= 3], counts[counts >= 3]
-        m = len(tokens)
-        columns = [pa.nulls(m, kind), pa.array(counts, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.int64())), pa.array(tokens.view(np.int64))]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node", "bands", "token"])
+        return made(pa.nulls(len(tokens), kind), [counts, None, None, None, tokens.view(np.int64)])
 
     for batch in batches:
-        sizes, nodes, bands = [], [], []
-        for text in batch.column("text").to_pylist():
-            own = shingle_set(text, words)
-            sizes.append(len(own))
-            nodes.append(_node(own) if len(own) else None)
-            bands.append(_bands(own) if len(own) else None)
-            if len(own):
-                held.append(own)
-                size += len(own)
+        sets = list(shingle_sets(batch.column("text").to_pylist(), words))
+        some = [own if len(own) else None for own in sets]
+        held += [own for own in some if own is not None]
+        size += sum(map(len, sets))
         ids = batch.column("doc_id")
-        kind = ids.type
-        columns = [ids, pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.nulls(len(ids), pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node", "bands", "token"])
+        of = lambda f: [None if own is None else f(own) for own in some]  # noqa: B023, E731
+        yield made(ids, [[len(own) for own in sets], of(_node), _bands(some), of(_bins), None])
         if size >= _FLUSH:
-            yield often(kind)
+            yield often(ids.type)
             held, size = [], 0
     if held:
-        yield often(kind)
+        yield often(ids.type)
 
 
 def _keyed(frames: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
     """(node, text) of texts with words; repeats within a batch go at once."""
     for pdf in frames:
         out = {}
-        for text in pdf["text"]:
-            own = shingle_set(text, words)
+        for text, own in zip(pdf["text"], shingle_sets(pdf["text"].tolist(), words), strict=True):
             if len(own):
                 out.setdefault(_node(own), text)
         yield pd.DataFrame({"node": list(out), "text": list(out.values())})
@@ -123,8 +135,8 @@ def _postings(frames: Iterator[pd.DataFrame], words: int, heavy, far: float, wid
     known = heavy.value
     for pdf in frames:
         out = []
-        for node, text, comp, radius in zip(pdf["node"], pdf["text"], pdf["comp"], pdf["radius"], strict=True):
-            own = shingle_set(text, words)
+        sets = shingle_sets(pdf["text"].tolist(), words)
+        for node, own, comp, radius in zip(pdf["node"], sets, pdf["comp"], pdf["radius"], strict=True):
             n = len(own)
             prefix = n - int(np.ceil((1 - far - radius - widest) * n - 1e-9)) + 1
             if len(known):
@@ -176,31 +188,69 @@ def _list_pairs(n, pos, node, comp, radius, far: float) -> Iterator[tuple[np.nda
             yield np.minimum(x, y), np.maximum(x, y)
 
 
-def _candidates(frames: Iterator[pd.DataFrame], far: float) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by (token, n, pos)."""
-    held: pd.DataFrame | None = None
-    columns = ["n", "pos", "node", "comp", "radius"]
+#: Lists up to this length are joined together, row against row at each distance.
+_SHORT = 32
+#: Rows joined at once (a longer list is joined alone).
+_GATHER = 200_000
+
 
-    def joined(pdf: pd.DataFrame) -> pd.DataFrame:
-        token, arrays = pdf["token"].to_numpy(), [pdf[c].to_numpy() for c in columns]
+def _short_pairs(token, n, pos, node, comp, radius, far: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidate pairs of many short lists that are sorted by (token, n, pos)."""
+    rest = n - pos
+    for d in range(1, _SHORT):
+        same = np.flatnonzero((token[d:] == token[:-d]) & (comp[d:] != comp[:-d])) if d < len(token) else ()
+        if d >= len(token) or not (token[d:] == token[:-d]).any():
+            return
+        x, y = same + d, same  # n[x] >= n[y]
+        t = (1 - far) - radius[x] - radius[y]
+        ok = (np.minimum(rest[x], rest[y]) >= t / (1 + t) * (n[x] + n[y]) - 1e-9) & (n[y] >= t * n[x] - 1e-9)
+        x, y = node[x[ok]], node[y[ok]]
+        yield np.minimum(x, y), np.maximum(x, y)
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], far: float) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by (token, n, pos); yields pairs a < b, without repeats among the rows joined at once."""
+    columns = ["token", "n", "pos", "node", "comp", "radius"]
+    held: list[list[np.ndarray]] = []
+
+    def joined(arrays: list[np.ndarray]) -> pa.RecordBatch:
+        token = arrays[0]
         edges = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True])))
-        found = [p for s, e in zip(edges, edges[1:], strict=False) if e - s > 1 for p in _list_pairs(*[x[s:e] for x in arrays], far)]
-        if not found:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        both = np.unique(np.stack([np.concatenate(x) for x in zip(*found, strict=True)], axis=1), axis=0)
-        return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
+        sizes = np.diff(edges)
+        long = np.repeat(sizes > _SHORT, sizes)
+        found = list(_short_pairs(*[x[~long] for x in arrays], far)) if len(token) else []
+        for k in np.flatnonzero(sizes > _SHORT):
+            found += _list_pairs(*[x[edges[k] : edges[k + 1]] for x in arrays[1:]], far)
+        both = np.stack([np.concatenate(x) for x in zip(*found, strict=True)], axis=1) if found else np.zeros((0, 2), np.int64)
+        both = np.unique(both, axis=0) if len(both) else both
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+
+    rows = 0
+    for batch in batches:
+        if len(batch):
+            held.append([batch.column(c).to_numpy() for c in columns])
+            rows += len(batch)
+        if rows >= _GATHER:
+            arrays = [np.concatenate(x) for x in zip(*held, strict=True)]
+            cut = int(np.argmax(arrays[0] == arrays[0][-1]))  # the last list may go on
+            if cut:
+                yield joined([x[:cut] for x in arrays])
+            held, rows = [[x[cut:] for x in arrays]], 0  # counts new rows, so that a long list is not copied over and over
+    if held:
+        yield joined([np.concatenate(x) for x in zip(*held, strict=True)])
 
-    for pdf in frames:
-        if not len(pdf):
-            continue
-        pdf = pdf if held is None else pd.concat((held, pdf), ignore_index=True)
-        last = pdf["token"].iloc[-1]
-        ends = int(np.searchsorted((pdf["token"] == last).to_numpy(), True))
-        if ends:
-            yield joined(pdf.iloc[:ends])
-        held = pdf.iloc[ends:].reset_index(drop=True)
-    if held is not None:
-        yield joined(held)
+
+def _possible(batches: Iterator[pa.RecordBatch], far: float) -> Iterator[pa.RecordBatch]:
+    """Drops pairs whose bins alone show that they share too little."""
+    for batch in batches:
+        get = lambda c: batch.column(c).to_numpy(zero_copy_only=False)  # noqa: B023, E731
+        na, nb, t = get("na"), get("nb"), (1 - far) - get("ra") - get("rb")
+        blank = bytes([255]) * BINS  # no bound
+        rows = [np.frombuffer(b"".join(x or blank for x in batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("binsa", "binsb")]
+        most = np.minimum(*rows).sum(axis=1, dtype=np.int64)
+        unknown = np.array([x is None for x in batch.column("binsa").to_pylist()], bool) | np.array([x is None for x in batch.column("binsb").to_pylist()], bool)
+        ok = unknown | (most >= t / (1 + t) * (na + nb) - 1e-9)
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok))
 
 
 def _verify(frames: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
@@ -208,8 +258,8 @@ def _verify(frames: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame
     hub, own = None, None
     for pdf in frames:
         rows = []
-        for a, salt, is_other, b, text in zip(pdf["a"], pdf["salt"], pdf["other"], pdf["b"], pdf["text"], strict=True):
-            other = shingle_set(text, words)
+        sets = shingle_sets(pdf["text"].tolist(), words)
+        for a, salt, is_other, b, other in zip(pdf["a"], pdf["salt"], pdf["other"], pdf["b"], sets, strict=True):
             if not is_other:
                 hub, own = (a, salt), other
                 continue
@@ -253,13 +303,16 @@ class _Join:
             .drop("low", "high")
             .sortWithinPartitions("token", "n", "pos")
         )
-        return self.ws.table(live.mapInPandas(lambda f: _candidates(f, far), "a long, b long").distinct())
+        pairs = live.mapInArrow(lambda f: _candidates(f, far), "a long, b long").distinct()
+        of = lambda s: nodes.join(self.bins, "node").select(F.col("node").alias(s), F.col("radius").alias(f"r{s}"), F.col("n").alias(f"n{s}"), F.col("bins").alias(f"bins{s}"))
+        both = pairs.join(of("a"), "a").join(of("b"), "b")
+        return self.ws.table(both.mapInArrow(lambda f: _possible(f, far), "a long, b long"))
 
     def run(self) -> DataFrame:
         ws, words, far = self.ws, self.like.words, self.like.far
         kind = self.docs.schema["doc_id"].dataType.simpleString()
-        sketch = ws.table(self.docs.mapInArrow(lambda f: _sketch(f, words), f"doc_id {kind}, n long, node long, bands array<long>, token long"))
-        base = sketch.filter("token is null").select("doc_id", "n", "node", "bands")
+        sketch = ws.table(self.docs.mapInArrow(lambda f: _sketch(f, words), f"doc_id {kind}, n long, node long, bands array<long>, bins binary, token long"))
+        base = sketch.filter("token is null").select("doc_id", "n", "node", "bands", "bins")
         counted = sketch.filter("token is not null").groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= HEAVY_FROM)
         top = counted.orderBy(F.desc("n"), "token").limit(HEAVY_MOST).select("token").toPandas()["token"]
         heavy = self.spark.sparkContext.broadcast(np.sort(top.to_numpy().astype(np.int64).view(np.uint64)))
@@ -269,7 +322,8 @@ class _Join:
         keyed = self.docs.select("text").mapInPandas(lambda f: _keyed(f, words), "node long, text string")
         keyed.groupBy("node").agg(F.first("text").alias("text")).write.bucketBy(self.parts, "node").option("path", f"{ws.root}/sets").saveAsTable(self.table)
         self.texts = self.spark.table(self.table)
-        classes = ws.table(base.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
+        classes = ws.table(base.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bins").alias("bins")))
+        self.bins = classes.select("node", "n", "bins")
 
         # leaders: the smallest node of each band, verified
         banded = classes.select("node", F.explode("bands").alias("band"))
