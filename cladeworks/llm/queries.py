@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, line_dedup, quality, sharding, simhash, token_counts, toxicity, url_rules
+from . import decontam, jaccard, line_dedup, mixing, quality, sharding, simhash, token_counts, toxicity, url_rules
 from .workspace import small_batches
 
 URL_RULES: list[url_rules.Rule] = [
@@ -57,6 +57,20 @@ def op7_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = f"{TOKE
     return token_counts.count_tokens(docs, token_counts.read_ranks(vocabulary))
 
 
+#: Shares of tokens that the mix should have, by language.
+MIX = {"en": 0.5, "fr": 0.2, "de": 0.15, "es": 0.15}
+
+
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labelled table of the mix: the language of each document that has a row in ``labels``."""
+    return docs.select("doc_id", docs["lang"].alias("domain")).join(labels.select("doc_id"), "doc_id", "left_semi")
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return mixing.report(docs, labelled_domains(docs, _read(spark, sf_dir, "labels")), MIX)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -72,9 +86,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = (
     op1_hash_tree_sharding, op2_simhash, op3_url_rules, op4_quality, op5_ngram_jaccard, op6_decontamination,
-    op7_token_counts, op9_toxicity, op10_line_dedup,
+    op7_token_counts, op8_mixing, op9_toxicity, op10_line_dedup,
 )
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in _ALL}
+    import corpus_pipeline
+
+    return {f.__name__: f for f in _ALL} | {"pipeline": corpus_pipeline.run}
