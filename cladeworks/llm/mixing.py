@@ -3,9 +3,10 @@
 1. A naive Bayes classifier over hashed words, fitted on a labelled table, gives
    every document posteriors over the domains (rounded to 1/GRID, the precision
    the rates are fitted at).
-2. Nonnegative rates r minimise ``sum_k (sum_d r_d t_d p_dk - T_k)^2 / (2 T_k) +
+2. Nonnegative rates r minimise ``sum_k (sum_d r_d t_d p_dk - T_k)^2 / (2 S_k) +
    keep / 2 * sum_d t_d (r_d - 1)^2`` by projected gradient, t being a
-   document's tokens and T the targets.  The gradient of a document depends on
+   document's tokens, T the targets and S the tokens at rate 1 (with these
+   weights a step of 1 is safe, and enough where domains hardly overlap).  The gradient of a document depends on
    its posteriors only, so tokens are summed by posterior first and a step is an
    aggregate over these cells; only one number a domain reaches the driver.
 3. A rate becomes whole copies: its floor, and one more with the odds of the rest
@@ -29,7 +30,7 @@ BUCKETS, GRID, DOMAINS_MOST = 512, 64, 64
 TRAINING_ROWS = 20_000
 #: Words of evidence that count at most: a longer text is as sure as one of so many words.
 EVIDENCE = 30.0
-STEPS, KEEP, CLOSE = 80, 1e-3, 1e-5
+STEPS, KEEP, CLOSE = 60, 1e-3, 1e-4
 
 
 def words_of(text: Column) -> Column:
@@ -98,11 +99,13 @@ def _rate(p: Column, steps: list[list[float]], eta: float, keep: float) -> Colum
     flat = _array([x for step in steps for x in step])
     starts = F.sequence(F.lit(0), F.lit((len(steps) - 1) * k), F.lit(k))
 
-    def one(r: Column, at: Column) -> Column:
-        slope = sum((F.get(p, F.lit(i)) * F.get(flat, at + i) for i in range(1, k)), F.get(p, F.lit(0)) * F.get(flat, at))
-        return F.greatest(F.lit(0.0), r - F.lit(eta) * (slope + F.lit(keep) * (r - 1)))
+    # the state carries p, so that its expression is evaluated once a row and not once a step
+    def one(state: Column, at: Column) -> Column:
+        own, r = state["p"], state["r"]
+        slope = sum((F.get(own, F.lit(i)) * F.get(flat, at + i) for i in range(1, k)), F.get(own, F.lit(0)) * F.get(flat, at))
+        return F.struct(F.greatest(F.lit(0.0), r - F.lit(eta) * (slope + F.lit(keep) * (r - 1))).alias("r"), own.alias("p"))
 
-    return F.aggregate(starts, F.lit(1.0), one)
+    return F.aggregate(starts, F.struct(F.lit(1.0).alias("r"), p.alias("p")), one, lambda state: state["r"])
 
 
 def fit_rates(scored: DataFrame, k: int, shares: list[float], ws: Workspace, steps: int = STEPS, keep: float = KEEP) -> tuple[list[list[float]], float]:
@@ -111,12 +114,10 @@ def fit_rates(scored: DataFrame, k: int, shares: list[float], ws: Workspace, ste
     totals = lambda rate: [float(x or 0) for x in cells.agg(*[F.sum(F.col("t") * rate * F.get(F.col("__p"), F.lit(i))) for i in range(k)]).first()]
     now = totals(F.lit(1.0))
     target = [sum(now) * s for s in shares]
-    usable = [t > 0 for t in target]
-    if not any(usable):
+    if not sum(target):
         return [], 0.0
-    # a domain with a target of nothing pulls with its tokens' own size
-    size = [t if t > 0 else max(n, 1.0) for t, n in zip(target, now, strict=True)]
-    eta = 1.0 / (max(n / t for n, t in zip(now, size, strict=True)) + keep)
+    size = [max(n, 1.0) for n in now]
+    eta = 1.0 / (1.0 + keep)
     seen: list[list[float]] = []
     for _ in range(steps):
         off = [(n - t) / z for n, t, z in zip(now, target, size, strict=True)]
@@ -175,8 +176,9 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float]) -> D
 
 
 def _copied(scored: DataFrame, columns: list[str], seen: list[list[float]], eta: float) -> DataFrame:
-    rated = scored.withColumn("__rate", F.round(_rate(F.col("__p"), seen, eta, KEEP), 6)).withColumn("__copies", copies_of(F.col("doc_id"), F.col("__rate")))
-    return rated.filter("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*columns)
+    rate = F.round(_rate(F.col("__p"), seen, eta, KEEP), 6)
+    copy = F.transform(F.array(rate), lambda r: F.array_repeat(F.lit(0), copies_of(F.col("doc_id"), r)))  # the rate is evaluated once
+    return scored.select(*columns, F.explode(F.flatten(copy)).alias("__copy")).select(*columns)
 
 
 def copies_of(doc_id: Column, rate: Column) -> Column:
