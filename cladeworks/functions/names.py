@@ -14,7 +14,7 @@ AUTHOR_PREFIXES = r"d'|von |van |de |dem |der |da |del |di |le |f\. "
 YEAR = r"^.*, [12][0-9][0-9][0-9?]\)?"
 
 _WORD = f"[A-ZÖ{LOWER}-]+"
-_EPITHETS = f"(?: +[{LOWER}0-9.-]+){{0,3}}"
+_EPITHETS = f"(?: +[{LOWER}0-9.-]+){{0,3}}?"
 _AUTHOR = rf" +(?:{AUTHOR_PREFIXES}|[{{(}}{UPPER}])(?:..|\.).*"
 
 

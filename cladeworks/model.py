@@ -41,7 +41,7 @@ def uid_number(uid: Column) -> Column:
 
 def parse_sources(raw: Column) -> Column:
     """``a:1,b:2`` -> array of (src, id); an element without exactly one colon raises."""
-    parts = F.filter(F.transform(F.split(raw, ","), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(raw, ","), lambda x: F.trim(x)), lambda x: x != "")
     bad = F.exists(parts, lambda x: F.size(F.split(x, ":")) != 2)
     good = F.transform(parts, lambda x: F.struct(F.split_part(x, F.lit(":"), F.lit(1)).alias("src"), F.split_part(x, F.lit(":"), F.lit(2)).alias("id")))
     return F.when(bad, F.raise_error(F.concat(F.lit("malformed source: "), raw)).cast("array<struct<src:string,id:string>>")).otherwise(good)
