@@ -90,16 +90,16 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MI
         gone = gone.unionByName(later.select("rid", F.explode(F.sequence("i", F.col("i") + min_lines - 1)).alias("at")))
     for k, live in levels.items():
         shared = shared.unionByName(live.select("rid", F.lit(k).alias("k")))
-    cut = gone.groupBy("rid").agg(F.array_sort(F.collect_set("at")).alias("gone"))  # at most a document's own lines
-    most = shared.groupBy("rid").agg(F.max("k").alias("k"))
+    cut = gone.groupBy("rid").agg(F.array_sort(F.collect_set("at")).alias("__gone"))  # at most a document's own lines
+    most = shared.groupBy("rid").agg(F.max("k").alias("__k"))
     found = ws.table(most.join(cut, "rid", "left"))
     text = F.col("text").cast("string")
     rows = docs.withColumn("__rid", F.xxhash64("doc_id", "text")).join(found.withColumnRenamed("rid", "__rid"), "__rid", "left")
     lines = F.split(text, "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("gone"), i)), "\n")
+    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n")
     return rows.select(
-        *[F.when(F.col("gone").isNull(), text).otherwise(kept).alias("text") if c == "text" else F.col(c) for c in docs.columns],
+        *[F.when(F.col("__gone").isNull(), text).otherwise(kept).alias("text") if c == "text" else F.col(c) for c in docs.columns],
         F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("__n_lines"),
-        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("__n_deleted"),
-        F.coalesce("k", F.lit(0)).cast("long").alias("__shared"),
+        F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long").alias("__n_deleted"),
+        F.coalesce("__k", F.lit(0)).cast("long").alias("__shared"),
     )
