@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .workspace import Workspace
@@ -16,7 +16,10 @@ def components(edges: DataFrame, ws: Workspace, max_rounds: int = 60) -> DataFra
     repeated edges are ignored; without edges the result is empty.
     """
     pairs = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    now, mark = ws.table(pairs), None
+    # a node's edges to several smaller ones become one edge to the least, and edges among these, of which many are alike
+    led = pairs.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+    now = led.select("u", F.col("m").alias("v")).unionByName(led.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
+    now, mark = ws.table(now), None
     for _ in range(max_rounds):
         new_mark = tuple(now.agg(F.count("u"), F.sum(F.shiftright(F.xxhash64("u", "v"), 24))).first())
         if new_mark == mark or new_mark[0] == 0:
@@ -34,3 +37,13 @@ def components(edges: DataFrame, ws: Workspace, max_rounds: int = 60) -> DataFra
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     own = now.select(F.col("v").alias("node")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(own.select("node", F.col("node").alias("comp")))
+
+
+def merged(comps: DataFrame, edges: DataFrame, ws: Workspace) -> DataFrame:
+    """``comps`` (node, comp) after the edges (a, b) are added; only edges between different components are walked."""
+    of = lambda side: comps.select(F.col("node").alias(side), F.col("comp").alias(f"c{side}"))
+    lifted = edges.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    joined = ws.table(components(lifted.filter("a <> b").distinct(), ws))
+    moved = joined.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+    after = comps.join(moved, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
+    return ws.table(after.unionByName(joined.join(comps.select("node"), "node", "left_anti")))

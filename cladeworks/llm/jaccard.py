@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, merged
 from .text import mix, shingle_sets
 from .workspace import Workspace
 
@@ -340,8 +340,7 @@ class _Join:
         leaders = known.join(members.select("node"), "node", "left_anti").join(reach, "node", "left").withColumn("radius", F.coalesce("radius", F.lit(0.0)))
 
         second = self.verified(self.candidates(ws.table(leaders), heavy, widest))
-        more = self.linked(second)
-        comps = ws.table(components(links.select("a", "b").unionByName(more.select("a", "b")), ws))
+        comps = merged(comps, self.linked(second), ws)
 
         # members of two leaders that are not linked but near enough that their members may be
         radius = lambda side: reach.select(F.col("node").alias(side), F.col("radius").alias(f"r{side}"))
@@ -359,7 +358,7 @@ class _Join:
             near = hubs.unionByName(members.join(hubs.withColumnRenamed("node", "a"), "a").select("node")).distinct()
             nodes = near.join(comps, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"), F.lit(0.0).alias("radius"))
             third = self.linked(self.verified(self.candidates(ws.table(nodes), heavy, 0.0)))
-            comps = ws.table(components(links.select("a", "b").unionByName(more.select("a", "b")).unionByName(third.select("a", "b")), ws))
+            comps = merged(comps, third, ws)
 
         least = classes.join(comps, "node").groupBy("comp").agg(F.min("rep").alias("component_id"))
         joined = comps.join(least, "comp").select("node", "component_id")
