@@ -1,10 +1,23 @@
-"""Readers of the source formats; each gives taxa and synonyms as DataFrames."""
+"""Readers of the source formats.
+
+Each gives (taxa, synonyms) with the canonical columns, or the table it names.
+Files are read by Spark; only a manifest (meta.xml) or a header line is looked at
+on the driver.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import xml.etree.ElementTree as ET
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import model
+from ..functions.names import canonical
+from ..operators import normalize
+
+SEP = "\t|\t"
+
 
 def json_triples(rows: DataFrame, key: str, column: str) -> DataFrame:
     """key, predicate, object of the top-level members of a JSON column."""
@@ -15,3 +28,270 @@ def json_triples(rows: DataFrame, key: str, column: str) -> DataFrame:
 def html_links(pages: DataFrame) -> DataFrame:
     """page_id, link of every quoted href."""
     return pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1))).alias("link"))
+
+
+def _csv(spark: SparkSession, path: str, sep: str, header: bool = True, quote: str = "", columns: list[str] | None = None) -> DataFrame:
+    """All columns as strings; columns that only a trailing separator makes are dropped."""
+    reader = spark.read.option("sep", sep).option("header", header).option("quote", quote).option("inferSchema", False).option("mode", "PERMISSIVE")
+    if columns:
+        return reader.schema(", ".join(f"`{c}` string" for c in columns)).csv(path)
+    df = reader.csv(path)
+    return df.select(*[c for c in df.columns if not (header and c.startswith("_c"))])
+
+
+def _have(df: DataFrame, name: str) -> Column:
+    return F.nullif(F.col(name), F.lit("")) if name in df.columns else F.lit(None).cast("string")
+
+
+def taxonomy(spark: SparkSession, path: str) -> DataFrame:
+    """The interim taxonomy in any of its headers (told by their column names); short rows are filled with nulls.
+
+    ``uid`` is a string (see model.uid_number); an empty parent is null.  Two
+    different rows of one uid raise; equal ones count once.
+    """
+    raw = _csv(spark, path, SEP).dropDuplicates()
+    out = raw.select(
+        F.trim("uid").alias("uid"), F.nullif(F.trim(_have(raw, "parent_uid")), F.lit("")).alias("par_id"), _have(raw, "name").alias("name"), _have(raw, "rank").alias("rank"),
+        model.parse_flags(_have(raw, "flags")).alias("flags"),
+        F.coalesce(model.parse_sources(_have(raw, "sourceinfo")), F.array().cast("array<struct<src:string,id:string>>")).alias("src"),
+        _have(raw, "uniqname").alias("uniqname"),
+        *[model.parse_flags(_have(raw, c)).alias(c) for c in ("aut_id", "aut_yr_id", "nom_status") if c in raw.columns],
+    )
+    twice = normalize.duplicate_ids(out).limit(1).collect()
+    if twice:
+        raise ValueError(f"different rows of uid {twice[0]['uid']}")
+    return out
+
+
+def synonyms(spark: SparkSession, path: str | None) -> DataFrame:
+    """uid, name, syn_type, syn_id, columns found by name in any order; without a file, none."""
+    if path is None:
+        return spark.createDataFrame([], model.SYNONYMS)
+    raw = _csv(spark, path, SEP)
+    kind = F.coalesce(_have(raw, "type"), F.lit("synonym"))
+    return raw.select(F.trim("uid").alias("uid"), "name", kind.alias("syn_type"), _have(raw, "syn_id").alias("syn_id"))
+
+
+def one_taxon(taxa: DataFrame, uid: str) -> DataFrame:
+    return taxa.filter(F.col("uid") == uid).limit(1)
+
+
+def ncbi(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """taxa, synonyms, forwards of nodes.dmp, names.dmp and merged.dmp; the root is its own parent there."""
+    nodes = spark.read.text(f"{folder}/nodes.dmp").select(F.split(F.regexp_replace("value", r"\t\|$", ""), r"\t\|\t").alias("f"))
+    nodes = nodes.select(F.trim(F.col("f")[0]).alias("uid"), F.trim(F.col("f")[1]).alias("par_id"), F.trim(F.col("f")[2]).alias("rank"))
+    names = spark.read.text(f"{folder}/names.dmp").select(F.split("value", r"\t\|\t?").alias("f"))
+    names = names.select(*[F.trim(F.col("f")[i]).alias(c) for i, c in enumerate(("uid", "name", "unique_name", "kind"))])
+    fixed = F.when(F.col("unique_name").contains("<series>"), F.regexp_replace("unique_name", "[<>]", "")).when(F.col("unique_name").contains("subgroup <"), F.regexp_replace("unique_name", "[<>]", "")).otherwise(F.col("name"))
+    names = names.withColumn("name", F.when(F.col("kind") == "scientific name", fixed).otherwise(F.col("name"))).filter("kind <> 'in-part'")
+    taxa = nodes.join(names.filter("kind = 'scientific name'").select("uid", "name"), "uid", "left")
+    taxa = taxa.select("uid", F.when(F.col("par_id") != F.col("uid"), F.col("par_id")).alias("par_id"), "name", "rank")
+    other = names.filter("kind <> 'scientific name'").select("uid", "name", F.col("kind").alias("syn_type"), F.lit(None).cast("string").alias("syn_id"))
+    merged = spark.read.text(f"{folder}/merged.dmp").select(F.split("value", r"\t\|\t?").alias("f")).select(F.trim(F.col("f")[0]).alias("old_id"), F.trim(F.col("f")[1]).alias("new_id"))
+    return taxa, other, merged
+
+
+def ncbi_clean(taxa: DataFrame, syn: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Samples named after their parents, children named like their parents resolved."""
+    return normalize.fix_same_names(normalize.prefix_with_parent(taxa), syn)
+
+
+def darwin_core_fields(meta_xml: str) -> tuple[str, dict[str, int]]:
+    """File name and term -> column of the one core of a manifest."""
+    root = ET.fromstring(meta_xml)
+    local = lambda e: e.tag.rsplit("}", 1)[-1]
+    cores = [e for e in root if local(e) == "core"]
+    if len(cores) != 1:
+        raise ValueError(f"{len(cores)} core files")
+    places = {}
+    location = ""
+    for e in cores[0].iter():
+        if local(e) == "id":
+            places["id"] = int(e.get("index"))
+        elif local(e) == "field" and e.get("index"):
+            places[e.get("term").rsplit("/", 1)[-1]] = int(e.get("index"))
+        elif local(e) == "location":
+            location = (e.text or "").strip()
+    return location, places
+
+
+# Ids that are kept although doubtful; ranks without meaning; words of a fossil source.
+DOUBTFUL_KEPT = ("8407745",)
+
+
+def darwin_core(spark: SparkSession, folder: str, meta_xml: str, dropped_sources: tuple[str, ...] = (), strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """taxa and synonyms of an archive; names get their canonical form, ``strict`` raises on a status that is not known."""
+    location, places = darwin_core_fields(meta_xml)
+    raw = spark.read.text(f"{folder}/{location}").select(F.split("value", "\t", -1).alias("f"))
+    at = lambda term: F.nullif(F.trim(F.get("f", F.lit(places[term]))), F.lit("")) if term in places else F.lit(None).cast("string")
+    rows = raw.select(
+        at("id").alias("uid"), at("parentNameUsageID").alias("par_id"), at("acceptedNameUsageID").alias("accepted"), canonical(at("scientificName")).alias("name"),
+        F.lower(at("taxonRank")).alias("rank"), F.lower(at("taxonomicStatus")).alias("status"), at("nameAccordingTo").alias("source"),
+    ).filter(F.col("uid").isNotNull() & (F.col("uid") != "taxonID"))
+    rows = rows.filter(~F.coalesce(F.col("source").isin(*dropped_sources), F.lit(False))) if dropped_sources else rows
+    status = F.coalesce("status", F.lit("accepted"))
+    is_syn = F.col("accepted").isNotNull() & (F.col("accepted") != F.col("uid"))
+    syn = rows.filter(is_syn | status.contains("synonym")).filter("accepted is not null")
+    kept = rows.filter(~is_syn & ~status.contains("synonym") & ((status != "doubtful") | F.col("uid").isin(*DOUBTFUL_KEPT)))
+    if strict:
+        bad = F.raise_error(F.concat(F.lit("status "), status)).cast("string")
+        kept = kept.withColumn("uid", F.when(status.isin("accepted", "doubtful", "provisionally accepted"), F.col("uid")).otherwise(bad))
+    return kept.select("uid", "par_id", "name", "rank"), syn.select(F.col("accepted").alias("uid"), "name", F.lit("synonym").alias("syn_type"), F.col("uid").alias("syn_id"))
+
+
+def irmng(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """taxa and synonyms of the 18-column file: species names are assembled, the authority is cut off, placeholders go."""
+    raw = spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    waiting = F.exists(F.array(*[F.coalesce(F.lower(c), F.lit("")) for c in raw.columns]), lambda x: x.contains("awaiting allocation"))
+    own = F.when(F.lower("TAXONRANK") == "species", F.concat_ws(" ", "GENUS", "SPECIFICEPITHET"))
+    plain = F.col("SCIENTIFICNAME")
+    cut = F.when(F.col("SCIENTIFICNAMEAUTHORSHIP").isNotNull() & plain.endswith(F.concat(F.lit(" "), F.col("SCIENTIFICNAMEAUTHORSHIP"))), F.expr("substr(SCIENTIFICNAME, 1, length(SCIENTIFICNAME) - length(SCIENTIFICNAMEAUTHORSHIP) - 1)")).otherwise(plain)
+    rows = raw.filter(~waiting).select(F.col("TAXONID").alias("uid"), F.col("PARENTNAMEUSAGEID").alias("par_id"), F.coalesce(own, cut).alias("name"), F.lower("TAXONRANK").alias("rank"), F.col("ACCEPTEDNAMEUSAGEID").alias("accepted"))
+    is_syn = F.col("accepted").isNotNull() & (F.col("accepted") != F.col("uid"))
+    chain = normalize.resolve_chain(rows.filter(is_syn).select(F.col("uid").alias("old_id"), F.col("accepted").alias("new_id")))
+    syn = rows.filter(is_syn).join(chain, F.col("uid") == F.col("old_id")).select(F.col("new_id").alias("uid"), "name", F.lit("synonym").alias("syn_type"), F.col("old_id").alias("syn_id"))
+    taxa = normalize.reparent_by_forwards(rows.filter(~is_syn).select("uid", "par_id", "name", "rank"), chain)
+    return taxa, syn
+
+
+def irmng_extinct(spark: SparkSession, path: str, taxa: DataFrame, living: tuple[str, ...] = ()) -> DataFrame:
+    """uid of the known taxa that the profile file marks extinct, without the ids listed as living."""
+    rows = spark.read.option("header", True).option("quote", '"').csv(path).filter(F.upper("ISEXTINCT") == "TRUE").select(F.col("TAXONID").alias("uid"))
+    return rows.join(taxa.select("uid"), "uid", "left_semi").filter(~F.col("uid").isin(*living)) if living else rows.join(taxa.select("uid"), "uid", "left_semi")
+
+
+def silva(spark: SparkSession, path: str, preferred: DataFrame | None = None) -> DataFrame:
+    """uid, par_id, name, prefix: a taxon for each path prefix, its id the preferred one or the smallest."""
+    raw = spark.read.option("sep", "\t").option("header", True).csv(path)
+    rows = raw.select(F.concat_ws(".", "primaryAccession", "start", "stop").alias("acc"), F.concat(F.regexp_replace("path", ";$", ""), F.lit(";"), F.col("organism_name")).alias("path"), "primaryAccession")
+    parts = normalize.path_prefixes(rows)
+    wanted = preferred.select(F.col("uid").alias("id"), F.lit(True).alias("preferred")) if preferred is not None else None
+    parts = parts.join(wanted, "id", "left") if wanted is not None else parts.withColumn("preferred", F.lit(False))
+    chosen = normalize.preferred_id(parts.select(F.col("prefix").alias("key"), "id", F.col("acc").alias("line"), F.coalesce("preferred", F.lit(False)).alias("preferred")))
+    tree = normalize.path_parents(chosen.select(F.col("key").alias("prefix"), "id"))
+    return tree.select(F.col("id").alias("uid"), "par_id", F.element_at(F.split("prefix", ";"), -1).alias("name"), "prefix")
+
+
+def id_list(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select(F.trim("value").alias("uid")).filter("uid <> ''")
+
+
+def accessions_under(rows: DataFrame, prefixes: tuple[str, ...]) -> DataFrame:
+    """acc of the rows (acc, path) whose path starts with any prefix."""
+    test = F.lit(False)
+    for p in prefixes:
+        test = test | F.col("path").startswith(p)
+    return rows.filter(test).select("acc")
+
+
+def fasta_headers(spark: SparkSession, path: str) -> DataFrame:
+    """acc, start, stop, path, name of the header lines ``>acc.start.stop path;name``."""
+    pattern = r"^>(\S+)\.(\d+)\.(\d+) (.*);([^;]*)$"
+    rows = spark.read.text(path).filter(F.col("value").startswith(">"))
+    return rows.select(*[F.regexp_extract("value", pattern, i + 1).alias(c) for i, c in enumerate(("acc", "start", "stop", "path", "name"))])
+
+
+def plant_list(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """taxa (with genera and species that names ask for) and the rows that are not accepted."""
+    columns = [f"c{i}" for i in range(11)]
+    raw = spark.read.option("header", True).option("quote", '"').schema(", ".join(f"{c} string" for c in columns)).csv(path)
+    name = F.concat_ws(" ", *[F.nullif(F.trim(c), F.lit("")) for c in ("c4", "c5", "c6", "c8")])
+    rank = F.when(F.trim("c8") != "", F.when(F.lower("c7").isin("var.", "var"), "varietas").when(F.lower("c7").isin("f.", "f"), "forma").otherwise("subspecies")).when(F.trim("c6") != "", "species").otherwise("genus")
+    rows = raw.select(F.col("c0").alias("uid"), F.col("c2").alias("family"), name.alias("name"), rank.alias("rank"), F.lower("c10").alias("status"))
+    good = rows.filter("status = 'accepted' or rank = 'genus'")
+    made = normalize.auto_parents(good.select("uid", "name"))
+    both = good.select("uid", "name", "rank", "family").unionByName(made.select("uid", "name", "rank", F.lit(None).cast("string").alias("family")))
+    words = F.split("name", " ")
+    above = F.when(F.size(words) >= 3, F.concat_ws(" ", words[0], words[1])).when(F.size(words) == 2, words[0])
+    ids = both.groupBy("name").agg(F.min("uid").alias("par_id")).withColumnRenamed("name", "above")
+    taxa = both.withColumn("above", above).join(ids, "above", "left").select("uid", F.coalesce("par_id", F.concat(F.lit("family:"), "family")).alias("par_id"), "name", "rank")
+    return taxa, rows.filter("not (status = 'accepted' or rank = 'genus')")
+
+
+def newick(spark: SparkSession, text: str) -> DataFrame:
+    """uid (preorder index), par_id, name, rank of a tree whose labels are ``name`` or ``rank=name``; a node without label raises.
+
+    The text is one value; it is cut into marks by expressions, and depth is a
+    running sum over them.
+    """
+    from pyspark.sql import Window
+
+    row = spark.range(1).select(F.posexplode(F.regexp_extract_all(F.lit(text.strip()), F.lit(r"('(?:[^']|'')*'|[^(),;:\s']+(?: [^(),;:\s']+)*|[(),;]|:[^(),;]*)"), F.lit(1))).alias("i", "m"))
+    order = Window.orderBy("i")
+    step = F.when(F.col("m") == "(", 1).when(F.col("m") == ")", -1).otherwise(0)
+    marks = row.filter(~F.col("m").startswith(":")).withColumn("depth", F.sum(step).over(order)).withColumn("next", F.lead("m").over(order))
+    bare = marks.filter((F.col("m").isin("(", ",") & F.col("next").isin(",", ")")) | ((F.col("m") == ")") & F.col("next").isin(",", ")", ";")))
+    if not bare.isEmpty():
+        raise ValueError("a node without a label")
+    labels = marks.filter(~F.col("m").isin("(", ")", ",", ";")).select("i", "depth", F.replace(F.regexp_replace("m", "^'|'$", ""), F.lit("''"), F.lit("'")).alias("label"))
+    # a label of an inner node follows its ')': its parent is the next label one level up
+    up = labels.select(F.col("i").alias("pi"), F.col("depth").alias("pd"))
+    parent = labels.join(up, (F.col("pd") == F.col("depth") - 1) & (F.col("pi") > F.col("i")), "left").groupBy("i", "depth", "label").agg(F.min("pi").alias("pi"))
+    from ..operators.hierarchy import preorder
+
+    key = lambda c: F.lpad(c.cast("string"), 9, "0")
+    tree = parent.select(key(F.col("i")).alias("uid"), key(F.col("pi")).alias("par_id"), "label")
+    walk = preorder(tree).select("uid", F.col("preorder_idx").cast("string").alias("id"))
+    named = tree.join(walk, "uid").join(walk.select(F.col("uid").alias("par_id"), F.col("id").alias("pid")), "par_id", "left")
+    ranked = F.col("label").contains("=")
+    return named.select(F.col("id").alias("uid"), F.col("pid").alias("par_id"), F.when(ranked, F.substring_index("label", "=", -1)).otherwise(F.col("label")).alias("name"), F.when(ranked, F.substring_index("label", "=", 1)).otherwise("no rank").alias("rank"))
+
+
+# Predicates of the additional properties by what they say.
+ENTITY_IS_SYNONYM, OBJECT_IS_SYNONYM, HYBRID, AUTHOR, IGNORED = ("P1420",), ("P694", "P1403"), ("P1531",), ("P405",), ("P566", "P427")
+
+
+def wikidata_properties(rows: DataFrame, taxa: DataFrame) -> DataFrame:
+    """uid, name, kind of the triples (Entity, Predicate, Object) about known taxa; an unknown predicate raises."""
+    p = F.col("Predicate")
+    kind = F.when(p.isin(*ENTITY_IS_SYNONYM), "entity_is_synonym").when(p.isin(*OBJECT_IS_SYNONYM), "object_is_synonym").when(p.isin(*HYBRID), "hybrid").when(p.isin(*AUTHOR), "author").when(p.isin(*IGNORED), "ignored").otherwise(F.raise_error(F.concat(F.lit("predicate "), p)).cast("string"))
+    known = rows.withColumn("kind", kind).filter("kind <> 'ignored'")
+    swap = F.col("kind") == "entity_is_synonym"
+    told = known.select(F.when(swap, F.col("Object")).otherwise(F.col("Entity")).alias("uid"), F.when(swap, F.col("Entity")).otherwise(F.col("Object")).alias("other"), "kind")
+    return told.join(taxa.select("uid"), "uid", "left_semi").join(taxa.select(F.col("uid").alias("other"), "name"), "other", "left").select("uid", F.coalesce("name", "other").alias("name"), "kind")
+
+
+def wikidata(taxa: DataFrame, properties: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Taxa that are no synonym of a known one, and the synonyms; Q prefixes are cut off."""
+    syn = properties.filter("kind in ('entity_is_synonym', 'object_is_synonym')")
+    gone = taxa.join(syn.select("name"), "name", "left_semi").select("uid")
+    number = lambda c: F.substring(c, 2, 1000)
+    rows = taxa.join(gone, "uid", "left_anti")
+    return (
+        rows.select(number(F.col("uid")).alias("uid"), number(F.col("par_id")).alias("par_id"), "name", "rank"),
+        syn.select(number(F.col("uid")).alias("uid"), "name", F.lit("synonym").alias("syn_type"), F.lit(None).cast("string").alias("syn_id")),
+    )
+
+
+def wikidata_entities(spark: SparkSession, path: str, taxon_classes: tuple[str, ...] = ("Q16521",)) -> DataFrame:
+    """uid, par_id, name, rank_id of the taxa in a line-delimited entity dump (enclosing brackets and commas allowed)."""
+    claim = "array<struct<mainsnak:struct<datavalue:struct<value:string>>>>"
+    schema = f"id string, claims struct<P31:{claim},P171:{claim},P225:{claim},P105:{claim}>"
+    rows = spark.read.text(path).select(F.from_json(F.regexp_replace("value", r",\s*$", ""), schema).alias("e")).filter("e.id is not null")
+    values = lambda p: F.transform(F.col(f"e.claims.{p}"), lambda c: c["mainsnak"]["datavalue"]["value"])
+    ids = lambda p: F.transform(values(p), lambda v: F.get_json_object(v, "$.id"))
+    taxa = rows.filter(F.arrays_overlap(ids("P31"), F.array(*map(F.lit, taxon_classes))))
+    return taxa.select("e.id", *[F.get(x, F.lit(0)).alias(n) for n, x in (("par_id", ids("P171")), ("name", values("P225")), ("rank_id", ids("P105")))]).withColumnRenamed("id", "uid")
+
+
+# What tells the kind of a wiki page.
+PAGE_MARKS = {"redirect": "#REDIRECT", "author": "{{Taxon Authorities}}", "taxon": "{{Taxonav"}
+
+
+def wikispecies(spark: SparkSession, path: str) -> DataFrame:
+    """title, kind of the pages of an XML dump."""
+    pages = spark.read.format("xml").option("rowTag", "page").schema("title string, revision struct<text:string>").load(path)
+    text, kind = F.coalesce("revision.text", F.lit("")), F.lit("other")
+    for name, mark in reversed(PAGE_MARKS.items()):
+        kind = F.when(F.upper(text).contains(mark.upper()), name).otherwise(kind)
+    return pages.select("title", kind.alias("kind"))
+
+
+def col_rows(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """taxa and synonyms of a tab file with quoted line breaks, told apart by the accepted id."""
+    raw = spark.read.option("sep", "\t").option("header", True).option("multiLine", True).csv(path)
+    own = raw.select(F.col("taxonID").alias("uid"), F.col("acceptedNameUsageID").alias("accepted"), F.col("parentNameUsageID").alias("par_id"), F.col("scientificName").alias("name"), F.lower("taxonRank").alias("rank"))
+    return own.filter("accepted is null").drop("accepted"), own.filter("accepted is not null").select(F.col("accepted").alias("uid"), "name", F.lit("synonym").alias("syn_type"), F.col("uid").alias("syn_id"))
+
+
+NORMALIZERS = {"interim": taxonomy, "ncbi": ncbi, "darwin core": darwin_core, "irmng": irmng, "silva": silva, "fasta silva taxmap": fasta_headers, "plant list": plant_list, "newick": newick, "wikispecies": wikispecies, "col": col_rows}
