@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .text import ALNUM_TABLE, alnum_words, mix, word_hashes
+from .workspace import Workspace
 
 WINDOW = 13
 #: Broadcast only up to so many UTF-8 bytes of benchmark text (some 10 times that in a task's memory).
@@ -198,7 +199,8 @@ def _report_by_join(docs: DataFrame, benchmark: DataFrame, window: int, share: i
 
     Rows are told apart by a number of their own, so repeated doc_ids stay apart.
     """
-    own = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("id", F.monotonically_increasing_id())
+    numbered = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("id", F.monotonically_increasing_id())
+    own = Workspace(docs.sparkSession, "decontam").table(numbered)  # the numbers stay as they are
     schema = "id {}, at long, m long, h long, n long, w binary"
     item = benchmark.select(F.col("item_id").cast("string").alias("id"), F.col("text").cast("string").alias("text"))
     grams = item.mapInPandas(lambda f: _windows(f, [], window), schema.format("string")).select("id", "m", "h", "w").distinct()

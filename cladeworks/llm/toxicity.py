@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -45,7 +46,7 @@ SEED_WEIGHT = 4.0
 REACH = 3
 STEMS = (4, 5, 6)
 #: The lexicon and the logistic layer are fitted on at most so many labelled training rows of each class (the first by a hash of their id).
-TRAINING_ROWS = 8_000
+TRAINING_ROWS = 5_000
 #: A term needs so many texts with different content, and to be so many times as frequent in toxic ones.
 SUPPORT, RATIO = 5, 30.0
 #: At most so many terms (those in most toxic texts) are considered and go to every task.
@@ -155,10 +156,14 @@ def _default() -> Model:
 
 
 def _marked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Adds a mark that near copies share with high odds: the smallest hash of their words."""
+    """Adds a mark that near copies share with high odds, and others hardly ever: the smallest hash of their word pairs."""
     for pdf in frames:
-        marks = [min((xxhash.xxh3_64_intdigest(w) for w in _terms(t)), default=0) - (1 << 63) for t in pdf["text"]]
-        yield pdf.assign(mark=marks)
+        yield pdf.assign(mark=[_mark(words_of(t)) for t in pdf["text"]])
+
+
+def _mark(words: list[str]) -> int:
+    pairs = {f"{a} {b}" for a, b in zip(words, words[1:], strict=False)} or set(words)
+    return min(map(xxhash.xxh3_64_intdigest, pairs), default=0) - (1 << 63)
 
 
 def _terms(text: str | None) -> set[str]:
@@ -172,8 +177,10 @@ def _counts(frames: Iterator[pd.DataFrame], wanted: frozenset | None) -> Iterato
         for mark, text in zip(pdf["mark"], pdf["text"], strict=True):
             by_mark.setdefault(mark, set()).update(_terms(text))
     counts: dict[tuple[str, bool], int] = {}
-    for own in by_mark.values():
-        for key in [(w, False) for w in own] + [(s, True) for s in {w[:k] for w in own for k in STEMS if len(w) > k}]:
+    while by_mark:
+        _, own = by_mark.popitem()
+        stems = {w[:k] for w in own for k in STEMS if len(w) > k}
+        for key in chain(((w, False) for w in own), ((s, True) for s in stems)):
             if wanted is None or key in wanted:
                 counts[key] = counts.get(key, 0) + 1
     yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["term", "stem", "n"])
@@ -209,12 +216,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     chosen = first(0).unionByName(first(1))  # 2 * rows ids at most
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("y", "text").filter("text is not null")
     ws = Workspace(docs.sparkSession, "toxicity")
-    # texts with the same mark meet in one partition, where they count once
-    texts = ws.table(texts.mapInPandas(_marked, "y int, text string, mark long").repartition(16, "mark"))
+    texts = ws.table(texts.mapInPandas(_marked, "y int, text string, mark long"))
     sizes = {r[0]: r[1] for r in texts.groupBy("y").agg(F.countDistinct("mark")).collect()}
     if not (sizes.get(0) and sizes.get(1)):
         return _default()
     kind = "term string, stem boolean, n long"
+    # texts with the same mark meet in one partition, where they count once
     of = lambda y: texts.filter(F.col("y") == y).repartition(16, "mark")
     often = of(1).mapInPandas(lambda f: _counts(f, None), kind).groupBy("term", "stem").agg(F.sum("n").alias("toxic")).filter(F.col("toxic") >= SUPPORT)
     often = {(r[0], r[1]): r[2] for r in often.orderBy(F.desc("toxic"), "term", "stem").limit(LEXICON_MOST).collect()}
