@@ -1,2 +1,34 @@
-def oracle_sql():
-    return {}
+"""SQL for the queries that SQL can express (DuckDB's dialect)."""
+
+from __future__ import annotations
+
+from .queries import URL_RULES
+
+_RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+
+OP3 = f"""WITH rules(verdict, host, path) AS (VALUES {_RULES}),
+cut AS (SELECT page_id, CASE WHEN url IS NULL OR position('://' IN url) = 0 THEN NULL ELSE substr(url, position('://' IN url) + 3) END AS rest FROM pages),
+parts AS (SELECT page_id, coalesce(regexp_extract(rest, '^[^/?#]*'), '') AS host0, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM cut),
+low AS (SELECT page_id, translate(host0, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM parts),
+best AS (SELECT l.page_id, l.host, l.path, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM low l LEFT JOIN rules r ON (l.host = r.host OR ends_with(l.host, '.' || r.host)) AND starts_with(l.path, r.path) GROUP BY l.page_id, l.host, l.path)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM best"""
+
+_WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP6 = f"""WITH d AS (SELECT doc_id, coalesce({_WORDS.format("text")}, []) AS w FROM documents),
+i AS (SELECT item_id, coalesce({_WORDS.format("text")}, []) AS w FROM benchmark),
+g AS (SELECT DISTINCT item_id, least(13, len(w)) AS m, array_to_string(w[p : p + least(13, len(w)) - 1], ' ') AS s
+  FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) AS p FROM i WHERE len(w) > 0) x),
+sizes AS (SELECT DISTINCT m FROM g),
+dw AS (SELECT doc_id, p, m, array_to_string(w[p : p + m - 1], ' ') AS s
+  FROM (SELECT doc_id, w, m, unnest(generate_series(1, len(w) - m + 1)) AS p FROM d, sizes WHERE len(w) >= m) x),
+h AS (SELECT dw.doc_id, dw.p, dw.m, g.item_id FROM dw JOIN g ON g.m = dw.m AND g.s = dw.s),
+words AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(generate_series(p, p + m - 1)) AS q FROM h) x GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS k FROM h) x GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+def oracle_sql() -> dict[str, str]:
+    return {"op3_url_rules": OP3, "op6_decontamination": OP6}
