@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sampling import first_by_hash
 from .workspace import Workspace
 
 FEATURES = (
@@ -169,7 +170,7 @@ def train(stats: DataFrame, labels: DataFrame, label: str = "quality", calibrati
     model = fit(counts, first, second)
     if model is None:
         return None
-    sample = rows.orderBy(F.xxhash64("doc_id")).limit(calibration_rows).select("y", *FEATURES).toPandas()
+    sample = first_by_hash(rows, "doc_id", calibration_rows, int(counts.sum())).select("y", *FEATURES).toPandas()
     slope, shift = calibrate(model.difference(sample[list(FEATURES)].to_numpy()), sample["y"].to_numpy(float))
     return Discriminant(model.means, model.factors, model.logs, slope, shift)
 

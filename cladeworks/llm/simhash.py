@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from .sampling import first_by_hash
 from .text import mix, shingle_hashes, space_words, word_hashes
 
 BITS = 128
@@ -92,7 +93,7 @@ def fingerprints(docs: DataFrame, buckets: int | None = None, sample_rows: int =
     buckets = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ids = docs.select("doc_id")
-    sample = ids.filter("doc_id is not null").orderBy(F.xxhash64("doc_id")).limit(sample_rows).collect()
+    sample = first_by_hash(ids.filter("doc_id is not null"), "doc_id", sample_rows).collect()
     known = sorted(r[0] for r in sample)
     bounds = sorted({known[len(known) * i // buckets] for i in range(1, buckets)}) if known else []
     kind = docs.schema["doc_id"].dataType

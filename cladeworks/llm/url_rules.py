@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .sampling import first_by_hash
+
 #: (verdict, host, path)
 Rule = tuple[str, str, str]
 _AFTER = "\U0010ffff"
@@ -85,7 +87,7 @@ def judge(
     )
     # \x00 sorts below every key byte: (key, salt) compare as one string
     place = F.concat(F.col("key"), F.lit("\x00"), F.col("salt"))
-    sample = sorted(r[0] for r in keyed.orderBy("salt", "key").limit(sample_rows).select(place).collect())
+    sample = sorted(r[0] for r in first_by_hash(keyed, "page_id", sample_rows).select(place).collect())
     bounds = sorted({sample[len(sample) * i // buckets] for i in range(1, buckets)}) if sample else []
     last = len(bounds)
     at = F.array(*[F.lit(x) for x in bounds]) if bounds else F.array().cast("array<string>")
