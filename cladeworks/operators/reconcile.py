@@ -12,7 +12,7 @@ from ..staging import staged
 from .hierarchy import closure, leaves, rank_ranges
 
 # Bits of a match.
-EXT_VALID, EXT_SYN, OTT_VALID, OTT_SYN, EXT_SP, EXT_INF, EXT_CLADE, OTT_SP, OTT_INF, OTT_CLADE = (1 << k for k in range(10))
+EXT_VALID, EXT_SYN, MAIN_VALID, MAIN_SYN, EXT_SP, EXT_INF, EXT_CLADE, MAIN_SP, MAIN_INF, MAIN_CLADE = (1 << k for k in range(10))
 
 
 def synonyms(raw: DataFrame, ignored: tuple[str, ...] = IGNORED_SYNONYM_TYPES) -> DataFrame:
@@ -47,7 +47,7 @@ def findable_names(taxa: DataFrame, syn: DataFrame, below_species: bool = True)
     return first.select("name", "uid", "score")
 
 
-def match_cascade(ext: DataFrame, ext_syn: DataFrame, ott: DataFrame) -> DataFrame:
+def match_cascade(ext: DataFrame, ext_syn: DataFrame, main: DataFrame) -> DataFrame:
     """uid, status, code, name: the first of eight stages by which each external taxon at or below species finds a name.
 
     Stages: valid then synonym names of species, then of all at or below,
@@ -55,17 +55,17 @@ def match_cascade(ext: DataFrame, ext_syn: DataFrame, ott: DataFrame) -> DataFra
     """
     best = lambda t: rank_ranges(t).select("uid", "best")
     low = staged(ext.join(best(ext).filter(F.col("best") <= SPECIES), "uid").select("uid", "name", (F.col("best") == SPECIES).alias("is_sp")))
-    known = ott.join(best(ott).filter(F.col("best") <= SPECIES), "uid")
-    names = staged(known.groupBy("name").agg(F.max(F.col("best") == SPECIES).alias("ott_sp")))
+    known = main.join(best(main).filter(F.col("best") <= SPECIES), "uid")
+    names = staged(known.groupBy("name").agg(F.max(F.col("best") == SPECIES).alias("main_sp")))
     mine = low.select("uid", "is_sp", "name", F.lit(False).alias("syn")).unionByName(
         low.select("uid", "is_sp").join(ext_syn.select("uid", "name"), "uid").select("uid", "is_sp", "name", F.lit(True).alias("syn"))
     )
     found = mine.join(names, "name")
     # names at or below species hold species names too, so a second-round match is one that no species name gave
-    stage = F.when(F.col("ott_sp"), 0).otherwise(4) + F.when(F.col("is_sp"), 0).otherwise(2) + F.when(F.col("syn"), 1).otherwise(0)
+    stage = F.when(F.col("main_sp"), 0).otherwise(4) + F.when(F.col("is_sp"), 0).otherwise(2) + F.when(F.col("syn"), 1).otherwise(0)
     first = found.groupBy("uid").agg(F.min(F.struct(stage.alias("stage"), "name")).alias("m"))
-    labels = [f"{s}_{e}_OTT_VALID_{o}" for o in ("SP", "INF") for e in ("SP", "INF") for s in ("VALID", "SYN")]
-    bits = [OTT_VALID | a | b | c for c in (OTT_SP, OTT_INF) for b in (EXT_SP, EXT_INF) for a in (EXT_VALID, EXT_SYN)]
+    labels = [f"{s}_{e}_MAIN_VALID_{o}" for o in ("SP", "INF") for e in ("SP", "INF") for s in ("VALID", "SYN")]
+    bits = [MAIN_VALID | a | b | c for c in (MAIN_SP, MAIN_INF) for b in (EXT_SP, EXT_INF) for a in (EXT_VALID, EXT_SYN)]
     pick = lambda values: F.get(F.array(*map(F.lit, values)), F.col("m.stage"))
     return low.select("uid").join(first, "uid", "left").select("uid", pick(labels).alias("status"), pick(bits).alias("code"), F.col("m.name").alias("name"))
 
@@ -112,24 +112,24 @@ def genus_species_search(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def map_classes(edges: DataFrame) -> DataFrame:
-    """ott, ref, class of a mapping's edges by the degree of both ends: unique, merge, split or snarl."""
-    pairs = edges.select("ott", "ref").distinct()
-    out = pairs.withColumn("n_ref", F.count("ref").over(Window.partitionBy("ott"))).withColumn("n_ott", F.count("ott").over(Window.partitionBy("ref")))
+    """main, ref, class of a mapping's edges by the degree of both ends: unique, merge, split or snarl."""
+    pairs = edges.select("main", "ref").distinct()
+    out = pairs.withColumn("n_ref", F.count("ref").over(Window.partitionBy("main"))).withColumn("n_main", F.count("main").over(Window.partitionBy("ref")))
     # a merge stays one only if none of the taxa merged maps elsewhere; a split only if none of its targets is shared
-    out = out.withColumn("any_ref", F.max("n_ref").over(Window.partitionBy("ref"))).withColumn("any_ott", F.max("n_ott").over(Window.partitionBy("ott")))
+    out = out.withColumn("any_ref", F.max("n_ref").over(Window.partitionBy("ref"))).withColumn("any_main", F.max("n_main").over(Window.partitionBy("main")))
     kind = (
-        F.when((F.col("n_ref") == 1) & (F.col("n_ott") == 1), "unique")
+        F.when((F.col("n_ref") == 1) & (F.col("n_main") == 1), "unique")
         .when((F.col("n_ref") == 1) & (F.col("any_ref") == 1), "merge")
-        .when((F.col("n_ref") > 1) & (F.col("any_ott") == 1), "split")
+        .when((F.col("n_ref") > 1) & (F.col("any_main") == 1), "split")
         .otherwise("snarl")
     )
-    return out.select("ott", "ref", kind.alias("class"))
+    return out.select("main", "ref", kind.alias("class"))
 
 
 def snarls(classes: DataFrame) -> DataFrame:
     """members: the sets of taxa that share targets with a snarled one, those inside another left out."""
-    rows = classes.filter("class = 'snarl'").select("ott", "ref")
-    near = rows.join(rows.select(F.col("ott").alias("other"), "ref"), "ref").groupBy("ott").agg(F.array_sort(F.collect_set("other")).alias("members"))
+    rows = classes.filter("class = 'snarl'").select("main", "ref")
+    near = rows.join(rows.select(F.col("main").alias("other"), "ref"), "ref").groupBy("main").agg(F.array_sort(F.collect_set("other")).alias("members"))
     sets = staged(near.select("members").distinct())
     # a set inside another shares each member with it, so candidates meet on a member
     flat = sets.select("members", F.explode("members").alias("m"))
@@ -138,25 +138,25 @@ def snarls(classes: DataFrame) -> DataFrame:
 
 
 def one_to_one(classes: DataFrame) -> DataFrame:
-    return classes.filter("class = 'unique'").select("ott", "ref")
+    return classes.filter("class = 'unique'").select("main", "ref")
 
 
-def renamed_unique(classes: DataFrame, ott: DataFrame, ref: DataFrame) -> DataFrame:
-    """ott, ref, ott_name, ref_name of unique mappings whose names differ (proposed moves)."""
-    names = one_to_one(classes).join(ott.select(F.col("uid").alias("ott"), F.col("name").alias("ott_name")), "ott").join(ref.select(F.col("uid").alias("ref"), F.col("name").alias("ref_name")), "ref")
-    return names.filter("ott_name <> ref_name")
+def renamed_unique(classes: DataFrame, main: DataFrame, ref: DataFrame) -> DataFrame:
+    """main, ref, main_name, ref_name of unique mappings whose names differ (proposed moves)."""
+    names = one_to_one(classes).join(main.select(F.col("uid").alias("main"), F.col("name").alias("main_name")), "main").join(ref.select(F.col("uid").alias("ref"), F.col("name").alias("ref_name")), "ref")
+    return names.filter("main_name <> ref_name")
 
 
-def clade_definitions(ott: DataFrame, ref: DataFrame, unique: DataFrame) -> DataFrame:
-    """name, n_shared, missing_in_ref, missing_in_ott, same for higher taxa of one name: their uniquely mapped tips compared."""
-    a = closure(ott).filter("dist > 0").join(unique.select(F.col("ott").alias("des"), F.col("ott").alias("key")), "des").select(F.col("anc").alias("uid"), "key")
-    b = closure(ref).filter("dist > 0").join(unique.select(F.col("ref").alias("des"), F.col("ott").alias("key")), "des").select(F.col("anc").alias("uid"), "key")
+def clade_definitions(main: DataFrame, ref: DataFrame, unique: DataFrame) -> DataFrame:
+    """name, n_shared, missing_in_ref, missing_in_main, same for higher taxa of one name: their uniquely mapped tips compared."""
+    a = closure(main).filter("dist > 0").join(unique.select(F.col("main").alias("des"), F.col("main").alias("key")), "des").select(F.col("anc").alias("uid"), "key")
+    b = closure(ref).filter("dist > 0").join(unique.select(F.col("ref").alias("des"), F.col("main").alias("key")), "des").select(F.col("anc").alias("uid"), "key")
     named = lambda pairs, t: pairs.join(t.select("uid", "name"), "uid").select("name", "key").distinct()
-    left, right = named(a, ott).withColumn("l", F.lit(1)), named(b, ref).withColumn("r", F.lit(1))
+    left, right = named(a, main).withColumn("l", F.lit(1)), named(b, ref).withColumn("r", F.lit(1))
     both_names = left.select("name").distinct().join(right.select("name").distinct(), "name", "left_semi")
     full = left.join(right, ["name", "key"], "full").join(both_names, "name", "left_semi")
-    out = full.groupBy("name").agg(F.count_if(F.col("l").isNotNull() & F.col("r").isNotNull()).alias("n_shared"), F.count_if(F.col("r").isNull()).alias("missing_in_ref"), F.count_if(F.col("l").isNull()).alias("missing_in_ott"))
-    return out.withColumn("same", (F.col("missing_in_ref") == 0) & (F.col("missing_in_ott") == 0))
+    out = full.groupBy("name").agg(F.count_if(F.col("l").isNotNull() & F.col("r").isNotNull()).alias("n_shared"), F.count_if(F.col("r").isNull()).alias("missing_in_ref"), F.count_if(F.col("l").isNull()).alias("missing_in_main"))
+    return out.withColumn("same", (F.col("missing_in_ref") == 0) & (F.col("missing_in_main") == 0))
 
 
 def mixed_synonym_types(taxa: DataFrame, syn: DataFrame) -> DataFrame:

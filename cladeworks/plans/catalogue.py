@@ -379,7 +379,7 @@ def findable_names(spark, d):
 # external species: orders of a later release whose names were partly replaced by synonyms
 @query(f"""WITH {TX}, {TX2}, e AS (SELECT uid, CASE WHEN right(uid, 1) = '3' THEN concat('x', name) ELSE name END AS name, name AS was FROM tx2 WHERE rank = 'species'),
 o AS (SELECT name FROM tx WHERE rank = 'species')
-SELECT uid, CASE WHEN e.name IN (SELECT name FROM o) THEN 'VALID_SP_OTT_VALID_SP' WHEN right(uid, 1) = '3' AND was IN (SELECT name FROM o) THEN 'SYN_SP_OTT_VALID_SP' END AS status,
+SELECT uid, CASE WHEN e.name IN (SELECT name FROM o) THEN 'VALID_SP_MAIN_VALID_SP' WHEN right(uid, 1) = '3' AND was IN (SELECT name FROM o) THEN 'SYN_SP_MAIN_VALID_SP' END AS status,
 CAST(CASE WHEN e.name IN (SELECT name FROM o) THEN 149 WHEN right(uid, 1) = '3' AND was IN (SELECT name FROM o) THEN 150 END AS BIGINT) AS code FROM e""")
 def align_cascade(spark, d):
     t, e = tx(spark, d), tx2(spark, d)
@@ -402,22 +402,22 @@ def bipartition(spark, d):
     return reconcile.bipartition(a, b.join(top, "name").select("name", (F.col("top") == 1).alias("is_valid")))
 
 
-_EDGES = "e AS (SELECT DISTINCT p_brand AS ott, p_type AS ref FROM part WHERE p_size % 10 = 0 AND p_partkey % 37 < 3)"
-_CLASSES = f"""{_EDGES}, g AS (SELECT ott, ref, count(*) OVER (PARTITION BY ott) AS nr, count(*) OVER (PARTITION BY ref) AS no FROM e),
-h AS (SELECT *, max(nr) OVER (PARTITION BY ref) AS ar, max(no) OVER (PARTITION BY ott) AS ao FROM g),
-m AS (SELECT ott, ref, CASE WHEN nr = 1 AND no = 1 THEN 'unique' WHEN nr = 1 AND ar = 1 THEN 'merge' WHEN nr > 1 AND ao = 1 THEN 'split' ELSE 'snarl' END AS class FROM h)"""
+_EDGES = "e AS (SELECT DISTINCT p_brand AS main, p_type AS ref FROM part WHERE p_size % 10 = 0 AND p_partkey % 37 < 3)"
+_CLASSES = f"""{_EDGES}, g AS (SELECT main, ref, count(*) OVER (PARTITION BY main) AS nr, count(*) OVER (PARTITION BY ref) AS no FROM e),
+h AS (SELECT *, max(nr) OVER (PARTITION BY ref) AS ar, max(no) OVER (PARTITION BY main) AS ao FROM g),
+m AS (SELECT main, ref, CASE WHEN nr = 1 AND no = 1 THEN 'unique' WHEN nr = 1 AND ar = 1 THEN 'merge' WHEN nr > 1 AND ao = 1 THEN 'split' ELSE 'snarl' END AS class FROM h)"""
 
 
 def _edges(spark, d):
-    return table(spark, d, "part").filter("p_size % 10 = 0 and p_partkey % 37 < 3").select(F.col("p_brand").alias("ott"), F.col("p_type").alias("ref"))
+    return table(spark, d, "part").filter("p_size % 10 = 0 and p_partkey % 37 < 3").select(F.col("p_brand").alias("main"), F.col("p_type").alias("ref"))
 
 
-@query(f"WITH {_CLASSES} SELECT ott, ref, class FROM m")
+@query(f"WITH {_CLASSES} SELECT main, ref, class FROM m")
 def map_partition(spark, d):
     return reconcile.map_classes(_edges(spark, d))
 
 
-@query(f"""WITH {_CLASSES}, s AS (SELECT DISTINCT ott, ref FROM m WHERE class = 'snarl'), k AS (SELECT DISTINCT list_sort(list_distinct(list(b.ott))) AS members FROM s a JOIN s b ON a.ref = b.ref GROUP BY a.ott)
+@query(f"""WITH {_CLASSES}, s AS (SELECT DISTINCT main, ref FROM m WHERE class = 'snarl'), k AS (SELECT DISTINCT list_sort(list_distinct(list(b.main))) AS members FROM s a JOIN s b ON a.ref = b.ref GROUP BY a.main)
 SELECT array_to_string(members, ',') AS members FROM k x WHERE NOT EXISTS (SELECT 1 FROM k y WHERE len(y.members) > len(x.members) AND list_has_all(y.members, x.members))""")
 def map_snarls(spark, d):
     return reconcile.snarls(reconcile.map_classes(_edges(spark, d))).select(F.array_join("members", ",").alias("members"))
@@ -426,13 +426,13 @@ def map_snarls(spark, d):
 @query(f"""WITH RECURSIVE {TX}, {TX2}, {CL}, cl2 AS (SELECT uid AS des, uid AS anc, 0 AS dist FROM tx2 UNION ALL SELECT cl2.des, t.par_id, cl2.dist + 1 FROM cl2 JOIN tx2 t ON cl2.anc = t.uid WHERE t.par_id IS NOT NULL),
 u AS (SELECT a.uid FROM tx a JOIN tx2 b ON a.uid = b.uid WHERE a.rank = 'species'),
 x AS (SELECT DISTINCT t.name, cl.des FROM cl JOIN u ON u.uid = cl.des JOIN tx t ON t.uid = cl.anc WHERE dist > 0), y AS (SELECT DISTINCT t.name, cl2.des FROM cl2 JOIN u ON u.uid = cl2.des JOIN tx2 t ON t.uid = cl2.anc WHERE dist > 0)
-SELECT name, count(*) FILTER (WHERE l IS NOT NULL AND r IS NOT NULL) AS n_shared, count(*) FILTER (WHERE r IS NULL) AS missing_in_ref, count(*) FILTER (WHERE l IS NULL) AS missing_in_ott, bool_and(l IS NOT NULL AND r IS NOT NULL) AS same
+SELECT name, count(*) FILTER (WHERE l IS NOT NULL AND r IS NOT NULL) AS n_shared, count(*) FILTER (WHERE r IS NULL) AS missing_in_ref, count(*) FILTER (WHERE l IS NULL) AS missing_in_main, bool_and(l IS NOT NULL AND r IS NOT NULL) AS same
 FROM (SELECT coalesce(x.name, y.name) AS name, x.des AS l, y.des AS r FROM x FULL JOIN y ON x.name = y.name AND x.des = y.des) z
 WHERE name IN (SELECT name FROM x) AND name IN (SELECT name FROM y) GROUP BY name""")
 def clade_def(spark, d):
     a, b = tx(spark, d), tx2(spark, d)
-    same = a.filter("rank = 'species'").select(F.col("uid").alias("ott")).join(b.select(F.col("uid").alias("ott")), "ott", "left_semi")
-    return reconcile.clade_definitions(a, b, same.withColumn("ref", F.col("ott")))
+    same = a.filter("rank = 'species'").select(F.col("uid").alias("main")).join(b.select(F.col("uid").alias("main")), "main", "left_semi")
+    return reconcile.clade_definitions(a, b, same.withColumn("ref", F.col("main")))
 
 
 # --- differences of releases

@@ -102,9 +102,9 @@ def test_names(spark):
 
 
 def test_mapping_classes(spark):
-    edges = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "2"), ("d", "3"), ("d", "4"), ("e", "5"), ("e", "6"), ("f", "6")], "ott string, ref string")
+    edges = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "2"), ("d", "3"), ("d", "4"), ("e", "5"), ("e", "6"), ("f", "6")], "main string, ref string")
     classes = reconcile.map_classes(edges)
-    assert {(r["ott"], r["class"]) for r in classes.collect()} == {("a", "unique"), ("b", "merge"), ("c", "merge"), ("d", "split"), ("e", "snarl"), ("f", "snarl")}
+    assert {(r["main"], r["class"]) for r in classes.collect()} == {("a", "unique"), ("b", "merge"), ("c", "merge"), ("d", "split"), ("e", "snarl"), ("f", "snarl")}
     assert [r["members"] for r in reconcile.snarls(classes).collect()] == [["e", "f"]]
 
 
