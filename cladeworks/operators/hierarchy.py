@@ -37,17 +37,21 @@ def closure(taxa: DataFrame) -> DataFrame:
     """All (anc, des, dist) with anc on the path from des to its root, des itself included at 0."""
     ids = taxa.select("uid")
     up = taxa.select(F.col("par_id").alias("anc"), F.col("uid").alias("des")).join(ids.withColumnRenamed("uid", "anc"), "anc", "left_semi")
-    pairs, jump = ids.select(F.col("uid").alias("anc"), F.col("uid").alias("des"), F.lit(0).alias("dist")), staged(up)
-    for k in range(MAX_ROUNDS):
+    jump = staged(up)
+    own = ids.select(F.col("uid").alias("anc"), F.col("uid").alias("des"), F.lit(0).alias("dist"))
+    pairs = own.unionByName(jump.select("anc", "des", F.lit(1).alias("dist")))
+    for k in range(1, MAX_ROUNDS):
+        # pairs hold all distances below 2**k; jump goes from 2**(k - 1) to 2**k
+        jump = staged(jump.select(F.col("anc").alias("top"), F.col("des").alias("anc")).join(jump, "anc").select(F.col("top").alias("anc"), "des"))
         if jump.isEmpty():
             return pairs
-        step = 1 << k
         over = jump.select(F.col("anc").alias("top"), F.col("des").alias("anc"))
-        further = over.join(pairs, "anc").select(F.col("top").alias("anc"), "des", (F.col("dist") + step).alias("dist"))
-        pairs = staged(pairs.unionByName(further))
-        if k and not (loop := pairs.filter("anc = des and dist > 0").limit(1)).isEmpty():
+        further = over.join(pairs, "anc").select(F.col("top").alias("anc"), "des", (F.col("dist") + (1 << k)).alias("dist"))
+        pairs = pairs.unionByName(further)
+        if k >= 2:  # plans of two rounds are small enough
+            pairs = staged(pairs)
+        if k >= 4 and not (loop := pairs.filter("anc = des and dist > 0").limit(1)).isEmpty():
             raise ValueError(f"cycle through {loop.first()['anc']}")
-        jump = staged(over.join(jump, "anc").select(F.col("top").alias("anc"), "des"))
     raise ValueError("paths too long")
 
 
@@ -163,7 +167,7 @@ def rank_ranges(taxa: DataFrame) -> DataFrame:
     descendants, computed in one aggregate.
     """
     num = taxa.select("uid", rank_number(F.col("rank")).alias("num"))
-    pairs = staged(closure(taxa))
+    pairs = closure(taxa)
     ranked = num.filter("num is not null")
     # nearest ranked proper ancestor
     above = pairs.filter("dist > 0").join(ranked.select(F.col("uid").alias("anc"), "num"), "anc")
