@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sampling import first_by_hash
 from .workspace import Workspace
 
 BUCKETS, GRID, DOMAINS_MOST = 512, 64, 64
@@ -58,7 +59,7 @@ def train(docs: DataFrame, labelled: DataFrame, rows: int = TRAINING_ROWS) -> Cl
     from math import log
 
     own = labelled.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(F.col("domain").cast("string")).alias("domain")).filter("domain is not null")
-    chosen = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)  # at most ``rows`` ids are broadcast
+    chosen = first_by_hash(own, "doc_id", rows)  # at most ``rows`` ids are broadcast
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     hashed = texts.select("domain", F.explode_outer(_buckets(words_of(F.col("text")))).alias("bucket"))
     counts = hashed.groupBy("domain", "bucket").agg(F.count(F.lit(1)).alias("n")).collect()  # domains x (buckets + 1) rows

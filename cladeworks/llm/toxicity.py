@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .quality import held_out
+from .sampling import first_by_hash
 from .workspace import Workspace
 
 # Fixed word lists of the grammar (closed classes in four languages).
@@ -212,7 +213,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     """
     own = labels.filter(F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     own = own.filter(~held_out(F.col("doc_id"), 5, 0))
-    first = lambda y: own.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    first = lambda y: first_by_hash(own.filter(F.col("y") == y), "doc_id", rows)
     chosen = first(0).unionByName(first(1))  # 2 * rows ids at most
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("y", "text").filter("text is not null")
     ws = Workspace(docs.sparkSession, "toxicity")
