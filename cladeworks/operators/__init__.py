@@ -1,0 +1 @@
+"""DataFrame operators over taxa and synonyms."""

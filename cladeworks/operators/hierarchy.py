@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..model import GENUS, SPECIES, rank_number
+from ..model import SPECIES, rank_number
 from ..staging import staged
 
 MAX_ROUNDS = 40  # a path of 2**40 nodes
@@ -212,6 +212,3 @@ def overlap_children(taxa: DataFrame, top: str, names: DataFrame) -> DataFrame:
     kind = F.when(F.col("n_found") == 0, "none").when(F.col("n_found") == F.col("n_tips"), "only").when(2 * F.col("n_found") > F.col("n_tips"), "mainly").otherwise("minor")
     return out.select("uid", "n_found", "n_tips", kind.alias("overlap"))
 
-
-def genus_rank() -> int:
-    return GENUS

@@ -1,0 +1 @@
+"""Readers, writers and the resource catalogue."""

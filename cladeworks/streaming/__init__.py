@@ -1,0 +1 @@
+"""The work covered has no streams; every operator is a batch operator."""
