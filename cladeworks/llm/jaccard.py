@@ -345,7 +345,9 @@ class _Join:
         # members of two leaders that are not linked but near enough that their members may be
         radius = lambda side: reach.select(F.col("node").alias(side), F.col("radius").alias(f"r{side}"))
         of = lambda side: comps.select(F.col("node").alias(side), F.col("comp").alias(f"c{side}"))
-        unsettled = second
+        # (linked pairs are settled, and no two radii reach further than twice the widest)
+        distance = 1 - F.col("both") / F.col("either")
+        unsettled = second.filter((F.col("both") * 100 < F.col("either") * self.like.percent) & (distance <= F.lit(far + 2 * widest + 1e-9)))
         for side in "ab":
             unsettled = unsettled.join(radius(side), side, "left").join(of(side), side, "left")
         zero = lambda c: F.coalesce(c, F.lit(0.0))
