@@ -423,6 +423,25 @@ def map_snarls(spark, d):
     return reconcile.snarls(reconcile.map_classes(_edges(spark, d))).select(F.array_join("members", ",").alias("members"))
 
 
+# the same over every row of part: the two above read a share of it, as their SQL does
+_CLASSES_ALL = _CLASSES.replace(_EDGES, "e AS (SELECT DISTINCT p_brand AS main, p_type AS ref FROM part)")
+
+
+def _edges_all(spark, d):
+    return table(spark, d, "part").select(F.col("p_brand").alias("main"), F.col("p_type").alias("ref"))
+
+
+@query(f"WITH {_CLASSES_ALL} SELECT main, ref, class FROM m")
+def map_partition_all(spark, d):
+    return reconcile.map_classes(_edges_all(spark, d))
+
+
+@query(f"""WITH {_CLASSES_ALL}, k AS (SELECT DISTINCT members FROM (SELECT list_sort(list_distinct(list(b.main))) AS members FROM m a JOIN m b ON a.ref = b.ref WHERE a.class = 'snarl' AND b.class = 'snarl' GROUP BY a.main) z)
+SELECT array_to_string(members, ',') AS members FROM k x WHERE NOT EXISTS (SELECT 1 FROM k y WHERE len(y.members) > len(x.members) AND list_has_all(y.members, x.members))""")
+def map_snarls_all(spark, d):
+    return reconcile.snarls(reconcile.map_classes(_edges_all(spark, d))).select(F.array_join("members", ",").alias("members"))
+
+
 @query(f"""WITH RECURSIVE {TX}, {TX2}, {CL}, cl2 AS (SELECT uid AS des, uid AS anc, 0 AS dist FROM tx2 UNION ALL SELECT cl2.des, t.par_id, cl2.dist + 1 FROM cl2 JOIN tx2 t ON cl2.anc = t.uid WHERE t.par_id IS NOT NULL),
 u AS (SELECT a.uid FROM tx a JOIN tx2 b ON a.uid = b.uid WHERE a.rank = 'species'),
 x AS (SELECT DISTINCT t.name, cl.des FROM cl JOIN u ON u.uid = cl.des JOIN tx t ON t.uid = cl.anc WHERE dist > 0), y AS (SELECT DISTINCT t.name, cl2.des FROM cl2 JOIN u ON u.uid = cl2.des JOIN tx2 t ON t.uid = cl2.anc WHERE dist > 0)
