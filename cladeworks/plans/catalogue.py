@@ -559,6 +559,12 @@ def sem_homonyms(spark, d):
     return semgraph.split_homonyms(table(spark, d, "part").filter("p_size = 1").select(F.col("p_name").alias("epithet"), F.col("p_brand").alias("authority")))
 
 
+# the same over every row of part: the one above reads one size, as its SQL does
+@query("SELECT CASE WHEN count(*) OVER (PARTITION BY epithet) > 1 THEN epithet || '|' || authority ELSE epithet END AS node, epithet, authority FROM (SELECT DISTINCT p_name AS epithet, p_brand AS authority FROM part) x")
+def sem_homonyms_all(spark, d):
+    return semgraph.split_homonyms(table(spark, d, "part").select(F.col("p_name").alias("epithet"), F.col("p_brand").alias("authority")))
+
+
 @query(f"WITH s AS (SELECT DISTINCT {_BINOMIAL} AS name, split_part({_BINOMIAL}, ' ', 1) AS g, split_part(p_name, ' ', 2) AS e FROM part) SELECT 'genus_group' AS class, NULL AS context, g AS name FROM s UNION SELECT 'species_group', g, e FROM s UNION SELECT 'combination', NULL, name FROM s UNION SELECT 'verbatim', NULL, name FROM s")
 def sem_name_nodes(spark, d):
     p = table(spark, d, "part")

@@ -38,3 +38,7 @@ def _rows(spark, tables, name):
 def test_map_partition_reads_all_of_part(spark, tables):
     assert _rows(spark, tables, "map_partition_all") == [("B1", "T1", "merge"), ("B2", "T1", "merge"), ("B3", "T2", "split"), ("B3", "T3", "split"), ("B4", "T4", "unique")]
     assert _rows(spark, tables, "map_snarls_all") == []
+
+
+def test_homonyms_of_all_sizes(spark, tables):
+    assert _rows(spark, tables, "sem_homonyms_all") == [("new cog", "new cog", "B4"), ("old nut", "old nut", "B3"), ("red bolt|B1", "red bolt", "B1"), ("red bolt|B2", "red bolt", "B2")]
