@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import model
 from ..functions import names
 from ..operators import diff, hierarchy, normalize, partition, reconcile, semgraph, separators
-from ..sources import readers
+from ..sources import catalog, readers
 from .views import SY, TX, TX2, region_roots, sy, table, tx, tx2
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -576,3 +576,9 @@ def sem_name_nodes(spark, d):
 def resource_terminal(spark, d):
     t = tx(spark, d).filter("rank in ('phylum', 'genus')")
     return hierarchy.absorb(t, t.filter("rank = 'phylum'"))
+
+
+# the whole hierarchy as a tree of resources: the one above gives the phylum of phyla and genera, as its SQL does
+@query(f"WITH RECURSIVE {TX}, {CL}, {_WALK}, o AS (SELECT uid, row_number() OVER (ORDER BY path) AS i FROM w) SELECT cl.anc AS id, arg_max(cl.des, o.i) AS terminal FROM cl JOIN o ON o.uid = cl.des GROUP BY cl.anc")
+def resource_terminal_all(spark, d):
+    return catalog.terminal(tx(spark, d).select(F.col("uid").alias("id"), F.col("par_id").alias("base")))
