@@ -537,6 +537,17 @@ def sep_nested(spark, d):
     return separators.nested(t, found)
 
 
+# the same over all candidates: the one above leaves out ranks below phylum, as its SQL does
+@query(f"""{HEAD}, k AS (SELECT anc AS uid, count(*) AS n_tips FROM cl JOIN tips ON tips.uid = cl.des GROUP BY anc),
+s AS (SELECT t.uid FROM tx t JOIN k ON k.uid = t.uid WHERE n_tips >= 20 AND t.par_id IS NOT NULL AND t.rank <> 'species' AND t.uid NOT IN (SELECT uid FROM tips)),
+up AS (SELECT cl.des AS uid, arg_min(cl.anc, cl.dist) AS parent FROM cl JOIN s ON s.uid = cl.anc WHERE cl.dist > 0 GROUP BY cl.des),
+n AS (SELECT s.uid, up.parent, count(*) OVER (PARTITION BY up.parent) AS n FROM s LEFT JOIN up ON up.uid = s.uid)
+SELECT uid, parent FROM n WHERE parent IS NULL OR n > 1""")
+def sep_nested_all(spark, d):
+    t = tx(spark, d)
+    return separators.nested(t, separators.candidates(t))
+
+
 @query("SELECT src, n FROM (SELECT lower(p_brand) AS src, count(*) AS n FROM part GROUP BY 1) x")
 def sep_sources(spark, d):
     rows = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("uid"), model.parse_sources(F.concat(F.lower("p_brand"), F.lit(":1,additions7:2,https:3"))).alias("src"))
