@@ -386,11 +386,17 @@ def link_components(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
 def keep_one(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """The rows of ``docs`` with one document left of each component: that with the smallest doc_id.
 
-    Of repeated rows with that doc_id one stays (the smallest text).  Documents
-    without words stay.  All columns are kept.
+    Rows are told apart by doc_id and text, so texts that share a doc_id are
+    judged one by one; of equal rows one stays.  Documents without words stay.
+    Rows with a null doc_id are no copies of others, but only one of them
+    stays of each component.  All columns are kept.
     """
-    found = link_components(docs, like)
-    keep = found.groupBy("doc_id").agg(F.min("component_id").alias("__component"), F.max("n_shingles").alias("__n"))
-    joined = docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"])).drop(keep["doc_id"])
-    left = joined.filter((F.col("__n") == 0) | F.col("doc_id").eqNullSafe(F.col("__component")) | F.col("doc_id").isNull())
-    return left.dropDuplicates(["doc_id", "text"]).select(docs.columns)
+    doc, text = F.col("doc_id"), F.col("text")
+    keyed = docs.withColumn("__key", F.xxhash64(doc, doc.isNull(), text, text.isNull()))
+    # as its doc_id each row has (none, doc_id, key), so a component is named by its row with the smallest doc_id
+    row = F.struct(doc.isNull().alias("none"), doc.alias("doc_id"), F.col("__key").alias("key"))
+    found = link_components(keyed.select(row.alias("doc_id"), "text"), like).select(F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
+    first = found.filter("row = component").select("row.key")
+    unnamed = found.filter("row.none").groupBy("component").agg(F.min("row").alias("row")).select("row.key")
+    left = keyed.join(first.unionByName(unnamed).withColumnRenamed("key", "__key"), "__key", "left_semi")
+    return left.dropDuplicates(["__key"]).select(docs.columns)
