@@ -161,10 +161,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: in
     """The columns of ``docs`` without contaminated documents; ``mode="spans"`` also cuts hit spans out of the others."""
     items = _items(benchmark, broadcast_bytes)
     if items is None:
-        if mode == "spans":
-            raise ValueError("spans are cut only for a benchmark within the broadcast bound; pass a higher one")
-        bad = _report_by_join(docs, benchmark, window, share).filter("contaminated").select("doc_id").distinct()
-        return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+        return _clean_by_join(docs, benchmark, window, share, mode == "spans")
     sent = docs.sparkSession.sparkContext.broadcast(items)
     return docs.mapInArrow(lambda batches: _clean(batches, _matcher(sent, window), share, mode == "spans"), docs.schema)
 
@@ -194,6 +191,49 @@ def _windows(frames: Iterator[pd.DataFrame], lengths: list[int], window: int | N
             yield pd.concat(out)
 
 
+def _hits_by_join(own: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
+    """id, at, m, item: where windows of the benchmark occur in ``own`` (id, text)."""
+    schema = "id {}, at long, m long, h long, n long, w binary"
+    item = benchmark.select(F.col("item_id").cast("string").alias("id"), F.col("text").cast("string").alias("text"))
+    grams = item.mapInPandas(lambda f: _windows(f, [], window), schema.format("string")).select("id", "m", "h", "w").distinct()
+    lengths = [r[0] for r in grams.select("m").distinct().collect()]  # at most ``window`` values
+    mine = own.select("id", "text").mapInPandas(lambda f: _windows(f, lengths, None), schema.format("long"))
+    return mine.select("id", "at", "m", "h", "w").join(grams.withColumnRenamed("id", "item"), ["m", "h", "w"]).select("id", "at", "m", "item")
+
+
+def _hit_words(hits: DataFrame) -> DataFrame:
+    return hits.select("id", F.explode(F.sequence("at", F.col("at") + F.col("m") - 1)).alias("i")).distinct()
+
+
+def _cut_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches whose last column has the positions of hit words: cuts these out of the text and drops the column."""
+    for batch in batches:
+        at, texts = batch.schema.get_field_index("text"), []
+        for text, places in zip(batch.column("text").to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+            if places:
+                hit = np.zeros(len(alnum_words(text)), bool)
+                hit[places] = True
+                text = cut(text, hit)
+            texts.append(text)
+        batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+        yield batch.select(batch.schema.names[:-1])
+
+
+def _clean_by_join(docs: DataFrame, benchmark: DataFrame, window: int, share: int, cut_spans: bool) -> DataFrame:
+    """The same for a benchmark of any size; rows are told apart by a number of their own."""
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    own = Workspace(docs.sparkSession, "decontam").table(numbered)  # the numbers stay as they are
+    texts = own.select(F.col("__row").alias("id"), "doc_id", F.col("text").cast("string").alias("text"))
+    places = _hit_words(_hits_by_join(texts, benchmark, window)).groupBy("id").agg(F.collect_list("i").alias("__hit"))  # as many as the text has words, at most
+    found = Workspace(docs.sparkSession, "decontam").table(places)
+    counts = texts.join(found.select("id"), "id", "left_semi").select("id", "doc_id", "text").mapInArrow(_count, f"id long, doc_id {_with_id_type(docs)}, n_words long")
+    bad = counts.join(found, "id").filter(share * F.size("__hit") >= F.col("n_words")).select(F.col("id").alias("__row"))
+    left = own.join(bad, "__row", "left_anti")
+    if not cut_spans:
+        return left.select(docs.columns)
+    return left.join(found.withColumnRenamed("id", "__row"), "__row", "left").select(*docs.columns, "__hit").mapInArrow(_cut_hits, docs.schema)
+
+
 def _report_by_join(docs: DataFrame, benchmark: DataFrame, window: int, share: int) -> DataFrame:
     """The same for a benchmark of any size: both sides' windows meet on (length, hash, words).
 
@@ -201,13 +241,8 @@ def _report_by_join(docs: DataFrame, benchmark: DataFrame, window: int, share: i
     """
     numbered = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("id", F.monotonically_increasing_id())
     own = Workspace(docs.sparkSession, "decontam").table(numbered)  # the numbers stay as they are
-    schema = "id {}, at long, m long, h long, n long, w binary"
-    item = benchmark.select(F.col("item_id").cast("string").alias("id"), F.col("text").cast("string").alias("text"))
-    grams = item.mapInPandas(lambda f: _windows(f, [], window), schema.format("string")).select("id", "m", "h", "w").distinct()
-    lengths = [r[0] for r in grams.select("m").distinct().collect()]  # at most ``window`` values
-    mine = own.select("id", "text").mapInPandas(lambda f: _windows(f, lengths, None), schema.format("long"))
-    hits = mine.select("id", "at", "m", "h", "w").join(grams.withColumnRenamed("id", "item"), ["m", "h", "w"]).select("id", "at", "m", "item")
-    words = hits.select("id", F.explode(F.sequence("at", F.col("at") + F.col("m") - 1)).alias("i")).distinct().groupBy("id").agg(F.count("i").alias("n_hit"))
+    hits = _hits_by_join(own, benchmark, window)
+    words = _hit_words(hits).groupBy("id").agg(F.count("i").alias("n_hit"))
     items = hits.select("id", "item").distinct().groupBy("id").agg(F.array_sort(F.collect_list("item")).alias("items"))
     counts = own.select("id", "doc_id", "text").mapInArrow(_count, f"id long, doc_id {_with_id_type(docs)}, n_words long")
     none = F.coalesce("items", F.array().cast("array<string>"))
