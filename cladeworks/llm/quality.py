@@ -206,10 +206,13 @@ def _keep(batches: Iterator[pa.RecordBatch], model: Discriminant | None, thresho
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` (all columns) that the classifier does not reject.
 
-    Only labelled texts are read to fit it.  Without training rows of both
-    classes nothing is rejected.
+    Statistics, not texts, meet the labels, so no text is shuffled.  Rows are
+    judged one by one; the null text is judged like the empty one.  Without
+    training rows of both classes nothing is rejected; an empty table gives an
+    empty result.
     """
-    known = docs.select("doc_id", "text").join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
-    stats = Workspace(docs.sparkSession, "quality").table(statistics_frame(known))
+    ws = Workspace(docs.sparkSession, "quality")
+    stats = ws.table(statistics_frame(docs))
     model = docs.sparkSession.sparkContext.broadcast(train(stats, labels))
+    ws.drop(stats)
     return docs.mapInArrow(lambda batches: _keep(batches, model.value, threshold), docs.schema)
