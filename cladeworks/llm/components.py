@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from .workspace import Workspace
@@ -39,11 +39,31 @@ def components(edges: DataFrame, ws: Workspace, max_rounds: int = 60) -> DataFra
     return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(own.select("node", F.col("node").alias("comp")))
 
 
-def merged(comps: DataFrame, edges: DataFrame, ws: Workspace) -> DataFrame:
-    """``comps`` (node, comp) after the edges (a, b) are added; only edges between different components are walked."""
-    of = lambda side: comps.select(F.col("node").alias(side), F.col("comp").alias(f"c{side}"))
-    lifted = edges.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    joined = ws.table(components(lifted.filter("a <> b").distinct(), ws))
+def roots_of(parents: DataFrame, ws: Workspace, max_rounds: int = 60) -> DataFrame:
+    """(node, comp) for every node of a forest (a, b), in which each b has one parent a < b; comp is the root.
+
+    Pointer jumping: a round is one equi-join and halves the depth; only
+    a count a round reaches the driver.  Without edges the result is empty.
+    """
+    now = ws.table(parents.select(F.col("b").alias("node"), F.col("a").alias("comp")))
+    for _ in range(max_rounds):
+        up = now.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+        moved = Observation()
+        after = now.join(up, "comp", "left").observe(moved, F.count("to").alias("rows"))
+        after = ws.table(after.select("node", F.coalesce("to", "comp").alias("comp")))
+        ws.drop(now)
+        now = after
+        if not moved.get["rows"]:
+            return ws.table(now.unionByName(now.select(F.col("comp").alias("node"), "comp").distinct()))
+    raise RuntimeError(f"a forest is deeper than 2 ** {max_rounds}")
+
+
+def merged(comps: DataFrame, links: DataFrame, ws: Workspace, forest: bool = False) -> DataFrame:
+    """``comps`` (node, comp) after the links (a, b) between components (a node without one is its own) are added.
+
+    ``forest``: each b has one link, and that to an a < b.
+    """
+    joined = roots_of(links, ws) if forest else ws.table(components(links.distinct(), ws))
     moved = joined.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
     after = comps.join(moved, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
     return ws.table(after.unionByName(joined.join(comps.select("node"), "node", "left_anti")))

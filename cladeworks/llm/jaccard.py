@@ -6,11 +6,18 @@ and skips in two ways.
 * Index lists are kept in blocks by set size and position of the shingle in the
   set's global order; blocks that cannot reach the overlap a pair needs are
   skipped, as are lists and blocks whose sets are linked already.
-* Answers of a set come from a set very like it: sets within ``ABSORB`` of a
-  verified leader are not joined at all.  Jaccard distance is a metric, so a
-  partner of a member lies within the link distance plus the member's distance
-  of the leader; leaders are joined at that wider distance, and members only
-  where two leaders meet between the link distance and the wider one.
+* Answers of a set come from a set very like it.  A set within ``ABSORB`` of a
+  verified leader has no entries of its own but for the prefix shingles that
+  its leader's prefix lacks: Jaccard distance is a metric, so a partner of a
+  member lies within the link distance plus the member's distance of the leader.
+  Members are looked at one by one only where two leaders meet between the
+  link distance and the wider one.
+
+Every list is first read as a star around its most central sets (those with the
+fewest rare shingles), so that a group of near copies is linked after about as
+many pairs as it has sets; only then all pairs of different components are taken
+from the lists that still hold several.  Of the pairs between two components the
+likeliest is verified first, the others only if that one does not link.
 
 Equal sets are one class from the start.  The result is exact: every pair that
 links ends in one component, and no pair that does not link joins two.  Sets
@@ -22,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,12 +38,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .components import components, merged
+from .components import merged, roots_of
 from .text import mix, shingle_sets
 from .workspace import Workspace
 
 BANDS, ROWS = 8, 4
-#: A set at most so far from a leader is answered through it.
+#: A set at most so far from a leader (and no further than a link) is answered through it.
 ABSORB = 0.05
 #: Shingles of at least so many documents (as far as the map tasks see them) rank last; at most HEAVY_MOST of them, 8 bytes each, go to every task.
 HEAVY_FROM, HEAVY_MOST = 16, 1 << 18
@@ -56,6 +64,10 @@ class Likeness:
     def far(self) -> float:
         return 1 - self.percent / 100
 
+    @property
+    def absorb(self) -> float:
+        return min(ABSORB, self.far)
+
 
 def _node(own: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(own.tobytes(), seed=len(own)) - (1 << 63)
@@ -70,17 +82,13 @@ def _minima(own: np.ndarray) -> np.ndarray:
     return np.where(np.append(at[1:], len(own)) > at, own[np.minimum(at, len(own) - 1)], _EDGES)
 
 
-def _bands(sets: list[np.ndarray | None]) -> list[list[int] | None]:
+def _bands(sets: list[np.ndarray]) -> list[list[int]]:
     """One hash for each band of ROWS minima."""
-    some = [_minima(own) for own in sets if own is not None]
-    if not some:
-        return [None] * len(sets)
-    least = np.array(some).reshape(-1, BANDS, ROWS)
+    least = np.array([_minima(own) for own in sets], np.uint64).reshape(-1, BANDS, ROWS)
     acc = least[:, :, 0] + np.arange(BANDS, dtype=np.uint64)
     for k in range(1, ROWS):
         acc = mix(acc) + least[:, :, k]
-    rows = iter(mix(acc).view(np.int64).tolist())
-    return [None if own is None else next(rows) for own in sets]
+    return mix(acc).view(np.int64).tolist()
 
 
 def _bins(own: np.ndarray) -> bytes | None:
@@ -89,11 +97,11 @@ def _bins(own: np.ndarray) -> bytes | None:
     return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
 
 
-_SKETCH = pa.schema([("n", pa.int64()), ("node", pa.int64()), ("bands", pa.list_(pa.int64())), ("bins", pa.binary()), ("token", pa.int64())])
+_SKETCH = pa.schema([("n", pa.int64()), ("node", pa.int64()), ("token", pa.int64())])
 
 
 def _sketch(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """A row for each document (doc_id, n, node, bands, bins) and, apart, counts of shingles seen often (token, n)."""
+    """A row for each document (doc_id, n, node) and, apart, counts of shingles seen often (token, n)."""
     held, size = [], 0
 
     def made(ids: pa.Array, columns: list) -> pa.RecordBatch:
@@ -101,9 +109,13 @@ def _sketch(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Record
         return pa.RecordBatch.from_arrays([ids, *arrays], ["doc_id", *_SKETCH.names])
 
     def often(kind: pa.DataType) -> pa.RecordBatch:
-        tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-        tokens, counts = tokens[counts >= 3], counts[counts >= 3]
-        return made(pa.nulls(len(tokens), kind), [counts, None, None, None, tokens.view(np.int64)])
+        flat = np.concatenate(held)
+        held.clear()
+        flat.sort()
+        at = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1], [True])))
+        counts = np.diff(at)
+        tokens, counts = flat[at[:-1][counts >= 3]], counts[counts >= 3]
+        return made(pa.nulls(len(tokens), kind), [counts, None, tokens.view(np.int64)])
 
     for batch in batches:
         sets = list(shingle_sets(batch.column("text").to_pylist(), words))
@@ -111,44 +123,49 @@ def _sketch(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Record
         held += [own for own in some if own is not None]
         size += sum(map(len, sets))
         ids = batch.column("doc_id")
-        of = lambda f: [None if own is None else f(own) for own in some]  # noqa: B023, E731
-        yield made(ids, [[len(own) for own in sets], of(_node), _bands(some), of(_bins), None])
+        yield made(ids, [[len(own) for own in sets], [None if own is None else _node(own) for own in some], None])
         if size >= _FLUSH:
             yield often(ids.type)
-            held, size = [], 0
+            size = 0
     if held:
         yield often(ids.type)
 
 
-def _keyed(frames: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
-    """(node, text) of texts with words; repeats within a batch go at once."""
-    for pdf in frames:
-        out = {}
-        for text, own in zip(pdf["text"], shingle_sets(pdf["text"].tolist(), words), strict=True):
-            if len(own):
-                out.setdefault(_node(own), text)
-        yield pd.DataFrame({"node": list(out), "text": list(out.values())})
-
-
-def _postings(frames: Iterator[pd.DataFrame], words: int, heavy, far: float, widest: float) -> Iterator[pd.DataFrame]:
-    """(token, n, pos, node, comp, radius) for the prefix of each set: rare shingles first, then heavy ones."""
+def _keyed(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """(rep, node, n, bands, bins, text) of texts with words."""
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        sets = list(shingle_sets(texts, words))
+        some = [k for k, own in enumerate(sets) if len(own)]
+        own = [sets[k] for k in some]
+        columns = [
+            batch.column("doc_id").take(pa.array(some, pa.int64())), pa.array(map(_node, own), pa.int64()), pa.array(map(len, own), pa.int32()),
+            pa.array(_bands(own), pa.list_(pa.int64())), pa.array(map(_bins, own), pa.binary()), pa.array([texts[k] for k in some], pa.string()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["rep", "node", "n", "bands", "bins", "text"])
+
+
+def _prefix(own: np.ndarray, known: np.ndarray, far: float) -> np.ndarray:
+    """The shingles of which a partner within ``far`` shares one at least: rare ones first, then those in ``known``."""
+    k = len(own) - int(np.ceil((1 - far) * len(own) - 1e-9)) + 1
+    if not len(known):
+        return own[:k]
+    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+    late = known[at] == own
+    first = own[~late][:k]
+    return first if len(first) == k else np.concatenate((first, own[late][: k - len(first)]))
+
+
+def _postings(frames: Iterator[pd.DataFrame], words: int, heavy, far: float) -> Iterator[pd.DataFrame]:
+    """(token, n, pos, node, comp, radius) for the prefix of each set."""
     known = heavy.value
     for pdf in frames:
         out = []
         sets = shingle_sets(pdf["text"].tolist(), words)
         for node, own, comp, radius in zip(pdf["node"], sets, pdf["comp"], pdf["radius"], strict=True):
-            n = len(own)
-            prefix = n - int(np.ceil((1 - far - radius - widest) * n - 1e-9)) + 1
-            if len(known):
-                at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                late = known[at] == own
-                first = own[~late][:prefix]
-                if len(first) < prefix:
-                    first = np.concatenate((first, own[late][: prefix - len(first)]))
-            else:
-                first = own[:prefix]
+            first = _prefix(own, known, far)
             k = len(first)
-            out.append((first.view(np.int64), np.full(k, n, np.int32), np.arange(k, dtype=np.int32), np.full(k, node), np.full(k, comp), np.full(k, radius)))
+            out.append((first.view(np.int64), np.full(k, len(own), np.int32), np.arange(k, dtype=np.int32), np.full(k, node), np.full(k, comp), np.full(k, radius)))
         if out:
             columns = [np.concatenate(x) for x in zip(*out, strict=True)]
             yield pd.DataFrame(dict(zip(("token", "n", "pos", "node", "comp", "radius"), columns, strict=True)))
@@ -157,8 +174,12 @@ def _postings(frames: Iterator[pd.DataFrame], words: int, heavy, far: float, wid
 _BLOCK = 512
 
 
-def _list_pairs(n, pos, node, comp, radius, far: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Candidate pairs of one inverted list that is sorted by (n, pos), block against block."""
+def _list_pairs(n, pos, node, comp, radius, far: float, block=None, bins=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidate pairs of one inverted list that is sorted by (n, pos), block against block.
+
+    ``block``: only pairs of different ones count.  ``bins`` (a row for each
+    set) drop pairs that they show to share too little.
+    """
     m = len(n)
     rest = n - pos
     starts = range(0, m, _BLOCK)
@@ -183,8 +204,16 @@ def _list_pairs(n, pos, node, comp, radius, far: float) -> Iterator[tuple[np.nda
             need = tt / (1 + tt) * (n[a, None] + n[None, b]) - 1e-9
             ok = (np.minimum(rest[a, None], rest[None, b]) >= need) & (comp[a, None] != comp[None, b])
             ok &= np.minimum(n[a, None], n[None, b]) >= tt * np.maximum(n[a, None], n[None, b]) - 1e-9
+            if block is not None:
+                ok &= block[a, None] != block[None, b]
             x, y = np.nonzero(ok)
-            x, y = node[a][x], node[b][y]
+            need = need[x, y]
+            x, y = x + i, y + b.start
+            if bins is not None and len(x):
+                some = [np.minimum(bins[x[s : s + _PAIRS]], bins[y[s : s + _PAIRS]]).sum(axis=1, dtype=np.int64) for s in range(0, len(x), _PAIRS)]
+                ok = np.concatenate(some) >= need
+                x, y = x[ok], y[ok]
+            x, y = node[x], node[y]
             yield np.minimum(x, y), np.maximum(x, y)
 
 
@@ -192,6 +221,17 @@ def _list_pairs(n, pos, node, comp, radius, far: float) -> Iterator[tuple[np.nda
 _SHORT = 32
 #: Rows joined at once (a longer list is joined alone).
 _GATHER = 200_000
+#: Pairs whose bins are compared at once.
+_PAIRS = 1 << 15
+#: Rows of a list in one block; longer lists are dealt to a task for each two blocks.
+_LIST = 4096
+
+
+def _fits(n, rest, radius, x, y, far: float) -> np.ndarray:
+    """Whether the position and the sizes leave the pairs (x, y) room for the overlap that they need."""
+    t = (1 - far) - radius[x] - radius[y]
+    small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+    return (np.minimum(rest[x], rest[y]) >= t / (1 + t) * (n[x] + n[y]) - 1e-9) & (small >= t * large - 1e-9)
 
 
 def _short_pairs(token, n, pos, node, comp, radius, far: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -201,38 +241,98 @@ def _short_pairs(token, n, pos, node, comp, radius, far: float) -> Iterator[tupl
         same = np.flatnonzero((token[d:] == token[:-d]) & (comp[d:] != comp[:-d])) if d < len(token) else ()
         if d >= len(token) or not (token[d:] == token[:-d]).any():
             return
-        x, y = same + d, same  # n[x] >= n[y]
-        t = (1 - far) - radius[x] - radius[y]
-        ok = (np.minimum(rest[x], rest[y]) >= t / (1 + t) * (n[x] + n[y]) - 1e-9) & (n[y] >= t * n[x] - 1e-9)
+        x, y = same + d, same
+        ok = _fits(n, rest, radius, x, y, far)
         x, y = node[x[ok]], node[y[ok]]
         yield np.minimum(x, y), np.maximum(x, y)
 
 
-def _candidates(batches: Iterator[pa.RecordBatch], far: float) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (token, n, pos); yields pairs a < b, without repeats among the rows joined at once."""
-    columns = ["token", "n", "pos", "node", "comp", "radius"]
+def _star_pairs(token, n, pos, node, comp, radius, far: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of each set with the centres (least position) of its own and the next sizes of its lists: three a row at most."""
+    if not len(token):
+        return node, node
+    size = np.floor(np.log(n) / -np.log1p(-far / 2 - 1e-3)).astype(np.int64)
+    run = np.cumsum(np.concatenate(([0], (token[1:] != token[:-1]) | (size[1:] != size[:-1]))))
+    order = np.lexsort((node, pos, run))
+    hub = order[np.searchsorted(run[order], np.arange(run[-1] + 1))]
+    rest, every, found = n - pos, np.arange(len(token)), []
+    for step in (-1, 0, 1):
+        y = hub[np.clip(run + step, 0, run[-1])]
+        ok = (token == token[y]) & (comp != comp[y])
+        x, y = every[ok], y[ok]
+        ok = _fits(n, rest, radius, x, y, far)
+        found.append((node[x[ok]], node[y[ok]]))
+    x, y = (np.concatenate(z) for z in zip(*found, strict=True))
+    return np.minimum(x, y), np.maximum(x, y)
+
+
+_ROW = ("token", "n", "pos", "node", "comp", "radius")
+
+
+def _unique(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[new], b[new]
+
+
+def _stars(batches: Iterator[pa.RecordBatch], far: float) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by (token, n, pos); yields them again, and apart from them (token null) pairs a < b.  A list may span several rounds."""
+    held, rows = [], 0
+
+    def out() -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        a, b = _unique(*_star_pairs(*[table.column(c).to_numpy() for c in _ROW], far))
+        for batch in held:
+            none = pa.nulls(len(batch), pa.int64())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in _ROW], none, none], [*_ROW, "a", "b"])
+        kinds = [held[0].schema.field(c).type for c in _ROW]
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(len(a), k) for k in kinds], pa.array(a), pa.array(b)], [*_ROW, "a", "b"])
+
+    for batch in batches:
+        if len(batch):
+            held.append(batch)
+            rows += len(batch)
+        if rows >= _GATHER:
+            yield from out()
+            held, rows = [], 0
+    if held:
+        yield from out()
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], far: float, binned: bool) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by (token, cell, n, pos); yields pairs a < b, without repeats among the rows joined at once.
+
+    Rows with bins are those of long lists: each cell holds one block of its
+    list (``own``) or two, of which only pairs of different blocks count.
+    """
+    columns = [*_ROW, "cell", "block", "own"] if binned else list(_ROW)
     held: list[list[np.ndarray]] = []
 
     def joined(arrays: list[np.ndarray]) -> pa.RecordBatch:
         token = arrays[0]
-        edges = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True])))
-        sizes = np.diff(edges)
-        long = np.repeat(sizes > _SHORT, sizes)
-        found = list(_short_pairs(*[x[~long] for x in arrays], far)) if len(token) else []
-        for k in np.flatnonzero(sizes > _SHORT):
-            found += _list_pairs(*[x[edges[k] : edges[k + 1]] for x in arrays[1:]], far)
-        both = np.stack([np.concatenate(x) for x in zip(*found, strict=True)], axis=1) if found else np.zeros((0, 2), np.int64)
-        both = np.unique(both, axis=0) if len(both) else both
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+        if not binned:
+            found = list(_short_pairs(*arrays, far)) if len(token) else []
+        else:
+            found, (cell, block, own, bins) = [], arrays[6:]
+            edges = np.flatnonzero(np.concatenate(([True], (token[1:] != token[:-1]) | (cell[1:] != cell[:-1]), [True])))
+            for k, e in zip(edges, edges[1:], strict=False):
+                found += _list_pairs(*[x[k:e] for x in arrays[1:6]], far, None if own[k] else block[k:e], bins[k:e])
+        a, b = _unique(*(np.concatenate(x) for x in zip(*found, strict=True))) if found else (np.zeros(0, np.int64),) * 2
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     rows = 0
     for batch in batches:
         if len(batch):
-            held.append([batch.column(c).to_numpy() for c in columns])
+            held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in columns])
+            if binned:
+                held[-1].append(_matrix(batch.column("bins")))
             rows += len(batch)
-        if rows >= _GATHER:
+        if rows >= _GATHER // (8 if binned else 1):
             arrays = [np.concatenate(x) for x in zip(*held, strict=True)]
-            cut = int(np.argmax(arrays[0] == arrays[0][-1]))  # the last list may go on
+            last = (arrays[0] == arrays[0][-1]) & (arrays[6] == arrays[6][-1]) if binned else arrays[0] == arrays[0][-1]
+            cut = int(np.argmax(last))  # the last list may go on
             if cut:
                 yield joined([x[:cut] for x in arrays])
             held, rows = [[x[cut:] for x in arrays]], 0  # counts new rows, so that a long list is not copied over and over
@@ -240,35 +340,55 @@ def _candidates(batches: Iterator[pa.RecordBatch], far: float) -> Iterator[pa.Re
         yield joined([np.concatenate(x) for x in zip(*held, strict=True)])
 
 
+def _matrix(column: pa.Array) -> np.ndarray:
+    """A row of BINS counts for each value; none means no bound."""
+    blank = bytes([255]) * BINS
+    return np.frombuffer(b"".join(x or blank for x in column.to_pylist()), np.uint8).reshape(-1, BINS)
+
+
 def _possible(batches: Iterator[pa.RecordBatch], far: float) -> Iterator[pa.RecordBatch]:
-    """Drops pairs whose bins alone show that they share too little."""
+    """Drops pairs whose bins alone show that they share too little; adds the likeness that the bins allow."""
     for batch in batches:
         get = lambda c: batch.column(c).to_numpy(zero_copy_only=False)  # noqa: B023, E731
         na, nb, t = get("na"), get("nb"), (1 - far) - get("ra") - get("rb")
-        blank = bytes([255]) * BINS  # no bound
-        rows = [np.frombuffer(b"".join(x or blank for x in batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("binsa", "binsb")]
-        most = np.minimum(*rows).sum(axis=1, dtype=np.int64)
-        unknown = np.array([x is None for x in batch.column("binsa").to_pylist()], bool) | np.array([x is None for x in batch.column("binsb").to_pylist()], bool)
-        ok = unknown | (most >= t / (1 + t) * (na + nb) - 1e-9)
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok))
-
-
-def _verify(frames: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by (a, salt, other), each hub's own text first (other is false)."""
-    hub, own = None, None
+        most = np.minimum(_matrix(batch.column("binsa")), _matrix(batch.column("binsb"))).sum(axis=1, dtype=np.int64)
+        most = np.minimum(most, np.minimum(na, nb))
+        for c in ("binsa", "binsb"):
+            if batch.column(c).null_count:
+                unknown = np.array([x is None for x in batch.column(c).to_pylist()], bool)
+                most = np.where(unknown, np.minimum(na, nb), most)
+        ok = most >= t / (1 + t) * (na + nb) - 1e-9
+        kept = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(most / (na + nb - most))], ["a", "b", "bound"])
+        yield kept.filter(pa.array(ok))
+
+
+def _verify(frames: Iterator[pd.DataFrame], words: int, heavy, far: float, absorb: float) -> Iterator[pd.DataFrame]:
+    """Rows come sorted by (a, salt, other), each hub's own text first (other is false).
+
+    For sets within ``absorb`` of their hub ``tokens`` and ``places`` have what
+    their prefix holds beyond the hub's, and its positions.
+    """
+    hub, own, known, first = None, None, heavy.value, None
     for pdf in frames:
         rows = []
         sets = shingle_sets(pdf["text"].tolist(), words)
         for a, salt, is_other, b, other in zip(pdf["a"], pdf["salt"], pdf["other"], pdf["b"], sets, strict=True):
             if not is_other:
-                hub, own = (a, salt), other
+                hub, own, first = (a, salt), other, None
                 continue
             if hub != (a, salt):
                 raise RuntimeError("a pair without its hub")
             at = np.minimum(np.searchsorted(own, other), len(own) - 1)
             both = int((own[at] == other).sum())
-            rows.append((a, b, both, len(own) + len(other) - both))
-        yield pd.DataFrame(rows, columns=["a", "b", "both", "either"])
+            either, tokens, places = len(own) + len(other) - both, None, None
+            if 1 - both / either <= absorb + 1e-12:
+                first = np.sort(_prefix(own, known, far)) if first is None else first
+                mine = _prefix(other, known, far)
+                at = np.minimum(np.searchsorted(first, mine), len(first) - 1)
+                places = np.flatnonzero(first[at] != mine)
+                tokens = mine[places].view(np.int64)
+            rows.append((a, b, len(other), both, either, tokens, places))
+        yield pd.DataFrame(rows, columns=["a", "b", "n", "both", "either", "tokens", "places"])
 
 
 class _Join:
@@ -277,98 +397,158 @@ class _Join:
         self.docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
         self.parts = max(2, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, both, either) of the pairs (a, b): the hub's text is sent once to every FAN of its partners."""
-        words = self.like.words
+    def verified(self, pairs: DataFrame, absorb: float = -1.0) -> DataFrame:
+        """(a, b, n of b, both, either, tokens, places) of the pairs (a, b): the hub's text is sent once to every FAN of its partners."""
+        words, far, heavy = self.like.words, self.like.far, self.heavy
         degree = pairs.groupBy("a").agg(F.ceil(F.count("b") / FAN).alias("salts"))
         hubs = self.texts.join(degree, F.col("node") == F.col("a")).select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("other"), F.col("a").alias("b"), "text")
         dealt = pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"))
         others = self.texts.join(dealt, F.col("node") == F.col("b")).select("a", "salt", F.lit(True).alias("other"), "b", "text")
         both = hubs.unionByName(others).repartition(self.parts, "a", "salt").sortWithinPartitions("a", "salt", "other")
-        return self.ws.table(both.mapInPandas(lambda f: _verify(f, words), "a long, b long, both long, either long"))
+        schema = "a long, b long, n int, both long, either long, tokens array<long>, places array<int>"
+        return self.ws.table(both.mapInPandas(lambda f: _verify(f, words, heavy, far, absorb), schema))
 
     def linked(self, checked: DataFrame) -> DataFrame:
         return checked.filter(F.col("both") * 100 >= F.col("either") * self.like.percent)
 
-    def candidates(self, nodes: DataFrame, heavy, widest: float) -> DataFrame:
-        """Pairs of ``nodes`` (node, comp, radius) that may link, across different comps."""
-        words, far = self.like.words, self.like.far
+    def possible(self, pairs: DataFrame, radii: DataFrame | None = None) -> DataFrame:
+        """(a, b, bound) of the pairs that the bins allow; ``radii`` (node, radius) widen what is allowed."""
+        far = self.like.far
+        sized = self.bins if radii is None else self.bins.join(radii, "node", "left")
+        radius = F.lit(0.0) if radii is None else F.coalesce("radius", F.lit(0.0))
+        of = lambda s: sized.select(F.col("node").alias(s), radius.alias(f"r{s}"), F.col("n").alias(f"n{s}"), F.col("bins").alias(f"bins{s}"))
+        both = pairs.join(of("a"), "a").join(of("b"), "b")
+        return self.ws.table(both.mapInArrow(lambda f: _possible(f, far), "a long, b long, bound double"))
+
+    def apart(self, pairs: DataFrame, comps: DataFrame) -> DataFrame:
+        """The pairs of different components, with these as (ca, cb)."""
+        of = lambda side: comps.select(F.col("node").alias(side), F.col("comp").alias(f"c{side}"))
+        placed = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+        return placed.withColumns({"ca": F.coalesce("ca", "a"), "cb": F.coalesce("cb", "b")}).filter("ca <> cb")
+
+    def settle(self, pairs: DataFrame, comps: DataFrame, checked: list[DataFrame], rounds: int, rest: bool) -> DataFrame:
+        """The components after ``rounds`` in which each component's likeliest pair with one of a smaller name is verified, and (``rest``) then all other pairs."""
+        for k in range(rounds + rest):
+            left = self.apart(pairs, comps).join(self.union(checked), ["a", "b"], "left_anti")
+            if k < rounds:
+                best = F.max(F.struct("bound", "a", "b")).alias("best")
+                left = left.groupBy(F.greatest("ca", "cb").alias("c")).agg(best).select("best.a", "best.b")
+            left, rows = self.ws.counted(left.select("a", "b"))
+            if not rows:
+                break
+            checked.append(self.verified(left))
+            links, rows = self.ws.counted(self.apart(self.linked(checked[-1]).select("a", "b"), comps).select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")))
+            if rows:
+                comps = merged(comps, links, self.ws, forest=k < rounds)
+        return comps
+
+    def union(self, checked: list[DataFrame], *columns: str) -> DataFrame:
+        """The verified pairs."""
+        parts = [x.select("a", "b", *columns) for x in checked]
+        return reduce(DataFrame.unionByName, parts)
+
+    def joined(self, nodes: DataFrame, comps: DataFrame, checked: list[DataFrame], extras: DataFrame | None = None) -> DataFrame:
+        """The components after all pairs of ``nodes`` (node, comp, radius) that may link are settled.
+
+        ``extras`` are further entries (token, n, pos, node, comp, radius) of the lists.
+        """
+        ws, words, far, heavy = self.ws, self.like.words, self.like.far, self.heavy
         rows = self.texts.join(nodes, "node").select("node", "text", "comp", "radius")
-        postings = rows.mapInPandas(lambda f: _postings(f, words, heavy, far, widest), "token long, n int, pos int, node long, comp long, radius double")
+        postings = rows.mapInPandas(lambda f: _postings(f, words, heavy, far), "token long, n int, pos int, node long, comp long, radius double")
+        if extras is not None:
+            postings = postings.unionByName(extras)
         lists = Window.partitionBy("token")
-        live = (
+        dealt = (
             postings.repartition(self.parts, "token")
             .withColumns({"low": F.min("comp").over(lists), "high": F.max("comp").over(lists)})
             .filter("low <> high")  # one set, or sets that are linked already
             .drop("low", "high")
             .sortWithinPartitions("token", "n", "pos")
         )
-        pairs = live.mapInArrow(lambda f: _candidates(f, far), "a long, b long").distinct()
-        of = lambda s: nodes.join(self.bins, "node").select(F.col("node").alias(s), F.col("radius").alias(f"r{s}"), F.col("n").alias(f"n{s}"), F.col("bins").alias(f"bins{s}"))
-        both = pairs.join(of("a"), "a").join(of("b"), "b")
-        return self.ws.table(both.mapInArrow(lambda f: _possible(f, far), "a long, b long"))
+        stars = ws.table(dealt.mapInArrow(lambda f: _stars(f, far), "token long, n int, pos int, node long, comp long, radius double, a long, b long"))
+        radii = nodes.filter("radius > 0").select("node", "radius")
+        star = self.possible(stars.filter("token is null").select("a", "b").distinct(), radii)
+        comps = self.settle(star, comps, checked, 1, False)
+
+        # what is left: lists that still hold several components, long ones block against block with their bins
+        live = stars.filter("token is not null").drop("a", "b").join(comps.select("node", F.col("comp").alias("to")), "node", "left")
+        live = live.select("token", "n", "pos", "node", F.coalesce("to", "comp").alias("comp"), "radius").repartition(self.parts, "token")
+        live = ws.table(live.withColumns({"low": F.min("comp").over(lists), "high": F.max("comp").over(lists), "rows": F.count(F.lit(1)).over(lists)}).filter("low <> high").drop("low", "high"))
+        ws.drop(stars)
+        short = live.filter(F.col("rows") <= _SHORT).repartition(self.parts, "token").sortWithinPartitions("token", "n", "pos")
+        blocks = F.ceil(F.col("rows") / _LIST)
+        long = live.filter(F.col("rows") > _SHORT).withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        long = long.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        long = long.withColumns({"cell": F.least("block", "other") * F.col("blocks") + F.greatest("block", "other"), "own": F.col("block") == F.col("other")})
+        long = long.join(self.bins.select("node", "bins"), "node").select(*_ROW, "cell", "block", "own", "bins")
+        long = long.repartition(self.parts, "token", "cell").sortWithinPartitions("token", "cell", "n", "pos")
+        found = short.mapInArrow(lambda f: _candidates(f, far, False), "a long, b long").unionByName(long.mapInArrow(lambda f: _candidates(f, far, True), "a long, b long"))
+        return self.settle(self.possible(found.distinct(), radii), comps, checked, 1, True)
 
     def run(self) -> DataFrame:
-        ws, words, far = self.ws, self.like.words, self.like.far
+        ws, words, like = self.ws, self.like.words, self.like
         kind = self.docs.schema["doc_id"].dataType.simpleString()
-        sketch = ws.table(self.docs.mapInArrow(lambda f: _sketch(f, words), f"doc_id {kind}, n long, node long, bands array<long>, bins binary, token long"))
-        base = sketch.filter("token is null").select("doc_id", "n", "node", "bands", "bins")
+        sketch = ws.table(self.docs.mapInArrow(lambda f: _sketch(f, words), f"doc_id {kind}, n long, node long, token long"))
+        base = sketch.filter("token is null").select("doc_id", "n", "node")
         counted = sketch.filter("token is not null").groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= HEAVY_FROM)
         top = counted.orderBy(F.desc("n"), "token").limit(HEAVY_MOST).select("token").toPandas()["token"]
-        heavy = self.spark.sparkContext.broadcast(np.sort(top.to_numpy().astype(np.int64).view(np.uint64)))
-
-        # one text for each class of equal sets, bucketed so that later joins on node move small rows only
-        self.table = f"cladeworks_sets_{ws.root.rsplit('-', 1)[1]}"
-        keyed = self.docs.select("text").mapInPandas(lambda f: _keyed(f, words), "node long, text string")
-        keyed.groupBy("node").agg(F.first("text").alias("text")).write.bucketBy(self.parts, "node").option("path", f"{ws.root}/sets").saveAsTable(self.table)
-        self.texts = self.spark.table(self.table)
-        classes = ws.table(base.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bins").alias("bins")))
-        self.bins = classes.select("node", "n", "bins")
+        self.heavy = self.spark.sparkContext.broadcast(np.sort(top.to_numpy().astype(np.int64).view(np.uint64)))
+
+        # a row for each class of equal sets, bucketed so that later joins on node move small rows only
+        table = f"cladeworks_sets_{ws.root.rsplit('-', 1)[1]}"
+        keyed = self.docs.mapInArrow(lambda f: _keyed(f, words), f"rep {kind}, node long, n int, bands array<long>, bins binary, text string")
+        same = [F.first(c).alias(c) for c in ("n", "bands", "bins", "text")]
+        keyed.groupBy("node").agg(F.min("rep").alias("rep"), *same).write.bucketBy(self.parts, "node").option("path", f"{ws.root}/sets").saveAsTable(table)
+        try:
+            sets = self.spark.table(table)
+            self.texts, self.bins = sets.select("node", "text"), sets.select("node", "n", "bins")
+            classes = sets.select("node", "rep", "bands")
+            comps = self.components(classes)
+            least = classes.join(comps, "node").groupBy("comp").agg(F.min("rep").alias("component_id"))
+            joined = comps.join(least, "comp").select("node", "component_id")
+            own = ws.table(classes.join(joined, "node", "left").select("node", F.coalesce("component_id", "rep").alias("component_id")))
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            ws.drop_folder("sets")
+        out = base.select("doc_id", F.col("n").alias("n_shingles"), "node").join(own, "node", "left")
+        result = ws.table(out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+        ws.keep_only(result)
+        return result
 
-        # leaders: the smallest node of each band, verified
+    def components(self, classes: DataFrame) -> DataFrame:
+        """(node, comp) of all classes that link with another."""
+        ws, like = self.ws, self.like
+        # leaders: the smallest node of each band; each set is verified against the likeliest of its own
         banded = classes.select("node", F.explode("bands").alias("band"))
         shared = banded.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a <> last").select("band", "a")
-        first = self.verified(ws.table(banded.join(shared, "band").filter("node <> a").select("a", F.col("node").alias("b")).distinct()))
-        links = self.linked(first)
-        comps = ws.table(components(links.select("a", "b"), ws))
-        close = first.withColumn("radius", 1 - F.col("both") / F.col("either")).filter(F.col("radius") <= ABSORB)
+        near = self.possible(banded.join(shared, "band").filter("node <> a").select("a", F.col("node").alias("b")).distinct())
+        first = self.verified(ws.table(near.groupBy("b").agg(F.max(F.struct("bound", "a")).alias("best")).select("best.a", "b")), like.absorb)
+        comps = roots_of(self.linked(first).select("a", "b"), ws)  # each set has one leader, and that a smaller name
+        checked = [first]
+        close = first.filter("tokens is not null").withColumn("radius", 1 - F.col("both") / F.col("either"))
         roots = close.select("a").distinct().join(close.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
-        members = ws.table(close.join(roots, "a").groupBy("b").agg(F.min(F.struct("radius", "a")).alias("best")).select(F.col("b").alias("node"), "best.a", "best.radius"))
+        members = ws.table(close.join(roots, "a").select(F.col("b").alias("node"), "a", "radius", "n", "tokens", "places"))
         reach = members.groupBy("a").agg(F.max("radius").alias("radius")).withColumnRenamed("a", "node")
-        widest = float(members.agg(F.max("radius")).first()[0] or 0)
         known = classes.select("node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         leaders = known.join(members.select("node"), "node", "left_anti").join(reach, "node", "left").withColumn("radius", F.coalesce("radius", F.lit(0.0)))
-
-        second = self.verified(self.candidates(ws.table(leaders), heavy, widest))
-        comps = merged(comps, self.linked(second), ws)
+        own = members.join(comps, "node").select("node", "comp", "n", F.explode(F.arrays_zip("tokens", "places")).alias("t"))
+        extras = own.select(F.col("t.tokens").alias("token"), "n", F.col("t.places").alias("pos"), "node", "comp", F.lit(0.0).alias("radius"))
+        comps = self.joined(ws.table(leaders), comps, checked, extras)
 
         # members of two leaders that are not linked but near enough that their members may be
         radius = lambda side: reach.select(F.col("node").alias(side), F.col("radius").alias(f"r{side}"))
-        of = lambda side: comps.select(F.col("node").alias(side), F.col("comp").alias(f"c{side}"))
-        # (linked pairs are settled, and no two radii reach further than twice the widest)
-        distance = 1 - F.col("both") / F.col("either")
-        unsettled = second.filter((F.col("both") * 100 < F.col("either") * self.like.percent) & (distance <= F.lit(far + 2 * widest + 1e-9)))
-        for side in "ab":
-            unsettled = unsettled.join(radius(side), side, "left").join(of(side), side, "left")
         zero = lambda c: F.coalesce(c, F.lit(0.0))
-        unsettled = unsettled.filter(
-            (F.coalesce("ca", "a") != F.coalesce("cb", "b"))
-            & (1 - F.col("both") / F.col("either") <= F.lit(far + 1e-9) + zero(F.col("ra")) + zero(F.col("rb")))
-        )
-        hubs = ws.table(unsettled.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        if not hubs.isEmpty():
-            near = hubs.unionByName(members.join(hubs.withColumnRenamed("node", "a"), "a").select("node")).distinct()
-            nodes = near.join(comps, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"), F.lit(0.0).alias("radius"))
-            third = self.linked(self.verified(self.candidates(ws.table(nodes), heavy, 0.0)))
-            comps = merged(comps, third, ws)
-
-        least = classes.join(comps, "node").groupBy("comp").agg(F.min("rep").alias("component_id"))
-        joined = comps.join(least, "comp").select("node", "component_id")
-        own = classes.select("node", "rep").join(joined, "node", "left").select("node", F.coalesce("component_id", "rep").alias("component_id"))
-        out = base.select("doc_id", F.col("n").alias("n_shingles"), "node").join(own, "node", "left")
-        result = ws.table(out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
-        self.spark.sql(f"DROP TABLE {self.table}")  # the files stay with the workspace
-        return result
+        unsettled = self.union(checked, "both", "either").filter(F.col("both") * 100 < F.col("either") * like.percent)
+        for side in "ab":
+            unsettled = unsettled.join(radius(side), side, "left")
+        distance = 1 - F.col("both") / F.col("either")
+        unsettled = self.apart(unsettled.filter("ra is not null or rb is not null").filter(distance <= F.lit(like.far + 1e-9) + zero(F.col("ra")) + zero(F.col("rb"))), comps)
+        hubs, rows = ws.counted(unsettled.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        if rows:
+            every = hubs.unionByName(members.join(hubs.withColumnRenamed("node", "a"), "a").select("node")).distinct()
+            nodes = every.join(comps, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"), F.lit(0.0).alias("radius"))
+            comps = self.joined(ws.table(nodes), comps, checked)
+        return comps
 
 
 def link_components(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
@@ -383,20 +563,33 @@ def link_components(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     return _Join(docs, like, "jaccard").run()
 
 
+def _free(stem: str, columns: list[str]) -> str:
+    """A name that no column has (Spark takes names that differ in case as equal)."""
+    taken = {c.lower() for c in columns}
+    while stem in taken:
+        stem += "_"
+    return stem
+
+
 def keep_one(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """The rows of ``docs`` with one document left of each component: that with the smallest doc_id.
 
     Rows are told apart by doc_id and text, so texts that share a doc_id are
-    judged one by one; of equal rows one stays.  Documents without words stay.
-    Rows with a null doc_id are no copies of others, but only one of them
-    stays of each component.  All columns are kept.
+    judged one by one; of those with words that are equal in both one row stays,
+    and so does one of a component whose rows have no doc_id (null ids come
+    last, and by a hash of their text).  Documents without words all stay,
+    repeated or not.  All columns are kept, whatever their names; an empty
+    table gives an empty result.
     """
-    doc, text = F.col("doc_id"), F.col("text")
-    keyed = docs.withColumn("__key", F.xxhash64(doc, doc.isNull(), text, text.isNull()))
+    key, doc, text = _free("key", docs.columns), F.col("doc_id"), F.col("text")
+    keyed = docs.withColumn(key, F.xxhash64(doc, doc.isNull(), text, text.isNull()))
     # as its doc_id each row has (none, doc_id, key), so a component is named by its row with the smallest doc_id
-    row = F.struct(doc.isNull().alias("none"), doc.alias("doc_id"), F.col("__key").alias("key"))
-    found = link_components(keyed.select(row.alias("doc_id"), "text"), like).select(F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
-    first = found.filter("row = component").select("row.key")
-    unnamed = found.filter("row.none").groupBy("component").agg(F.min("row").alias("row")).select("row.key")
-    left = keyed.join(first.unionByName(unnamed).withColumnRenamed("key", "__key"), "__key", "left_semi")
-    return left.dropDuplicates(["__key"]).select(docs.columns)
+    row = F.struct(doc.isNull().alias("none"), doc.alias("doc_id"), F.col(key).alias("key"))
+    found = link_components(keyed.select(row.alias("doc_id"), "text"), like).select(F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("component"))
+    stay = found.filter("row = component").groupBy(F.col("row.key").alias(key)).agg((F.max("n_shingles") > 0).alias("worded"), F.count(F.lit(1)).alias("rows"))
+    left = keyed.join(stay.select(key), key, "left_semi")
+    again = stay.filter("worded and rows > 1").select(key)
+    if again.isEmpty():
+        return left.select(docs.columns)
+    repeated = left.join(again, key, "left_semi").dropDuplicates([key])
+    return left.join(again, key, "left_anti").unionByName(repeated).select(docs.columns)

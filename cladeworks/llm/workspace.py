@@ -13,7 +13,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL: list[str] = []
 
@@ -35,7 +36,6 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_root(spark)}/cladeworks-{name}-{uuid.uuid4().hex}"
-        self._paths: dict[int, str] = {}
         self._n = 0
 
     def table(self, df: DataFrame) -> DataFrame:
@@ -43,15 +43,32 @@ class Workspace:
         path = f"{self.root}/t{self._n}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(out)] = path
         out._cladeworks_path = path  # keeps the frame and its folder together
         return out
 
+    def counted(self, df: DataFrame) -> tuple[DataFrame, int]:
+        """The table and its rows, counted while it is written (a repeated task may count twice, so only 0 is exact)."""
+        seen = Observation()
+        out = self.table(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+        return out, seen.get["rows"]
+
     def drop(self, *frames: DataFrame) -> None:
-        jvm = self.spark._jvm
         for df in frames:
-            path = jvm.org.apache.hadoop.fs.Path(df._cladeworks_path)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(df._cladeworks_path)
+
+    def drop_folder(self, name: str) -> None:
+        self._delete(f"{self.root}/{name}")
+
+    def keep_only(self, *frames: DataFrame) -> None:
+        """Deletes the tables of this workspace but for ``frames``."""
+        kept = {df._cladeworks_path for df in frames}
+        for k in range(1, self._n + 1):
+            if (path := f"{self.root}/t{k}") not in kept:
+                self._delete(path)
+
+    def _delete(self, path: str) -> None:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

@@ -81,13 +81,75 @@ def test_list_pairs_agree_with_all_pairs():
     assert got == want
 
 
+@pytest.mark.parametrize("percent", [80, 97, 99])
+def test_families(spark, percent):
+    """Families of four whose members are one to three changed words apart, at every share that a link may need."""
+    rng, rows = random.Random(percent), []
+    for f in range(30):
+        words = [f"f{f}w{rng.randrange(900)}" for _ in range(rng.choice([60, 200, 400]))]
+        for n in range(4):
+            own = list(words)
+            for _ in range(n):
+                own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
+            rows.append((10 * f + n, " ".join(own)))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    like = Likeness(3, percent)
+    assert sorted(tuple(r) for r in jaccard.link_components(docs, like).collect()) == sorted(_brute(rows, like))
+
+
+def test_large_group_of_near_copies(spark, monkeypatch):
+    """One group, of which some link and some do not; its lists are cut into several blocks and tasks."""
+    for name, value in (("HEAVY_FROM", 3), ("_LIST", 40), ("_BLOCK", 16), ("_GATHER", 500), ("FAN", 8)):
+        monkeypatch.setattr(jaccard, name, value)
+    rng = random.Random(8)
+    base, rows = [f"b{k}" for k in range(150)], []
+    for n in range(260):
+        own = list(base)
+        for _ in range(n % 7):
+            own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
+        rows.append((n, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for like in (Likeness(3, 90), Likeness(5, 80)):
+        assert sorted(tuple(r) for r in jaccard.link_components(docs, like).collect()) == sorted(_brute(rows, like))
+
+
 def test_keep_one(odd_docs, odd_rows):
+    """One row of each component: the first by (no id, id); rows without words all stay."""
     like = Likeness(5, 80)
     left = jaccard.keep_one(odd_docs, like)
     assert left.columns == odd_docs.columns
-    stays = {(d, t) for (d, t) in odd_rows for (x, n, c) in _brute(odd_rows, like) if x == d and (n == 0 or c == d or d is None)}
-    assert sorted([(r["doc_id"], r["text"]) for r in left.collect()], key=str) == sorted(stays, key=str)
+    sets, stays = _sets(odd_rows, 5), []
+    near = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    order = sorted(range(len(odd_rows)), key=lambda k: (odd_rows[k][0] is None, odd_rows[k][0] or 0))
+    for k in order:  # components here are no longer than one step
+        if not sets[k] or not any(sets[j] and near(sets[j], sets[k]) for j in stays):
+            stays.append(k)
+    assert sorted([(r["doc_id"], r["text"]) for r in left.collect()], key=str) == sorted([odd_rows[k] for k in stays], key=str)
+
+
+def test_keep_one_with_clashing_names(spark):
+    rows = [(1, "a b c d e f", 1, "x"), (2, "a b c d e f", 2, "y"), (3, None, 3, "z"), (3, None, 4, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key int, `__key` string").withColumnRenamed("__key", "KEY_")
+    left = jaccard.keep_one(docs)
+    assert left.columns == docs.columns
+    assert sorted(r["key"] for r in left.collect()) == [1, 3, 4]
+
+
+@pytest.mark.parametrize("texts", [["", "  ", None], ["one"]])
+def test_blank_and_single_tables(spark, texts):
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert sorted(tuple(r) for r in jaccard.link_components(docs).collect()) == sorted(_brute(rows, Likeness()))
+    assert jaccard.keep_one(docs).count() == len(rows)
+
+
+def test_a_task_of_blanks_only(spark):
+    rows = [(i, None if i < 6 else f"word{i % 2} and more of it all") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(2, "doc_id")
+    assert sorted(tuple(r) for r in jaccard.link_components(docs).collect()) == sorted(_brute(rows, Likeness()))
 
 
 def test_empty(no_docs):
     assert jaccard.link_components(no_docs).count() == 0
+    assert jaccard.keep_one(no_docs).count() == 0
