@@ -15,7 +15,7 @@ YEAR = r"^.*, [12][0-9][0-9][0-9?]\)?"
 
 _WORD = f"[A-ZÖ{LOWER}-]+"
 _EPITHETS = f"(?: +[{LOWER}0-9.-]+){{0,3}}?"
-_AUTHOR = rf" +(?:{AUTHOR_PREFIXES}|[{{(}}{UPPER}])(?:..|\.).*"
+_AUTHOR = rf" +(?:{AUTHOR_PREFIXES}|[({UPPER}])(?:..|\.).*"
 
 
 def canonical(name: Column) -> Column:

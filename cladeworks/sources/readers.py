@@ -82,8 +82,10 @@ def ncbi(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFr
     nodes = nodes.select(F.trim(F.col("f")[0]).alias("uid"), F.trim(F.col("f")[1]).alias("par_id"), F.trim(F.col("f")[2]).alias("rank"))
     names = spark.read.text(f"{folder}/names.dmp").select(F.split("value", r"\t\|\t?").alias("f"))
     names = names.select(*[F.trim(F.col("f")[i]).alias(c) for i, c in enumerate(("uid", "name", "unique_name", "kind"))])
-    fixed = F.when(F.col("unique_name").contains("<series>"), F.regexp_replace("unique_name", "[<>]", "")).when(F.col("unique_name").contains("subgroup <"), F.regexp_replace("unique_name", "[<>]", "")).otherwise(F.col("name"))
-    names = names.withColumn("name", F.when(F.col("kind") == "scientific name", fixed).otherwise(F.col("name"))).filter("kind <> 'in-part'")
+    # a series is told from what it is named after, a subgroup has its name in the unique name; both in every class of names
+    series = F.when(F.col("unique_name").contains("<series>"), F.concat("name", F.lit(" series"))).otherwise(F.col("name"))
+    fixed = F.when(F.col("unique_name").contains("subgroup <"), F.translate("unique_name", "<>", "")).otherwise(series)
+    names = names.withColumn("name", fixed).filter("kind <> 'in-part'")
     taxa = nodes.join(names.filter("kind = 'scientific name'").select("uid", "name"), "uid", "left")
     taxa = taxa.select("uid", F.when(F.col("par_id") != F.col("uid"), F.col("par_id")).alias("par_id"), "name", "rank")
     other = names.filter("kind <> 'scientific name'").select("uid", "name", F.col("kind").alias("syn_type"), F.lit(None).cast("string").alias("syn_id"))
@@ -115,12 +117,30 @@ def darwin_core_fields(meta_xml: str) -> tuple[str, dict[str, int]]:
     return location, places
 
 
-# Ids that are kept although doubtful; ranks without meaning; words of a fossil source.
-DOUBTFUL_KEPT = ("8407745",)
+# Ids that are kept although doubtful, sources that are dropped and sources of fossils (by a part of their name
+# or their id), ranks that are left out.
+DOUBTFUL_KEPT = ("8407745", "2391100")
+DROPPED_SOURCES = ("IRMNG Homonym", "Interim Register of Marine", "International Plant Names Index", "d9a4eedb-e985-4456-ad46-3df8472e00e8")
+FOSSIL_SOURCES = ("Paleobiology Database", "c33ce2f2-c3cc-43a5-a380-fe4526d63650")
+IGNORED_RANKS = ("form", "variety", "subspecies", "infraspecificname")
 
 
-def darwin_core(spark: SparkSession, folder: str, meta_xml: str, dropped_sources: tuple[str, ...] = (), strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """taxa and synonyms of an archive; names get their canonical form, ``strict`` raises on a status that is not known."""
+def _from(source: Column, parts: tuple[str, ...]) -> Column:
+    test = F.lit(False)
+    for x in parts:
+        test = test | F.coalesce(source.contains(x), F.lit(False))
+    return test
+
+
+def darwin_core(
+    spark: SparkSession, folder: str, meta_xml: str, dropped_sources: tuple[str, ...] = DROPPED_SOURCES, strict: bool = False, ignored_ranks: tuple[str, ...] = IGNORED_RANKS
+) -> tuple[DataFrame, DataFrame]:
+    """taxa (``fossil``: from a fossil source) and synonyms of an archive.
+
+    Names get their canonical form; rows of dropped sources go, and so do taxa
+    of ignored ranks, whose children move to the nearest taxon that stays.
+    ``strict`` raises on a status that is not known.
+    """
     location, places = darwin_core_fields(meta_xml)
     raw = spark.read.text(f"{folder}/{location}").select(F.split("value", "\t", -1).alias("f"))
     at = lambda term: F.nullif(F.trim(F.get("f", F.lit(places[term]))), F.lit("")) if term in places else F.lit(None).cast("string")
@@ -128,7 +148,7 @@ def darwin_core(spark: SparkSession, folder: str, meta_xml: str, dropped_sources
         at("id").alias("uid"), at("parentNameUsageID").alias("par_id"), at("acceptedNameUsageID").alias("accepted"), canonical(at("scientificName")).alias("name"),
         F.lower(at("taxonRank")).alias("rank"), F.lower(at("taxonomicStatus")).alias("status"), at("nameAccordingTo").alias("source"),
     ).filter(F.col("uid").isNotNull() & (F.col("uid") != "taxonID"))
-    rows = rows.filter(~F.coalesce(F.col("source").isin(*dropped_sources), F.lit(False))) if dropped_sources else rows
+    rows = rows.filter(~_from(F.col("source"), dropped_sources)).withColumn("fossil", _from(F.col("source"), FOSSIL_SOURCES))
     status = F.coalesce("status", F.lit("accepted"))
     is_syn = F.col("accepted").isNotNull() & (F.col("accepted") != F.col("uid"))
     syn = rows.filter(is_syn | status.contains("synonym")).filter("accepted is not null")
@@ -136,7 +156,10 @@ def darwin_core(spark: SparkSession, folder: str, meta_xml: str, dropped_sources
     if strict:
         bad = F.raise_error(F.concat(F.lit("status "), status)).cast("string")
         kept = kept.withColumn("uid", F.when(status.isin("accepted", "doubtful", "provisionally accepted"), F.col("uid")).otherwise(bad))
-    return kept.select("uid", "par_id", "name", "rank"), syn.select(F.col("accepted").alias("uid"), "name", F.lit("synonym").alias("syn_type"), F.col("uid").alias("syn_id"))
+    taxa = kept.select("uid", "par_id", "name", "rank", "fossil")
+    low = taxa.filter(F.col("rank").isin(*ignored_ranks))
+    taxa = normalize.collapse(taxa, low).drop("flags") if ignored_ranks else taxa
+    return taxa, syn.select(F.col("accepted").alias("uid"), "name", F.lit("synonym").alias("syn_type"), F.col("uid").alias("syn_id"))
 
 
 def irmng(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -238,32 +261,52 @@ def newick(spark: SparkSession, text: str) -> DataFrame:
 
 
 # Predicates of the additional properties by what they say.
-ENTITY_IS_SYNONYM, OBJECT_IS_SYNONYM, HYBRID, AUTHOR, IGNORED = ("P1420",), ("P694", "P1403"), ("P1531",), ("P405",), ("P566", "P427")
+ENTITY_IS_SYNONYM = ("P12763", "P12764", "P694")
+OBJECT_IS_SYNONYM = ("P1420", "P1403")
+HYBRID, AUTHOR = ("P1531",), ("P2093",)
+IGNORED = ("P12765", "P12766", "P13177", "P13478", "P427", "P5304", "P1137")
 
 
 def wikidata_properties(rows: DataFrame, taxa: DataFrame) -> DataFrame:
-    """uid, name, kind of the triples (Entity, Predicate, Object) about known taxa; an unknown predicate raises."""
+    """uid, name, kind, other of the triples (Entity, Predicate, Object) about known taxa.
+
+    A synonym's row is that of the valid taxon, with the synonym's name and its
+    id as ``other``.  Entities that are no known taxon are skipped, an unknown
+    predicate of any other raises; an object that is a synonym must be known.
+    """
     p = F.col("Predicate")
-    kind = F.when(p.isin(*ENTITY_IS_SYNONYM), "entity_is_synonym").when(p.isin(*OBJECT_IS_SYNONYM), "object_is_synonym").when(p.isin(*HYBRID), "hybrid").when(p.isin(*AUTHOR), "author").when(p.isin(*IGNORED), "ignored").otherwise(F.raise_error(F.concat(F.lit("predicate "), p)).cast("string"))
-    known = rows.withColumn("kind", kind).filter("kind <> 'ignored'")
+    kind = F.when(p.isin(*ENTITY_IS_SYNONYM), "entity_is_synonym").when(p.isin(*OBJECT_IS_SYNONYM), "object_is_synonym").when(p.isin(*HYBRID), "hybrid").when(p.isin(*AUTHOR), "author").when(p.isin(*IGNORED), "ignored").otherwise("unknown")
+    known = rows.join(taxa.select(F.col("uid").alias("Entity")), "Entity", "left_semi").withColumn("kind", kind).filter("kind <> 'ignored'")
+    # asked for beforehand: raise_error in the plan would also be tried on rows that the join leaves out
+    unknown = known.filter("kind = 'unknown'").limit(1).collect()
+    if unknown:
+        raise ValueError(f"unknown predicate {unknown[0]['Predicate']}")
     swap = F.col("kind") == "entity_is_synonym"
     told = known.select(F.when(swap, F.col("Object")).otherwise(F.col("Entity")).alias("uid"), F.when(swap, F.col("Entity")).otherwise(F.col("Object")).alias("other"), "kind")
-    return told.join(taxa.select("uid"), "uid", "left_semi").join(taxa.select(F.col("uid").alias("other"), "name"), "other", "left").select("uid", F.coalesce("name", "other").alias("name"), "kind")
+    named = told.join(taxa.select(F.col("uid").alias("other"), "name"), "other", "left").filter("kind <> 'object_is_synonym' or name is not null")
+    return named.select("uid", F.coalesce("name", "other").alias("name"), "kind", "other")
 
 
 def wikidata(taxa: DataFrame, properties: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Taxa that are no synonym of a known one, and the synonyms; Q prefixes are cut off."""
-    syn = properties.filter("kind in ('entity_is_synonym', 'object_is_synonym')")
-    gone = taxa.join(syn.select("name"), "name", "left_semi").select("uid")
+    syn = properties.filter("kind in ('entity_is_synonym', 'object_is_synonym')").join(taxa.select("uid"), "uid", "left_semi")
+    gone = syn.select(F.col("other").alias("uid"))
     number = lambda c: F.substring(c, 2, 1000)
     rows = taxa.join(gone, "uid", "left_anti")
     return (
         rows.select(number(F.col("uid")).alias("uid"), number(F.col("par_id")).alias("par_id"), "name", "rank"),
-        syn.select(number(F.col("uid")).alias("uid"), "name", F.lit("synonym").alias("syn_type"), F.lit(None).cast("string").alias("syn_id")),
+        syn.select(number(F.col("uid")).alias("uid"), "name", F.lit("synonym").alias("syn_type"), number(F.col("other")).alias("syn_id")),
     )
 
 
-def wikidata_entities(spark: SparkSession, path: str, taxon_classes: tuple[str, ...] = ("Q16521",)) -> DataFrame:
+# Classes whose instances are taxa.
+TAXON_CLASSES = (
+    "Q16521", "Q23038290", "Q47487597", "Q713623", "Q310890", "Q15458879", "Q68947", "Q210958", "Q763978",
+    "Q857968", "Q21397852", "Q962530", "Q7883954", "Q19862317", "Q855769", "Q98961713", "Q124477390",
+)
+
+
+def wikidata_entities(spark: SparkSession, path: str, taxon_classes: tuple[str, ...] = TAXON_CLASSES) -> DataFrame:
     """uid, par_id, name, rank_id of the taxa in a line-delimited entity dump (enclosing brackets and commas allowed)."""
     claim = "array<struct<mainsnak:struct<datavalue:struct<value:string>>>>"
     schema = f"id string, claims struct<P31:{claim},P171:{claim},P225:{claim},P105:{claim}>"

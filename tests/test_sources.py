@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from cladeworks.sources import catalog, readers, writers
@@ -42,6 +43,13 @@ def test_darwin_core(spark, tmp_path):
     assert _rows(taxa, "uid", "name") == [("1", "Animalia"), ("2", "Aus bus")] and _rows(syn, "uid", "name", "syn_id") == [("2", "Old name", "3")]
 
 
+def test_darwin_core_defaults(spark, tmp_path):
+    meta = '<archive><core><files><location>t.txt</location></files><id index="0"/>' + "".join(f'<field index="{i + 1}" term="x/{t}"/>' for i, t in enumerate(("parentNameUsageID", "scientificName", "taxonRank", "taxonomicStatus", "nameAccordingTo"))) + "</core></archive>"
+    (tmp_path / "t.txt").write_text("1\t\tAus\tgenus\taccepted\tThe Paleobiology Database\n2\t1\tAus bus\tvariety\taccepted\tA\n3\t2\tAus bus cus\tspecies\taccepted\tA\n2391100\t1\tMicropterus\tgenus\tdoubtful\tA\n5\t1\tOut\tgenus\taccepted\tThe IRMNG Homonym list\n")
+    taxa, _ = readers.darwin_core(spark, str(tmp_path), meta)
+    assert _rows(taxa, "uid", "par_id", "fossil") == [("1", None, True), ("2391100", "1", False), ("3", "1", False)]
+
+
 def test_silva_fasta_plants(spark, tmp_path):
     (tmp_path / "m.tsv").write_text("primaryAccession\tstart\tstop\tpath\torganism_name\ttaxid\nB\t1\t9\tBacteria;Aus;\tx\t1\nA\t1\t9\tBacteria;Aus;\ty\t1\n")
     out = readers.silva(spark, str(tmp_path / "m.tsv"))
@@ -64,6 +72,17 @@ def test_wikidata(spark, tmp_path):
     assert _rows(readers.wikidata_entities(spark, str(tmp_path / "w.json")), "uid", "par_id", "name") == [("Q5", "Q4", "Aus")]
 
 
+def test_wikidata_properties(spark):
+    taxa = spark.createDataFrame([("Q1", None, "Aus", "genus"), ("Q2", "Q1", "Aus bus", "species"), ("Q3", "Q1", "Aus old", "species"), ("Q4", "Q1", "Aus bus", "species")], "uid string, par_id string, name string, rank string")
+    rows = [("Q3", "P12763", "Q2"), ("Q2", "P1420", "Q4"), ("Q2", "P1420", "Q99"), ("Q2", "P427", "Q1"), ("Q2", "P2093", "L."), ("Q99", "P0", "Q1")]
+    told = readers.wikidata_properties(spark.createDataFrame(rows, "Entity string, Predicate string, Object string"), taxa)
+    assert _rows(told, "uid", "name", "kind", "other") == [("Q2", "Aus bus", "object_is_synonym", "Q4"), ("Q2", "Aus old", "entity_is_synonym", "Q3"), ("Q2", "L.", "author", "L.")]
+    with pytest.raises(ValueError, match="P0"):
+        readers.wikidata_properties(spark.createDataFrame([("Q2", "P0", "Q1")], "Entity string, Predicate string, Object string"), taxa)
+    valid, syn = readers.wikidata(taxa, told)
+    assert _rows(valid, "uid", "par_id") == [("1", None), ("2", "1")] and _rows(syn, "uid", "name", "syn_id") == [("2", "Aus bus", "4"), ("2", "Aus old", "3")]
+
+
 def test_catalogue(spark):
     res = spark.createDataFrame([("a", None, "GPL", ["x"], "tsv"), ("a1", "a", None, [], None), ("a2", "a", "CC0", ["y"], None)], "id string, base string, licence string, aliases array<string>, schema string")
     assert _rows(catalog.inherited(res, ["licence", "schema"]), "id", "licence", "schema") == [("a", "GPL", "tsv"), ("a1", "GPL", "tsv"), ("a2", "CC0", "tsv")]
