@@ -159,9 +159,9 @@ def genus_of(taxa: DataFrame) -> DataFrame:
 def rank_ranges(taxa: DataFrame) -> DataFrame:
     """uid, low, high, best: bounds of each taxon's rank number and the best guess.
 
-    A known rank is both bounds.  Else the lower is one above the highest known
-    number below (each unranked step between adds one; -1 stands for none), the
-    upper one below the nearest ranked ancestor's (less one a step between), null
+    A known rank is both bounds.  Else the lower is one above the largest of
+    (known number below + distance) over the ranked descendants that are reached
+    through unranked taxa only, 0 where there are none; the upper one below the nearest ranked ancestor's (less one a step between), null
     above the topmost rank.  The guess is the lower bound, raised until it tops
     every child's guess: the largest of (number below + distance) over the
     descendants, computed in one aggregate.
@@ -176,7 +176,7 @@ def rank_ranges(taxa: DataFrame) -> DataFrame:
     down = pairs.filter("dist > 0").join(ranked.select(F.col("uid").alias("des"), "num"), "des").join(near.select(F.col("uid").alias("des"), "up"), "des", "left")
     below = down.filter("up is null or dist < up").groupBy(F.col("anc").alias("uid")).agg(F.max(F.col("num") + F.col("dist")).alias("below"))
     both = num.join(near, "uid", "left").join(below, "uid", "left")
-    low = F.when(F.col("num").isNotNull(), F.col("num")).otherwise(F.coalesce("below", F.lit(0)))
+    low = F.when(F.col("num").isNotNull(), F.col("num")).otherwise(F.coalesce(F.col("below") + 1, F.lit(0)))
     high = F.when(F.col("num").isNotNull(), F.col("num")).otherwise(F.col("above") - F.col("up"))
     bounds = staged(both.select("uid", low.alias("low"), high.alias("high")))
     best = pairs.join(bounds.select(F.col("uid").alias("des"), F.col("low").alias("n")), "des").groupBy(F.col("anc").alias("uid")).agg(F.max(F.col("n") + F.col("dist")).alias("best"))
