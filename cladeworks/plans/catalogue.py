@@ -116,7 +116,7 @@ _NUM = "CASE rank WHEN 'kingdom' THEN 270 WHEN 'genus' THEN 70 WHEN 'species' TH
 near AS (SELECT cl.des AS uid, min(cl.dist) AS up, arg_min(num.num, cl.dist) AS above FROM cl JOIN num ON num.uid = cl.anc WHERE cl.dist > 0 AND num.num IS NOT NULL GROUP BY cl.des),
 below AS (SELECT cl.anc AS uid, max(num.num + cl.dist) AS below FROM cl JOIN num ON num.uid = cl.des LEFT JOIN near ON near.uid = cl.des
   WHERE cl.dist > 0 AND num.num IS NOT NULL AND (near.up IS NULL OR cl.dist < near.up) GROUP BY cl.anc),
-b AS (SELECT num.uid, coalesce(num.num, coalesce(below.below, 0)) AS low, coalesce(num.num, near.above - near.up) AS high FROM num LEFT JOIN near ON near.uid = num.uid LEFT JOIN below ON below.uid = num.uid)
+b AS (SELECT num.uid, coalesce(num.num, coalesce(1 + below.below, 0)) AS low, coalesce(num.num, near.above - near.up) AS high FROM num LEFT JOIN near ON near.uid = num.uid LEFT JOIN below ON below.uid = num.uid)
 SELECT b.uid, CAST(b.low AS BIGINT) AS low, CAST(b.high AS BIGINT) AS high, CAST((SELECT max(x.low + cl.dist) FROM cl JOIN b x ON x.uid = cl.des WHERE cl.anc = b.uid) AS BIGINT) AS best FROM b""")
 def tx_best_rank(spark, d):
     t = tx(spark, d).withColumn("rank", F.when(F.col("rank") == "phylum", "no rank").otherwise(F.col("rank")))
@@ -402,14 +402,16 @@ def bipartition(spark, d):
     return reconcile.bipartition(a, b.join(top, "name").select("name", (F.col("top") == 1).alias("is_valid")))
 
 
-_EDGES = "e AS (SELECT DISTINCT p_brand AS main, p_type AS ref FROM part WHERE p_size % 10 = 0 AND p_partkey % 37 < 3)"
+# every row of part makes an edge; with the size in both ends the graph falls into many small pieces of all classes
+_EDGES = "e AS (SELECT DISTINCT concat(p_brand, '/', CAST(p_size AS VARCHAR(9))) AS main, concat(p_name, '/', CAST(p_size AS VARCHAR(9))) AS ref FROM part)"
 _CLASSES = f"""{_EDGES}, g AS (SELECT main, ref, count(*) OVER (PARTITION BY main) AS nr, count(*) OVER (PARTITION BY ref) AS no FROM e),
 h AS (SELECT *, max(nr) OVER (PARTITION BY ref) AS ar, max(no) OVER (PARTITION BY main) AS ao FROM g),
 m AS (SELECT main, ref, CASE WHEN nr = 1 AND no = 1 THEN 'unique' WHEN nr = 1 AND ar = 1 THEN 'merge' WHEN nr > 1 AND ao = 1 THEN 'split' ELSE 'snarl' END AS class FROM h)"""
 
 
 def _edges(spark, d):
-    return table(spark, d, "part").filter("p_size % 10 = 0 and p_partkey % 37 < 3").select(F.col("p_brand").alias("main"), F.col("p_type").alias("ref"))
+    end = lambda c: F.concat(c, F.lit("/"), F.col("p_size").cast("string"))
+    return table(spark, d, "part").select(end(F.col("p_brand")).alias("main"), end(F.col("p_name")).alias("ref"))
 
 
 @query(f"WITH {_CLASSES} SELECT main, ref, class FROM m")
@@ -423,7 +425,7 @@ def map_snarls(spark, d):
     return reconcile.snarls(reconcile.map_classes(_edges(spark, d))).select(F.array_join("members", ",").alias("members"))
 
 
-# the same over every row of part: the two above read a share of it, as their SQL does
+# brands against types: few nodes, every one of them in one piece
 _CLASSES_ALL = _CLASSES.replace(_EDGES, "e AS (SELECT DISTINCT p_brand AS main, p_type AS ref FROM part)")
 
 
@@ -529,21 +531,12 @@ def sep_confirmed(spark, d):
     return separators.confirmed(t, separators.candidates(t)).select("uid")
 
 
-@query(f"{HEAD}, k AS (SELECT anc AS uid, count(*) AS n_tips FROM cl JOIN tips ON tips.uid = cl.des GROUP BY anc), s AS (SELECT t.uid, t.par_id FROM tx t JOIN k ON k.uid = t.uid WHERE n_tips >= 20 AND rank IN ('kingdom', 'phylum')), "
-       "n AS (SELECT s.uid, CASE WHEN s.par_id IN (SELECT uid FROM s) THEN s.par_id END AS parent FROM s) SELECT uid, parent FROM n WHERE parent IS NULL OR (SELECT count(*) FROM n m WHERE m.parent = n.parent) > 1")
-def sep_nested(spark, d):
-    t = tx(spark, d)
-    found = separators.candidates(t).join(t.filter("rank in ('kingdom', 'phylum')").select("uid"), "uid", "left_semi")
-    return separators.nested(t, found)
-
-
-# the same over all candidates: the one above leaves out ranks below phylum, as its SQL does
 @query(f"""{HEAD}, k AS (SELECT anc AS uid, count(*) AS n_tips FROM cl JOIN tips ON tips.uid = cl.des GROUP BY anc),
 s AS (SELECT t.uid FROM tx t JOIN k ON k.uid = t.uid WHERE n_tips >= 20 AND t.par_id IS NOT NULL AND t.rank <> 'species' AND t.uid NOT IN (SELECT uid FROM tips)),
 up AS (SELECT cl.des AS uid, arg_min(cl.anc, cl.dist) AS parent FROM cl JOIN s ON s.uid = cl.anc WHERE cl.dist > 0 GROUP BY cl.des),
 n AS (SELECT s.uid, up.parent, count(*) OVER (PARTITION BY up.parent) AS n FROM s LEFT JOIN up ON up.uid = s.uid)
 SELECT uid, parent FROM n WHERE parent IS NULL OR n > 1""")
-def sep_nested_all(spark, d):
+def sep_nested(spark, d):
     t = tx(spark, d)
     return separators.nested(t, separators.candidates(t))
 
@@ -565,14 +558,8 @@ def sem_minted_ids(spark, d):
     return semgraph.minted(table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("uid"), F.concat(F.lit("p:"), "p_name").alias("base"))).select("uid", "id")
 
 
-@query("SELECT CASE WHEN count(*) OVER (PARTITION BY epithet) > 1 THEN epithet || '|' || authority ELSE epithet END AS node, epithet, authority FROM (SELECT DISTINCT p_name AS epithet, p_brand AS authority FROM part WHERE p_size = 1) x")
-def sem_homonyms(spark, d):
-    return semgraph.split_homonyms(table(spark, d, "part").filter("p_size = 1").select(F.col("p_name").alias("epithet"), F.col("p_brand").alias("authority")))
-
-
-# the same over every row of part: the one above reads one size, as its SQL does
 @query("SELECT CASE WHEN count(*) OVER (PARTITION BY epithet) > 1 THEN epithet || '|' || authority ELSE epithet END AS node, epithet, authority FROM (SELECT DISTINCT p_name AS epithet, p_brand AS authority FROM part) x")
-def sem_homonyms_all(spark, d):
+def sem_homonyms(spark, d):
     return semgraph.split_homonyms(table(spark, d, "part").select(F.col("p_name").alias("epithet"), F.col("p_brand").alias("authority")))
 
 
@@ -583,13 +570,6 @@ def sem_name_nodes(spark, d):
     return semgraph.name_nodes(semgraph.concepts(rows))
 
 
-@query("SELECT uid, uid AS stop FROM (SELECT 'n' || n_nationkey AS uid FROM nation) x UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer")
-def resource_terminal(spark, d):
-    t = tx(spark, d).filter("rank in ('phylum', 'genus')")
-    return hierarchy.absorb(t, t.filter("rank = 'phylum'"))
-
-
-# the whole hierarchy as a tree of resources: the one above gives the phylum of phyla and genera, as its SQL does
 @query(f"WITH RECURSIVE {TX}, {CL}, {_WALK}, o AS (SELECT uid, row_number() OVER (ORDER BY path) AS i FROM w) SELECT cl.anc AS id, arg_max(cl.des, o.i) AS terminal FROM cl JOIN o ON o.uid = cl.des GROUP BY cl.anc")
-def resource_terminal_all(spark, d):
+def resource_terminal(spark, d):
     return catalog.terminal(tx(spark, d).select(F.col("uid").alias("id"), F.col("par_id").alias("base")))

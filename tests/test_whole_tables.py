@@ -41,11 +41,11 @@ def test_map_partition_reads_all_of_part(spark, tables):
 
 
 def test_homonyms_of_all_sizes(spark, tables):
-    assert _rows(spark, tables, "sem_homonyms_all") == [("new cog", "new cog", "B4"), ("old nut", "old nut", "B3"), ("red bolt|B1", "red bolt", "B1"), ("red bolt|B2", "red bolt", "B2")]
+    assert _rows(spark, tables, "sem_homonyms") == [("new cog", "new cog", "B4"), ("old nut", "old nut", "B3"), ("red bolt|B1", "red bolt", "B1"), ("red bolt|B2", "red bolt", "B2")]
 
 
 def test_terminal_resource_of_every_taxon(spark, tables):
-    found = dict(_rows(spark, tables, "resource_terminal_all"))
+    found = dict(_rows(spark, tables, "resource_terminal"))
     assert len(found) == 1 + 2 + 3 + 4 + 61
     assert found["life"] == found["r1"] == found["n2"] == found["c3"] == found["o900"] == "o900"
     assert found["r0"] == found["n1"] == "o219" and found["n0"] == "o119" and found["c0"] == "o9"
@@ -53,4 +53,4 @@ def test_terminal_resource_of_every_taxon(spark, tables):
 
 def test_nested_separators_of_every_rank(spark, tables):
     # the customers of the first nation stay; the only one of the second goes, and the only kingdom that is large has no parent
-    assert _rows(spark, tables, "sep_nested_all") == [("c0", "n0"), ("c1", "n0"), ("n0", "r0"), ("n1", "r0"), ("r0", None)]
+    assert _rows(spark, tables, "sep_nested") == [("c0", "n0"), ("c1", "n0"), ("n0", "r0"), ("n1", "r0"), ("r0", None)]
