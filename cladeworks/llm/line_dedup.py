@@ -68,11 +68,22 @@ def runs(docs: DataFrame) -> DataFrame:
     return empty
 
 
+def _later(live: DataFrame, gap: int) -> DataFrame:
+    """The later copies of the runs that are ``gap`` lines longer than those of ``live``: two of these, ``gap`` lines apart."""
+    if not gap:
+        return live.filter("later")
+    here = F.struct("doc_id", "rid", "i")
+    ahead = live.select("rid", (F.col("i") - gap).alias("i"), F.col("rank").alias("ahead"))
+    pairs = live.select("doc_id", "rid", "i", F.col("rank").alias("own")).join(ahead, ["rid", "i"])
+    groups = pairs.groupBy("own", "ahead").agg(F.count(F.lit(1)).alias("n"), F.min(here).alias("first")).filter("n > 1")
+    return pairs.join(groups, ["own", "ahead"]).filter(here > F.col("first"))
+
+
 def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """The rows of ``docs`` with later copies of repeated line runs cut from ``text``.
 
-    A run counts if it has ``min_lines`` lines (a power of two) or holds a line
-    of ``min_words`` words.  Adds __n_lines, __n_deleted and __shared (the
+    A run counts if it has ``min_lines`` lines (any number from 1) or holds a
+    line of ``min_words`` words.  Adds __n_lines, __n_deleted and __shared (the
     largest of 1, 2, 4, ... lines of a run that this document shares with
     another place; 0 if none).  Blank lines never match and stay.  A null text
     has no lines; an empty one has one.  Repeated rows (doc_id and text) count
@@ -85,8 +96,9 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MI
     gone, shared = none, docs.sparkSession.createDataFrame([], "rid long, k int")
     if 1 in levels and min_words:
         gone = gone.unionByName(levels[1].filter(F.col("later") & (F.col("words") >= min_words)).select("rid", F.col("i").alias("at")))
-    if min_lines in levels:
-        later = levels[min_lines].filter("later")
+    low = 1 << (min_lines.bit_length() - 1)
+    if low in levels:
+        later = _later(levels[low], min_lines - low)
         gone = gone.unionByName(later.select("rid", F.explode(F.sequence("i", F.col("i") + min_lines - 1)).alias("at")))
     for k, live in levels.items():
         shared = shared.unionByName(live.select("rid", F.lit(k).alias("k")))

@@ -116,3 +116,14 @@ def test_intervals_are_in_suffix_order(spark):
     docs = spark.createDataFrame([(1, "a\nb\nc"), (2, "a\nb\nd"), (3, "b\nc")], "doc_id long, text string")
     out = line_dedup.runs(docs).groupBy("length").agg(F.count("rank").alias("n"), F.countDistinct("rank").alias("r")).orderBy("length").collect()
     assert [(r["length"], r["n"], r["r"]) for r in out] == [(1, 3, 3), (2, 2, 2)]
+
+
+def test_runs_of_any_length(spark):
+    """Runs of three and five lines count where that many are asked for; shorter ones stay."""
+    from cladeworks.llm import line_dedup
+
+    rows = [(1, "a\nb\nc\nd\ne"), (2, "x\na\nb\nc\ny"), (3, "a\nb\nz"), (4, "b\nc\nd"), (5, "a\nb\nc\nd\ne\nw")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    left = lambda n: {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs, min_lines=n, min_words=0).collect()}
+    assert left(3) == {1: "a\nb\nc\nd\ne", 2: "x\ny", 3: "a\nb\nz", 4: "", 5: "w"}
+    assert left(5) == {1: "a\nb\nc\nd\ne", 2: "x\na\nb\nc\ny", 3: "a\nb\nz", 4: "b\nc\nd", 5: "w"}
