@@ -105,9 +105,37 @@ def subtree_with_synonyms(taxa: DataFrame, synonyms: DataFrame, top: DataFrame)
     return own, synonyms.join(own.select("uid"), "uid", "left_semi")
 
 
+def upward(taxa: DataFrame, starts: DataFrame) -> DataFrame:
+    """uid, dist of the taxa at or above any uid of ``starts``; dist is that from the nearest one below.
+
+    Round k takes all that is known 2**k steps up, so there are as many rounds
+    as the depth has bits, and never more rows than taxa.
+    """
+    ids = taxa.select("uid")
+    jump = staged(taxa.select("uid", F.col("par_id").alias("up")).join(ids.withColumnRenamed("uid", "up"), "up", "left_semi"))
+    live = ids.join(starts.select("uid").distinct(), "uid", "left_semi").withColumn("dist", F.lit(0).cast("long"))
+    limit = None
+    for k in range(MAX_ROUNDS):
+        if jump.isEmpty():
+            return live
+        if limit is None:
+            limit = taxa.count()
+        if (1 << k) > limit:
+            raise ValueError(f"cycle at or above {jump.first()['uid']}")
+        further = live.join(jump, "uid").select(F.col("up").alias("uid"), (F.col("dist") + (1 << k)).alias("dist"))
+        live = staged(live.unionByName(further).groupBy("uid").agg(F.min("dist").alias("dist")))
+        jump = staged(jump.join(jump.select(F.col("uid").alias("up"), F.col("up").alias("top")), "up").select("uid", F.col("top").alias("up")))
+    raise ValueError("paths too long")
+
+
 def path_to_root(taxa: DataFrame, uid: str) -> DataFrame:
     """uid, dist from the taxon up to its root."""
-    return closure(taxa).filter(F.col("des") == uid).select(F.col("anc").alias("uid"), "dist")
+    return upward(taxa, taxa.filter(F.col("uid") == uid)).withColumn("dist", F.col("dist").cast("int"))
+
+
+def with_parents(taxa: DataFrame, parents: DataFrame) -> DataFrame:
+    """The taxa whose parent is a uid of ``parents``, be that a taxon or not."""
+    return taxa.join(parents.select(F.col("uid").alias("par_id")), "par_id", "left_semi").select(taxa.columns)
 
 
 def contains(pairs: DataFrame, tests: DataFrame) -> DataFrame:

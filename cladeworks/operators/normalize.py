@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..staging import staged
-from .hierarchy import MAX_ROUNDS, absorb, closure
+from .hierarchy import MAX_ROUNDS, absorb, upward
 
 
 def orphans(taxa: DataFrame) -> DataFrame:
@@ -123,8 +123,7 @@ def reparent_by_forwards(taxa: DataFrame, forwards: DataFrame) -> DataFrame:
 
 def keep_with_ancestors(taxa: DataFrame, kept: DataFrame) -> DataFrame:
     """The kept taxa and all above them; what lost its parent becomes a root."""
-    pairs = closure(taxa)
-    live = staged(pairs.join(kept.select(F.col("uid").alias("des")), "des", "left_semi").select(F.col("anc").alias("uid")).distinct())
+    live = staged(upward(taxa, kept).select("uid"))
     out = taxa.join(live, "uid", "left_semi").join(live.select(F.col("uid").alias("par_id"), F.lit(True).alias("there")), "par_id", "left")
     return out.withColumn("par_id", F.when(F.col("there"), F.col("par_id"))).select(taxa.columns)
 
