@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +85,25 @@ def partition_maps(assigned_roots: DataFrame) -> DataFrame:
     return flat.groupBy("src", "fragment").agg(F.array_sort(F.collect_set("id")).alias("ids"))
 
 
+def maps_of_resources(maps: DataFrame, resources: DataFrame) -> DataFrame:
+    """id, src: the key of ``maps`` (src, ...) that serves each resource (id, base, aliases).
+
+    Tried in order: its id, its aliases, those of its base, the base.  Null
+    where no key serves; the caller decides whether that is an error.
+    """
+    up = resources.select(F.col("id").alias("base"), F.col("aliases").alias("more"))
+    none = F.array().cast("array<string>")
+    tries = F.concat(F.array("id"), F.coalesce("aliases", none), F.coalesce("more", none), F.array("base"))
+    named = resources.join(up, "base", "left").select("id", F.posexplode(tries).alias("place", "src"))
+    found = named.join(maps.select("src").distinct(), "src").groupBy("id").agg(F.min_by("src", "place").alias("src"))
+    return resources.select("id").join(found, "id", "left")
+
+
+def merge_lists(*lists: DataFrame) -> DataFrame:
+    """Partition lists as one: rows of one fragment come together, repeated ones stay."""
+    return reduce(DataFrame.unionByName, lists)
+
+
 def fill_empty_ancestors(maps: DataFrame, clades: DataFrame) -> DataFrame:
     """name, ids: a clade without ids of its own has the union of the nearest clades below that have some."""
     tree = clades.select(F.col("name").alias("uid"), F.col("parent").alias("par_id"))
@@ -127,5 +148,24 @@ def write(assigned: DataFrame, path: str) -> None:
     assigned.write.mode("overwrite").partitionBy("fragment").parquet(path)
 
 
+def fragments(spark: SparkSession, path: str) -> DataFrame:
+    """fragment: the partitions that ``write`` left at the path (none, if nothing is there)."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.exists(top) and any("=" in f.getPath().getName() for f in files.listStatus(top))
+    return spark.read.parquet(path).select(F.col("fragment").cast("string")).distinct() if found else spark.createDataFrame([], "fragment string")
+
+
+def exists(spark: SparkSession, path: str, fragment: str) -> bool:
+    return not fragments(spark, path).filter(F.col("fragment") == fragment).isEmpty()
+
+
+def clean(spark: SparkSession, path: str, fragment: str | None = None) -> None:
+    """Deletes one written fragment, or all that was written; what is not there is no error."""
+    name = "" if fragment is None else "/fragment=" + spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(fragment)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path + name)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def staged_assignment(taxa: DataFrame, clade_roots: DataFrame) -> DataFrame:
     return staged(assign(taxa, clade_roots))

@@ -299,3 +299,44 @@ def resource_licences(spark, d):
 @query("SELECT p_name AS alias, max(CAST(p_partkey AS VARCHAR)) AS id FROM part GROUP BY p_name UNION ALL SELECT p_brand, max(CAST(p_partkey AS VARCHAR)) FROM part GROUP BY p_brand")
 def resource_aliases(spark, d):
     return catalog.aliases(table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("id"), F.array("p_name", "p_brand").alias("aliases")))
+
+
+# --- look-ups of lists, maps and orders
+
+@query(f"WITH {TX} SELECT uid, par_id, name FROM tx WHERE par_id IN (SELECT concat('c', CAST(c_custkey AS VARCHAR)) FROM customer WHERE c_mktsegment = 'BUILDING')")
+def tx_with_parents(spark, d):
+    listed_ids = table(spark, d, "customer").filter("c_mktsegment = 'BUILDING'").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("uid"))
+    return hierarchy.with_parents(tx(spark, d), listed_ids).select("uid", "par_id", "name")
+
+
+@query(f"WITH {TX} SELECT par_id AS fragment, uid FROM tx WHERE rank = 'phylum' UNION ALL SELECT par_id, uid FROM tx WHERE rank = 'genus' UNION ALL SELECT par_id, uid FROM tx WHERE rank = 'phylum'")
+def tx_merge_lists(spark, d):
+    t = tx(spark, d)
+    own = lambda rank: t.filter(F.col("rank") == rank).select(F.col("par_id").alias("fragment"), "uid")
+    return partition.merge_lists(own("phylum"), own("genus"), own("phylum"))
+
+
+# nations are resources based on their region; some are mapped by name, some by alias, the others through the region
+@query("""SELECT n_name AS id, CASE WHEN n_nationkey % 4 = 0 THEN n_name WHEN n_nationkey % 4 = 1 THEN concat('n', CAST(n_nationkey AS VARCHAR))
+  WHEN r_regionkey % 2 = 1 THEN concat('r', CAST(r_regionkey AS VARCHAR)) WHEN r_regionkey > 0 THEN r_name END AS src FROM nation JOIN region ON n_regionkey = r_regionkey
+UNION ALL SELECT r_name, CASE WHEN r_regionkey > 0 THEN r_name END FROM region""")
+def resource_maps(spark, d):
+    n, r = table(spark, d, "nation"), table(spark, d, "region")
+    alias = lambda c: F.concat(F.lit(c[0]), F.col(c).cast("string"))
+    regions = r.select(F.col("r_name").alias("id"), F.lit(None).cast("string").alias("base"), F.array(alias("r_regionkey")).alias("aliases"))
+    nations = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("id"), F.col("r_name").alias("base"), F.array(alias("n_nationkey")).alias("aliases"))
+    keys = [
+        n.filter("n_nationkey % 4 = 0").select("n_name"), n.filter("n_nationkey % 4 < 2").select(alias("n_nationkey")),
+        r.filter("r_regionkey > 0").select("r_name"), r.filter("r_regionkey % 2 = 1").select(alias("r_regionkey")),
+    ]
+    maps = keys[0].union(keys[1]).union(keys[2]).union(keys[3]).toDF("src")
+    return partition.maps_of_resources(maps, nations.unionByName(regions))
+
+
+@query(f"""WITH {TX}, {SY}, known AS (SELECT concat('o', CAST(o_orderkey AS VARCHAR)) AS uid, -CAST(o_orderkey AS BIGINT) AS place FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING')
+SELECT place IS NULL AS rest, place, sy.uid, concat(sy.uid, chr(9), '|', chr(9), name, chr(9), '|', chr(9), syn_type, chr(9), '|', chr(9)) AS value FROM sy LEFT JOIN known USING (uid)""")
+def syn_part_lines(spark, d):
+    o, c = table(spark, d, "orders"), table(spark, d, "customer").filter("c_mktsegment = 'BUILDING'")
+    known = o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
+    order = known.select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("uid"), (-F.col("o_orderkey").cast("long")).alias("place"))
+    return writers.part_synonym_lines(sy(spark, d), order)

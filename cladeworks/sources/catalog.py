@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.hierarchy import closure, preorder
 
 
+def registry(spark: SparkSession, folder: str, skip: tuple[str, ...] = ()) -> DataFrame:
+    """id, body (JSON text) of the resources in a folder of JSON objects {id: resource}; an id in several files, or twice, raises.
+
+    Files named in ``skip`` (such as a merged copy) are not read.
+    """
+    files = spark.read.text(f"{folder}/*.json", wholetext=True).withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    files = files.filter(~F.col("file").isin(*skip)) if skip else files
+    keys = files.select(F.explode(F.json_object_keys("value")).alias("id"))
+    twice = keys.groupBy("id").count().filter("count > 1").orderBy("id").limit(10).collect()
+    if twice:
+        raise ValueError(f"ids repeated: {', '.join(r['id'] for r in twice)}")
+    return files.select(F.explode(F.from_json("value", "map<string, string>")).alias("id", "body"))
+
+
 def inherited(resources: DataFrame, fields: list[str]) -> DataFrame:
     """``id``, ``base`` and each field, taken from the nearest resource up the chain of bases that has it."""
     tree = resources.select(F.col("id").alias("uid"), F.col("base").alias("par_id"))

@@ -27,6 +27,17 @@ def synonym_lines(taxa: DataFrame, syn: DataFrame) -> DataFrame:
     return syn.join(preorder(taxa).select("uid", "preorder_idx"), "uid").select("preorder_idx", F.concat(F.concat_ws(SEP, "uid", "name", "syn_type"), F.lit("\t|\t")).alias("value"))
 
 
+def part_synonym_lines(syn: DataFrame, order: DataFrame) -> DataFrame:
+    """rest, place, uid, value: a partition's synonyms, those of the known ids (uid, place) first and in their order, then the others by id."""
+    line = F.concat(F.concat_ws(SEP, "uid", "name", "syn_type"), F.lit("\t|\t")).alias("value")
+    return syn.join(order.select("uid", "place"), "uid", "left").select(F.col("place").isNull().alias("rest"), "place", "uid", line)
+
+
+def write_part_lines(lines: DataFrame, path: str) -> None:
+    """Text in order (part files follow it)."""
+    lines.orderBy("rest", "place", "uid", "value").select("value").write.mode("overwrite").text(path)
+
+
 def write_lines(lines: DataFrame, path: str) -> None:
     """Text in order (part files follow it)."""
     lines.orderBy("preorder_idx", "value").select("value").write.mode("overwrite").text(path)
