@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .text import ALNUM_TABLE, alnum_words, mix, word_hashes
-from .workspace import Workspace
+from .workspace import Workspace, plain_names
 
 WINDOW = 13
 #: Broadcast only up to so many UTF-8 bytes of benchmark text (some 10 times that in a task's memory).
@@ -158,12 +158,19 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: i
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20, mode: str = "documents", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """The columns of ``docs`` without contaminated documents; ``mode="spans"`` also cuts hit spans out of the others."""
+    """The columns of ``docs`` without contaminated documents; ``mode="spans"`` also cuts hit spans out of the others.
+
+    Each row is judged alone, whatever the benchmark's size: repeated rows stay
+    or go together, rows that share a doc_id (or have none) do not.  Null and
+    wordless texts stay as they are; without items nothing goes; an empty table
+    gives an empty result; all columns are kept, whatever their names.
+    """
+    names, docs = docs.columns, plain_names(docs)
     items = _items(benchmark, broadcast_bytes)
     if items is None:
-        return _clean_by_join(docs, benchmark, window, share, mode == "spans")
+        return _clean_by_join(docs, benchmark, window, share, mode == "spans").toDF(*names)
     sent = docs.sparkSession.sparkContext.broadcast(items)
-    return docs.mapInArrow(lambda batches: _clean(batches, _matcher(sent, window), share, mode == "spans"), docs.schema)
+    return docs.mapInArrow(lambda batches: _clean(batches, _matcher(sent, window), share, mode == "spans"), docs.schema).toDF(*names)
 
 
 _MATCHERS: dict = {}

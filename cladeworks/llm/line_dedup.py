@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .workspace import Workspace
+from .workspace import Workspace, plain_names
 
 #: A repeated run counts from so many lines, or from one line of so many words.
 MIN_LINES, MIN_WORDS = 2, 10
@@ -88,8 +88,11 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MI
     another place; 0 if none).  Blank lines never match and stay.  A null text
     has no lines; an empty one has one.  Repeated rows (doc_id and text) count
     as one document and get the same result; different documents with one
-    doc_id are ordered by a hash of their text; null ids come first.
+    doc_id are ordered by a hash of their text; null ids come first.  Columns of
+    ``docs`` that have the name of an added one give way to it; an empty table
+    gives an empty result.
     """
+    names, docs = docs.columns, plain_names(docs)
     ws = Workspace(docs.sparkSession, "lines")
     levels = dict(intervals(docs, ws))
     none = docs.sparkSession.createDataFrame([], "rid long, at int")
@@ -109,9 +112,10 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MI
     rows = docs.withColumn("__rid", F.xxhash64("doc_id", "text")).join(found.withColumnRenamed("rid", "__rid"), "__rid", "left")
     lines = F.split(text, "\n", -1)
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n")
-    return rows.select(
-        *[F.when(F.col("__gone").isNull(), text).otherwise(kept).alias("text") if c == "text" else F.col(c) for c in docs.columns],
-        F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("__n_lines"),
-        F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long").alias("__n_deleted"),
-        F.coalesce("__k", F.lit(0)).cast("long").alias("__shared"),
-    )
+    added = {
+        "__n_lines": F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long"),
+        "__n_deleted": F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long"),
+        "__shared": F.coalesce("__k", F.lit(0)).cast("long"),
+    }
+    own = [(F.when(F.col("__gone").isNull(), text).otherwise(kept) if c == "text" else F.col(c)).alias(n) for c, n in zip(docs.columns, names, strict=True) if n.lower() not in added]
+    return rows.select(*own, *[c.alias(n) for n, c in added.items()])

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import first_by_hash
-from .workspace import Workspace
+from .workspace import Workspace, plain_names
 
 BUCKETS, GRID, DOMAINS_MOST = 512, 64, 64
 #: The classifier is fitted on at most so many labelled rows (the first by a hash of their id).
@@ -130,7 +130,7 @@ def fit_rates(scored: DataFrame, k: int, shares: list[float], ws: Workspace, ste
 
 
 def rates(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float]) -> tuple[DataFrame, list[str]]:
-    """``docs`` with __tokens, __p, __rate, __copies, and the domains in the order of __p.
+    """doc_id, __tokens, __p, __rate, __copies for each document, and the domains in the order of __p.
 
     ``weights`` (domain -> weight) are the shares of tokens wanted; a domain
     that no labelled row has, or with no weight, is left at 0, and the rest is
@@ -139,10 +139,10 @@ def rates(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float]) ->
     every rate is 1.  Repeated rows get equal rates and copies; an empty table
     gives an empty result.
     """
-    ws = Workspace(docs.sparkSession, "mixing")
+    ws, docs = Workspace(docs.sparkSession, "mixing"), plain_names(docs)
     model = train(docs, labelled)
     if not model.domains:
-        return docs.withColumns({"__tokens": F.size(words_of(F.col("text"))).cast("long"), "__p": F.array().cast("array<double>"), "__rate": F.lit(1.0), "__copies": F.lit(1)}), []
+        return docs.select("doc_id", F.size(words_of(F.col("text"))).cast("long").alias("__tokens")).withColumns({"__p": F.array().cast("array<double>"), "__rate": F.lit(1.0), "__copies": F.lit(1)}), []
     known = ws.table(posteriors(docs.select("doc_id", "text"), model).drop("text"))
     wanted = [max(float(weights.get(d, 0.0)), 0.0) for d in model.domains]
     shares = [w / sum(wanted) for w in wanted] if sum(wanted) else [0.0] * len(wanted)
@@ -163,17 +163,21 @@ def report(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float]) -
 
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: Mapping[str, float]) -> DataFrame:
-    """The columns of ``docs``, each row as often as its copies say (rates are functions of a row, so nothing is joined)."""
-    spark = docs.sparkSession
+    """The columns of ``docs``, each row as often as its copies say (rates are functions of a row, so nothing is joined).
+
+    Nulls, empty tables and missing labels are treated as in ``rates``; repeated
+    rows are copied alike; all columns are kept, whatever their names.
+    """
+    spark, names, docs = docs.sparkSession, docs.columns, plain_names(docs)
     model = train(docs, labelled)
     if not model.domains:
-        return docs
+        return docs.toDF(*names)
     ws = Workspace(spark, "mixing")
     wanted = [max(float(weights.get(d, 0.0)), 0.0) for d in model.domains]
     shares = [w / sum(wanted) for w in wanted] if sum(wanted) else [0.0] * len(wanted)
     scored = posteriors(docs, model)
     seen, eta = fit_rates(scored.select("__tokens", "__p"), len(model.domains), shares, ws)
-    return _copied(scored, docs.columns, seen, eta)
+    return _copied(scored, docs.columns, seen, eta).toDF(*names)
 
 
 def _copied(scored: DataFrame, columns: list[str], seen: list[list[float]], eta: float) -> DataFrame:

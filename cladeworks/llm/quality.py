@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import first_by_hash
-from .workspace import Workspace
+from .workspace import Workspace, plain_names
 
 FEATURES = (
     "log_words", "log_word_length", "word_spread", "symbols", "pipes", "capitals", "exclamations", "digits",
@@ -209,10 +209,11 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Dat
     Statistics, not texts, meet the labels, so no text is shuffled.  Rows are
     judged one by one; the null text is judged like the empty one.  Without
     training rows of both classes nothing is rejected; an empty table gives an
-    empty result.
+    empty result; all columns are kept, whatever their names.
     """
+    names, docs = docs.columns, plain_names(docs)
     ws = Workspace(docs.sparkSession, "quality")
     stats = ws.table(statistics_frame(docs))
     model = docs.sparkSession.sparkContext.broadcast(train(stats, labels))
     ws.drop(stats)
-    return docs.mapInArrow(lambda batches: _keep(batches, model.value, threshold), docs.schema)
+    return docs.mapInArrow(lambda batches: _keep(batches, model.value, threshold), docs.schema).toDF(*names)

@@ -3,7 +3,7 @@
 Intermediate results are written once as Parquet into the folder that the
 cluster names in ``spark.checkpoint.dir``; every executor and the driver can
 read them again after an executor is lost.  Only where that setting is absent
-(unit tests on one machine) a temporary folder is made.
+and the master is this machine (unit tests) a temporary folder is made.
 """
 
 from __future__ import annotations
@@ -20,10 +20,13 @@ _LOCAL: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; set to a local one only where unset."""
+    """The checkpoint folder of the session; a local one only where unset on one machine, an error on a cluster."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root:
         return root.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _LOCAL:
         _LOCAL.append(tempfile.mkdtemp(prefix="cladeworks-"))
         atexit.register(shutil.rmtree, _LOCAL[0], True)
@@ -76,3 +79,11 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > rows:
         spark.conf.set(key, str(rows))
+
+
+def plain_names(docs: DataFrame) -> DataFrame:
+    """The same columns, all but ``doc_id`` and ``text`` named by their place, so that names of an operator's own cannot clash.
+
+    ``toDF(*docs.columns)`` names them back.
+    """
+    return docs.toDF(*[c if c in ("doc_id", "text") else f"column_{k}" for k, c in enumerate(docs.columns)])
