@@ -1,27 +1,30 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-A text is cut into clauses.  Each clause is read by a cascade of transducers:
-
-1. the lexicon transducer rewrites words to weighted symbols: INSULT (weights
-   learned from labelled rows, on whole words and on word beginnings), THREAT,
-   TARGET, NEGATION, REPORT and OTHER;
-2. the negation transducer turns an insult or threat into a NEGATED one while a
-   negation is at most ``REACH`` words back;
-3. the reported-speech transducer turns what follows a reporting word, or stands
-   in quotes, into REPORTED;
-4. the clause transducer accepts insults and threats, with or without a target
-   in the clause, and emits the clause's weights by context.
-
-The four contexts' clause weights are the features of a logistic layer fitted on
-the labelled rows, so labels decide how much a negated or reported insult
-counts.
+Words are read as the set of word lists that they are in (insults have weights
+learned from labelled rows, on whole words and on word beginnings).  Six
+weighted transducers rewrite these sets one after another:
+
+1. insult: an insult is neither a threat nor a target as well;
+2. threat: a threat is no target as well;
+3. negation: marks the ``REACH`` words after a negation, within a clause;
+4. reported speech: marks what follows a reporting word within a clause, or
+   stands in quotes (which end with the line);
+5. target: marks the end of a clause that names a target;
+6. clause: weighs what is left: insults by context, threats that are neither
+   negated nor reported, ends of clauses.
+
+They are composed once into one transducer whose states and arcs are a table;
+a text is one path through it, and each clause gives the sums of its arcs'
+weights by context.  These are the features of a logistic layer fitted on the
+labelled rows, so labels decide how much a negated or reported insult counts.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -45,6 +48,8 @@ INSULTS = frozenset("idiot moron loser scum clown trash worthless pathetic disgu
 SEED_WEIGHT = 4.0
 
 REACH = 3
+#: How much more a threat weighs in a clause that names a target.
+AIMED_THREAT = 2.0
 STEMS = (4, 5, 6)
 #: The lexicon and the logistic layer are fitted on at most so many labelled training rows of each class (the first by a hash of their id).
 TRAINING_ROWS = 5_000
@@ -80,41 +85,107 @@ class Lexicon:
         return {w: x for w in distinct if (x := self.weight(w)) > 0}
 
 
+@dataclass(frozen=True)
+class Transducer:
+    """A sequential weighted transducer: ``step(state, read)`` is (next state, written, weight)."""
+
+    start: Hashable
+    step: Callable[[Hashable, Hashable], tuple[Hashable, Hashable, float]]
+
+    def then(self, other: Transducer) -> Transducer:
+        """The composition: ``other`` reads what this one writes; states are pairs, weights multiply."""
+
+        def step(state, read):
+            mine, middle, w = self.step(state[0], read)
+            its, written, v = other.step(state[1], middle)
+            return (mine, its), written, w * v
+
+        return Transducer((self.start, other.start), step)
+
+    def table(self, alphabet: Sequence[Hashable]) -> list[list[tuple[int, Hashable, float]]]:
+        """The arcs out of each state that can be reached, by number (the start is 0), for each symbol of the alphabet."""
+        number, table = {self.start: 0}, []
+        for state in (todo := [self.start]):
+            arcs = [self.step(state, x) for x in alphabet]
+            for to, _, _ in arcs:
+                if to not in number:
+                    number[to] = len(number)
+                    todo.append(to)
+            table.append([(number[to], y, w) for to, y, w in arcs])
+        return table
+
+
+def _negation(left: int, x: frozenset) -> tuple[int, frozenset, float]:
+    if "end" in x or "quote" in x:
+        return 0 if "end" in x else left, x, 1.0
+    return REACH if "negation" in x else max(left - 1, 0), x | {"negated"} if left else x, 1.0
+
+
+def _reported(state: tuple[bool, bool], x: frozenset) -> tuple[tuple[bool, bool], frozenset, float]:
+    said, quoted = state
+    if "end" in x:
+        return (False, quoted and "line" not in x), x, 1.0
+    if "quote" in x:
+        return (said, not quoted), x, 1.0
+    return (said or "report" in x, quoted), x | {"reported"} if said or quoted else x, 1.0
+
+
+def _target(aimed: bool, x: frozenset) -> tuple[bool, frozenset, float]:
+    if "end" in x:
+        return False, x | {"aimed"} if aimed else x, 1.0
+    return aimed or "target" in x, x, 1.0
+
+
+def _clause(state: None, x: frozenset) -> tuple[None, str, float]:
+    if "end" in x:
+        return state, "aimed" if "aimed" in x else "end", AIMED_THREAT if "aimed" in x else 1.0
+    if "insult" in x:
+        return state, next((c for c in ("reported", "negated") if c in x), "plain"), 1.0
+    return state, "threat" if "threat" in x and not x & {"reported", "negated"} else "", 1.0
+
+
+#: What the clause transducer writes: the context of an insult, a threat, the end of a clause (``aimed``: with a target) or nothing.
+CASCADE = (
+    Transducer(None, lambda s, x: (s, x - {"threat", "target"} if "insult" in x else x, 1.0)),
+    Transducer(None, lambda s, x: (s, x - {"target"} if "threat" in x else x, 1.0)),
+    Transducer(0, _negation),
+    Transducer((False, False), _reported),
+    Transducer(False, _target),
+    Transducer(None, _clause),
+)
+_LISTS = ("insult", "threat", "target", "negation", "report")
+#: The sets of lists that a word may be in (by the bits of their place), then the ends of a clause and of a line, and quotes.
+ALPHABET = [frozenset(c for k, c in enumerate(_LISTS) if bits >> k & 1) for bits in range(1 << len(_LISTS))]
+_END, _LINE, _QUOTE = range(len(ALPHABET), len(ALPHABET) + 3)
+ALPHABET += [frozenset({"end"}), frozenset({"end", "line"}), frozenset({"quote"})]
+_ARCS = reduce(Transducer.then, CASCADE).table(ALPHABET)
+
+
+def symbol(word: str, insult: bool) -> int:
+    """The place in ALPHABET of what the grammar reads for a word or mark."""
+    if word in _ENDS:
+        return _LINE if word == "\n" else _END
+    if word in _QUOTES:
+        return _QUOTE
+    return insult | (word in THREATS) << 1 | (word in TARGETS) << 2 | (word in NEGATIONS or word.endswith("n't")) << 3 | (word in REPORTS) << 4
+
+
 def clauses(words: list[str], insults: dict[str, float]) -> Iterator[dict[str, float]]:
-    """Runs the cascade; yields the weights by context of each clause that has any."""
-    out, negated_for, reported, quoted, aimed = {}, 0, False, False, False
-    threats = 0
-
-    def emit():
-        if out or threats:
-            got = dict(out)
-            if aimed and "plain" in got:
-                got["aimed"] = got.pop("plain")
-            if threats:
-                got["threat"] = float(threats) * (2.0 if aimed else 1.0)
-            yield got
-
-    for w in words:
-        if w in _ENDS:
-            yield from emit()
-            out, negated_for, reported, aimed, threats = {}, 0, False, False, 0
-            quoted = quoted and w != "\n"
-            continue
-        if w in _QUOTES:
-            quoted = not quoted
-            continue
-        weight = insults.get(w, 0.0)
-        if weight:
-            context = "reported" if reported or quoted else "negated" if negated_for > 0 else "plain"
-            out[context] = out.get(context, 0.0) + weight
-        elif w in THREATS:
-            threats += not (negated_for > 0 or reported or quoted)
-        elif w in TARGETS:
-            aimed = True
-        if w in REPORTS:
-            reported = True
-        negated_for = REACH if w in NEGATIONS or w.endswith("n't") else negated_for - 1
-    yield from emit()
+    """Runs the composed transducer; yields the weights by context of each clause that has any."""
+    read = {w: symbol(w, w in insults) for w in {*words, "\n"}}
+    state, got = 0, {}
+    for w in chain(words, "\n"):
+        state, written, weight = _ARCS[state][read[w]]
+        if written in ("end", "aimed"):
+            if got:
+                if written == "aimed" and "plain" in got:
+                    got["aimed"] = got.pop("plain")
+                if "threat" in got:
+                    got["threat"] *= weight
+                yield got
+                got = {}
+        elif written:
+            got[written] = got.get(written, 0.0) + weight * insults.get(w, 1.0)
 
 
 def features(text: str | None, lexicon: Lexicon) -> np.ndarray:
