@@ -52,6 +52,11 @@ def move_subtree(taxa: DataFrame, assigned: DataFrame, top: DataFrame, to: str)
     return assigned.join(inside, "uid", "left").withColumn("fragment", F.coalesce("moved", "fragment")).drop("moved")
 
 
+def moved_roots(assigned: DataFrame, top: DataFrame, to: str) -> DataFrame:
+    """uid, fragment, moved_to: the tops of moved subtrees with the fragments that they leave."""
+    return assigned.join(top, "uid", "left_semi").filter(F.col("fragment") != to).select("uid", "fragment", F.lit(to).alias("moved_to"))
+
+
 def validity(assigned: DataFrame, synonyms: DataFrame, clade_roots: DataFrame) -> DataFrame:
     """check_name, n_violations: what a sound partition has none of."""
     up = assigned.select(F.col("uid").alias("par_id"), F.col("fragment").alias("par_fragment"))

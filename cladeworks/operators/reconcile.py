@@ -47,20 +47,23 @@ def findable_names(taxa: DataFrame, syn: DataFrame, below_species: bool = True)
     return first.select("name", "uid", "score")
 
 
-def match_cascade(ext: DataFrame, ext_syn: DataFrame, main: DataFrame) -> DataFrame:
+def match_cascade(ext: DataFrame, ext_syn: DataFrame, main: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
     """uid, status, code, name: the first of eight stages by which each external taxon at or below species finds a name.
 
+    With ``within`` (columns of ``ext`` and ``main``) names are sought among the
+    taxa that agree in these columns only.
+
     Stages: valid then synonym names of species, then of all at or below,
     against species names; then the same four against names at or below.
     """
     best = lambda t: rank_ranges(t).select("uid", "best")
-    low = staged(ext.join(best(ext).filter(F.col("best") <= SPECIES), "uid").select("uid", "name", (F.col("best") == SPECIES).alias("is_sp")))
+    low = staged(ext.join(best(ext).filter(F.col("best") <= SPECIES), "uid").select("uid", "name", *within, (F.col("best") == SPECIES).alias("is_sp")))
     known = main.join(best(main).filter(F.col("best") <= SPECIES), "uid")
-    names = staged(known.groupBy("name").agg(F.max(F.col("best") == SPECIES).alias("main_sp")))
-    mine = low.select("uid", "is_sp", "name", F.lit(False).alias("syn")).unionByName(
-        low.select("uid", "is_sp").join(ext_syn.select("uid", "name"), "uid").select("uid", "is_sp", "name", F.lit(True).alias("syn"))
+    names = staged(known.groupBy("name", *within).agg(F.max(F.col("best") == SPECIES).alias("main_sp")))
+    mine = low.select("uid", "is_sp", "name", *within, F.lit(False).alias("syn")).unionByName(
+        low.select("uid", "is_sp", *within).join(ext_syn.select("uid", "name"), "uid").select("uid", "is_sp", "name", *within, F.lit(True).alias("syn"))
     )
-    found = mine.join(names, "name")
+    found = mine.join(names, ["name", *within])
     # names at or below species hold species names too, so a second-round match is one that no species name gave
     stage = F.when(F.col("main_sp"), 0).otherwise(4) + F.when(F.col("is_sp"), 0).otherwise(2) + F.when(F.col("syn"), 1).otherwise(0)
     first = found.groupBy("uid").agg(F.min(F.struct(stage.alias("stage"), "name")).alias("m"))
@@ -70,6 +73,12 @@ def match_cascade(ext: DataFrame, ext_syn: DataFrame, main: DataFrame) -> DataFr
     return low.select("uid").join(first, "uid", "left").select("uid", pick(labels).alias("status"), pick(bits).alias("code"), F.col("m.name").alias("name"))
 
 
+def align(ext: DataFrame, ext_syn: DataFrame, main: DataFrame) -> DataFrame:
+    """fragment, uid, status, code, name: the cascade within every fragment that both sides (with ``fragment``) have."""
+    own = ext.join(main.select("fragment").distinct(), "fragment", "left_semi")
+    return match_cascade(own, ext_syn, main, ("fragment",)).join(own.select("uid", "fragment"), "uid").select("fragment", "uid", "status", "code", "name")
+
+
 def unmatched(cascade: DataFrame) -> DataFrame:
     return cascade.filter("status is null").select("uid")
 

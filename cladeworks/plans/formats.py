@@ -69,6 +69,13 @@ def read_synonyms(spark, d):
     return readers.synonyms(spark, _header_csv(rows, readers.SEP)).select("uid", "name", "syn_type")
 
 
+@query(f"WITH {TX} SELECT uid, name FROM tx")
+def read_id_names(spark, d):
+    path = _folder(spark)
+    tx(spark, d).select("uid", "par_id", "name", "rank").write.option("sep", "\t").csv(path)
+    return readers.id_names(readers.headerless(spark, path, ["uid", "parent_uid", "name", "rank"]))
+
+
 # --- dumps of nodes, names and merged ids
 
 def _ncbi(spark, d):
@@ -179,6 +186,37 @@ def read_fasta_headers(spark, d):
     return readers.fasta_headers(spark, path)
 
 
+@query("""WITH a AS (SELECT 'A' || p_partkey || '.1.' || p_size AS acc, p_brand AS b, p_type AS t, p_name AS n FROM part),
+x AS (SELECT b AS prefix, min(acc) || '/#1' AS id, NULL AS up, b AS name FROM a GROUP BY b UNION ALL SELECT b || ';' || t, min(acc) || '/#2', b, t FROM a GROUP BY b, t
+  UNION ALL SELECT b || ';' || t || ';' || n, min(acc), b || ';' || t, n FROM a GROUP BY b, t, n)
+SELECT x.id AS uid, p.id AS par_id, x.name, x.prefix FROM x LEFT JOIN x p ON p.prefix = x.up""")
+def read_silva(spark, d):
+    acc, path = F.concat(F.lit("A"), "p_partkey"), F.concat("p_brand", F.lit(";"), "p_type", F.lit(";"))
+    rows = table(spark, d, "part").select(acc.alias("primaryAccession"), F.lit(1).alias("start"), F.col("p_size").alias("stop"), path.alias("path"), F.col("p_name").alias("organism_name"))
+    return readers.silva(spark, _header_csv(rows, "\t"))
+
+
+def _plants(spark, d):
+    """Parts are species of two genera, those of every fifth size not accepted."""
+    genus = F.when(F.col("p_size") % 2 == 0, "Aus").otherwise("Bus")
+    cells = {"id": F.col("p_partkey"), "c1": F.lit(None), "family": F.col("p_brand"), "c3": F.lit(None), "genus": genus, "c5": F.lit(None), "species": F.concat(F.lit("e"), "p_partkey")}
+    cells |= {"c7": F.lit(None), "c8": F.lit(None), "c9": F.lit(None), "status": F.when(F.col("p_size") % 5 == 0, "Synonym").otherwise("Accepted")}
+    return readers.plant_list(spark, _header_csv(table(spark, d, "part").select(*[c.cast("string").alias(n) for n, c in cells.items()])))
+
+
+_PLANTS = "p AS (SELECT CAST(p_partkey AS VARCHAR) AS uid, CASE WHEN p_size % 2 = 0 THEN 'Aus' ELSE 'Bus' END AS g, p_size % 5 = 0 AS gone FROM part)"
+
+
+@query(f"WITH {_PLANTS} SELECT uid, 'auto:' || g AS par_id, g || ' e' || uid AS name, 'species' AS rank FROM p WHERE NOT gone UNION ALL SELECT DISTINCT 'auto:' || g, CAST(NULL AS VARCHAR), g, 'genus' FROM p WHERE NOT gone")
+def read_plant_list(spark, d):
+    return _plants(spark, d)[0].select("uid", "par_id", "name", "rank")
+
+
+@query(f"WITH {_PLANTS} SELECT uid, g || ' e' || uid AS name FROM p WHERE gone")
+def read_plants_not_accepted(spark, d):
+    return _plants(spark, d)[1].select("uid", "name")
+
+
 @query("SELECT CAST(p_partkey AS VARCHAR) AS uid FROM part WHERE p_size % 2 = 0")
 def read_id_list(spark, d):
     path = _folder(spark)

@@ -340,3 +340,82 @@ def syn_part_lines(spark, d):
     known = o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
     order = known.select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("uid"), (-F.col("o_orderkey").cast("long")).alias("place"))
     return writers.part_synonym_lines(sy(spark, d), order)
+
+
+# --- trees as text, name graph, alignment by fragment
+
+_DEEP = "w AS (SELECT uid, [{0}] AS path, 0 AS depth FROM tx WHERE par_id IS NULL UNION ALL SELECT t.uid, list_append(w.path, t.{0}), w.depth + 1 FROM tx t JOIN w ON t.par_id = w.uid), o AS (SELECT uid, depth, row_number() OVER (ORDER BY path) AS preorder_idx FROM w)"
+
+
+@query(f"WITH RECURSIVE {TX}, {_DEEP.format('name')} SELECT preorder_idx, repeat('    ', depth) || name AS line FROM tx JOIN o USING (uid)")
+def tx_indented(spark, d):
+    return writers.indented(tx(spark, d))
+
+
+@query(f"""WITH RECURSIVE {TX}, {_DEEP.format('uid')}, r AS (SELECT t.*, o.depth, o.preorder_idx, max(o.preorder_idx) OVER (PARTITION BY t.par_id) AS last FROM tx t JOIN o USING (uid))
+SELECT preorder_idx, repeat('   ', greatest(depth - 1, 0)) || CASE WHEN par_id IS NULL THEN '' WHEN preorder_idx = last THEN '\\--' ELSE '+--' END || name || ' (' || rank || ')' AS line FROM r""")
+def tx_rank_indented(spark, d):
+    return writers.rank_indented(tx(spark, d))
+
+
+# nations whose key leaves 0 of 6 are samples, and nothing below them enters
+_ENTERING = f"e AS (SELECT t.uid, t.rank, t.name FROM tx t WHERE t.uid NOT IN (SELECT cl.des FROM cl JOIN tx a ON a.uid = cl.anc WHERE a.rank = 'phylum' AND {_NO.format('a.uid')} % 6 = 0))"
+
+
+def _concepts(spark, d):
+    sample = (F.col("rank") == "phylum") & (_number() % 6 == 0)
+    return semgraph.concepts(tx(spark, d).withColumn("name", F.when(sample, F.concat("name", F.lit(" environmental samples"))).otherwise(F.col("name"))))
+
+
+@query(f"{HEAD}, {_ENTERING} SELECT uid, 'res:tc:' || uid AS id, rank, name FROM e")
+def sem_concepts(spark, d):
+    return _concepts(spark, d).select("uid", "id", "rank", "name")
+
+
+@query(f"{HEAD}, {_ENTERING} SELECT 'taxon_concept' AS class, 'res:tc:' || uid AS id, name FROM e")
+def sem_graph_json(spark, d):
+    json = lambda c: F.get_json_object("json", f"$.{c}").alias(c)
+    return semgraph.graph_json(_concepts(spark, d)).select("class", json("id"), json("name"))
+
+
+@query("SELECT 'res:tc:' || p_partkey AS id, CASE p_size % 3 WHEN 0 THEN 'Aus bus cus' WHEN 1 THEN 'Aus bus' ELSE 'Aus' END AS canonical, CASE p_size % 3 WHEN 0 THEN 'cus' WHEN 1 THEN 'bus' ELSE 'Aus' END AS terminal FROM part")
+def sem_canonical_names(spark, d):
+    name = F.element_at(F.array(*map(F.lit, ("Aus bus cus (L., 1758)", "Aus bus", "Aus Smith, 1900"))), F.col("p_size") % 3 + 1)
+    t = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("uid"), F.lit(None).cast("string").alias("par_id"), name.alias("name"), F.lit("species").alias("rank"))
+    return semgraph.canonical_names(semgraph.concepts(t))
+
+
+# every genus and order has a uninomial, a binomial, a trinomial, a hybrid, an authority and a type
+@query(f"""WITH {TX}, s AS (SELECT * FROM (VALUES ('Aus', 'synonym', 'uninomial', 'problematic'), ('Aus bus', 'synonym', 'problematic', 'binomial'), ('Aus bus cus', 'synonym', 'problematic', 'former_subspecies'),
+  ('Aus x bus', 'synonym', 'hybrid', 'hybrid'), ('Bus Smith, 1900', 'authority', 'authority', 'authority'), ('Bus 12', 'type material', 'type_material', 'type_material')) v(name, syn_type, high, low))
+SELECT uid, s.name, syn_type, uid || ':syn' || (row_number() OVER (PARTITION BY uid ORDER BY s.name, syn_type) - 1) AS syn_node, CASE WHEN rank = 'genus' THEN high ELSE low END AS kind FROM tx, s WHERE rank IN ('genus', 'species')""")
+def sem_synonym_kinds(spark, d):
+    t = tx(spark, d).filter("rank in ('genus', 'species')")
+    forms = (("Aus", "synonym"), ("Aus bus", "synonym"), ("Aus bus cus", "synonym"), ("Aus x bus", "synonym"), ("Bus Smith, 1900", "authority"), ("Bus 12", "type material"))
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(k).alias("syn_type")) for n, k in forms]))
+    return semgraph.synonym_kinds(t, t.select("uid", each.alias("s")).select("uid", "s.*"))
+
+
+@query(f"WITH {TX} SELECT uid, CASE WHEN rank IN ('genus', 'species') THEN 'Aus' END AS genus, CASE WHEN rank IN ('no rank', 'kingdom', 'phylum') THEN 'Aus' END AS higher, CASE WHEN rank = 'species' THEN 'bus' END AS epithet FROM tx")
+def names_by_rank(spark, d):
+    p = names.by_rank(F.when(F.col("rank") == "species", "Aus bus").otherwise("Aus"), model.rank_number(F.col("rank")))
+    return tx(spark, d).select("uid", p.alias("p")).select("uid", "p.genus", F.col("p.higher_group_name").alias("higher"), F.col("p.sp_epithet").alias("epithet"))
+
+
+# orders lie in the fragment of their key's last digit; the other side has no digit above 6, and moves every order whose key leaves 0 of 11 on by one
+@query(f"WITH {TX}, f AS (SELECT uid, name, {_NO.format('uid')} AS n FROM tx WHERE rank = 'species') SELECT CAST(n % 10 AS VARCHAR) AS fragment, uid, CASE WHEN n % 11 <> 0 THEN 'VALID_SP_MAIN_VALID_SP' END AS status, CASE WHEN n % 11 <> 0 THEN name END AS name FROM f WHERE n % 10 <= 6")
+def align_fragments(spark, d):
+    t = tx(spark, d)
+    low = t.filter("rank = 'species'")
+    digit = lambda n: F.pmod(n, F.lit(10)).cast("string")
+    ext = low.withColumn("fragment", digit(_number()))
+    moved = F.when(_number() % 11 == 0, _number() + 1).otherwise(_number())
+    main = low.filter(_number() % 10 <= 6).withColumn("fragment", F.when(digit(moved) <= "6", digit(moved)).otherwise("0"))
+    return reconcile.align(ext, low.select("uid", F.lit("no name").alias("name")), main).select("fragment", "uid", "status", "name")
+
+
+@query(f"WITH {TX} SELECT uid, 'AMERICA' AS fragment, 'ASIA' AS moved_to FROM tx WHERE rank = 'phylum' AND par_id = 'r1'")
+def tx_moved_roots(spark, d):
+    t = tx(spark, d)
+    up = t.filter("rank = 'kingdom'").select(F.col("uid").alias("par_id"), F.col("name").alias("fragment"))
+    return partition.moved_roots(t.filter("rank = 'phylum'").join(up, "par_id"), t.filter("par_id in ('r1', 'r2')").select("uid"), "ASIA")

@@ -72,6 +72,15 @@ def synonyms(spark: SparkSession, path: str | None) -> DataFrame:
     return raw.select(F.trim("uid").alias("uid"), "name", kind.alias("syn_type"), _have(raw, "syn_id").alias("syn_id"))
 
 
+def headerless(spark: SparkSession, path: str, columns: list[str], sep: str = "\t") -> DataFrame:
+    """All columns as strings of a file that has the interim taxonomy's columns, but no header line or other separators."""
+    return _csv(spark, path, sep, header=False, columns=columns)
+
+
+def id_names(taxa: DataFrame) -> DataFrame:
+    return taxa.select("uid", "name")
+
+
 def one_taxon(taxa: DataFrame, uid: str) -> DataFrame:
     return taxa.filter(F.col("uid") == uid).limit(1)
 
