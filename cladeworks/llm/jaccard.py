@@ -178,9 +178,11 @@ def _list_pairs(n, pos, node, comp, radius, far: float, block=None, bins=None) -
     """Candidate pairs of one inverted list that is sorted by (n, pos), block against block.
 
     ``block``: only pairs of different ones count.  ``bins`` (a row for each
-    set) drop pairs that they show to share too little.
+    set) drop pairs that they show to share too little; two sets without bins
+    (see _matrix) are bound by their sizes alone.
     """
     m = len(n)
+    unbound = None if bins is None else bins.min(axis=1) == 255
     rest = n - pos
     starts = range(0, m, _BLOCK)
     floor = 1 - far - 2 * float(radius.max())
@@ -211,7 +213,7 @@ def _list_pairs(n, pos, node, comp, radius, far: float, block=None, bins=None) -
             x, y = x + i, y + b.start
             if bins is not None and len(x):
                 some = [np.minimum(bins[x[s : s + _PAIRS]], bins[y[s : s + _PAIRS]]).sum(axis=1, dtype=np.int64) for s in range(0, len(x), _PAIRS)]
-                ok = np.concatenate(some) >= need
+                ok = (np.concatenate(some) >= need) | (unbound[x] & unbound[y])
                 x, y = x[ok], y[ok]
             x, y = node[x], node[y]
             yield np.minimum(x, y), np.maximum(x, y)
@@ -341,7 +343,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], far: float, binned: bool) ->
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    """A row of BINS counts for each value; none means no bound."""
+    """A row of BINS counts for each value; a set without bins gets 255 in each, which bounds its overlap with a set that has some, but not with another such set."""
     blank = bytes([255]) * BINS
     return np.frombuffer(b"".join(x or blank for x in column.to_pylist()), np.uint8).reshape(-1, BINS)
 

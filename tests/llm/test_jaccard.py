@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from cladeworks.llm import jaccard
@@ -153,3 +155,40 @@ def test_a_task_of_blanks_only(spark):
 def test_empty(no_docs):
     assert jaccard.link_components(no_docs).count() == 0
     assert jaccard.keep_one(no_docs).count() == 0
+
+
+def test_long_lists_of_sets_too_large_for_bins():
+    """Sets of over 40,000 shingles in one list: without bins only their sizes bound the overlap."""
+    rng = np.random.default_rng(3)
+    m = jaccard._SHORT + 8
+    shared = rng.integers(0, 1 << 64, 40_000, np.uint64)
+    sets = [np.sort(np.concatenate((shared, rng.integers(0, 1 << 64, 40 + k, np.uint64)))) for k in range(m)]
+    small = np.sort(shared[:200])
+    assert all(jaccard._bins(own) is None for own in sets) and jaccard._bins(small) is not None
+    own = [*sets, small]
+    rows = sorted(((len(s), k) for k, s in enumerate(own)))
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "token": [7] * len(rows), "n": [n for n, _ in rows], "pos": [0] * len(rows), "node": [k for _, k in rows], "comp": [k for _, k in rows],
+            "radius": [0.0] * len(rows), "cell": [0] * len(rows), "block": [0] * len(rows), "own": [True] * len(rows), "bins": pa.array([jaccard._bins(own[k]) for _, k in rows], pa.binary()),
+        }
+    )
+    found = {(a, b) for out in jaccard._candidates(iter([batch]), 0.1, True) for a, b in zip(out["a"].to_pylist(), out["b"].to_pylist(), strict=True)}
+    assert found == {(a, b) for b in range(m) for a in range(b)}
+
+
+def test_links_of_very_long_texts(spark, monkeypatch):
+    """Texts of some 41,000 words that meet in lists of more than _SHORT rows, against brute force."""
+    monkeypatch.setattr(jaccard, "_SHORT", 2)
+    rng = random.Random(11)
+    base = [rng.choice("abcdefgh") + str(rng.randrange(10**7)) for _ in range(41_000)]
+    rows = []
+    for c in range(9):  # each keeps all but a tenth or a hundredth of the words
+        words = list(base)
+        for i in range(0, len(words), 30 if c % 3 else 300):
+            words[(i * 7 + 13 * c) % len(words)] = f"own{c}.{i}"
+        rows.append((100 - c, " ".join(words)))
+    rows.append((7, "other " * 50))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    like = Likeness(3, 80)
+    assert sorted(map(tuple, jaccard.link_components(docs, like).collect()), key=str) == _brute(rows, like)
