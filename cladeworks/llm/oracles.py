@@ -30,5 +30,52 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
+def _crc32(text: str) -> str:
+    """The CRC-32 of ASCII text: each byte is mixed in and shifted out bit by bit."""
+    steps = f"flatten([[ascii({text}[k]), -1, -1, -1, -1, -1, -1, -1, -1] FOR k IN generate_series(1, length({text}))])"
+    return f"xor(list_reduce(list_prepend(4294967295, {steps}), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295)"
+
+
+def _merkle(levels: int = 5, fanout: int = 16) -> str:
+    """Trees of up to fanout ** levels leaves, level by level."""
+    field = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda t: "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", t))) + ")"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def up(name: str, group: str) -> list[str]:
+        """Of name0 (group, pos, n, h): the tables name1 ... with the levels above, and path: each name0 node's siblings and its place in each run."""
+        out = []
+        for k in range(levels):
+            out.append(f"""{name}{k + 1} AS (SELECT {group}, pos // {fanout} AS pos, (max(n) + {fanout - 1}) // {fanout} AS n,
+  CASE WHEN max(n) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h FROM {name}{k} GROUP BY {group}, pos // {fanout})""")
+            out.append(f"""{name}s{k} AS (SELECT a.{group}, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r,
+  any_value(a.n) = 1 AS top FROM {name}{k} a JOIN {name}{k} b ON a.{group} = b.{group} AND a.pos // {fanout} = b.pos // {fanout} GROUP BY a.{group}, a.pos)""")
+        return out
+
+    parts = [
+        f"d AS (SELECT doc_id, source, {leaf('text')} AS leaf, {leaf(low)} AS low, {_crc32('CAST(doc_id AS VARCHAR)')} % 5 = 0 AS hit FROM documents)",
+        "g AS (SELECT source, count(*) AS n, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS grp FROM d GROUP BY source)",
+        "x AS (SELECT d.*, g.grp, g.n, row_number() OVER (PARTITION BY g.grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)",
+        "a0 AS (SELECT grp, pos, n, leaf AS h FROM x)",
+        *up("a", "grp"),
+        f"b0 AS (SELECT 0 AS one, grp AS pos, (SELECT count(*) FROM g) AS n, h FROM a{levels})",
+        *up("b", "one"),
+    ]
+    folds, last = [], "f0"
+    for k, (name, level) in enumerate([(n, k) for n in "ab" for k in range(levels)], 1):
+        s = f"{name}s{level}"
+        here = f"{s}.pos = f.{'pos' if name == 'a' else 'grp'} // {fanout**level}" + (f" AND {s}.grp = f.grp" if name == "a" else "")
+        folds.append(f"""f{k} AS (SELECT f.* EXCLUDE (h, proof), CASE WHEN {s}.top THEN f.h ELSE sha256({s}.l || f.h || {s}.r) END AS h,
+  proof || {s}.l || {s}.r AS proof FROM {last} f JOIN {s} ON {here})""")
+        last = f"f{k}"
+    parts += ["f0 AS (SELECT doc_id, leaf, grp, pos, CASE WHEN hit THEN low ELSE leaf END AS h, '' AS proof FROM x)", *folds]
+    return f"""WITH {", ".join(parts)}
+SELECT f.doc_id, f.leaf, a.h AS subroot, b.h AS root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = b.h AS verified
+FROM {last} f JOIN a{levels} a ON a.grp = f.grp, b{levels} b"""
+
+
+OP11 = _merkle()
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_rules": OP3, "op6_decontamination": OP6}
+    return {"op3_url_rules": OP3, "op6_decontamination": OP6, "op11_merkle": OP11}
