@@ -77,5 +77,34 @@ FROM {last} f JOIN a{levels} a ON a.grp = f.grp, b{levels} b"""
 OP11 = _merkle()
 
 
+def _encoding() -> str:
+    """Running sums by key and time, less those of the own fold."""
+    keys = {"all": "0", "segment": "segment", "client": "client_id", "kind": "kind", "item": "item_id", "nation": "nation_id", "vendor": "vendor_id"}
+    ctes, joins = [], []
+    for level, key in keys.items():
+        ctes.append(f"""{level}_t AS (SELECT k, tm, sum(n) OVER w AS n, sum(s) OVER w AS s FROM (SELECT {key} AS k, tm, count(*) AS n, count(*) FILTER (back) AS s FROM e GROUP BY ALL) x
+  WINDOW w AS (PARTITION BY k ORDER BY tm ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+{level}_f AS (SELECT k, tm, fold, sum(n) OVER w AS n, sum(s) OVER w AS s FROM (SELECT {key} AS k, tm, fold, count(*) AS n, count(*) FILTER (back) AS s FROM e GROUP BY ALL) x
+  WINDOW w AS (PARTITION BY k, fold ORDER BY tm ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+{level}_h AS (SELECT f.k, f.tm, f.fold, CAST(coalesce(t.n, 0) - coalesce(f.n, 0) AS BIGINT) AS n, CAST(coalesce(t.s, 0) - coalesce(f.s, 0) AS BIGINT) AS s
+  FROM {level}_f f JOIN {level}_t t ON f.k IS NOT DISTINCT FROM t.k AND f.tm = t.tm)""")
+        joins.append(f"JOIN {level}_h AS h_{level} ON h_{level}.k IS NOT DISTINCT FROM g.{'zero' if level == 'all' else key} AND h_{level}.tm = g.tm AND h_{level}.fold = g.fold")
+    rate = lambda h, p: f"CASE WHEN {h}.n < 1 THEN {p} ELSE (1000000 * {h}.s + 50 * {p}) // ({h}.n + 50) END"
+    return f"""WITH i AS (SELECT item_id, min(kind) AS kind FROM items GROUP BY item_id), v AS (SELECT vendor_id, min(nation_id) AS nation_id FROM vendors GROUP BY vendor_id),
+c AS (SELECT client_id, min(segment) AS segment FROM clients GROUP BY client_id),
+sold AS MATERIALIZED (SELECT sale_id, coalesce(client_id, -1) AS client_id, sold_at AS tm, {_crc32('CAST(sale_id AS VARCHAR)')} % 5 AS fold FROM sales WHERE sold_at IS NOT NULL AND sale_id IS NOT NULL),
+e AS MATERIALIZED (SELECT l.sale_id, coalesce(l.item_id, -1) AS item_id, l.vendor_id, coalesce(l.flag = 'returned', FALSE) AS back, s.client_id, s.tm, s.fold, i.kind, v.nation_id, c.segment
+  FROM sale_lines l JOIN sold s ON l.sale_id = s.sale_id LEFT JOIN i ON i.item_id = coalesce(l.item_id, -1) LEFT JOIN v ON v.vendor_id = l.vendor_id LEFT JOIN c ON c.client_id = s.client_id),
+{", ".join(ctes)},
+g AS (SELECT sale_id, item_id, vendor_id, client_id, tm, fold, kind, nation_id, segment, 0 AS zero, count(*) AS n_lines, count(*) FILTER (back) AS n_returned FROM e GROUP BY ALL),
+r AS (SELECT g.*, h_item.n AS item_n, h_vendor.n AS vendor_n, h_client.n AS client_n, {rate("h_all", "500000")} AS r0,
+  {rate("h_kind", "r0")} AS r_kind, {rate("h_nation", "r0")} AS r_nation, {rate("h_segment", "r0")} AS r_segment,
+  {rate("h_item", "r_kind")} AS item_rate, {rate("h_vendor", "r_nation")} AS vendor_rate, {rate("h_client", "r_segment")} AS client_rate FROM g {" ".join(joins)})
+SELECT sale_id, item_id, vendor_id, n_lines, n_returned, item_n, item_rate, vendor_n, vendor_rate, client_n, client_rate FROM r"""
+
+
+OP12 = _encoding()
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_rules": OP3, "op6_decontamination": OP6, "op11_merkle": OP11}
+    return {"op3_url_rules": OP3, "op6_decontamination": OP6, "op11_merkle": OP11, "op12_target_encoding": OP12}
