@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, line_dedup, merkle, mixing, quality, sharding, simhash, target_encoding, token_counts, toxicity, url_rules
+from . import decontam, jaccard, license_scan, line_dedup, merkle, mixing, quality, sharding, simhash, target_encoding, token_counts, toxicity, url_rules
 from .workspace import small_batches
 
 URL_RULES: list[url_rules.Rule] = [
@@ -93,10 +93,14 @@ def op12_target_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target_encoding.encode_sales(*[_read(spark, sf_dir, t) for t in ("sale_lines", "sales", "items", "vendors", "clients")])
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.report(_read(spark, sf_dir, "documents"))
+
+
 _ALL = (
     op1_hash_tree_sharding, op2_simhash, op3_url_rules, op4_quality, op5_ngram_jaccard, op6_decontamination,
     op7_token_counts, op8_mixing, op9_toxicity, op10_line_dedup, op11_merkle,
-    op12_target_encoding,
+    op12_target_encoding, op13_license_scan,
 )
 
 
