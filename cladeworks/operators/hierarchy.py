@@ -8,13 +8,12 @@ a member, except where a function says otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import SPECIES, rank_number
 from ..staging import staged
-
-MAX_ROUNDS = 40  # a path of 2**40 nodes
+from .folds import MAX_ROUNDS, fold_up, intervals
 
 
 def roots(taxa: DataFrame) -> DataFrame:
@@ -138,9 +137,11 @@ def with_parents(taxa: DataFrame, parents: DataFrame) -> DataFrame:
     return taxa.join(parents.select(F.col("uid").alias("par_id")), "par_id", "left_semi").select(taxa.columns)
 
 
-def contains(pairs: DataFrame, tests: DataFrame) -> DataFrame:
-    """Which of ``tests`` (first, second) have first at or above second."""
-    return tests.join(pairs.select(F.col("anc").alias("first"), F.col("des").alias("second")), ["first", "second"], "left_semi")
+def contains(taxa: DataFrame, tests: DataFrame) -> DataFrame:
+    """Which of ``tests`` (first, second) have first at or above second, by nested-set labels."""
+    labels = staged(intervals(taxa).select("uid", F.col("first").alias("__low"), F.col("last").alias("__high")))
+    above = tests.join(labels.withColumnRenamed("uid", "first"), "first")
+    return above.join(labels.select(F.col("uid").alias("second"), F.col("__low").alias("__at")), "second").filter("__at between __low and __high").select("first", "second")
 
 
 def find_below(taxa: DataFrame, top: str, test: Column) -> DataFrame:
@@ -148,35 +149,20 @@ def find_below(taxa: DataFrame, top: str, test: Column) -> DataFrame:
 
 
 def preorder(taxa: DataFrame, key: str = "uid") -> DataFrame:
-    """uid, depth, path, preorder_idx (from 1): siblings in the order of ``key``.
-
-    Paths hold keys with a rank of siblings in front, so their order is the
-    traversal's.  The index is a running count over range-sorted rows: starts
-    of the ranges are summed, so no task numbers the whole forest.
-    """
-    ids = taxa.select("uid", F.struct(F.col(key).alias("k"), F.col("uid").alias("u")).alias("step"))
-    pairs = closure(taxa)
-    steps = pairs.join(ids.withColumnRenamed("uid", "anc"), "anc").groupBy("des").agg(F.sort_array(F.collect_list(F.struct((-F.col("dist")).alias("d"), "step"))).alias("p"))
-    paths = steps.select(F.col("des").alias("uid"), (F.size("p") - 1).alias("depth"), F.transform("p", lambda x: x["step"]).alias("path"))
-    ordered = staged(paths.orderBy("path").withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id()))
-    sums = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ordered.groupBy("__part").agg(F.count("uid").alias("__n"), F.min("__at").alias("__first"))  # a row a range
-    starts = starts.select("__part", "__first", F.coalesce(F.sum("__n").over(sums), F.lit(0)).alias("__before"))
-    out = ordered.join(F.broadcast(starts), "__part")
-    return out.select("uid", "depth", "path", (F.col("__at") - F.col("__first") + F.col("__before") + 1).alias("preorder_idx"))
+    """uid, depth, preorder_idx (from 1): siblings, and roots, in the order of (``key``, uid)."""
+    return intervals(taxa, key).select("uid", "depth", F.col("first").alias("preorder_idx"))
 
 
 def postorder(taxa: DataFrame, key: str = "uid") -> DataFrame:
     """uid, postorder_idx: parents after their children (the preorder reversed)."""
-    walk = preorder(taxa, key)
+    walk = staged(preorder(taxa, key))
     n = walk.agg(F.max("preorder_idx").alias("n"))
     return walk.crossJoin(F.broadcast(n)).select("uid", (F.col("n") - F.col("preorder_idx") + 1).alias("postorder_idx"))  # one row
 
 
 def tips_below(taxa: DataFrame) -> DataFrame:
     """uid, n_tips; a leaf counts itself."""
-    pairs = closure(taxa).join(leaves(taxa).withColumnRenamed("uid", "des"), "des", "left_semi")
-    return pairs.groupBy(F.col("anc").alias("uid")).agg(F.count("des").alias("n_tips"))
+    return fold_up(taxa, leaves(taxa).select("uid", F.lit(1).cast("long").alias("n_tips")), {"n_tips": F.sum})
 
 
 def genus_of(taxa: DataFrame) -> DataFrame:
@@ -194,20 +180,20 @@ def rank_ranges(taxa: DataFrame) -> DataFrame:
     every child's guess: the largest of (number below + distance) over the
     descendants, computed in one aggregate.
     """
-    num = taxa.select("uid", rank_number(F.col("rank")).alias("num"))
-    pairs = closure(taxa)
-    ranked = num.filter("num is not null")
-    # nearest ranked proper ancestor
-    above = pairs.filter("dist > 0").join(ranked.select(F.col("uid").alias("anc"), "num"), "anc")
-    near = above.groupBy("des").agg(F.min(F.struct("dist", "num")).alias("x")).select(F.col("des").alias("uid"), F.col("x.dist").alias("up"), F.col("x.num").alias("above"))
-    # ranked descendants reached through unranked taxa only: their nearest ranked ancestor is further up than here
-    down = pairs.filter("dist > 0").join(ranked.select(F.col("uid").alias("des"), "num"), "des").join(near.select(F.col("uid").alias("des"), "up"), "des", "left")
-    below = down.filter("up is null or dist < up").groupBy(F.col("anc").alias("uid")).agg(F.max(F.col("num") + F.col("dist")).alias("below"))
-    both = num.join(near, "uid", "left").join(below, "uid", "left")
+    num = staged(taxa.select("uid", "par_id", rank_number(F.col("rank")).alias("num")))
+    ranked = num.filter("num is not null").select("uid", "num")
+    # nearest ranked proper ancestor: that at or above the parent
+    found = absorb(taxa, ranked, count=True).join(ranked.withColumnRenamed("uid", "stop"), "stop")
+    above = found.select(F.col("uid").alias("par_id"), F.col("num").alias("above"), (F.col("steps") + 1).cast("int").alias("up"))
+    # ranked descendants reached through unranked taxa only: a fold over the unranked ones, from the ranked children of each
+    further = {"below": lambda c, d: c + d}
+    seeds = num.filter("num is not null").groupBy(F.col("par_id").alias("uid")).agg((F.max("num") + 1).alias("below"))
+    below = fold_up(num.filter("num is null"), seeds, {"below": F.max}, further)
+    both = num.join(above, "par_id", "left").join(below, "uid", "left")
     low = F.when(F.col("num").isNotNull(), F.col("num")).otherwise(F.coalesce(F.col("below") + 1, F.lit(0)))
     high = F.when(F.col("num").isNotNull(), F.col("num")).otherwise(F.col("above") - F.col("up"))
     bounds = staged(both.select("uid", low.alias("low"), high.alias("high")))
-    best = pairs.join(bounds.select(F.col("uid").alias("des"), F.col("low").alias("n")), "des").groupBy(F.col("anc").alias("uid")).agg(F.max(F.col("n") + F.col("dist")).alias("best"))
+    best = fold_up(taxa, bounds.select("uid", F.col("low").alias("best")), {"best": F.max}, {"best": lambda c, d: c + d})
     return bounds.join(best, "uid").select("uid", "low", "high", "best")
 
 
@@ -219,24 +205,29 @@ def specimen_typed(taxa: DataFrame) -> DataFrame:
 
 
 def union_below(taxa: DataFrame, marked: DataFrame) -> DataFrame:
-    """uid, found (sorted distinct values of ``marked`` (uid, value) at or below)."""
-    pairs = closure(taxa).join(marked.withColumnRenamed("uid", "des"), "des")
-    return pairs.groupBy(F.col("anc").alias("uid")).agg(F.array_sort(F.collect_set("value")).alias("found"))
+    """uid, found (sorted distinct values of ``marked`` (uid, value) at or below); taxa without any are left out.
+
+    The answer of a taxon is as long as its values are many; to count marked
+    taxa below, fold a count instead.
+    """
+    own = marked.groupBy("uid").agg(F.collect_set("value").alias("found"))
+    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    return fold_up(taxa, own, {"found": union}).filter(F.size("found") > 0).select("uid", F.array_sort("found").alias("found"))
 
 
 def mrca(taxa: DataFrame, names: DataFrame) -> DataFrame:
     """uid, depth, n_found of the deepest taxon with all of ``names`` (uid) at or below."""
     total = names.select("uid").distinct().join(taxa.select("uid"), "uid", "left_semi")
     n = total.count()
-    pairs = closure(taxa).join(total.withColumnRenamed("uid", "des"), "des").groupBy(F.col("anc").alias("uid")).agg(F.count("des").alias("n_found"))
-    return pairs.filter(F.col("n_found") == n).join(depths(taxa).select("uid", "depth"), "uid").orderBy(F.desc("depth"), "uid").limit(1).select("uid", "depth", "n_found")
+    found = fold_up(taxa, total.select("uid", F.lit(1).cast("long").alias("n_found")), {"n_found": F.sum})
+    return found.filter(F.col("n_found") == n).join(depths(taxa).select("uid", "depth"), "uid").orderBy(F.desc("depth"), "uid").limit(1).select("uid", "depth", "n_found")
 
 
 def overlap_children(taxa: DataFrame, top: str, names: DataFrame) -> DataFrame:
     """uid, n_found, n_tips, overlap (only, mainly, minor, none) of the children of ``top``."""
     kids = taxa.filter(F.col("par_id") == top).select("uid")
-    found = union_below(taxa, names.select("uid", F.col("uid").alias("value"))).select("uid", F.size("found").cast("long").alias("n_found"))
-    out = kids.join(tips_below(taxa), "uid").join(found, "uid", "left").withColumn("n_found", F.coalesce("n_found", F.lit(0)))
+    one = lambda df, c: df.select("uid").distinct().withColumn(c, F.lit(1).cast("long"))
+    counts = fold_up(taxa, one(leaves(taxa), "n_tips").join(one(names, "n_found"), "uid", "full"), {"n_tips": F.sum, "n_found": F.sum})
+    out = kids.join(counts, "uid").withColumn("n_found", F.coalesce("n_found", F.lit(0)))
     kind = F.when(F.col("n_found") == 0, "none").when(F.col("n_found") == F.col("n_tips"), "only").when(2 * F.col("n_found") > F.col("n_tips"), "mainly").otherwise("minor")
     return out.select("uid", "n_found", "n_tips", kind.alias("overlap"))
-

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..model import IGNORED_SYNONYM_TYPES, SPECIES, SYNONYM_TYPES, is_specimen_based
 from ..staging import staged
+from .folds import intervals, within
 from .hierarchy import closure, leaves, rank_ranges
 
 # Bits of a match.
@@ -114,10 +115,21 @@ def bipartition(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.select("name", kind.alias("category"))
 
 
-def genus_species_search(a: DataFrame, b: DataFrame) -> DataFrame:
-    """a_uid, b_uid of species (uid, genus, epithet) that agree in any genus and any epithet of theirs."""
-    left, right = a.select(F.col("uid").alias("a_uid"), "genus", "epithet").distinct(), b.select(F.col("uid").alias("b_uid"), "genus", "epithet").distinct()
-    return left.join(right, ["genus", "epithet"]).select("a_uid", "b_uid").distinct()
+def genus_species_search(sought: DataFrame, taxa: DataFrame, species: DataFrame) -> DataFrame:
+    """uid, genus_uid, found: the species below a genus of the sought name that bear both sought names.
+
+    ``sought`` and ``species`` have (uid, genus, epithet), the latter's uids are
+    of ``taxa``.  A species of these names elsewhere in the tree is no match.
+    Names that are null match nothing; genera within genera all count.
+    """
+    labels = staged(intervals(taxa).select("uid", "first", "last"))
+    genera = taxa.filter("rank = 'genus'").select(F.col("uid").alias("genus_uid"), F.col("name").alias("genus")).join(labels.withColumnRenamed("uid", "genus_uid"), "genus_uid")
+    # each genus is asked once for each epithet that is sought in it
+    names = sought.select("genus", "epithet").distinct()
+    spans = staged(genera.join(names, "genus").select("genus_uid", "genus", "epithet", "first", "last"))
+    points = species.select(F.col("uid").alias("found"), "genus", "epithet").join(labels.select(F.col("uid").alias("found"), F.col("first").alias("at")), "found")
+    found = within(points, spans, "at", "first", "last", ("genus", "epithet")).filter("found <> genus_uid")
+    return sought.select("uid", "genus", "epithet").join(found, ["genus", "epithet"]).select("uid", "genus_uid", "found").distinct()
 
 
 def map_classes(edges: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..model import NON_SEPARATING_RANKS, stable_sources
 from ..staging import staged
-from .hierarchy import absorb, closure, leaves, roots, tips_below
+from .hierarchy import absorb, leaves, roots, tips_below
 
 MIN_TIPS, FOLD = 20, 5000
 
@@ -34,8 +34,8 @@ def by_name(taxa: DataFrame, name: str) -> DataFrame:
 
 def confirmed(taxa: DataFrame, found: DataFrame) -> DataFrame:
     """Those of ``found`` that lie below no other."""
-    pairs = closure(taxa).filter("dist > 0")
-    nested = pairs.join(found.select(F.col("uid").alias("anc")), "anc", "left_semi").select(F.col("des").alias("uid")).distinct()
+    near = absorb(taxa, found).filter("stop is not null").select(F.col("uid").alias("par_id"))
+    nested = taxa.select("uid", "par_id").join(near, "par_id", "left_semi").select("uid")
     return found.join(nested, "uid", "left_anti")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import model
 from ..functions import names
-from ..operators import diff, hierarchy, normalize, partition, reconcile, semgraph
+from ..operators import diff, folds, hierarchy, normalize, partition, reconcile, semgraph
 from ..sources import catalog, writers
 from .catalogue import _CLASSES, HEAD, ORACLES, _edges, listed, query
 from .views import SY, TX, TX2, sy, table, tx, tx2
@@ -28,7 +28,7 @@ _NO = "TRY_CAST(substr({}, 2) AS BIGINT)"
 def tx_contains(spark, d):
     c = table(spark, d, "customer")
     tests = c.select(F.concat(F.lit("r"), (F.col("c_custkey") % 5).cast("string")).alias("first"), F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("second"))
-    return hierarchy.contains(hierarchy.closure(tx(spark, d)), tests)
+    return hierarchy.contains(tx(spark, d), tests)
 
 
 @query(f"{HEAD} SELECT t.uid, t.name FROM tx t JOIN cl ON cl.des = t.uid WHERE cl.anc = 'r1' AND t.rank = 'genus'")
@@ -130,10 +130,37 @@ def found_names(spark, d):
     return reconcile.found_names(t, sy(spark, d), labels)
 
 
-@query("SELECT DISTINCT CAST(a.p_partkey AS VARCHAR) AS a_uid, CAST(b.p_partkey AS VARCHAR) AS b_uid FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_name = b.p_name WHERE a.p_size < 25 AND b.p_size >= 25")
+# three genera have each name; every fifth species bears the name of a genus that it is not in
+_GENERA = """gt AS (SELECT uid, par_id, CASE WHEN rank = 'genus' THEN concat('G', CAST(FLOOR(TRY_CAST(substr(uid, 2) AS BIGINT) / 3) AS BIGINT)) ELSE name END AS name, rank FROM tx),
+gs AS (SELECT uid, concat('G', CAST(FLOOR(TRY_CAST(substr(par_id, 2) AS BIGINT) / 3) AS BIGINT) + CASE WHEN TRY_CAST(substr(uid, 2) AS BIGINT) % 5 = 0 THEN 1 ELSE 0 END) AS genus,
+  concat('e', TRY_CAST(substr(uid, 2) AS BIGINT) % 7) AS epithet FROM tx WHERE rank = 'species')"""
+_SOUGHT = "SELECT CAST(p_partkey AS VARCHAR(20)) AS uid, concat('G', CAST(FLOOR(p_partkey / 4) AS BIGINT)) AS genus, concat('e', p_size % 7) AS epithet FROM part"
+
+
+@query(f"""{HEAD}, {_GENERA}, q AS ({_SOUGHT}) SELECT DISTINCT q.uid, g.uid AS genus_uid, s.uid AS found FROM q JOIN gt g ON g.rank = 'genus' AND g.name = q.genus
+JOIN gs s ON s.genus = q.genus AND s.epithet = q.epithet JOIN cl ON cl.anc = g.uid AND cl.des = s.uid""")
 def genus_species_search(spark, d):
-    p = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("uid"), F.col("p_brand").alias("genus"), F.col("p_name").alias("epithet"), "p_size")
-    return reconcile.genus_species_search(p.filter("p_size < 25"), p.filter("p_size >= 25"))
+    frames = {"tx": tx(spark, d), "part": table(spark, d, "part")}
+    of = lambda name: spark.sql(f"WITH {_GENERA} SELECT * FROM {name}".replace("FROM tx", "FROM {tx}"), tx=frames["tx"])
+    return reconcile.genus_species_search(spark.sql(_SOUGHT.replace("FROM part", "FROM {part}"), part=frames["part"]), of("gt"), of("gs"))
+
+
+# --- folds
+
+@query(f"""{HEAD}, leaf AS (SELECT cl.anc, max(cl.dist) AS height FROM cl JOIN tips ON tips.uid = cl.des GROUP BY cl.anc)
+SELECT cl.anc AS uid, count(*) AS n_nodes, any_value(leaf.height) AS height, min(tx.name) AS first_name, count(*) FILTER (tx.rank = 'genus') AS n_genera FROM cl JOIN tx ON tx.uid = cl.des JOIN leaf ON leaf.anc = cl.anc GROUP BY cl.anc""")
+def h_fold_values(spark, d):
+    t = tx(spark, d)
+    own = t.select("uid", F.lit(1).cast("long").alias("n_nodes"), F.lit(0).cast("long").alias("height"), F.col("name").alias("first_name"), (F.col("rank") == "genus").cast("long").alias("n_genera"))
+    return folds.fold_up(t, own, {"n_nodes": F.sum, "height": F.max, "first_name": F.min, "n_genera": F.sum}, {"height": lambda c, k: c + k})
+
+
+@query(f"{HEAD}, k AS (SELECT anc AS uid, count(*) AS n FROM cl GROUP BY anc), dp AS (SELECT des AS uid, max(dist) AS depth FROM cl GROUP BY des), "
+       "w AS (SELECT uid, [uid] AS path FROM tx WHERE par_id IS NULL UNION ALL SELECT t.uid, list_append(w.path, t.uid) FROM w JOIN tx t ON t.par_id = w.uid), "
+       "o AS (SELECT uid, row_number() OVER (ORDER BY path) AS first FROM w) "
+       "SELECT o.uid, CAST(dp.depth AS BIGINT) AS depth, o.first, o.first + k.n - 1 AS last FROM o JOIN k ON k.uid = o.uid JOIN dp ON dp.uid = o.uid")
+def h_intervals(spark, d):
+    return folds.intervals(tx(spark, d))
 
 
 @query(f"WITH {_CLASSES} SELECT main, ref FROM m WHERE class = 'unique'")

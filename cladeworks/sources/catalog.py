@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.hierarchy import closure, preorder
+from ..operators.folds import intervals
+from ..operators.hierarchy import absorb, closure
+from ..staging import staged
 
 
 def registry(spark: SparkSession, folder: str, skip: tuple[str, ...] = ()) -> DataFrame:
@@ -25,9 +27,12 @@ def registry(spark: SparkSession, folder: str, skip: tuple[str, ...] = ()) -> Da
 def inherited(resources: DataFrame, fields: list[str]) -> DataFrame:
     """``id``, ``base`` and each field, taken from the nearest resource up the chain of bases that has it."""
     tree = resources.select(F.col("id").alias("uid"), F.col("base").alias("par_id"))
-    pairs = closure(tree).join(resources.select(F.col("id").alias("anc"), *fields), "anc")
-    near = [F.min_by(f, F.when(F.col(f).isNotNull(), F.col("dist"))).alias(f) for f in fields]
-    return pairs.groupBy(F.col("des").alias("id")).agg(*near).join(resources.select("id", "base"), "id").select("id", "base", *fields)
+    out = resources.select("id", "base")
+    for f in fields:
+        own = resources.filter(F.col(f).isNotNull()).select(F.col("id").alias("stop"), f)
+        near = absorb(tree, own.select(F.col("stop").alias("uid"))).filter("stop is not null")
+        out = out.join(near.join(own, "stop").select(F.col("uid").alias("id"), f), "id", "left")
+    return out.select("id", "base", *fields)
 
 
 def aliases(resources: DataFrame) -> DataFrame:
@@ -42,13 +47,18 @@ def aliases(resources: DataFrame) -> DataFrame:
 def terminal(resources: DataFrame) -> DataFrame:
     """id, terminal: the last in preorder of the resources at or below each."""
     tree = resources.select(F.col("id").alias("uid"), F.col("base").alias("par_id"))
-    walk = preorder(tree).select(F.col("uid").alias("des"), "preorder_idx")
-    return closure(tree).join(walk, "des").groupBy(F.col("anc").alias("id")).agg(F.max_by("des", "preorder_idx").alias("terminal"))
+    labels = staged(intervals(tree))
+    return labels.select(F.col("uid").alias("id"), F.col("last").alias("first")).join(labels.select(F.col("uid").alias("terminal"), "first"), "first").select("id", "terminal")
 
 
 def licences(resources: DataFrame) -> DataFrame:
     """id, licence, place: the distinct licences up the chain of bases, nearest first."""
     tree = resources.select(F.col("id").alias("uid"), F.col("base").alias("par_id"))
-    rows = closure(tree).join(resources.select(F.col("id").alias("anc"), "licence"), "anc").filter("licence is not null")
+    # paths over the resources with a licence only, each reached from the nearest one at or above
+    licensed = resources.filter("licence is not null").select(F.col("id").alias("uid"), "licence")
+    near = staged(absorb(tree, licensed).filter("stop is not null"))
+    own = tree.join(licensed.select("uid"), "uid", "left_semi").join(near.select(F.col("uid").alias("par_id"), F.col("stop").alias("up")), "par_id", "left")
+    pairs = closure(own.select("uid", F.col("up").alias("par_id"))).join(licensed.withColumnRenamed("uid", "anc"), "anc").withColumnRenamed("des", "stop")
+    rows = near.join(pairs, "stop").select(F.col("uid").alias("des"), "licence", "dist")
     first = rows.groupBy(F.col("des").alias("id"), "licence").agg(F.min("dist").alias("dist"))
     return first.select("id", "licence", F.row_number().over(Window.partitionBy("id").orderBy("dist", "licence")).alias("place"))
