@@ -66,8 +66,8 @@ def sums_to_root(taxa: DataFrame, weights: DataFrame, columns: tuple[str, ...])
     raise ValueError("paths too long")
 
 
-def sums_before(df: DataFrame, group: str, order: list[str], value: str, name: str) -> DataFrame:
-    """``df`` with ``name``: the sum of ``value`` over the rows before it in its group, in the order of ``order``.
+def sums_before(df: DataFrame, group: str, order: list[str], sums: dict[str, str]) -> DataFrame:
+    """``df`` with, by name, the sum of a column over the rows before it in its group, in the order of ``order``.
 
     Rows are dealt to ranges of (group, order), so a group of any size spans
     many tasks; only a range's first group can go on from the range before, so
@@ -75,12 +75,13 @@ def sums_before(df: DataFrame, group: str, order: list[str], value: str, name: s
     """
     ordered = staged(df.orderBy(group, *order).withColumn("__part", F.spark_partition_id()))
     own = Window.partitionBy("__part", group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    parts = ordered.groupBy("__part", group).agg(F.sum(value).alias("__sum"))
+    parts = ordered.groupBy("__part", group).agg(*[F.sum(value).alias(f"__{name}") for name, value in sums.items()])
     earlier = Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    carry = parts.withColumn("__carry", F.sum("__sum").over(earlier)).filter("__carry is not null").select("__part", F.col(group).alias("__group"), "__carry")
-    summed = ordered.withColumn(name, F.coalesce(F.sum(value).over(own), F.lit(0)))
-    out = summed.join(F.broadcast(carry), (summed["__part"] == carry["__part"]) & summed[group].eqNullSafe(F.col("__group")), "left")  # a row a range
-    return out.select(*[summed[c] for c in df.columns], (F.col(name) + F.coalesce("__carry", F.lit(0))).alias(name))
+    carry = parts.select("__part", F.col(group).alias("__group"), F.row_number().over(Window.partitionBy(group).orderBy("__part")).alias("__k"), *[F.sum(f"__{name}").over(earlier).alias(f"__{name}") for name in sums])
+    summed = ordered.withColumns({name: F.coalesce(F.sum(value).over(own), F.lit(0)) for name, value in sums.items()})
+    carry = carry.filter("__k > 1").drop("__k")  # a row a range at most
+    out = summed.join(F.broadcast(carry), (summed["__part"] == carry["__part"]) & summed[group].eqNullSafe(F.col("__group")), "left")
+    return out.select(*[summed[c] for c in df.columns], *[(F.col(name) + F.coalesce(f"__{name}", F.lit(0))).alias(name) for name in sums])
 
 
 def sizes(taxa: DataFrame) -> DataFrame:
@@ -99,7 +100,7 @@ def intervals(taxa: DataFrame, key: str = "uid") -> DataFrame:
     parents = taxa.select(F.col("uid").alias("par_id")).withColumn("__known", F.lit(True))
     sized = taxa.select(*cols).join(sizes(taxa), "uid").join(parents, "par_id", "left")
     sized = sized.withColumn("__top", F.when(F.col("__known"), F.col("par_id"))).drop("__known")
-    placed = sums_before(sized, "__top", list(dict.fromkeys((key, "uid"))), "n_nodes", "__earlier")
+    placed = sums_before(sized, "__top", list(dict.fromkeys((key, "uid"))), {"__earlier": "n_nodes"})
     weights = staged(placed.select("uid", "n_nodes", (F.col("__earlier") + 1).alias("first"), F.lit(1).cast("long").alias("depth")))
     found = sums_to_root(taxa, weights, ("first", "depth")).join(weights.select("uid", "n_nodes"), "uid")
     return found.select("uid", (F.col("depth") - 1).alias("depth"), "first", (F.col("first") + F.col("n_nodes") - 1).alias("last"))

@@ -7,9 +7,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.folds import intervals
+from ..operators.hierarchy import absorb
 from ..sources import readers
 from ..staging import shared_root
 from .catalogue import listed, query
@@ -281,3 +283,26 @@ def read_col_taxa(spark, d):
 @query(f"WITH {TX} SELECT par_id AS uid, concat(name, chr(10), 'second line') AS name, uid AS syn_id FROM tx WHERE rank = 'species' AND {_NO.format('uid')} % 4 = 0")
 def read_col_synonyms(spark, d):
     return _col(spark, d)[1].select("uid", "name", "syn_id")
+
+
+# --- trees as text: one file a phylum, siblings by uid
+
+_SUBTREES = """w AS (SELECT uid AS tree, uid, par_id, name, rank, [uid] AS path FROM tx WHERE rank = 'phylum' UNION ALL SELECT w.tree, t.uid, t.par_id, t.name, t.rank, list_append(w.path, t.uid) FROM w JOIN tx t ON t.par_id = w.uid),
+o AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY path) - 1 AS i FROM w)"""
+
+
+@query(f"WITH RECURSIVE {TX}, {_SUBTREES} SELECT a.tree, CAST(a.i AS VARCHAR) AS uid, CAST(b.i AS VARCHAR) AS par_id, concat(a.name, ', ', a.uid) AS name, a.rank FROM o a LEFT JOIN o b ON b.tree = a.tree AND b.uid = a.par_id")
+def read_newick(spark, d):
+    t = tx(spark, d)
+    below = t.filter("rank in ('phylum', 'genus', 'species')")
+    own = absorb(below, below.filter("rank = 'phylum'")).withColumnRenamed("stop", "tree")
+    labelled = below.select("uid", F.concat(F.lit("'"), "rank", F.lit("="), "name", F.lit(", "), "uid", F.lit("'")).alias("label"))
+    nodes = own.join(intervals(below), "uid").join(labelled, "uid")
+    order = Window.partitionBy("tree").orderBy("last", F.desc("depth"))
+    rows = nodes.select("tree", "label", "depth", "last", (F.col("first") == F.col("last")).alias("leaf"), F.lag("depth").over(order).alias("before"))
+    opened = F.expr("repeat('(', cast(depth - coalesce(before, 0) as int))")
+    text = F.when(F.col("leaf"), F.concat(F.when(F.col("before").isNotNull(), ",").otherwise(""), opened, "label")).otherwise(F.concat(F.lit(")"), "label"))
+    rows = rows.select("tree", "last", "depth", F.concat(text, F.when(F.col("depth") == 0, ";").otherwise("")).alias("value"))
+    path = _folder(spark)
+    rows.repartition("tree").sortWithinPartitions("tree", "last", F.desc("depth")).select("tree", "value").write.partitionBy("tree").text(path)
+    return readers.newick(spark, path).withColumn("tree", F.regexp_extract("tree", "tree=([^/]*)", 1))

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from .. import model
 from ..functions.names import canonical
 from ..operators import normalize
+from ..operators.folds import intervals, sums_before
+from ..staging import staged
 
 SEP = "\t|\t"
 
@@ -240,33 +242,52 @@ def plant_list(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return taxa, rows.filter("not (status = 'accepted' or rank = 'genus')")
 
 
-def newick(spark: SparkSession, text: str) -> DataFrame:
-    """uid (preorder index), par_id, name, rank of a tree whose labels are ``name`` or ``rank=name``; a node without label raises.
+_MARKS = r"'(?:[^']|'')*'|\[[^\]]*\]|[();]|:[^(),;\[]*|[^(),;:\[\]\s'](?:[^(),;:\[\]']*[^(),;:\[\]\s'])?"
 
-    The text is one value; it is cut into marks by expressions, and depth is a
-    running sum over them.
+
+def newick(spark: SparkSession, path: str) -> DataFrame:
+    """tree, uid (preorder index from 0), par_id, name, rank of trees whose labels are ``name`` or ``rank=name``.
+
+    Each file below ``path`` is one tree and is read in byte ranges, cut at its
+    commas.  A label in quotes may hold commas and brackets; lengths and
+    comments in square brackets (without commas or quotes) are left out.  Depth
+    is a prefix sum of the brackets over ranges of the text; a node's parent is
+    the next label one level up, found by counting these labels.  A node
+    without a label, and brackets that do not match, raise; no file, no rows.
     """
-    from pyspark.sql import Window
-
-    row = spark.range(1).select(F.posexplode(F.regexp_extract_all(F.lit(text.strip()), F.lit(r"('(?:[^']|'')*'|[^(),;:\s']+(?: [^(),;:\s']+)*|[(),;]|:[^(),;]*)"), F.lit(1))).alias("i", "m"))
-    order = Window.orderBy("i")
-    step = F.when(F.col("m") == "(", 1).when(F.col("m") == ")", -1).otherwise(0)
-    marks = row.filter(~F.col("m").startswith(":")).withColumn("depth", F.sum(step).over(order)).withColumn("next", F.lead("m").over(order))
-    bare = marks.filter((F.col("m").isin("(", ",") & F.col("next").isin(",", ")")) | ((F.col("m") == ")") & F.col("next").isin(",", ")", ";")))
-    if not bare.isEmpty():
-        raise ValueError("a node without a label")
-    labels = marks.filter(~F.col("m").isin("(", ")", ",", ";")).select("i", "depth", F.replace(F.regexp_replace("m", "^'|'$", ""), F.lit("''"), F.lit("'")).alias("label"))
-    # a label of an inner node follows its ')': its parent is the next label one level up
-    up = labels.select(F.col("i").alias("pi"), F.col("depth").alias("pd"))
-    parent = labels.join(up, (F.col("pd") == F.col("depth") - 1) & (F.col("pi") > F.col("i")), "left").groupBy("i", "depth", "label").agg(F.min("pi").alias("pi"))
-    from ..operators.hierarchy import preorder
-
-    key = lambda c: F.lpad(c.cast("string"), 9, "0")
-    tree = parent.select(key(F.col("i")).alias("uid"), key(F.col("pi")).alias("par_id"), "label")
-    walk = preorder(tree).select("uid", F.col("preorder_idx").cast("string").alias("id"))
+    raw = spark.read.option("lineSep", ",").text(path).select("value", F.col("_metadata.file_path").alias("tree"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    raw = raw.withColumn("quotes", F.length("value") - F.length(F.replace("value", F.lit("'"))))
+    cut = staged(sums_before(raw, "tree", ["block", "at"], {"before": "quotes"}))
+    inside = F.col("before") % 2 == 1
+    if not cut.filter(inside).isEmpty():  # commas within quotes: the pieces of a label go together again
+        numbered = sums_before(cut.withColumn("begins", (~inside).cast("long")), "tree", ["block", "at"], {"begun": "begins"})
+        pieces = numbered.groupBy("tree", (F.col("begun") + F.col("begins")).alias("piece")).agg(F.sort_array(F.collect_list(F.struct("block", "at", "value"))).alias("p"))
+        cut = pieces.select("tree", F.col("p")[0]["block"].alias("block"), F.col("p")[0]["at"].alias("at"), F.array_join(F.col("p.value"), ",").alias("value"))
+    marks = F.filter(F.regexp_extract_all("value", F.lit(_MARKS), F.lit(0)), lambda m: ~m.startswith(":") & ~m.startswith("["))
+    kinds = F.array_join(F.transform("marks", lambda m: F.when(m.isin("(", ")", ";"), m).otherwise("L")), "")
+    checked = F.when(kinds.rlike(r"^\(*L(\)L)*;?$"), F.col("marks")).otherwise(F.raise_error(F.concat(F.lit("a node without a label, or with two, near: "), F.substring("value", 1, 60))).cast("array<string>"))
+    flat = cut.withColumn("marks", marks).select("tree", "block", "at", F.posexplode(checked).alias("i", "m"))
+    step = F.when(F.col("m") == "(", 1).when(F.col("m") == ")", -1).otherwise(0).cast("long")
+    is_label = (~F.col("m").isin("(", ")", ";")).cast("long")
+    placed = sums_before(flat.withColumns({"step": step, "is_label": is_label}), "tree", ["block", "at", "i"], {"depth": "step", "place": "is_label"})
+    nodes = staged(placed.filter("is_label = 1").select("tree", "depth", "place", F.replace(F.regexp_replace("m", "^'|'$", ""), F.lit("''"), F.lit("'")).alias("label")))
+    odd = nodes.groupBy("tree").agg(F.count_if(F.col("depth") == 0).alias("roots"), F.min("depth").alias("least")).filter("roots <> 1 or least < 0").limit(1).collect()
+    if odd:
+        raise ValueError(f"brackets do not match in {odd[0]['tree']}")
+    # labels come after their children's: the parent is the first label one level up that is yet to come
+    level = lambda d, v: nodes.select(F.struct("tree", (F.col("depth") + d).alias("depth")).alias("level"), "place", F.lit(v).cast("long").alias("answers"))
+    counted = staged(sums_before(level(-1, 0).unionByName(level(0, 1)), "level", ["place"], {"nth": "answers"}))
+    up = counted.filter("answers = 0").join(counted.filter("answers = 1").select("level", "nth", F.col("place").alias("parent")), ["level", "nth"])
+    key = lambda place: F.struct("tree", place)
+    edges = up.select(F.struct("level.tree", "place").alias("uid"), F.struct("level.tree", F.col("parent").alias("place")).alias("par_id"))
+    tree = staged(nodes.select(key("place").alias("uid"), "tree", "label").join(edges, "uid", "left"))
+    walk = intervals(tree.select("uid", "par_id")).select("uid", "first")
+    start = walk.groupBy("uid.tree").agg(F.min("first").alias("start"))
+    walk = staged(walk.select("uid", F.col("uid.tree").alias("tree"), "first").join(start, "tree").select("uid", (F.col("first") - F.col("start")).cast("string").alias("id")))
     named = tree.join(walk, "uid").join(walk.select(F.col("uid").alias("par_id"), F.col("id").alias("pid")), "par_id", "left")
     ranked = F.col("label").contains("=")
-    return named.select(F.col("id").alias("uid"), F.col("pid").alias("par_id"), F.when(ranked, F.substring_index("label", "=", -1)).otherwise(F.col("label")).alias("name"), F.when(ranked, F.substring_index("label", "=", 1)).otherwise("no rank").alias("rank"))
+    name = F.when(ranked, F.trim(F.substring_index("label", "=", -1))).otherwise(F.col("label"))
+    return named.select("tree", F.col("id").alias("uid"), F.col("pid").alias("par_id"), name.alias("name"), F.when(ranked, F.trim(F.substring_index("label", "=", 1))).otherwise("no rank").alias("rank"))
 
 
 # Predicates of the additional properties by what they say.

@@ -61,11 +61,6 @@ def test_silva_fasta_plants(spark, tmp_path):
     assert _rows(taxa, "uid", "par_id", "rank") == [("1", "auto:Aus", "species"), ("2", "1", "varietas"), ("auto:Aus", None, "genus")] and other.count() == 1
 
 
-def test_newick(spark):
-    out = readers.newick(spark, "((a,'b c')genus=X,species=d)root;")
-    assert _rows(out, "uid", "par_id", "name", "rank") == sorted([("1", None, "root", "no rank"), ("2", "1", "X", "genus"), ("3", "2", "a", "no rank"), ("4", "2", "b c", "no rank"), ("5", "1", "d", "species")], key=str)
-
-
 def test_wikidata(spark, tmp_path):
     claim = lambda v: '[{"mainsnak":{"datavalue":{"value":%s}}}]' % v
     (tmp_path / "w.json").write_text('[\n{"id":"Q5","claims":{"P31":%s,"P171":%s,"P225":%s}},\n{"id":"Q6","claims":{"P31":%s}}\n]\n' % (claim('{"id":"Q16521"}'), claim('{"id":"Q4"}'), claim('"Aus"'), claim('{"id":"Q1"}')))
