@@ -429,6 +429,52 @@ def names_by_rank(spark, d):
     return tx(spark, d).select("uid", p.alias("p")).select("uid", "p.genus", F.col("p.higher_group_name").alias("higher"), F.col("p.sp_epithet").alias("epithet"))
 
 
+# forms of a name by what a parser should find: {g} a genus, {e} and {f} epithets of a part
+_NAME_FORMS = (
+    # text, genus, subgenus, epithet, infra, higher, rank, authors, year, original authors, original year, code, undescribed
+    ("{g}", None, None, None, None, "{g}", "clade", None, None, None, None, None, 0),
+    ("{g} Smith & Jones, 1950", None, None, None, None, "{g}", "clade", "Smith & Jones", "1950", None, None, None, 0),
+    ("{g} (Smith, 1900)", None, None, None, None, "{g}", "clade", None, None, "Smith", "1900", None, 0),
+    ("{g} (Bus)", "{g}", "Bus", None, None, None, "clade", None, None, None, None, None, 0),
+    ("{g} (Bus) Smith, 1901", "{g}", "Bus", None, None, None, "clade", "Smith", "1901", None, None, None, 0),
+    ("{g} subgen. Bus", "{g}", "Bus", None, None, None, "clade", None, None, None, None, None, 0),
+    ("{g} {e}", "{g}", None, "{e}", None, None, "species", None, None, None, None, None, 0),
+    ("{g} {e} L.", "{g}", None, "{e}", None, None, "species", "L.", None, None, None, None, 0),
+    ("{g}  {e}  (L., 1758)", "{g}", None, "{e}", None, None, "species", None, None, "L.", "1758", None, 0),
+    ("{g} {e} (L., 1758) Mill., 1800", "{g}", None, "{e}", None, None, "species", "Mill.", "1800", "L.", "1758", None, 0),
+    ("{g} {e} ex Smith, 1901", "{g}", None, "{e}", None, None, "species", "ex Smith", "1901", None, None, None, 0),
+    ("{g} {e} Smith ex Jones", "{g}", None, "{e}", None, None, "species", "Smith ex Jones", None, None, None, None, 0),
+    ("{g} {e} van der Berg, 1999", "{g}", None, "{e}", None, None, "species", "van der Berg", "1999", None, None, None, 0),
+    ("{g} {e} de Vries", "{g}", None, "{e}", None, None, "species", "de Vries", None, None, None, None, 0),
+    ("{g} {e} Hook. f.", "{g}", None, "{e}", None, None, "species", "Hook. f.", None, None, None, None, 0),
+    ("{g} (Bus) {e}", "{g}", "Bus", "{e}", None, None, "species", None, None, None, None, None, 0),
+    ("{g} (Bus) {e} Smith, 1901", "{g}", "Bus", "{e}", None, None, "species", "Smith", "1901", None, None, None, 0),
+    ("{g} {e} {f}", "{g}", None, "{e}", "{f}", None, "infraspecies", None, None, None, None, None, 0),
+    ("{g} {e} var. {f} L.", "{g}", None, "{e}", "{f}", None, "infraspecies", "L.", None, None, None, None, 0),
+    ("{g} {e} L. f. {f} Mill.", "{g}", None, "{e}", "{f}", None, "infraspecies", "Mill.", None, None, None, None, 0),
+    ("{g} {e} subsp. {f} (DC.) Hook.", "{g}", None, "{e}", "{f}", None, "infraspecies", "Hook.", None, "DC.", None, None, 0),
+    ("{g} sp. XY12", "{g}", None, None, None, None, "clade", None, None, None, None, "XY12", 1),
+    ("{g} {e} cf. {f}", "{g}", None, "{e}", None, None, "species", None, None, None, None, "{f}", 1),
+    ("Candidatus {g} {e}", "{g}", None, "{e}", None, None, "species", None, None, None, None, None, 0),
+    ("{g} {e} × {g} {f}", None, None, None, None, None, None, None, None, None, None, None, 0),
+    ("{g} mosaic virus", None, None, None, None, "{g} mosaic virus", "clade", None, None, None, None, None, 0),
+)
+_FORM_PARTS = ("text", "genus", "subgenus", "sp_epithet", "infra_epithet", "higher_group_name", "apparent_rank", "authors", "year", "original_authors", "original_year", "specimen_code")
+_PART_WORDS = "concat(upper(substr(p_name, 1, 1)), substr(split_part(p_name, ' ', 1), 2))", "split_part(p_name, ' ', 2)", "concat(split_part(p_name, ' ', 2), 'ensis')"
+
+
+def _form(part: int) -> str:
+    """SQL of one part of the form that a part's key picks."""
+    text = lambda v: "CAST(NULL AS VARCHAR(99))" if v is None else "concat('" + v.replace("{g}", f"', {_PART_WORDS[0]}, '").replace("{e}", f"', {_PART_WORDS[1]}, '").replace("{f}", f"', {_PART_WORDS[2]}, '") + "')"
+    return f"CASE p_partkey % {len(_NAME_FORMS)} " + " ".join(f"WHEN {k} THEN {text(form[part])}" for k, form in enumerate(_NAME_FORMS)) + " END"
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS uid, " + ", ".join(f"{_form(k)} AS {c}" for k, c in enumerate(_FORM_PARTS) if k) + f", p_partkey % {len(_NAME_FORMS)} IN ({', '.join(str(k) for k, f in enumerate(_NAME_FORMS) if f[-1])}) AS undescribed FROM part")
+def name_parse_forms(spark, d):
+    rows = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("uid"), F.expr(_form(0)).alias("text"))
+    return rows.select("uid", names.parsed(F.col("text")).alias("p")).select("uid", *[f"p.{c}" for c in _FORM_PARTS[1:]], "p.undescribed")
+
+
 # orders lie in the fragment of their key's last digit; the other side has no digit above 6, and moves every order whose key leaves 0 of 11 on by one
 @query(f"WITH {TX}, f AS (SELECT uid, name, {_NO.format('uid')} AS n FROM tx WHERE rank = 'species') SELECT CAST(n % 10 AS VARCHAR) AS fragment, uid, CASE WHEN n % 11 <> 0 THEN 'VALID_SP_MAIN_VALID_SP' END AS status, CASE WHEN n % 11 <> 0 THEN name END AS name FROM f WHERE n % 10 <= 6")
 def align_fragments(spark, d):
