@@ -149,13 +149,31 @@ def map_classes(edges: DataFrame) -> DataFrame:
 
 def snarls(classes: DataFrame) -> DataFrame:
     """members: the sets of taxa that share targets with a snarled one, those inside another left out."""
-    rows = classes.filter("class = 'snarl'").select("main", "ref")
-    near = rows.join(rows.select(F.col("main").alias("other"), "ref"), "ref").groupBy("main").agg(F.array_sort(F.collect_set("other")).alias("members"))
-    sets = staged(near.select("members").distinct())
-    # a set inside another shares each member with it, so candidates meet on a member
-    flat = sets.select("members", F.explode("members").alias("m"))
-    inside = flat.join(flat.select(F.col("members").alias("larger"), "m"), "m").filter((F.size("larger") > F.size("members")) & (F.size(F.array_except("members", "larger")) == 0))
-    return sets.join(inside.select("members").distinct(), "members", "left_anti")
+    rows = staged(classes.filter("class = 'snarl'").select("main", "ref").distinct())
+    # a target that only one taxon has adds nothing to that taxon's set; taxa with the same shared targets have one set
+    shared = staged(rows.join(rows.groupBy("ref").count().filter("count > 1").select("ref"), "ref", "left_semi"))
+    targets = staged(shared.groupBy("main").agg(F.array_sort(F.collect_set("ref")).alias("refs")).select("refs").distinct())
+    near = targets.select("refs", F.explode("refs").alias("ref")).join(shared, "ref").groupBy("refs").agg(F.array_sort(F.collect_set("main")).alias("members"))
+    alone = rows.select("main").distinct().join(shared.select("main"), "main", "left_anti").select(F.array("main").alias("members"))
+    sets = staged(near.select("members").distinct().unionByName(alone).withColumn("id", F.monotonically_increasing_id()))
+    return sets.join(contained_sets(sets.select("id", F.explode("members").alias("member"))), "id", "left_anti").select("members")
+
+
+def contained_sets(flat: DataFrame) -> DataFrame:
+    """id of the sets (id, member) that are inside a larger one.
+
+    A larger set holds each member, so also the one that the fewest sets have:
+    only the sets in that member's list are tried, and only if they are larger.
+    Sets travel as ids; a pair is settled by the count of its common members.
+    """
+    size = flat.groupBy("id").agg(F.count("member").alias("n"))
+    often = flat.groupBy("member").agg(F.count("id").alias("often"))
+    rarest = flat.join(often, "member").groupBy("id").agg(F.min(F.struct("often", "member")).alias("r"))
+    asked = rarest.filter("r.often > 1").join(size, "id").select("id", "n", F.col("r.member").alias("member"))
+    held = flat.join(size, "id").select("member", F.col("id").alias("other"), F.col("n").alias("others"))
+    tried = staged(asked.join(held, "member").filter("others > n").select("id", "n", "other"))
+    common = tried.join(flat, "id").join(flat.withColumnRenamed("id", "other"), ["other", "member"])
+    return common.groupBy("id", "n", "other").agg(F.count("member").alias("both")).filter("both = n").select("id").distinct()
 
 
 def one_to_one(classes: DataFrame) -> DataFrame:
