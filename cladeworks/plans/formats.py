@@ -258,6 +258,48 @@ def read_wikidata_entities(spark, d):
     return readers.wikidata_entities(spark, path)
 
 
+# names carry qualifiers, some ranks have a preferred and a deprecated statement, others two of one rank
+_WD_RANK = "CASE rank WHEN 'species' THEN 'species' WHEN 'genus' THEN 'genus,section' WHEN 'phylum' THEN 'phylum' WHEN 'kingdom' THEN 'kingdom' ELSE '' END"
+
+
+@query(f"""WITH {TX}, n AS (SELECT *, coalesce({_NO.format('uid')}, 0) AS k FROM tx)
+SELECT uid, par_id, name, {_WD_RANK} AS rank, CASE WHEN rank = 'species' THEN concat('Q7', k, ',Q8') ELSE '' END AS aut_id, CASE WHEN rank = 'species' THEN CAST(1800 + k % 200 AS VARCHAR) ELSE '' END AS aut_yr_id,
+CASE WHEN rank = 'species' AND k % 3 = 0 THEN 'nomen dubium' WHEN rank = 'species' AND k % 3 = 1 THEN 'nomen nudum,synonym' ELSE '' END AS nom_status,
+CASE WHEN rank = 'genus' THEN concat('gbif:', k, ',ncbi:', k + 1, ',ncbi:', k + 2) ELSE '' END AS src FROM n""")
+def read_wikidata_statements(spark, d):
+    k = F.coalesce(_number(), F.lit(0))
+    none = F.lit(None).cast("string")
+    snak = lambda v: F.format_string('{"snaktype":"value","datavalue":{"value":%s}}', v)
+    item = lambda c: F.format_string('{"id":"%s"}', c)
+    plain = lambda c: F.format_string('"%s"', c)
+    year = F.format_string('{"time":"+%d-00-00T00:00:00Z","calendarmodel":"http://www.wikidata.org/entity/Q1985727"}', F.lit(1800) + k % 200)
+
+    def said(v, rank="normal", qualifiers=None):
+        more = F.lit("") if qualifiers is None else F.concat(F.lit(',"qualifiers":{'), qualifiers, F.lit('},"references":[{"snaks":{"P248":['), snak(item(F.lit("Q99"))), F.lit("]}}]"))
+        return F.concat(F.lit('{"mainsnak":'), snak(v), F.lit(f',"rank":"{rank}"'), more, F.lit("}"))
+
+    def qualifier(p, *values):
+        return F.concat(F.lit(f'"{p}":['), F.concat_ws(",", *map(snak, values)), F.lit("]"))
+
+    status = F.when(k % 3 == 0, qualifier("P1135", item(F.lit("Q922448")))).when(k % 3 == 1, qualifier("P1135", item(F.lit("Q844326")), item(F.lit("Q1040689"))))
+    about = F.concat_ws(",", qualifier("P405", item(F.concat(F.lit("Q7"), k.cast("string"))), item(F.lit("Q8"))), qualifier("P574", year, year), status)
+    species, genus = F.col("rank") == "species", F.col("rank") == "genus"
+    ranks = F.when(species, F.concat_ws(",", said(item(F.lit("Q34740"))), said(item(F.lit("Q7432")), "preferred"), said(item(F.lit("Q36602")), "deprecated")))
+    ranks = ranks.when(genus, F.concat_ws(",", said(item(F.lit("Q34740"))), said(item(F.lit("Q0"))), said(item(F.lit("Q3181348")))))
+    ranks = ranks.when(F.col("rank") == "phylum", said(item(F.lit("Q38348")))).when(F.col("rank") == "kingdom", said(item(F.lit("Q36732"))))
+    claim = lambda p, v: F.concat(F.lit(f'"{p}":['), v, F.lit("]"))
+    claims = F.concat_ws(
+        ",", claim("P31", said(item(F.lit("Q16521")))), claim("P105", ranks), claim("P171", F.when(F.col("par_id").isNotNull(), said(item(F.col("par_id"))))),
+        claim("P225", F.when(species, said(plain(F.col("name")), "normal", about)).otherwise(said(plain(F.col("name"))))),
+        F.when(genus, F.concat_ws(",", claim("P846", said(plain(k.cast("string")))), claim("P685", F.concat_ws(",", said(plain((k + 1).cast("string"))), said(plain((k + 2).cast("string"))))))),
+    )
+    path = _folder(spark)
+    entities = tx(spark, d).select(F.concat(F.lit('{"id":"'), "uid", F.lit('","claims":{'), claims, F.lit("}},")).alias("value"))
+    others = entities.limit(1).select(F.explode(F.array(F.lit("["), F.lit("]"), F.lit('{"id":"Q1","claims":{"P31":[{"mainsnak":{"snaktype":"value","datavalue":{"value":{"id":"Q5"}}},"rank":"normal"}]}},'), none)).alias("value"))
+    entities.unionByName(others.filter("value is not null")).write.text(path)
+    return readers.wikidata_taxa(readers.wikidata_statements(spark, path))
+
+
 @query("SELECT 'p' || p_partkey AS title, CASE p_size % 4 WHEN 0 THEN 'redirect' WHEN 1 THEN 'author' WHEN 2 THEN 'taxon' ELSE 'other' END AS kind FROM part")
 def read_wikispecies(spark, d):
     text = F.element_at(F.array(*map(F.lit, ("#redirect [[x]]", "a {{Taxon authorities}}", "{{Taxonav|y}} z", "none"))), F.col("p_size") % 4 + 1)

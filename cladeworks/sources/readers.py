@@ -347,6 +347,115 @@ def wikidata_entities(spark: SparkSession, path: str, taxon_classes: tuple[str,
     return taxa.select("e.id", *[F.get(x, F.lit(0)).alias(n) for n, x in (("par_id", ids("P171")), ("name", values("P225")), ("rank_id", ids("P105")))]).withColumnRenamed("id", "uid")
 
 
+# What items of nomenclatural status and of taxon ranks are called, and prefixes of ids elsewhere by property.
+NOMENCLATURAL_STATUS = {
+    "Q1093954": "nomen illegitimum", "Q30349290": "nomen invalidum", "Q15149791": "nomen utique rejiciendum", "Q941227": "nomen conservandum",
+    "Q922448": "nomen dubium", "Q29995613": "superfluous name", "Q51165454": "typus conservandus", "Q68455470": "protected name",
+    "Q28597224": "needing care", "Q51165361": "orthographia conservanda", "Q23038368": "nomen rejiciendum propositum",
+    "Q17276482": "nomen rejiciendum", "Q749462": "replacement name", "Q15708833": "nomen conservandum propositum", "Q844326": "nomen nudum",
+    "Q122735442": "nomen praeoccupatum", "Q130297303": "not validly published name", "Q15708837": "nomen utique rejiciendum propositum",
+    "Q901847": "nomen oblitum", "Q70573632": "nomen approbatum", "Q2372065": "nomen correctum", "Q123561351": "ineditus",
+    "Q17134993": "validly published name", "Q17487588": "unavailable combination", "Q7882332": "unavailable name", "Q15709300": "nomen protectum",
+    "Q28549151": "preoccupied name", "Q1040689": "synonym", "Q42106": "synonym", "Q3766304": "species inquirenda", "Q17276484": "later homonym",
+    "Q2491016": "orthographical variant", "Q18912752": "disputed", "Q17086880": "valid", "Q14594740": "recombination",
+    "Q67943587": "genus neutrum conservandum",
+}
+RANK_ITEMS = {
+    "Q113015256": "ichnospecies", "Q1153785": "subphylum", "Q1306176": "nothospecies", "Q13198444": "subseries", "Q14817220": "supertribe",
+    "Q164280": "subfamily", "Q19858692": "superkingdom", "Q2007442": "infraclass", "Q21061204": "subterclass", "Q21074316": "hyporder",
+    "Q2111790": "superphylum", "Q2136103": "superfamily", "Q227936": "tribe", "Q2361851": "infraphylum", "Q2455704": "subfamily",
+    "Q2752679": "subkingdom", "Q279749": "form", "Q2889003": "infraorder", "Q2981883": "cohort", "Q3025161": "series", "Q3181348": "section",
+    "Q3238261": "subgenus", "Q334460": "division", "Q34740": "genus", "Q3504061": "superclass", "Q35409": "family", "Q36602": "order",
+    "Q36732": "kingdom", "Q37517": "class", "Q3825509": "forma specialis", "Q38348": "phylum", "Q3965313": "subtribe", "Q4150646": "cultivar group",
+    "Q4886": "cultivar", "Q5867051": "subclass", "Q5867959": "suborder", "Q5868144": "superorder", "Q5998839": "subsection", "Q630771": "subvariety",
+    "Q6311258": "parvorder", "Q6541077": "subcohort", "Q68947": "subspecies", "Q713623": "clade", "Q7432": "species", "Q7506274": "mirorder",
+    "Q767728": "variety", "Q10861375": "subsection", "Q3491997": "subdivision", "Q21061732": "series", "Q6045742": "nothogenus",
+    "Q6054535": "infralegion", "Q6054637": "sublegion", "Q7504331": "legion", "Q6054795": "superlegion", "Q10861426": "section",
+    "Q3150876": "infrakingdom", "Q23760204": "superdivision", "Q59779184": "nothovariety", "Q146481": "domain", "Q59772023": "nothosubspecies",
+    "Q6462265": "grandorder", "Q5469884": "form", "Q112082101": "ichnogenus", "Q1972414": "pathovar", "Q62075839": "realm",
+    "Q7574964": "species group", "Q30093105": "subdivision", "Q6054237": "magnorder", "Q1993179": "supersection", "Q23759835": "infradivision",
+    "Q3491996": "subdomain", "Q30093070": "division", "Q23759960": "nanorder", "Q38829": "breed", "Q3798630": "infratribe", "Q4226087": "infracohort",
+    "Q123575881": "group of subspecies", "Q1297859": "species aggregate", "Q60445775": "megacohort", "Q26857882": "parvkingdom", "Q855769": "strain",
+    "Q6054425": "supercohort", "Q100900625": "supersubtribe", "Q60533422": "subseries", "Q1972080": "biovar", "Q10296147": "epifamily",
+    "Q26197587": "parvclass", "Q22666877": "superdomain", "Q60922428": "megaclass",
+}
+OTHER_IDS = {"P9157": "ott", "P846": "gbif", "P10585": "col", "P685": "ncbi", "P5055": "irmng"}
+
+
+def wikidata_statements(spark: SparkSession, path: str) -> DataFrame:
+    """uid, property, place, rank, snak, value, qualifiers, references: the statements of a line-delimited entity dump.
+
+    place is the statement's among those of its property, from 0.  snak says
+    whether there is a value.  A value is the item's id, else the time, else
+    the text itself.  qualifiers and references are arrays of (property,
+    value), null values left out.  Lines that are no entities (brackets, broken
+    JSON) are skipped; an entity without statements has no rows.
+    """
+    lines = spark.read.text(path).select(F.try_parse_json(F.regexp_replace("value", r",\s*$", "")).alias("v")).filter("v is not null")
+    statements = spark.sql(
+        "SELECT try_variant_get(v, '$.id', 'string') AS uid, c.key AS property, cast(s.pos AS int) AS place, s.value AS statement "
+        "FROM {lines}, LATERAL variant_explode(try_variant_get(v, '$.claims', 'variant')) c, LATERAL variant_explode(c.value) s WHERE try_variant_get(v, '$.id', 'string') IS NOT NULL",
+        lines=lines,
+    )
+    get = lambda v, path: F.try_variant_get(v, path, "string")
+    # snaks as text with a schema: their values are items, times or text
+    snaks = "map<string, array<struct<datavalue:struct<value:string>>>>"
+
+    def value(v: Column) -> Column:
+        return F.coalesce(F.get_json_object(v, "$.id"), F.get_json_object(v, "$.time"), F.get_json_object(v, "$.text"), v)
+
+    def pairs(found: Column) -> Column:
+        flat = F.flatten(F.transform(F.map_entries(found), lambda e: F.transform(e["value"], lambda x: F.struct(e["key"].alias("property"), value(x["datavalue"]["value"]).alias("value")))))
+        return F.coalesce(F.filter(flat, lambda x: x["value"].isNotNull()), F.array().cast("array<struct<property:string,value:string>>"))
+
+    st = F.col("statement")
+    main = "$.mainsnak.datavalue.value"
+    references = F.from_json(get(st, "$.references"), f"array<struct<snaks:{snaks}>>")
+    told = F.flatten(F.transform(references, lambda r: pairs(r["snaks"])))
+    return statements.select(
+        "uid", "property", "place", F.coalesce(get(st, "$.rank"), F.lit("normal")).alias("rank"), get(st, "$.mainsnak.snaktype").alias("snak"),
+        F.coalesce(get(st, f"{main}.id"), get(st, f"{main}.time"), get(st, f"{main}.text"), get(st, main)).alias("value"),
+        pairs(F.from_json(get(st, "$.qualifiers"), snaks)).alias("qualifiers"), F.coalesce(told, F.array().cast("array<struct<property:string,value:string>>")).alias("references"),
+    )
+
+
+def truthy(statements: DataFrame) -> DataFrame:
+    """The statements that count: the preferred ones of a property, or else its normal ones; never deprecated ones."""
+    from pyspark.sql import Window
+
+    best = F.max(F.col("rank") == "preferred").over(Window.partitionBy("uid", "property"))
+    return statements.filter("rank <> 'deprecated'").withColumn("__best", best).filter((F.col("rank") == "preferred") | ~F.col("__best")).drop("__best")
+
+
+def wikidata_taxa(statements: DataFrame, taxon_classes: tuple[str, ...] = TAXON_CLASSES) -> DataFrame:
+    """uid, par_id, name, rank, aut_id, aut_yr_id, nom_status, src of the taxa among the entities of ``statements``.
+
+    rank and nom_status are names (comma-joined where there are several;
+    unknown rank items are left out, an unknown status raises); the authors,
+    years and status are those of the name's qualifiers; of several parents or
+    names the last counts; src lists ids elsewhere as ``prefix:id``.
+    """
+    spark = statements.sparkSession
+    codes = lambda table, name: F.broadcast(spark.createDataFrame(list(table.items()), f"value string, {name} string"))  # noqa: E731  fixed tables
+    used = truthy(statements).filter("snak = 'value'")
+    kinds = used.filter(F.col("property") == "P31").filter(F.col("value").isin(*taxon_classes)).select("uid").distinct()
+    own = staged(used.filter(F.col("property").isin("P171", "P225", "P105", *OTHER_IDS)).join(kinds, "uid", "left_semi"))
+    ranks = own.filter("property = 'P105'").join(codes(RANK_ITEMS, "named"), "value").groupBy("uid").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "named"))), lambda x: x["named"]), ",").alias("rank"))
+    last = lambda p: F.max_by(F.when(F.col("property") == p, F.col("value")), F.when(F.col("property") == p, F.col("place")))
+    ids = F.filter(F.sort_array(F.collect_list(F.when(F.col("property").isin(*OTHER_IDS), F.struct(F.create_map(*[F.lit(x) for kv in OTHER_IDS.items() for x in kv])[F.col("property")].alias("prefix"), "place", "value")))), lambda x: x.isNotNull())
+    basic = own.groupBy("uid").agg(last("P171").alias("par_id"), last("P225").alias("name"), F.array_join(F.transform(ids, lambda x: F.concat_ws(":", x["prefix"], x["value"])), ",").alias("src"))
+
+    # what the qualifiers of the last name say
+    named = own.filter("property = 'P225'").groupBy("uid").agg(F.max_by("qualifiers", "place").alias("q")).select("uid", F.posexplode("q").alias("at", "q"))
+    listed = lambda rows, c, name: rows.groupBy("uid").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", c))), lambda x: x[c]), ",").alias(name))
+    of = lambda p: named.filter(F.col("q.property") == p).select("uid", "at", F.col("q.value").alias("value"))
+    years = of("P574").select("uid", F.substring("value", 2, 4).alias("value"), "at").groupBy("uid", "value").agg(F.min("at").alias("at"))
+    status = of("P1135").join(codes(NOMENCLATURAL_STATUS, "named"), "value", "left").withColumn("named", F.when(F.col("named").isNull(), F.raise_error(F.concat(F.lit("unknown nomenclatural status: "), "value")).cast("string")).otherwise(F.col("named")))
+    out = basic.join(ranks, "uid", "left").join(listed(of("P405"), "value", "aut_id"), "uid", "left").join(listed(years, "value", "aut_yr_id"), "uid", "left").join(listed(status, "named", "nom_status"), "uid", "left")
+    blank = ("rank", "aut_id", "aut_yr_id", "nom_status", "src")
+    return out.select("uid", "par_id", "name", *[F.coalesce(c, F.lit("")).alias(c) for c in blank])
+
+
 # What tells the kind of a wiki page.
 PAGE_MARKS = {"redirect": "#REDIRECT", "author": "{{Taxon Authorities}}", "taxon": "{{Taxonav"}
 
