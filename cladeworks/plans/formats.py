@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.folds import intervals
 from ..operators.hierarchy import absorb
-from ..sources import readers
+from ..sources import archives, readers
 from ..staging import shared_root
 from .catalogue import listed, query
 from .relations import _NO, _number
@@ -348,3 +348,41 @@ def read_newick(spark, d):
     path = _folder(spark)
     rows.repartition("tree").sortWithinPartitions("tree", "last", F.desc("depth")).select("tree", "value").write.partitionBy("tree").text(path)
     return readers.newick(spark, path).withColumn("tree", F.regexp_extract("tree", "tree=([^/]*)", 1))
+
+
+# --- archives: each part of the table is packed in its task, by turns as zip of two members, tar.gz of two, and gz
+
+def _packed(frames):
+    import gzip
+    import io
+    import tarfile
+    import zipfile
+
+    import pandas as pd
+
+    for k, pdf in enumerate(frames):
+        for name, rows in ((f"{kind}{k}-{i}", chunk) for i, chunk in enumerate(pdf[s : s + 500] for s in range(0, len(pdf), 500)) for kind in (("zip", "tar", "gz")[i % 3],)):
+            halves = [("\n".join(x["value"]) + "\n").encode() for x in (rows[::2], rows[1::2]) if len(x)]
+            out = io.BytesIO()
+            if name.startswith("zip"):
+                with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                    for i, half in enumerate(halves):
+                        z.writestr(f"inner/{i}.txt", half)
+            elif name.startswith("tar"):
+                with tarfile.open(fileobj=out, mode="w:gz") as t:
+                    for i, half in enumerate(halves):
+                        info = tarfile.TarInfo(f"./{i}.txt")
+                        info.size = len(half)
+                        t.addfile(info, io.BytesIO(half))
+            else:
+                out.write(gzip.compress(b"".join(halves)))
+            end = {"zip": ".zip", "tar": ".tar.gz", "gz-": ".txt.gz", "gz": ".txt.gz"}[name.rstrip("0123456789-")]
+            yield pd.DataFrame({"path": [name + end], "content": [out.getvalue()]})
+
+
+@query(f"WITH {TX} SELECT uid, par_id, name, rank FROM tx")
+def read_archive(spark, d):
+    lines = tx(spark, d).select(F.concat_ws("\t", "uid", F.coalesce("par_id", F.lit("")), "name", "rank").alias("value"))
+    found = archives.unpacked(lines.mapInPandas(_packed, "path string, content binary"))
+    cells = F.split("value", "\t")
+    return found.select(cells[0].alias("uid"), F.nullif(cells[1], F.lit("")).alias("par_id"), cells[2].alias("name"), cells[3].alias("rank"))
