@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import SPECIES
+from ..staging import staged
+from .folds import fold_up
 from .hierarchy import absorb, closure, genus_of, leaves, rank_ranges
 
 # Status bits.
@@ -127,13 +129,49 @@ def child_transfers(prev: DataFrame, curr: DataFrame) -> DataFrame:
     return gained.join(lost, "par_id", "full").select("par_id", zero("n_new"), zero("n_lost"), none("took_from"), none("lost_to"))
 
 
+def edits(prev: DataFrame, curr: DataFrame) -> DataFrame:
+    """level, edit_id, uid, status, previous, current, parent, new_children, took_from, lost_to of each edit.
+
+    A taxon that changed, or whose children did, is edited once.  previous and
+    current are its records (uid, par_id, name, rank; null where it is not in
+    that release).  Other records are given once and named by id after that:
+    new_children are the ids of the edits of children that were added or moved
+    to it, and level is one above the largest of theirs, so in the order of
+    (level, edit_id) each comes before its users; took_from and lost_to are
+    taxa.  parent is the current parent's record at its first use in that order
+    if the parent is not edited itself, else only its uid.
+    """
+    status = statuses(prev, curr).select("uid", "status")
+    moves = child_transfers(prev, curr).select(F.col("par_id").alias("uid"), "took_from", "lost_to")
+    kids = status.filter("status like 'NEW%' or status like '%PAR_CHANGED'").join(curr.select("uid", "par_id"), "uid")
+    mine = F.concat_ws(":", F.lower("status"), "uid")
+    gained = kids.groupBy(F.col("par_id").alias("uid")).agg(F.array_sort(F.collect_list(mine)).alias("new_children"))
+    gone = status.filter("status like 'DELETED%'").join(prev.select("uid", "par_id"), "uid").select(F.col("par_id").alias("uid")).distinct().withColumn("lost", F.lit(True))
+    all_of = status.join(moves, "uid", "left").join(gained, "uid", "left").join(gone, "uid", "left")
+    edited = staged(all_of.filter("status <> 'UNCHANGED' or took_from is not null or new_children is not null or lost").drop("lost").withColumn("edit_id", mine))
+
+    # an edit stands above those of its new children: a fold over these edges only
+    edges = edited.select("uid").join(kids.select("uid", "par_id"), "uid", "left")
+    levels = fold_up(edges, edges.select("uid", F.lit(0).alias("level")), {"level": F.max}, {"level": lambda c, k: c + k})
+    record = lambda t, side: t.select("uid", F.struct("uid", "par_id", "name", "rank").alias(side))
+    full = edited.join(levels, "uid").join(record(prev, "previous"), "uid", "left").join(record(curr, "current"), "uid", "left")
+    full = staged(full.withColumn("up", F.col("current.par_id")))
+    # the parent's record goes with its first user
+    users = full.filter("up is not null").join(edited.select(F.col("uid").alias("up")), "up", "left_anti")
+    first = users.groupBy("up").agg(F.min(F.struct("level", "edit_id")).alias("f")).join(record(curr, "above").withColumnRenamed("uid", "up"), "up").select(F.col("f.edit_id").alias("edit_id"), "above")
+    names = F.struct(F.col("up").alias("uid"), F.col("above.par_id").alias("par_id"), F.col("above.name").alias("name"), F.col("above.rank").alias("rank"))
+    none = F.array().cast("array<string>")
+    return full.join(first, "edit_id", "left").select(
+        "level", "edit_id", "uid", "status", "previous", "current", F.when(F.col("up").isNotNull(), names).alias("parent"),
+        *[F.coalesce(c, none).alias(c) for c in ("new_children", "took_from", "lost_to")],
+    )
+
+
 def edit_log(prev: DataFrame, curr: DataFrame) -> DataFrame:
-    """edit_id, uid, edit (JSON): one edit for each taxon that is not unchanged, ids by status and uid."""
-    rows = statuses(prev, curr).filter("status <> 'UNCHANGED'")
-    now = curr.select("uid", F.col("par_id").alias("to_par"), F.col("name").alias("to_name"))
-    then = prev.select("uid", F.col("par_id").alias("from_par"), F.col("name").alias("from_name"))
-    full = rows.join(then, "uid", "left").join(now, "uid", "left")
-    return full.select(F.concat_ws(":", F.lower("status"), "uid").alias("edit_id"), "uid", F.to_json(F.struct("status", "from_par", "to_par", "from_name", "to_name")).alias("edit"))
+    """level, edit_id, uid, edit (JSON without nulls and empty lists): ``edits`` as the lines of a log, in the order of (level, edit_id)."""
+    rows = edits(prev, curr)
+    some = lambda c: F.when(F.size(c) > 0, F.col(c)).alias(c)
+    return rows.select("level", "edit_id", "uid", F.to_json(F.struct("edit_id", "status", "previous", "current", "parent", some("new_children"), some("took_from"), some("lost_to"))).alias("edit"))
 
 
 def genus_report(prev: DataFrame, curr: DataFrame) -> DataFrame:

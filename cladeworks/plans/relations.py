@@ -246,7 +246,33 @@ def diff_compare_ranges(spark, d):
 
 @query(f"SELECT lower(status) || ':' || uid AS edit_id, uid, status FROM ({ORACLES['diff_status']}) x WHERE status <> 'UNCHANGED'")
 def diff_edit_log(spark, d):
-    return diff.edit_log(tx(spark, d), tx2(spark, d)).select("edit_id", "uid", F.get_json_object("edit", "$.status").alias("status"))
+    return diff.edit_log(tx(spark, d), tx2(spark, d)).select("edit_id", "uid", F.get_json_object("edit", "$.status").alias("status")).filter("status <> 'UNCHANGED'")
+
+
+# the later release also moves genera, so that edits of phyla stand above those of genera and of species
+_TX3 = """tx3 AS (SELECT uid, CASE WHEN rank = 'genus' AND TRY_CAST(substr(uid, 2) AS BIGINT) % 10 = 3 THEN concat('n', (TRY_CAST(substr(par_id, 2) AS BIGINT) + 1) % 25) ELSE par_id END AS par_id, name, rank FROM tx2)"""
+
+
+@query(f"""WITH RECURSIVE {TX}, {TX2}, {_TX3},
+b AS (SELECT coalesce(a.uid, b.uid) AS uid, a.uid AS ou, b.uid AS nu, a.par_id AS op, b.par_id AS np, a.name AS onm, b.name AS nnm, b.rank AS nr FROM tx a FULL JOIN tx3 b ON a.uid = b.uid),
+st AS (SELECT b.*, CASE WHEN ou IS NULL AND nu NOT IN (SELECT par_id FROM tx3 WHERE par_id IS NOT NULL) THEN 'new_terminal' WHEN ou IS NULL THEN 'new_internal' WHEN nu IS NULL AND ou NOT IN (SELECT par_id FROM tx WHERE par_id IS NOT NULL) THEN 'deleted_terminal'
+  WHEN nu IS NULL THEN 'deleted_internal' WHEN op IS DISTINCT FROM np AND onm <> nnm THEN 'name_and_par_changed' WHEN op IS DISTINCT FROM np THEN 'par_changed' WHEN onm <> nnm THEN 'name_changed' ELSE 'unchanged' END AS status FROM b),
+kid AS (SELECT np AS up, uid, concat(status, ':', uid) AS e FROM st WHERE nu IS NOT NULL AND (ou IS NULL OR op IS DISTINCT FROM np)),
+g AS (SELECT up, string_agg(e, ',' ORDER BY e) AS new_children FROM kid GROUP BY up),
+tk AS (SELECT np AS up, string_agg(DISTINCT op, ',' ORDER BY op) AS took_from FROM st WHERE op <> np GROUP BY np), lo AS (SELECT op AS up, string_agg(DISTINCT np, ',' ORDER BY np) AS lost_to FROM st WHERE op <> np GROUP BY op),
+ed AS (SELECT st.*, concat(status, ':', uid) AS edit_id, coalesce(new_children, '') AS new_children, coalesce(took_from, '') AS took_from, coalesce(lost_to, '') AS lost_to FROM st LEFT JOIN g ON g.up = uid LEFT JOIN tk ON tk.up = uid LEFT JOIN lo ON lo.up = uid
+  WHERE status <> 'unchanged' OR new_children IS NOT NULL OR took_from IS NOT NULL OR lost_to IS NOT NULL OR uid IN (SELECT op FROM st WHERE nu IS NULL AND op IS NOT NULL)),
+ch AS (SELECT uid AS top, uid AS low, 0 AS k FROM ed UNION ALL SELECT kid.up, ch.low, k + 1 FROM ch JOIN kid ON kid.uid = ch.top),
+lv AS (SELECT top AS uid, max(k) AS level FROM ch GROUP BY top),
+f AS (SELECT np AS up, min(lpad(CAST(level AS VARCHAR), 5, '0') || edit_id) AS first FROM ed JOIN lv USING (uid) WHERE np IS NOT NULL AND np NOT IN (SELECT uid FROM ed) GROUP BY np)
+SELECT lv.level, ed.edit_id, ed.uid, upper(status) AS status, onm AS old_name, nnm AS new_name, np AS parent, CASE WHEN f.first = lpad(CAST(level AS VARCHAR), 5, '0') || edit_id THEN p.name END AS parent_name, new_children, took_from, lost_to
+FROM ed JOIN lv USING (uid) LEFT JOIN f ON f.up = ed.np LEFT JOIN tx3 p ON p.uid = ed.np""")
+def diff_edits(spark, d):
+    curr = tx2(spark, d)
+    moved = F.concat(F.lit("n"), (F.try_to_number(F.expr("substr(par_id, 2)"), F.lit("999")).cast("long") + 1) % 25)
+    curr = curr.withColumn("par_id", F.when((F.col("rank") == "genus") & (_number() % 10 == 3), moved).otherwise(F.col("par_id")))
+    out = diff.edits(tx(spark, d), curr)
+    return out.select("level", "edit_id", "uid", "status", F.col("previous.name").alias("old_name"), F.col("current.name").alias("new_name"), F.col("parent.uid").alias("parent"), F.col("parent.name").alias("parent_name"), *[listed(c).alias(c) for c in ("new_children", "took_from", "lost_to")])
 
 
 # --- scalar functions
