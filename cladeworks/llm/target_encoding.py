@@ -2,11 +2,11 @@
 
 For a key the counts of its history are a step function of time: they hold from
 a change's time plus the gap, exclusive, to the next change's, inclusive.
-``validity`` lays these pieces out as a table (level, key, fold, pos, n, s),
-cut at every change, at every probe's time and, for keys with many changes, at
-the bounds of time bins; (n, s) hold up to ``pos`` and are those of the key
-less those of the fold's own component.  As the pieces are cut at the probes'
-times, the range join of a probe is an equi-join with the piece that ends there.
+``validity`` lays these pieces out as a table (key, fold, pos, n, s), cut at
+every change, at every probe's time and, for keys with many events, at the
+bounds of time bins; (n, s) hold up to ``pos`` and are those of the key less
+those of the fold's own component.  As the pieces are cut at the probes' times,
+the range join of a probe is an equi-join with the piece that ends there.
 
 Events of one key, time and fold are summed before anything is shuffled by key,
 so a hot instant is one row a fold.  A hot key is split over its bins: each bin
@@ -16,7 +16,6 @@ so no task holds more of a key than a bin's instants or the number of its bins.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,13 +23,8 @@ from pyspark.sql import functions as F
 
 from .workspace import Workspace
 
-#: Keys with more changes are split at time bins of so many seconds.
-HOT_CHANGES, BIN_SECONDS = 10_000, 3600
-
-
-def key_text(key: Column) -> Column:
-    """A key as text that is never null: nulls are one value of their own."""
-    return F.coalesce(F.concat(F.lit("="), key.cast("string")), F.lit("-"))
+#: Keys with more events are split at time bins of so many seconds.
+HOT_EVENTS, BIN_SECONDS = 10_000, 3600
 
 
 def micros(df: DataFrame, time: str) -> Column:
@@ -41,50 +35,46 @@ def micros(df: DataFrame, time: str) -> Column:
     return seconds * 1_000_000 + F.expr(f"cast(extract(SECOND FROM `{time}`) * 1000000 AS bigint)")
 
 
-def changes(events: DataFrame, level: str, key: Column) -> DataFrame:
-    """(level, key, at, fold, n, s): the events (at, fold, n, s, ...) summed by key, time (microseconds) and fold."""
-    own = events.select(F.lit(level).alias("level"), key_text(key).alias("key"), "at", "fold", "n", "s")
-    return own.groupBy("level", "key", "at", "fold").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-
-
 def validity(
-    all_changes: Sequence[DataFrame], ws: Workspace, folds: int, gap_seconds: int = 0, probes: Sequence[DataFrame] = (),
-    hot_changes: int = HOT_CHANGES, bin_seconds: int = BIN_SECONDS,
+    events: DataFrame, ws: Workspace, folds: int, gap_seconds: int = 0, probes: DataFrame | None = None,
+    hot_events: int = HOT_EVENTS, bin_seconds: int = BIN_SECONDS,
 ) -> DataFrame:
-    """(level, key, fold, pos, n, s) of each change's own time and of each of ``probes`` (level, key, at, fold).
+    """(key, fold, pos, n, s) of each event's own time and of each of ``probes`` (key, at, fold).
 
-    n and s sum the changes of the key in other folds at a time more than the
-    gap before ``pos`` (microseconds).  Folds run from 0 to ``folds`` - 1.
-    Without changes before it a piece has 0 and 0; no changes give no rows.
-    Changes without a time are in no history.
+    n and s sum the events (key, at, fold, n, s) of the key in other folds at a
+    time more than the gap before ``pos`` (microseconds).  Folds run from 0 to
+    ``folds`` - 1.  Without events before it a piece has 0 and 0; a null key is
+    a key; events without a time are in no history; no events, no rows.
     """
-    gap = 1_000_000 * gap_seconds
-    every = [c.filter("at is not null").select("level", "key", (F.col("at") + gap).alias("pos"), "fold", "n", "s") for c in all_changes]
-    asked = [*probes, *(all_changes if gap else ())]  # without a gap a change's own time is cut anyway
-    every += [p.filter("at is not null").select("level", "key", F.col("at").alias("pos"), "fold", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("s")) for p in asked]
-    steps = reduce(DataFrame.unionByName, every)
-    if asked:
-        steps = steps.groupBy("level", "key", "pos", "fold").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-    steps = ws.table(steps)
-
-    hot = ws.table(steps.groupBy("level", "key").count().filter(F.col("count") > hot_changes).select("level", "key", F.lit(True).alias("hot")))
-    width = 1_000_000 * bin_seconds
-    binned = steps.join(hot, ["level", "key"], "left").select("level", "key", F.when(F.col("hot"), F.expr(f"floor(pos / {width})")).otherwise(0).cast("long").alias("bin"), "pos", "fold", "n", "s")
-
+    gap, width = 1_000_000 * gap_seconds, 1_000_000 * bin_seconds
+    timed = events.filter("at is not null").select("key", (F.col("at") + gap).alias("pos"), "fold", "n", "s")
+    steps = timed
+    asked = [p.filter("at is not null").select("key", F.col("at").alias("pos"), "fold") for p in (probes, events if gap else None) if p is not None]
+    for p in asked:  # without a gap an event's own time is cut anyway
+        steps = steps.unionByName(p.withColumns({"n": F.lit(0).cast("long"), "s": F.lit(0).cast("long")}))
+    steps = steps.groupBy("key", "pos", "fold").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+
+    hot = ws.table(timed.groupBy("key").count().filter(F.col("count") > hot_events).select(F.col("key").alias("hot_key"), F.lit(True).alias("hot")))
+    same = lambda df, how: df.join(hot, df["key"].eqNullSafe(hot["hot_key"]), how)
+    at_bin = F.expr(f"floor(pos / {width})").cast("long")
     # what a hot key has before each of its bins, by fold, is the bin's first piece
     of = lambda c, k: F.coalesce(F.sum(F.when(F.col("fold") == k, F.col(c))), F.lit(0))
     columns = [(c, k) for k in range(folds) for c in "ns"]
-    sums = binned.join(hot.drop("hot"), ["level", "key"], "left_semi").groupBy("level", "key", "bin").agg(*[of(c, k).alias(f"{c}{k}") for c, k in columns])
-    earlier = Window.partitionBy("level", "key").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    carried = sums.select("level", "key", "bin", *[F.sum(f"{c}{k}").over(earlier).alias(f"{c}{k}") for c, k in columns]).filter("n0 is not null")
+    with_probes = same(timed, "left_semi").select("key", at_bin.alias("bin"), "fold", "n", "s")
+    for p in asked:
+        with_probes = with_probes.unionByName(same(p, "left_semi").select("key", at_bin.alias("bin"), "fold", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("s")))
+    sums = with_probes.groupBy("key", "bin").agg(*[of(c, k).alias(f"{c}{k}") for c, k in columns])
+    earlier = Window.partitionBy("key").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select("key", "bin", *[F.sum(f"{c}{k}").over(earlier).alias(f"{c}{k}") for c, k in columns]).filter("n0 is not null")
     by_fold = F.array(*[F.struct(F.lit(k).alias("fold"), F.col(f"n{k}").alias("n"), F.col(f"s{k}").alias("s")) for k in range(folds)])
-    starts = carried.select("level", "key", "bin", F.explode(by_fold).alias("x")).select("level", "key", "bin", (F.col("bin") * width - 1).alias("pos"), "x.fold", "x.n", "x.s")
+    starts = ws.table(carried.select("key", "bin", F.explode(by_fold).alias("x")).select("key", "bin", (F.col("bin") * width - 1).alias("pos"), "x.fold", "x.n", "x.s"))
 
+    binned = same(steps, "left").select("key", F.when(F.col("hot"), at_bin).otherwise(F.lit(0)).alias("bin"), "pos", "fold", "n", "s")
     both = binned.withColumn("real", F.lit(True)).unionByName(starts.withColumn("real", F.lit(False)))
-    before = Window.partitionBy("level", "key", "bin").orderBy("pos").rangeBetween(Window.unboundedPreceding, -1)
-    held = both.select("level", "key", "fold", "pos", "real", *[F.coalesce(F.sum(F.when(F.col("fold") == k, F.col(c))).over(before), F.lit(0)).alias(f"{c}{k}") for c, k in columns])
+    before = Window.partitionBy("key", "bin").orderBy("pos").rangeBetween(Window.unboundedPreceding, -1)
+    held = both.select("key", "fold", "pos", "real", *[F.coalesce(F.sum(F.when(F.col("fold") == k, F.col(c))).over(before), F.lit(0)).alias(f"{c}{k}") for c, k in columns])
     others = lambda c: reduce(Column.__add__, [F.when(F.col("fold") == k, 0).otherwise(F.col(f"{c}{k}")) for k in range(folds)])
-    return ws.table(held.filter("real").select("level", "key", "fold", "pos", others("n").cast("long").alias("n"), others("s").cast("long").alias("s")))
+    return held.filter("real").select("key", "fold", "pos", others("n").cast("long").alias("n"), others("s").cast("long").alias("s"))
 
 
 def rate(n: Column, s: Column, prior: Column, weight: int = 50, scale: int = 1_000_000) -> Column:
@@ -93,13 +83,13 @@ def rate(n: Column, s: Column, prior: Column, weight: int = 50, scale: int = 1_0
     return F.when(n < 1, prior).otherwise(share)
 
 
-def encoded(rows: DataFrame, table: DataFrame, level: str, key: Column, prior: Column, name: str) -> DataFrame:
-    """``rows`` (at, fold, ...) with ``{name}_n`` and ``{name}_rate`` of the pieces that end at their times (none: 0 and the prior)."""
-    # the key goes along under a name that no column has
-    own, at = f"__key_{name}", f"__pos_{name}"
-    pieces = table.filter(F.col("level") == level).select(F.col("key").alias(own), F.col("fold").alias("__fold"), F.col("pos").alias(at), F.col("n").alias("__n"), F.col("s").alias("__s"))
-    asked = rows.withColumns({own: key_text(key), at: F.col("at"), "__prior": prior})
-    found = asked.join(pieces, (asked[own] == pieces[own]) & (asked[at] == pieces[at]) & (asked["fold"] == pieces["__fold"]), "left")
+def encoded(rows: DataFrame, table: DataFrame, key: Column, prior: Column, name: str) -> DataFrame:
+    """``rows`` (at, fold, ...) with ``{name}_n`` and ``{name}_rate`` of the pieces of ``table`` that end at their times (none: 0 and the prior)."""
+    own = f"__key_{name}"
+    pieces = table.select(F.col("key").alias("__of"), F.col("fold").alias("__fold"), F.col("pos").alias("__pos"), F.col("n").alias("__n"), F.col("s").alias("__s"))
+    asked = rows.withColumns({own: key, "__prior": prior})
+    # the time first: rows are sorted by it, and it tells most of them apart
+    found = asked.join(pieces, (asked["at"] == pieces["__pos"]) & asked[own].eqNullSafe(pieces["__of"]) & (asked["fold"] == pieces["__fold"]), "left")
     n, s = F.coalesce("__n", F.lit(0).cast("long")), F.coalesce("__s", F.lit(0).cast("long"))
     return found.select(*[asked[c] for c in rows.columns], n.alias(f"{name}_n"), rate(n, s, F.col("__prior")).alias(f"{name}_rate"))
 
@@ -111,7 +101,7 @@ def fold_of(key: Column, folds: int) -> Column:
 
 def encode_sales(
     lines: DataFrame, sales: DataFrame, items: DataFrame, vendors: DataFrame, clients: DataFrame, folds: int = 5, prior: int = 500_000,
-    gap_seconds: int = 0, hot_changes: int = HOT_CHANGES, bin_seconds: int = BIN_SECONDS,
+    gap_seconds: int = 0, hot_events: int = HOT_EVENTS, bin_seconds: int = BIN_SECONDS,
 ) -> DataFrame:
     """Per sale_id, item_id, vendor_id: n_lines, n_returned and the out-of-fold history of item, vendor and client.
 
@@ -127,7 +117,8 @@ def encode_sales(
     own = lines.filter("sale_id is not null").select("sale_id", F.coalesce("item_id", F.lit(-1)).alias("item_id"), "vendor_id", (F.col("flag") == "returned").alias("back"))
     groups = own.groupBy("sale_id", "item_id", "vendor_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("back").alias("s"))
     sold = sales.filter("sold_at is not null").select("sale_id", F.coalesce("client_id", F.lit(-1)).alias("client_id"), micros(sales, "sold_at").alias("at"))
-    of = lambda df, key, value: df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(value))
+    # written first, so that a join sees their size, and splits a hot id where they are too large to be sent to all
+    of = lambda df, key, value: ws.table(df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(value)))
     groups = groups.join(sold, "sale_id").withColumn("fold", fold_of(F.col("sale_id"), folds))
     groups = groups.join(of(items, "item_id", "kind"), "item_id", "left").join(of(vendors, "vendor_id", "nation_id"), "vendor_id", "left")
     groups = ws.table(groups)
@@ -135,17 +126,17 @@ def encode_sales(
     per_sale = groups.groupBy("sale_id", "client_id", "at", "fold").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
     per_sale = ws.table(per_sale.join(of(clients, "client_id", "segment"), "client_id", "left"))
 
-    every = {"all": (per_sale, F.lit("")), "segment": (per_sale, F.col("segment")), "client": (per_sale, F.col("client_id"))}
-    every |= {"kind": (groups, F.col("kind")), "item": (groups, F.col("item_id")), "nation": (groups, F.col("nation_id")), "vendor": (groups, F.col("vendor_id"))}
-    table = validity([changes(df, level, key) for level, (df, key) in every.items()], ws, folds, gap_seconds, (), hot_changes, bin_seconds)
+    keys = {"all": F.lit(0), "segment": F.col("segment"), "client": F.col("client_id"), "kind": F.col("kind"), "item": F.col("item_id"), "nation": F.col("nation_id"), "vendor": F.col("vendor_id")}
 
     def with_rate(rows: DataFrame, level: str, prior: Column) -> DataFrame:
-        return encoded(rows, table, level, every[level][1], prior, level)
+        events = per_sale if level in ("all", "segment", "client") else groups
+        table = validity(events.select(keys[level].alias("key"), "at", "fold", "n", "s"), ws, folds, gap_seconds, None, hot_events, bin_seconds)
+        return encoded(rows, table, keys[level], prior, level)
 
     done = with_rate(per_sale.drop("n", "s"), "all", F.lit(prior).cast("long"))
     done = with_rate(with_rate(done, "segment", F.col("all_rate")), "client", F.col("segment_rate"))
     done = done.select("sale_id", "client_id", "at", "all_rate", "client_n", "client_rate")
-    lines_of = groups.join(done, ["sale_id", "client_id", "at"])
+    lines_of = groups.join(done, ["sale_id", "client_id", "at"]).drop("client_id")
     for level, above in (("kind", "all"), ("item", "kind"), ("nation", "all"), ("vendor", "nation")):
         lines_of = with_rate(lines_of, level, F.col(f"{above}_rate"))
     return lines_of.select(

@@ -3,7 +3,6 @@ import random
 import zlib
 
 import pytest
-from pyspark.sql import functions as F
 
 from cladeworks.llm import target_encoding as te
 from cladeworks.llm.workspace import Workspace
@@ -80,12 +79,12 @@ def _got(*frames, **how):
 def test_matches_brute_force(spark, gap, hot, width):
     """Nulls in every column, ties in time, repeated lines, unknown ids, clashing columns; keys split over bins and whole."""
     rows = _tables(spark)
-    assert _got(*_frames(spark, *rows), gap_seconds=gap, hot_changes=hot, bin_seconds=width) == _brute(*rows, gap=gap)
+    assert _got(*_frames(spark, *rows), gap_seconds=gap, hot_events=hot, bin_seconds=width) == _brute(*rows, gap=gap)
 
 
 def test_other_folds_and_zones(spark):
     rows = _tables(spark, 9, 20)
-    assert _got(*_frames(spark, *rows, zone="timestamp"), folds=2, prior=100_000, hot_changes=2) == _brute(*rows, folds=2, prior=100_000)
+    assert _got(*_frames(spark, *rows, zone="timestamp"), folds=2, prior=100_000, hot_events=2) == _brute(*rows, folds=2, prior=100_000)
 
 
 def test_times_without_a_zone_do_not_follow_the_session(spark):
@@ -112,15 +111,15 @@ def test_empty_tables(spark):
 
 
 def test_probes_between_changes_are_range_joined(spark):
-    """validity() at times that are no change's, against the definition; a bin without changes of its own still has what came before."""
+    """validity() at times that are no event's, against the definition; a bin without events of its own still has what came before."""
     rng = random.Random(8)
-    events = [("all", rng.choice(["=a", "=b", "-"]), rng.randrange(5_000_000_000), rng.randrange(3), rng.randrange(3), 1) for _ in range(120)]
-    asked = [("all", k, rng.choice([-5, 0, 9_000_000_000, rng.randrange(6_000_000_000)]), f) for k in ("=a", "=b", "-", "=new") for f in range(3) for _ in range(6)]
-    rows = spark.createDataFrame(events, "level string, key string, at long, fold int, n long, s long").groupBy("level", "key", "at", "fold").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-    probes = spark.createDataFrame(asked, "level string, key string, at long, fold int")
+    events = [(rng.choice(["a", "b", None]), rng.randrange(5_000_000_000), rng.randrange(3), rng.randrange(3), 1) for _ in range(120)] + [("a", None, 1, 5, 5)]
+    asked = [(k, rng.choice([-5, 0, 9_000_000_000, rng.randrange(6_000_000_000)]), f) for k in ("a", "b", None, "new") for f in range(3) for _ in range(6)]
+    rows = spark.createDataFrame(events, "key string, at long, fold int, n long, s long")
+    probes = spark.createDataFrame(asked, "key string, at long, fold int")
     for gap in (0, 700):
-        table = te.validity([rows], Workspace(spark, "test"), 3, gap, [probes], hot_changes=5, bin_seconds=500)
+        table = te.validity(rows, Workspace(spark, "test"), 3, gap, probes, hot_events=5, bin_seconds=500)
         found = {(r["key"], r["pos"], r["fold"]): (r["n"], r["s"]) for r in table.collect()}
-        for _, key, at, fold in asked:
-            past = [e for e in events if e[1] == key and e[3] != fold and e[2] + gap * 1_000_000 < at]
-            assert found[(key, at, fold)] == (sum(e[4] for e in past), sum(e[5] for e in past))
+        for key, at, fold in asked:
+            past = [e for e in events if e[0] == key and e[2] != fold and e[1] is not None and e[1] + gap * 1_000_000 < at]
+            assert found[(key, at, fold)] == (sum(e[3] for e in past), sum(e[4] for e in past))
