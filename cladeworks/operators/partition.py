@@ -133,6 +133,12 @@ def deseparate(assigned: DataFrame, parents: DataFrame) -> DataFrame:
     return up.dropDuplicates(["uid", "fragment"])
 
 
+def deseparate_with_synonyms(assigned: DataFrame, synonyms: DataFrame, parents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same of taxa and their synonyms (uid, name, ..., fragment): both move up, equal rows are one."""
+    up = synonyms.join(parents, "fragment", "left").withColumn("fragment", F.coalesce("parent_fragment", "fragment")).select(synonyms.columns).distinct()
+    return deseparate(assigned, parents), up
+
+
 def append_absent(target: DataFrame, rows: DataFrame) -> DataFrame:
     """``target`` and the rows that it has not."""
     return target.unionByName(rows.join(target, [*target.columns], "left_anti"))
@@ -144,6 +150,29 @@ def separated_children(assigned: DataFrame) -> DataFrame:
     return assigned.join(up, "par_id").filter("fragment <> parent_fragment").select("parent_fragment", F.col("uid").alias("child_uid"), F.col("fragment").alias("child_fragment"))
 
 
+def accumulated_roots(assigned: DataFrame, tree: DataFrame) -> DataFrame:
+    """fragment, uid, par_id, source, passed: the roots of separated fragments as they roll up to the partitioned ancestors.
+
+    ``tree`` has (fragment, parent, partitioned).  A root of a partitioned
+    fragment, a taxon whose parent is not in it, is handed to the nearest
+    partitioned fragment above; it stays there if that holds its parent, and
+    else is passed on (``passed``) to the next one, up to the top.  So a
+    fragment gets roots from all levels below, also over fragments that are not
+    partitioned.  Rows of fragments that ``tree`` lacks are left out; a root
+    without a parent is passed all the way.
+    """
+    nodes = tree.select(F.col("fragment").alias("uid"), F.col("parent").alias("par_id"), "partitioned")
+    kept = nodes.filter("partitioned").select("uid")
+    near = absorb(nodes.select("uid", "par_id"), kept).select(F.col("uid").alias("par_id"), "stop")
+    borders = staged(nodes.filter("partitioned").join(near, "par_id", "left").select("uid", F.col("stop").alias("par_id")))
+    above = staged(closure(borders).select(F.col("anc").alias("over"), F.col("des").alias("source"), "dist"))  # fragments, not taxa
+    where = assigned.select(F.col("uid").alias("par_id"), F.col("fragment").alias("home"))
+    roots = assigned.join(where, "par_id", "left").filter("home is null or home <> fragment").select("uid", "par_id", F.col("fragment").alias("source"), "home")
+    home = roots.join(above.select("source", F.col("over").alias("home"), F.col("dist").alias("at")), ["source", "home"], "left")
+    up = home.join(above.filter("dist > 0"), "source").filter("at is null or dist <= at")
+    return up.select(F.col("over").alias("fragment"), "uid", "par_id", "source", F.coalesce(F.col("dist") < F.col("at"), F.lit(True)).alias("passed"))
+
+
 def catalog_of_names(assigned: DataFrame) -> DataFrame:
     """fragment, n_taxa, names (distinct)."""
     return assigned.groupBy("fragment").agg(F.count("uid").alias("n_taxa"), F.countDistinct("name").alias("n_names"))

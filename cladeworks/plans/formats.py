@@ -10,13 +10,14 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators import partition
 from ..operators.folds import intervals
 from ..operators.hierarchy import absorb
-from ..sources import archives, readers
+from ..sources import archives, readers, store
 from ..staging import shared_root
-from .catalogue import listed, query
+from .catalogue import ROOTS, listed, query
 from .relations import _NO, _number
-from .views import SY, TX, sy, table, tx
+from .views import SY, TX, TX2, region_roots, sy, table, tx, tx2
 
 
 def _folder(spark: SparkSession) -> str:
@@ -386,3 +387,25 @@ def read_archive(spark, d):
     found = archives.unpacked(lines.mapInPandas(_packed, "path string, content binary"))
     cells = F.split("value", "\t")
     return found.select(cells[0].alias("uid"), F.nullif(cells[1], F.lit("")).alias("par_id"), cells[2].alias("name"), cells[3].alias("rank"))
+
+
+# --- versions of a partition: the second one is read back
+
+@query(f"WITH RECURSIVE {TX}, {TX2}, c AS (SELECT uid AS des, uid AS anc, 0 AS dist FROM tx2 UNION ALL SELECT c.des, t.par_id, c.dist + 1 FROM c JOIN tx2 t ON c.anc = t.uid WHERE t.par_id IS NOT NULL), {ROOTS} "
+       "SELECT t.uid, t.par_id, t.name, t.rank, coalesce((SELECT arg_min(rt.fragment, c.dist) FROM c JOIN rt ON rt.uid = c.anc WHERE c.des = t.uid), '__misc__') AS fragment FROM tx2 t")
+def store_version(spark, d):
+    kept = store.Store(spark, _folder(spark))
+    old, new = tx(spark, d), tx2(spark, d)
+    parts = lambda t: t.join(partition.assign(t, region_roots(t)).select("uid", "fragment"), "uid").select("uid", "par_id", "name", "rank", "fragment")
+    kept.write({"taxa": parts(old)})
+    kept.write({"taxa": parts(new)})
+    return kept.read("taxa") if kept.broken() == [] else kept.read("taxa").limit(0)
+
+
+@query(f"WITH {TX}, m AS (SELECT unnest(['ncbi', 'gbif']) AS src, par_id, uid FROM tx WHERE rank = 'genus'), e AS (SELECT src, par_id, string_agg(CASE WHEN src = 'ncbi' THEN uid ELSE 'g' || uid END, ',' ORDER BY uid) AS ids FROM m GROUP BY src, par_id) SELECT src, par_id AS fragment, ids FROM e")
+def map_json(spark, d):
+    """Maps go through their JSON text and back."""
+    rows = tx(spark, d).filter("rank = 'genus'")
+    every = rows.withColumn("src", F.explode(F.array(F.lit("ncbi"), F.lit("gbif")))).groupBy("src", F.col("par_id").alias("fragment")).agg(F.collect_list(F.when(F.col("src") == "ncbi", F.col("uid")).otherwise(F.concat(F.lit("g"), "uid"))).alias("ids"))
+    text = store.map_json(every)
+    return text.select("src", F.explode(F.from_json("json", "map<string, array<string>>")).alias("fragment", "ids")).select("src", "fragment", F.array_join("ids", ",").alias("ids"))

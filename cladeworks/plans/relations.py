@@ -109,16 +109,37 @@ def tx_append_absent(spark, d):
     return partition.append_absent(upper("genus", "phylum"), upper("phylum", "kingdom"))
 
 
-@query("""WITH m AS (SELECT concat('n', CAST(n_nationkey AS VARCHAR(9))) AS name, concat('r', CAST(n_regionkey AS VARCHAR(9))) AS up, concat('i', CAST(n_nationkey AS VARCHAR(9))) AS id, n_nationkey % 3 = 0 AS has FROM nation),
-x AS (SELECT name, id FROM m WHERE has UNION SELECT up, id FROM m WHERE has AND up <> 'r1' UNION SELECT 'r1', 'own' UNION SELECT 'life', id FROM m WHERE has AND up <> 'r1' UNION SELECT 'life', 'own')
-SELECT name, string_agg(id, ',' ORDER BY id) AS ids FROM x GROUP BY name""")
+# every third phylum has ids of its own, the second kingdom too; all other taxa lie above or below
+@query(f"""{HEAD}, own AS (SELECT uid, concat('i', substr(uid, 2)) AS id FROM tx WHERE rank IN ('phylum', 'genus') AND {_NO.format('uid')} % 3 = 0 UNION ALL SELECT 'r1', 'own'),
+x AS (SELECT cl.anc, own.id FROM cl JOIN own ON own.uid = cl.des WHERE NOT EXISTS (SELECT 1 FROM cl c2 JOIN own o2 ON o2.uid = c2.anc WHERE c2.des = cl.des AND c2.dist > 0 AND c2.dist <= cl.dist))
+SELECT anc AS name, string_agg(DISTINCT id, ',' ORDER BY id) AS ids FROM x GROUP BY anc""")
 def tx_fill_ancestors(spark, d):
-    t = tx(spark, d).filter("rank in ('no rank', 'kingdom', 'phylum')")
-    maps = t.filter("rank = 'phylum'").filter(_number() % 3 == 0).select(F.col("uid").alias("fragment"), F.array(F.concat(F.lit("i"), F.expr("substr(uid, 2)"))).alias("ids"))
+    t = tx(spark, d)
+    maps = t.filter("rank in ('phylum', 'genus')").filter(_number() % 3 == 0).select(F.col("uid").alias("fragment"), F.array(F.concat(F.lit("i"), F.expr("substr(uid, 2)"))).alias("ids"))
     maps = maps.unionByName(t.filter("uid = 'r1'").select(F.col("uid").alias("fragment"), F.array(F.lit("own")).alias("ids")))
     return partition.fill_empty_ancestors(maps, t.select(F.col("uid").alias("name"), F.col("par_id").alias("parent"))).select("name", listed("ids").alias("ids"))
 
 
+# kingdoms, phyla of the first two, and every seventh genus are fragments; the first kingdom and every other phylum are not partitioned
+_FRAGMENTS = f"""fr AS (SELECT uid, CASE WHEN rank IN ('no rank', 'kingdom') OR (rank = 'phylum' AND par_id IN ('r0', 'r1')) OR (rank = 'genus' AND {_NO.format('uid')} % 7 = 0) THEN 1 ELSE 0 END AS is_top,
+  uid <> 'r0' AND NOT (rank = 'phylum' AND {_NO.format('uid')} % 2 = 1) AS part FROM tx)"""
+
+
+@query(f"""{HEAD}, {_FRAGMENTS}, a AS (SELECT t.uid, t.par_id, (SELECT arg_min(fr.uid, cl.dist) FROM cl JOIN fr ON fr.uid = cl.anc AND is_top = 1 WHERE cl.des = t.uid) AS fragment FROM tx t),
+r AS (SELECT a.uid, a.par_id, a.fragment AS source, h.fragment AS home FROM a LEFT JOIN a h ON h.uid = a.par_id JOIN fr ON fr.uid = a.fragment AND fr.part WHERE h.fragment IS NULL OR h.fragment <> a.fragment),
+k AS (SELECT r.*, (SELECT min(c.dist) FROM cl c JOIN fr ON fr.uid = c.anc AND fr.part WHERE c.des = r.source AND c.anc = r.home) AS at FROM r)
+SELECT c.anc AS fragment, k.uid, k.par_id, k.source, coalesce(c.dist < k.at, TRUE) AS passed FROM k JOIN cl c ON c.des = k.source AND c.dist > 0 JOIN fr ON fr.uid = c.anc AND fr.is_top = 1 AND fr.part WHERE k.at IS NULL OR c.dist <= k.at""".replace(" AS at ", " AS far ").replace("k.at", "k.far"))
+def tx_accumulated_roots(spark, d):
+    t = tx(spark, d)
+    top = F.col("rank").isin("no rank", "kingdom") | ((F.col("rank") == "phylum") & F.col("par_id").isin("r0", "r1")) | ((F.col("rank") == "genus") & (_number() % 7 == 0))
+    tops = t.filter(top)
+    home = hierarchy.absorb(t, tops)
+    assigned = t.select("uid", "par_id").join(home.withColumnRenamed("stop", "fragment"), "uid")
+    up = tops.select("uid", "rank", F.col("par_id")).join(home.select(F.col("uid").alias("par_id"), F.col("stop").alias("parent")), "par_id", "left")
+    parts = (F.col("uid") != "r0") & ~((F.col("rank") == "phylum") & (_number() % 2 == 1))
+    return partition.accumulated_roots(assigned, up.select(F.col("uid").alias("fragment"), "parent", parts.alias("partitioned")))
+
+
 # --- names and synonyms
 
 @query(f"""WITH {TX}, {SY}, labels AS (SELECT DISTINCT p_name AS name FROM part UNION SELECT name FROM tx WHERE rank = 'species' AND {_NO.format('uid')} % 3 = 0),
