@@ -274,6 +274,11 @@ def diff_edit_log(spark, d):
 _TX3 = """tx3 AS (SELECT uid, CASE WHEN rank = 'genus' AND TRY_CAST(substr(uid, 2) AS BIGINT) % 10 = 3 THEN concat('n', (TRY_CAST(substr(par_id, 2) AS BIGINT) + 1) % 25) ELSE par_id END AS par_id, name, rank FROM tx2)"""
 
 
+def _moved_genera(t):
+    moved = F.concat(F.lit("n"), (F.expr("try_cast(substr(par_id, 2) AS BIGINT)") + 1) % 25)
+    return t.withColumn("par_id", F.when((F.col("rank") == "genus") & (_number() % 10 == 3), moved).otherwise(F.col("par_id")))
+
+
 @query(f"""WITH RECURSIVE {TX}, {TX2}, {_TX3},
 b AS (SELECT coalesce(a.uid, b.uid) AS uid, a.uid AS ou, b.uid AS nu, a.par_id AS op, b.par_id AS np, a.name AS onm, b.name AS nnm, b.rank AS nr FROM tx a FULL JOIN tx3 b ON a.uid = b.uid),
 st AS (SELECT b.*, CASE WHEN ou IS NULL AND nu NOT IN (SELECT par_id FROM tx3 WHERE par_id IS NOT NULL) THEN 'new_terminal' WHEN ou IS NULL THEN 'new_internal' WHEN nu IS NULL AND ou NOT IN (SELECT par_id FROM tx WHERE par_id IS NOT NULL) THEN 'deleted_terminal'
@@ -289,13 +294,18 @@ f AS (SELECT np AS up, min(lpad(CAST(level AS VARCHAR), 5, '0') || edit_id) AS f
 SELECT lv.level, ed.edit_id, ed.uid, upper(status) AS status, onm AS old_name, nnm AS new_name, np AS parent, CASE WHEN f.first = lpad(CAST(level AS VARCHAR), 5, '0') || edit_id THEN p.name END AS parent_name, new_children, took_from, lost_to
 FROM ed JOIN lv USING (uid) LEFT JOIN f ON f.up = ed.np LEFT JOIN tx3 p ON p.uid = ed.np""")
 def diff_edits(spark, d):
-    curr = tx2(spark, d)
-    moved = F.concat(F.lit("n"), (F.try_to_number(F.expr("substr(par_id, 2)"), F.lit("999")).cast("long") + 1) % 25)
-    curr = curr.withColumn("par_id", F.when((F.col("rank") == "genus") & (_number() % 10 == 3), moved).otherwise(F.col("par_id")))
-    out = diff.edits(tx(spark, d), curr)
+    out = diff.edits(tx(spark, d), _moved_genera(tx2(spark, d)))
     return out.select("level", "edit_id", "uid", "status", F.col("previous.name").alias("old_name"), F.col("current.name").alias("new_name"), F.col("parent.uid").alias("parent"), F.col("parent.name").alias("parent_name"), *[listed(c).alias(c) for c in ("new_children", "took_from", "lost_to")])
 
 
+@query(f"""WITH RECURSIVE {TX}, {TX2}, {_TX3}, ch AS (SELECT b.uid FROM tx3 b LEFT JOIN tx a ON a.uid = b.uid WHERE a.uid IS NULL OR a.par_id <> b.par_id),
+u AS (SELECT uid, uid AS top, 0 AS k FROM ch UNION ALL SELECT u.uid, t.par_id, k + 1 FROM u JOIN tx3 t ON t.uid = u.top WHERE t.par_id IN (SELECT uid FROM ch)) SELECT uid, arg_max(top, k) AS top FROM u GROUP BY uid""")
+def diff_oldest_changed(spark, d):
+    a, b = tx(spark, d), _moved_genera(tx2(spark, d))
+    moved = diff.statuses(a, b).filter("status in ('NEW_TERMINAL', 'NEW_INTERNAL', 'PAR_CHANGED', 'NAME_AND_PAR_CHANGED')")
+    return diff.oldest_changed(b, moved)
+
+
 # --- scalar functions
 
 @query("SELECT p_partkey AS uid, CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_partkey END AS n FROM part")
