@@ -36,12 +36,17 @@ def inherited(resources: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def aliases(resources: DataFrame) -> DataFrame:
-    """alias, id: the last resource (by id) of each alias; an alias that is an id raises."""
-    flat = resources.select("id", F.explode("aliases").alias("alias"))
+    """alias, id: the last resource of each alias; an alias that is an id raises.
+
+    The last one is that with the largest ``place`` if there is such a column,
+    the order in which a registry names its resources, and else by id.
+    """
+    order = F.struct("place", "id") if "place" in resources.columns else F.struct("id")
+    flat = resources.select("id", order.alias("order"), F.explode("aliases").alias("alias"))
     clash = flat.join(resources.select(F.col("id").alias("alias")), "alias", "left_semi").limit(1).collect()
     if clash:
         raise ValueError(f"alias {clash[0]['alias']} is an id")
-    return flat.groupBy("alias").agg(F.max("id").alias("id"))
+    return flat.groupBy("alias").agg(F.max_by("id", "order").alias("id"))
 
 
 def terminal(resources: DataFrame) -> DataFrame:

@@ -45,6 +45,11 @@ def _have(df: DataFrame, name: str) -> Column:
     return F.nullif(F.col(name), F.lit("")) if name in df.columns else F.lit(None).cast("string")
 
 
+def there(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def taxonomy(spark: SparkSession, path: str) -> DataFrame:
     """The interim taxonomy in any of its headers (told by their column names); short rows are filled with nulls.
 
@@ -66,8 +71,8 @@ def taxonomy(spark: SparkSession, path: str) -> DataFrame:
 
 
 def synonyms(spark: SparkSession, path: str | None) -> DataFrame:
-    """uid, name, syn_type, syn_id, columns found by name in any order; without a file, none."""
-    if path is None:
+    """uid, name, syn_type, syn_id, columns found by name in any order; no path, or nothing at the path: no rows."""
+    if path is None or not there(spark, path):
         return spark.createDataFrame([], model.SYNONYMS)
     raw = _csv(spark, path, SEP)
     kind = F.coalesce(_have(raw, "type"), F.lit("synonym"))
@@ -475,5 +480,3 @@ def col_rows(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     own = raw.select(F.col("taxonID").alias("uid"), F.col("acceptedNameUsageID").alias("accepted"), F.col("parentNameUsageID").alias("par_id"), F.col("scientificName").alias("name"), F.lower("taxonRank").alias("rank"))
     return own.filter("accepted is null").drop("accepted"), own.filter("accepted is not null").select(F.col("accepted").alias("uid"), "name", F.lit("synonym").alias("syn_type"), F.col("uid").alias("syn_id"))
 
-
-NORMALIZERS = {"interim": taxonomy, "ncbi": ncbi, "darwin core": darwin_core, "irmng": irmng, "silva": silva, "fasta silva taxmap": fasta_headers, "plant list": plant_list, "newick": newick, "wikispecies": wikispecies, "col": col_rows}
