@@ -173,6 +173,11 @@ def accumulated_roots(assigned: DataFrame, tree: DataFrame) -> DataFrame:
     return up.select(F.col("over").alias("fragment"), "uid", "par_id", "source", F.coalesce(F.col("dist") < F.col("at"), F.lit(True)).alias("passed"))
 
 
+def paths_of_names(assigned: DataFrame) -> DataFrame:
+    """name, fragments (sorted): where each name occurs."""
+    return assigned.filter("name is not null").groupBy("name").agg(F.array_sort(F.collect_set("fragment")).alias("fragments"))
+
+
 def catalog_of_names(assigned: DataFrame) -> DataFrame:
     """fragment, n_taxa, names (distinct)."""
     return assigned.groupBy("fragment").agg(F.count("uid").alias("n_taxa"), F.countDistinct("name").alias("n_names"))

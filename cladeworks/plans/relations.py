@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from .. import model
 from ..functions import names
-from ..operators import diff, folds, hierarchy, normalize, partition, reconcile, semgraph
+from ..operators import compare, diff, folds, hierarchy, normalize, partition, reconcile, semgraph
 from ..sources import catalog, writers
 from .catalogue import _CLASSES, HEAD, ORACLES, _edges, listed, query
-from .views import SY, TX, TX2, sy, table, tx, tx2
+from .views import SY, TX, TX2, region_roots, sy, table, tx, tx2
 
 _WALK = "w AS (SELECT uid, [uid] AS path FROM tx WHERE par_id IS NULL UNION ALL SELECT t.uid, list_append(w.path, t.uid) FROM tx t JOIN w ON t.par_id = w.uid)"
 
@@ -549,3 +549,67 @@ def tx_moved_roots(spark, d):
     t = tx(spark, d)
     up = t.filter("rank = 'kingdom'").select(F.col("uid").alias("par_id"), F.col("name").alias("fragment"))
     return partition.moved_roots(t.filter("rank = 'phylum'").join(up, "par_id"), t.filter("par_id in ('r1', 'r2')").select("uid"), "ASIA")
+
+
+# --- resources side by side: two releases in fragments of every level
+
+_SIDES = f"""rf AS (SELECT uid, CASE WHEN rank = 'kingdom' THEN name ELSE concat('AFRICA/', name) END AS fragment FROM tx WHERE rank = 'kingdom' OR (rank = 'phylum' AND par_id = 'r0')),
+c1 AS (SELECT uid AS des, uid AS anc, 0 AS dist FROM tx UNION ALL SELECT c1.des, t.par_id, c1.dist + 1 FROM c1 JOIN tx t ON c1.anc = t.uid WHERE t.par_id IS NOT NULL),
+c2 AS (SELECT uid AS des, uid AS anc, 0 AS dist FROM tx2 UNION ALL SELECT c2.des, t.par_id, c2.dist + 1 FROM c2 JOIN tx2 t ON c2.anc = t.uid WHERE t.par_id IS NOT NULL),
+f1 AS (SELECT c1.des AS uid, arg_min(rf.fragment, c1.dist) AS fragment FROM c1 JOIN rf ON rf.uid = c1.anc GROUP BY c1.des), f2 AS (SELECT c2.des AS uid, arg_min(rf.fragment, c2.dist) AS fragment FROM c2 JOIN rf ON rf.uid = c2.anc GROUP BY c2.des),
+sides AS (SELECT 'main' AS res_id, coalesce(f1.fragment, '__misc__') AS fragment, t.* FROM tx t LEFT JOIN f1 ON f1.uid = t.uid UNION ALL SELECT 'ref', coalesce(f2.fragment, '__misc__'), t.* FROM tx2 t LEFT JOIN f2 ON f2.uid = t.uid)"""
+
+
+def _sides(spark, d):
+    cut = lambda t: t.join(partition.assign(t, region_roots(t)).select("uid", "fragment"), "uid")
+    a, b = cut(tx(spark, d)).withColumn("res_id", F.lit("main")), cut(tx2(spark, d)).withColumn("res_id", F.lit("ref"))
+    return a.unionByName(b).select("res_id", "fragment", "uid", "par_id", "name", "rank")
+
+
+@query(f"""WITH RECURSIVE {TX}, {TX2}, {_SIDES},
+wk AS (SELECT s.res_id, s.fragment, s.uid, s.name, [s.name, s.uid] AS path, 0 AS depth FROM sides s LEFT JOIN sides p ON p.res_id = s.res_id AND p.fragment = s.fragment AND p.uid = s.par_id WHERE p.uid IS NULL
+  UNION ALL SELECT s.res_id, s.fragment, s.uid, s.name, list_concat(wk.path, [s.name, s.uid]), wk.depth + 1 FROM sides s JOIN wk ON wk.res_id = s.res_id AND wk.fragment = s.fragment AND wk.uid = s.par_id)
+SELECT res_id, fragment, row_number() OVER (PARTITION BY res_id, fragment ORDER BY path) AS place, repeat('    ', depth) || name AS line FROM wk""")
+def compare_forests(spark, d):
+    return compare.forests(_sides(spark, d))
+
+
+@query(f"""WITH RECURSIVE {TX}, {TX2}, {_SIDES}, m AS (SELECT DISTINCT fragment, name FROM sides WHERE res_id = 'main'), r AS (SELECT DISTINCT fragment, name FROM sides WHERE res_id = 'ref'),
+z AS (SELECT coalesce(m.fragment, r.fragment) AS fragment, coalesce(m.name, r.name) AS name, CASE WHEN r.name IS NULL THEN 'main_only' WHEN m.name IS NULL THEN 'ref_only' ELSE 'both' END AS category FROM m FULL JOIN r ON m.fragment = r.fragment AND m.name = r.name)
+SELECT 'ref' AS res_id, fragment, name, category FROM z WHERE fragment IN (SELECT fragment FROM m) AND fragment IN (SELECT fragment FROM r)""")
+def compare_names(spark, d):
+    return compare.names_report(_sides(spark, d), "main")
+
+
+@query(f"""WITH RECURSIVE {TX}, {TX2}, {_SIDES} SELECT res_id, fragment, predicate, count(*) AS n FROM (SELECT res_id, fragment, unnest(['rank', 'verbatim']) AS predicate FROM sides) x GROUP BY ALL""")
+def compare_graphs(spark, d):
+    return compare.graphs(_sides(spark, d)).filter("predicate in ('rank', 'verbatim')").groupBy("res_id", "fragment", "predicate").agg(F.count("object").alias("n"))
+
+
+@query(f"WITH RECURSIVE {TX}, {TX2}, {_SIDES} SELECT name, string_agg(DISTINCT fragment, ',' ORDER BY fragment) AS fragments FROM sides WHERE res_id = 'main' GROUP BY name")
+def tx_name_paths(spark, d):
+    return partition.paths_of_names(_sides(spark, d).filter("res_id = 'main'")).withColumn("fragments", listed("fragments"))
+
+
+_FULL = " || chr(9) || '|' || chr(9) || "
+
+
+@query(f"WITH RECURSIVE {TX}, {_WALK} SELECT " + _FULL.join(("t.uid", "coalesce(par_id, '')", "name", "rank", "'gbif:7,ncbi:' || t.uid", "CASE WHEN rank = 'genus' THEN name || ' (in life)' ELSE '' END", "CASE WHEN rank = 'phylum' THEN 'extinct' ELSE '' END", "''"))
+       + " AS value, row_number() OVER (ORDER BY path) AS preorder_idx FROM tx t JOIN w ON w.uid = t.uid UNION ALL SELECT " + _FULL.join(f"'{c}'" for c in ("uid", "parent_uid", "name", "rank", "sourceinfo", "uniqname", "flags", "")) + ", 0")
+def taxonomy_lines_full(spark, d):
+    t = tx(spark, d).withColumn("src", model.parse_sources(F.concat(F.lit("ncbi:"), "uid", F.lit(",gbif:7")))).withColumn("uniqname", F.when(F.col("rank") == "genus", F.concat("name", F.lit(" (in life)"))))
+    return writers.taxonomy_lines(t, t.filter("rank = 'phylum'").select("uid"), full=True).select("value", "preorder_idx")
+
+
+@query("SELECT layout, line FROM (SELECT CAST(p_partkey AS VARCHAR) AS id, CASE WHEN p_size % 7 = 0 THEN 'partitioned' WHEN p_size % 5 = 0 THEN 'normalized' WHEN p_size % 3 = 0 THEN 'unpacked' WHEN p_size % 2 = 0 THEN 'downloaded' ELSE 'none' END AS status, p_partkey % 4 <> 0 AS last FROM part) x, "
+       "LATERAL (SELECT unnest(['flat', 'ids', 'terminal']) AS layout, unnest([id || chr(9) || status, id, CASE WHEN last THEN id END]) AS line) y WHERE line IS NOT NULL")
+def resource_status_lines(spark, d):
+    """Every fourth resource is the base of the one after it."""
+    reached = {"partitioned": 7, "normalized": 5, "unpacked": 3, "downloaded": 2}
+    base = F.when((F.col("p_partkey") - 1) % 4 == 0, (F.col("p_partkey") - 1).cast("string"))
+    p = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("id"), base.alias("base"), *[(F.col("p_size") % k == 0).alias(s) for s, k in reached.items()])
+    out = None
+    for layout in ("flat", "ids", "terminal"):
+        rows = writers.status_lines(p, layout).select(F.lit(layout).alias("layout"), "line")
+        out = rows if out is None else out.unionByName(rows)
+    return out

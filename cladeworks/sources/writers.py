@@ -10,15 +10,19 @@ from ..operators.hierarchy import leaves, preorder
 from .readers import SEP
 
 
-def taxonomy_lines(taxa: DataFrame, extinct: DataFrame | None = None) -> DataFrame:
-    """preorder_idx, value: the interim taxonomy's lines, the header first (index 0); ``extinct`` uids get that flag."""
+def taxonomy_lines(taxa: DataFrame, extinct: DataFrame | None = None, full: bool = False) -> DataFrame:
+    """preorder_idx, value: the interim taxonomy's lines, the header first (index 0); ``extinct`` uids get that flag.
+
+    ``full``: with sources and unique names (columns src, uniqname) before the flags.
+    """
     flags = F.col("flags") if "flags" in taxa.columns else F.array().cast("array<string>")
     if extinct is not None:
         taxa = taxa.join(extinct.select("uid").distinct().withColumn("__gone", F.lit(True)), "uid", "left")
         flags = F.when(F.col("__gone"), model.add_flag(flags, "extinct")).otherwise(flags)
-    cells = [F.coalesce(c, F.lit("")) for c in (F.col("uid"), F.col("par_id"), F.col("name"), F.col("rank"), model.format_flags(flags))]
+    more = [model.format_sources(F.col("src")), F.col("uniqname")] if full else []
+    cells = [F.coalesce(c, F.lit("")) for c in (F.col("uid"), F.col("par_id"), F.col("name"), F.col("rank"), *more, model.format_flags(flags))]
     rows = taxa.join(preorder(taxa).select("uid", "preorder_idx"), "uid").select("preorder_idx", F.concat(F.concat_ws(SEP, *cells), F.lit("\t|\t")).alias("value"))
-    head = SEP.join(("uid", "parent_uid", "name", "rank", "flags", ""))
+    head = SEP.join(("uid", "parent_uid", "name", "rank", *(("sourceinfo", "uniqname") if full else ()), "flags", ""))
     return taxa.sparkSession.range(1).select(F.lit(0).cast("long").alias("preorder_idx"), F.lit(head).alias("value")).unionByName(rows)
 
 
@@ -84,3 +88,19 @@ def status_report(resources: DataFrame) -> DataFrame:
     """status, ids of resources by the furthest step they reached."""
     step = F.when(F.col("partitioned"), "partitioned").when(F.col("normalized"), "normalized").when(F.col("unpacked"), "unpacked").when(F.col("downloaded"), "downloaded").otherwise("none")
     return resources.groupBy(step.alias("status")).agg(F.array_sort(F.collect_list("id")).alias("ids"))
+
+
+def status_lines(resources: DataFrame, layout: str = "flat") -> DataFrame:
+    """line: the report on resources (id, base, ...) in one of four layouts.
+
+    ``flat``: id and status, ``grouped``: a status and its ids, ``ids``: ids
+    only, ``terminal``: only ids of resources that are no other's base.
+    """
+    if layout == "grouped":
+        return status_report(resources).select(F.concat("status", F.lit(": "), F.array_join("ids", ", ")).alias("line"))
+    if layout == "flat":
+        return status_report(resources).select("status", F.explode("ids").alias("id")).select(F.concat("id", F.lit("\t"), "status").alias("line"))
+    if layout not in ("ids", "terminal"):
+        raise ValueError(f"no layout {layout}")
+    bases = resources.filter("base is not null").select(F.col("base").alias("id")) if layout == "terminal" else resources.limit(0).select("id")
+    return resources.select("id").join(bases, "id", "left_anti").select(F.col("id").alias("line"))
