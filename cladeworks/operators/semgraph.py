@@ -71,9 +71,16 @@ def synonym_kinds(taxa: DataFrame, syn: DataFrame) -> DataFrame:
 
 
 def authorities(syn: DataFrame) -> DataFrame:
-    """authors, year, n, uids of the authority synonyms, one node for each (authors, year)."""
+    """authors, year, n, uids, n_basionyms of the authority synonyms, one node for each (authors, year); in brackets they are a basionym's."""
     rows = syn.filter("syn_type = 'authority'").select("uid", authority(F.col("name")).alias("a")).select("uid", "a.*")
-    return rows.groupBy("authors", "year").agg(F.count("uid").alias("n"), F.array_sort(F.collect_set("uid")).alias("uids"))
+    return rows.groupBy("authors", "year").agg(F.count("uid").alias("n"), F.array_sort(F.collect_set("uid")).alias("uids"), F.count_if("is_basionym").alias("n_basionyms"))
+
+
+def former_ranks(kinds: DataFrame) -> DataFrame:
+    """uid, former (sorted ranks that its synonyms show it had), problematic (sorted names of synonyms of no use), from ``synonym_kinds``."""
+    rank = F.when(F.col("kind") == "former_species", "species").when(F.col("kind") == "former_subspecies", "subspecies")
+    told = kinds.groupBy("uid").agg(F.array_sort(F.collect_set(rank)).alias("former"), F.array_sort(F.collect_set(F.when(F.col("kind") == "problematic", F.col("name")))).alias("problematic"))
+    return told.filter((F.size("former") > 0) | (F.size("problematic") > 0))
 
 
 def split_homonyms(rows: DataFrame) -> DataFrame:
@@ -101,6 +108,18 @@ def canonical_names(found: DataFrame) -> DataFrame:
     return found.select("id", F.coalesce(p["combination"], p["clade_name"], F.col("name")).alias("canonical"), F.coalesce(p["infra_epithet"], p["sp_epithet"], p["clade_name"]).alias("terminal"))
 
 
+def canonical_name_map(found: DataFrame) -> DataFrame:
+    """name, id: the last concept (by id) of each canonical name."""
+    return canonical_names(found).groupBy(F.col("canonical").alias("name")).agg(F.max("id").alias("id"))
+
+
+def specimen_synonyms(taxa: DataFrame, syn: DataFrame) -> DataFrame:
+    """uid, names: the sorted synonyms of taxa based on specimens, without authorities and type material."""
+    own = taxa.filter(is_specimen_based(F.col("rank"))).select("uid")
+    names = syn.filter(~F.col("syn_type").isin("authority", "type material")).join(own, "uid", "left_semi")
+    return names.groupBy("uid").agg(F.array_sort(F.collect_set("name")).alias("names"))
+
+
 def claim_flags(rows: DataFrame, known: tuple[str, ...] = KNOWN_FLAGS) -> DataFrame:
     """Rows (id, flags) with checked flags; one that is not known raises."""
     bad = F.array_except("flags", F.array(*map(F.lit, known)))

@@ -214,13 +214,35 @@ def syn_mixed_types(spark, d):
     return reconcile.mixed_synonym_types(t, syn)
 
 
-@query("SELECT authors, year, count(*) AS n, string_agg(DISTINCT uid, ',' ORDER BY uid) AS uids FROM (SELECT CAST(p_partkey AS VARCHAR) AS uid, p_brand AS authors, CAST(1900 + p_size AS VARCHAR) AS year FROM part) x GROUP BY authors, year")
+@query("SELECT authors, year, count(*) AS n, string_agg(DISTINCT uid, ',' ORDER BY uid) AS uids, count(*) FILTER (k % 3 = 0) AS n_basionyms FROM (SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) AS uid, p_brand AS authors, CAST(1900 + p_size AS VARCHAR) AS year FROM part) x GROUP BY authors, year")
 def sem_authorities(spark, d):
-    text = F.concat(F.lit("("), "p_brand", F.lit(", "), (F.col("p_size") + 1900).cast("string"), F.lit(")"))
+    text = F.concat("p_brand", F.lit(", "), (F.col("p_size") + 1900).cast("string"))
+    text = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("("), text, F.lit(")"))).otherwise(text)
     syn = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("uid"), text.alias("name"), F.lit("authority").alias("syn_type"))
     return semgraph.authorities(syn).withColumn("uids", listed("uids"))
 
 
+@query(f"WITH {TX}, {SY} SELECT uid, string_agg(DISTINCT name, ',' ORDER BY name) AS names FROM sy WHERE syn_type <> 'authority' AND uid IN (SELECT uid FROM tx WHERE rank = 'species') GROUP BY uid")
+def sem_specimen_synonyms(spark, d):
+    return semgraph.specimen_synonyms(tx(spark, d), sy(spark, d)).withColumn("names", listed("names"))
+
+
+# a genus was a species and a subspecies once, an order a subspecies; other names are of no use
+@query(f"WITH {TX} SELECT uid, CASE WHEN rank = 'species' THEN 'subspecies' ELSE '' END AS former, CASE WHEN rank = 'species' THEN 'Aus' ELSE 'Aus bus,Aus bus cus' END AS problematic FROM tx WHERE rank IN ('genus', 'species', 'phylum', 'kingdom')")
+def sem_former_ranks(spark, d):
+    t = tx(spark, d).filter("rank <> 'no rank'")
+    each = F.explode(F.array(*map(F.lit, ("Aus", "Aus bus", "Aus bus cus"))))
+    kinds = semgraph.synonym_kinds(t, t.select("uid", each.alias("name"), F.lit("synonym").alias("syn_type")))
+    return semgraph.former_ranks(kinds).select("uid", listed("former").alias("former"), listed("problematic").alias("problematic"))
+
+
+@query("SELECT CASE p_size % 3 WHEN 0 THEN 'Aus bus cus' WHEN 1 THEN 'Aus bus' ELSE 'Aus' END AS name, max('res:tc:' || p_partkey) AS id FROM part GROUP BY p_size % 3")
+def sem_canonical_map(spark, d):
+    name = F.element_at(F.array(*map(F.lit, ("Aus bus cus (L., 1758)", "Aus bus", "Aus Smith, 1900"))), F.col("p_size") % 3 + 1)
+    t = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("uid"), F.lit(None).cast("string").alias("par_id"), name.alias("name"), F.lit("species").alias("rank"))
+    return semgraph.canonical_name_map(semgraph.concepts(t))
+
+
 @query("SELECT p_name AS name, max(CAST(p_partkey AS VARCHAR)) AS id FROM part GROUP BY p_name")
 def sem_valid_names(spark, d):
     return semgraph.valid_name_map(table(spark, d, "part").select(F.col("p_name").alias("name"), F.col("p_partkey").cast("string").alias("id")))
