@@ -21,11 +21,12 @@ def relevant_sources(taxa: DataFrame, fold: int = FOLD) -> DataFrame:
 
 def candidates(taxa: DataFrame, required: list[str] | None = None, min_tips: int = MIN_TIPS) -> DataFrame:
     """uid, name, n_tips: internal taxa below a root with enough tips, a separating rank and all required sources."""
-    inner = taxa.join(leaves(taxa), "uid", "left_anti").join(roots(taxa), "uid", "left_anti")
+    tree = staged(taxa.select("uid", "par_id"))  # read many times below, so that plans do not hold what made it
+    inner = taxa.join(leaves(tree), "uid", "left_anti").join(roots(tree), "uid", "left_anti")
     ranked = inner.filter(F.col("rank").isNull() | ~F.col("rank").isin(*NON_SEPARATING_RANKS))
     if required:
         ranked = ranked.filter(F.size(F.array_except(F.array(*map(F.lit, required)), stable_sources(F.col("src")))) == 0)
-    return ranked.join(tips_below(taxa), "uid").filter(F.col("n_tips") >= min_tips).select("uid", "name", "n_tips")
+    return ranked.join(tips_below(tree), "uid").filter(F.col("n_tips") >= min_tips).select("uid", "name", "n_tips")
 
 
 def by_name(taxa: DataFrame, name: str) -> DataFrame:
@@ -34,15 +35,16 @@ def by_name(taxa: DataFrame, name: str) -> DataFrame:
 
 def confirmed(taxa: DataFrame, found: DataFrame) -> DataFrame:
     """Those of ``found`` that lie below no other."""
-    near = absorb(taxa, found).filter("stop is not null").select(F.col("uid").alias("par_id"))
-    nested = taxa.select("uid", "par_id").join(near, "par_id", "left_semi").select("uid")
+    found, tree = staged(found), staged(taxa.select("uid", "par_id"))
+    near = absorb(tree, found).filter("stop is not null").select(F.col("uid").alias("par_id"))
+    nested = tree.join(near, "par_id", "left_semi").select("uid")
     return found.join(nested, "uid", "left_anti")
 
 
 def nested(taxa: DataFrame, found: DataFrame) -> DataFrame:
     """uid, parent: each separator's nearest separator above; an only child of a separator is left out."""
-    marks = found.select("uid")
-    up = taxa.select("uid", "par_id").join(absorb(taxa, marks).select(F.col("uid").alias("par_id"), F.col("stop").alias("parent")), "par_id", "left")
+    marks, tree = staged(found.select("uid")), staged(taxa.select("uid", "par_id"))
+    up = tree.join(absorb(tree, marks).select(F.col("uid").alias("par_id"), F.col("stop").alias("parent")), "par_id", "left")
     own = staged(up.join(marks, "uid", "left_semi").select("uid", "parent"))
     lone = own.filter("parent is not null").groupBy("parent").agg(F.count("uid").alias("n")).filter("n = 1").select("parent")
     kept = own.join(lone, "parent", "left_anti").unionByName(own.filter("parent is null")).distinct()
