@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,10 +100,13 @@ def barren(prev: DataFrame, curr: DataFrame) -> DataFrame:
     """uid, kind: higher taxa without children now (newly), or then and now (oldly)."""
     from ..model import rank_number
 
-    high = lambda t: t.filter(rank_number(F.col("rank")) > SPECIES).select("uid")
-    now = leaves(curr).join(high(curr), "uid", "left_semi")
-    then = leaves(prev).join(high(prev), "uid", "left_semi").withColumn("old", F.lit(True))
-    return now.join(then, "uid", "left").select("uid", F.when(F.col("old"), "oldly_barren").otherwise("newly_barren").alias("kind"))
+    # one aggregate over flags: no side is sorted, and each parent is sent once a task
+    sides = [(prev, "then"), (curr, "now")]
+    high = [t.filter(rank_number(F.col("rank")) > SPECIES).select("uid", F.lit(f"high_{s}").alias("flag")) for t, s in sides]
+    parents = [t.filter("par_id is not null").select(F.col("par_id").alias("uid"), F.lit(f"kids_{s}").alias("flag")) for t, s in sides]
+    has = lambda flag: F.max(F.col("flag") == flag)
+    flags = reduce(DataFrame.unionByName, high + parents).groupBy("uid").agg(*[has(f"{f}_{s}").alias(f"{f}_{s}") for f in ("high", "kids") for _, s in sides])
+    return flags.filter("uid is not null and high_now and not kids_now").select("uid", F.when(F.expr("high_then and not kids_then"), "oldly_barren").otherwise("newly_barren").alias("kind"))
 
 
 def compare_ranges(a: DataFrame, b: DataFrame, pairs: DataFrame) -> DataFrame:
