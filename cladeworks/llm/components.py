@@ -40,7 +40,7 @@ def components(edges: DataFrame, ws: Workspace, max_rounds: int = 60) -> DataFra
 
 
 def roots_of(parents: DataFrame, ws: Workspace, max_rounds: int = 60) -> DataFrame:
-    """(node, comp) for every node of a forest (a, b), in which each b has one parent a < b; comp is the root.
+    """(node, comp) for every node of a forest (a, b), in which each b has one parent a and no way leads back to it; comp is the root.
 
     Pointer jumping: a round is one equi-join and halves the depth; only
     a count a round reaches the driver.  Without edges the result is empty.
@@ -61,7 +61,7 @@ def roots_of(parents: DataFrame, ws: Workspace, max_rounds: int = 60) -> DataFra
 def merged(comps: DataFrame, links: DataFrame, ws: Workspace, forest: bool = False) -> DataFrame:
     """``comps`` (node, comp) after the links (a, b) between components (a node without one is its own) are added.
 
-    ``forest``: each b has one link, and that to an a < b.
+    ``forest``: each b has one link, and these make no cycle.
     """
     joined = roots_of(links, ws) if forest else ws.table(components(links.distinct(), ws))
     moved = joined.select(F.col("node").alias("comp"), F.col("comp").alias("to"))

@@ -16,8 +16,8 @@ and skips in two ways.
 Every list is first read as a star around its most central sets (those with the
 fewest rare shingles), so that a group of near copies is linked after about as
 many pairs as it has sets; only then all pairs of different components are taken
-from the lists that still hold several.  Of the pairs between two components the
-likeliest is verified first, the others only if that one does not link.
+from the lists that still hold several.  Of a component's pairs with others the
+likeliest is verified first, the others only if they are not linked by then.
 
 Equal sets are one class from the start.  The result is exact: every pair that
 links ends in one component, and no pair that does not link joins two.  Sets
@@ -131,8 +131,14 @@ def _sketch(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Record
         yield often(ids.type)
 
 
-def _keyed(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """(rep, node, n, bands, bins, text) of texts with words."""
+def _rare(own: np.ndarray, known: np.ndarray) -> int:
+    """How many of the shingles are not in ``known``."""
+    return len(own) if not len(known) else int((known[np.minimum(np.searchsorted(known, own), len(known) - 1)] != own).sum())
+
+
+def _keyed(batches: Iterator[pa.RecordBatch], words: int, heavy) -> Iterator[pa.RecordBatch]:
+    """(rep, node, n, rare, bands, bins, text) of texts with words."""
+    known = heavy.value
     for batch in batches:
         texts = batch.column("text").to_pylist()
         sets = list(shingle_sets(texts, words))
@@ -140,9 +146,9 @@ def _keyed(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordB
         own = [sets[k] for k in some]
         columns = [
             batch.column("doc_id").take(pa.array(some, pa.int64())), pa.array(map(_node, own), pa.int64()), pa.array(map(len, own), pa.int32()),
-            pa.array(_bands(own), pa.list_(pa.int64())), pa.array(map(_bins, own), pa.binary()), pa.array([texts[k] for k in some], pa.string()),
+            pa.array([_rare(x, known) for x in own], pa.int32()), pa.array(_bands(own), pa.list_(pa.int64())), pa.array(map(_bins, own), pa.binary()), pa.array([texts[k] for k in some], pa.string()),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["rep", "node", "n", "bands", "bins", "text"])
+        yield pa.RecordBatch.from_arrays(columns, ["rep", "node", "n", "rare", "bands", "bins", "text"])
 
 
 def _prefix(own: np.ndarray, known: np.ndarray, far: float) -> np.ndarray:
@@ -429,24 +435,35 @@ class _Join:
         return placed.withColumns({"ca": F.coalesce("ca", "a"), "cb": F.coalesce("cb", "b")}).filter("ca <> cb")
 
     def settle(self, pairs: DataFrame, comps: DataFrame, checked: list[DataFrame], rounds: int, rest: bool) -> DataFrame:
-        """The components after ``rounds`` in which each component's likeliest pair with one of a smaller name is verified, and (``rest``) then all other pairs."""
+        """The components after ``rounds`` in which each component's likeliest pair is verified, and (``rest``) then all other pairs.
+
+        A round links a group around a hub whatever the hub's name is.  Pairs have one order, (bound, a, b), by which each
+        component picks its first: such picks make no cycle, but that two components may pick the same pair.
+        """
         for k in range(rounds + rest):
             left = self.apart(pairs, comps).join(self.union(checked), ["a", "b"], "left_anti")
             if k < rounds:
-                best = F.max(F.struct("bound", "a", "b")).alias("best")
-                left = left.groupBy(F.greatest("ca", "cb").alias("c")).agg(best).select("best.a", "best.b")
-            left, rows = self.ws.counted(left.select("a", "b"))
+                ends = F.explode(F.array(F.struct(F.col("ca").alias("c"), F.col("cb").alias("other")), F.struct(F.col("cb").alias("c"), F.col("ca").alias("other"))))
+                sided = left.select("bound", "a", "b", ends.alias("end"))
+                best = sided.groupBy(F.col("end.c").alias("c")).agg(F.max(F.struct("bound", "a", "b", "end.other")).alias("best"))
+                left = best.groupBy("best.a", "best.b").agg(F.max(F.struct("c", "best.other")).alias("end"))  # of two that pick one pair the larger name joins the smaller
+            left, rows = self.ws.counted(left.select("a", "b", *(["end"] if k < rounds else [])))
             if not rows:
                 break
-            checked.append(self.verified(left))
-            links, rows = self.ws.counted(self.apart(self.linked(checked[-1]).select("a", "b"), comps).select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")))
+            checked.append(self.verified(left.select("a", "b")))
+            linked = self.linked(checked[-1]).select("a", "b")
+            if k < rounds:
+                links = linked.join(left, ["a", "b"]).select(F.col("end.other").alias("a"), F.col("end.c").alias("b"))
+            else:
+                links = self.apart(linked, comps).select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"))
+            links, rows = self.ws.counted(links)
             if rows:
                 comps = merged(comps, links, self.ws, forest=k < rounds)
         return comps
 
     def union(self, checked: list[DataFrame], *columns: str) -> DataFrame:
-        """The verified pairs."""
-        parts = [x.select("a", "b", *columns) for x in checked]
+        """The verified pairs, with a < b."""
+        parts = [x.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *columns) for x in checked]
         return reduce(DataFrame.unionByName, parts)
 
     def joined(self, nodes: DataFrame, comps: DataFrame, checked: list[DataFrame], extras: DataFrame | None = None) -> DataFrame:
@@ -494,17 +511,17 @@ class _Join:
         base = sketch.filter("token is null").select("doc_id", "n", "node")
         counted = sketch.filter("token is not null").groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= HEAVY_FROM)
         top = counted.orderBy(F.desc("n"), "token").limit(HEAVY_MOST).select("token").toPandas()["token"]
-        self.heavy = self.spark.sparkContext.broadcast(np.sort(top.to_numpy().astype(np.int64).view(np.uint64)))
+        self.heavy = heavy = self.spark.sparkContext.broadcast(np.sort(top.to_numpy().astype(np.int64).view(np.uint64)))
 
         # a row for each class of equal sets, bucketed so that later joins on node move small rows only
         table = f"cladeworks_sets_{ws.root.rsplit('-', 1)[1]}"
-        keyed = self.docs.mapInArrow(lambda f: _keyed(f, words), f"rep {kind}, node long, n int, bands array<long>, bins binary, text string")
-        same = [F.first(c).alias(c) for c in ("n", "bands", "bins", "text")]
+        keyed = self.docs.mapInArrow(lambda f: _keyed(f, words, heavy), f"rep {kind}, node long, n int, rare int, bands array<long>, bins binary, text string")
+        same = [F.first(c).alias(c) for c in ("n", "rare", "bands", "bins", "text")]
         keyed.groupBy("node").agg(F.min("rep").alias("rep"), *same).write.bucketBy(self.parts, "node").option("path", f"{ws.root}/sets").saveAsTable(table)
         try:
             sets = self.spark.table(table)
             self.texts, self.bins = sets.select("node", "text"), sets.select("node", "n", "bins")
-            classes = sets.select("node", "rep", "bands")
+            classes = sets.select("node", "rep", "rare", "bands")
             comps = self.components(classes)
             least = classes.join(comps, "node").groupBy("comp").agg(F.min("rep").alias("component_id"))
             joined = comps.join(least, "comp").select("node", "component_id")
@@ -520,12 +537,12 @@ class _Join:
     def components(self, classes: DataFrame) -> DataFrame:
         """(node, comp) of all classes that link with another."""
         ws, like = self.ws, self.like
-        # leaders: the smallest node of each band; each set is verified against the likeliest of its own
-        banded = classes.select("node", F.explode("bands").alias("band"))
-        shared = banded.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a <> last").select("band", "a")
-        near = self.possible(banded.join(shared, "band").filter("node <> a").select("a", F.col("node").alias("b")).distinct())
+        # leaders: of each band the set with the fewest rare shingles, so the middle of a group; each set is verified against the likeliest of its own
+        banded = classes.select("node", F.struct("rare", "node").alias("rank"), F.explode("bands").alias("band"))
+        shared = banded.groupBy("band").agg(F.min("rank").alias("lead"), F.count("node").alias("n")).filter("n > 1").select("band", F.col("lead.node").alias("a"))
+        near = self.possible(banded.drop("rank").join(shared, "band").filter("node <> a").select("a", F.col("node").alias("b")).distinct())
         first = self.verified(ws.table(near.groupBy("b").agg(F.max(F.struct("bound", "a")).alias("best")).select("best.a", "b")), like.absorb)
-        comps = roots_of(self.linked(first).select("a", "b"), ws)  # each set has one leader, and that a smaller name
+        comps = roots_of(self.linked(first).select("a", "b"), ws)  # each set has one leader, and that one of fewer rare shingles, or of a smaller name
         checked = [first]
         close = first.filter("tokens is not null").withColumn("radius", 1 - F.col("both") / F.col("either"))
         roots = close.select("a").distinct().join(close.select(F.col("b").alias("a")).distinct(), "a", "left_anti")

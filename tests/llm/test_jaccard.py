@@ -192,3 +192,26 @@ def test_links_of_very_long_texts(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     like = Likeness(3, 80)
     assert sorted(map(tuple, jaccard.link_components(docs, like).collect()), key=str) == _brute(rows, like)
+
+
+def test_groups_are_led_by_their_middle(spark, monkeypatch):
+    """Groups around a text each: it leads its copies whatever the names of the sets, so they are linked through it and few pairs are left to list."""
+    calls, whole, seen, listed = [], jaccard._Join.verified, [], jaccard._Join.possible
+    monkeypatch.setattr(jaccard._Join, "verified", lambda self, pairs, absorb=-1.0: (calls.append(pairs.select("a").collect()), whole(self, pairs, absorb))[1])
+    monkeypatch.setattr(jaccard._Join, "possible", lambda self, pairs, radii=None: (found := listed(self, pairs, radii), seen.append(found.count()))[0])
+    rng, rows, middle = random.Random(4), [], set()
+    for g in range(4):
+        base = [f"g{g}w{k}" for k in range(150)]
+        middle |= {jaccard._node(own) for own in jaccard.shingle_sets([" ".join(base)], 3)}
+        for n in range(60):
+            own = list(base)
+            for _ in range(0 if n == 30 else 1 + n % 2 if n % 5 else 4):
+                own[rng.randrange(len(own))] = f"x{rng.randrange(10**9)}"
+            rows.append((1000 * g + n, " ".join(own)))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    like = Likeness(3, 90)
+    assert sorted(tuple(r) for r in jaccard.link_components(docs, like).collect()) == sorted(_brute(rows, like))
+    led = [r["a"] in middle for r in calls[0]]
+    assert len(led) > 50 and sum(led) > 0.9 * len(led)
+    assert sum(seen) < 4 * len(rows), seen
