@@ -396,31 +396,33 @@ def wikidata_statements(spark: SparkSession, path: str) -> DataFrame:
     value), null values left out.  Lines that are no entities (brackets, broken
     JSON) are skipped; an entity without statements has no rows.
     """
-    lines = spark.read.text(path).select(F.try_parse_json(F.regexp_replace("value", r",\s*$", "")).alias("v")).filter("v is not null")
-    statements = spark.sql(
-        "SELECT try_variant_get(v, '$.id', 'string') AS uid, c.key AS property, cast(s.pos AS int) AS place, s.value AS statement "
-        "FROM {lines}, LATERAL variant_explode(try_variant_get(v, '$.claims', 'variant')) c, LATERAL variant_explode(c.value) s WHERE try_variant_get(v, '$.id', 'string') IS NOT NULL",
-        lines=lines,
-    )
-    get = lambda v, path: F.try_variant_get(v, path, "string")
-    # snaks as text with a schema: their values are items, times or text
+    line = F.rtrim(F.col("value"), F.lit(", \t\r\n"))
+    # one pass of the parser a line; main values stay variants, so that an object is told from a text that looks like one
     snaks = "map<string, array<struct<datavalue:struct<value:string>>>>"
+    claim = f"struct<mainsnak:struct<snaktype:string,datavalue:struct<value:variant>>,rank:string,qualifiers:{snaks},references:array<struct<snaks:{snaks}>>>"
+    parsed = F.from_json("value", f"id string, claims map<string, array<{claim}>>, odd string", {"columnNameOfCorruptRecord": "odd"})
+    # through a generator, so that filters do not parse the line again
+    rows = spark.read.text(path).select(line.alias("value")).select(F.explode(F.array(parsed)).alias("e"))
+    rows = rows.filter("e.id is not null and (e.odd is null or json_object_keys(e.odd) is not null)")
+    # where anything in a line is out of form, its statements are taken one by one
+    each = F.transform_values(F.from_json("e.odd", "claims map<string, variant>")["claims"], lambda _, v: F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda s: F.from_json(s.cast("string"), claim)))
+    rows = rows.select(F.col("e.id").alias("uid"), F.explode(F.when(F.col("e.odd").isNull(), F.col("e.claims")).otherwise(each)).alias("property", "found"))
+    statements = rows.select("uid", "property", F.posexplode("found").alias("place", "st"))
 
     def value(v: Column) -> Column:
-        return F.coalesce(F.get_json_object(v, "$.id"), F.get_json_object(v, "$.time"), F.get_json_object(v, "$.text"), v)
+        # only an object has fields to ask for
+        return F.when(v.startswith("{"), F.coalesce(F.get_json_object(v, "$.id"), F.get_json_object(v, "$.time"), F.get_json_object(v, "$.text"), v)).otherwise(v)
 
     def pairs(found: Column) -> Column:
         flat = F.flatten(F.transform(F.map_entries(found), lambda e: F.transform(e["value"], lambda x: F.struct(e["key"].alias("property"), value(x["datavalue"]["value"]).alias("value")))))
         return F.coalesce(F.filter(flat, lambda x: x["value"].isNotNull()), F.array().cast("array<struct<property:string,value:string>>"))
 
-    st = F.col("statement")
-    main = "$.mainsnak.datavalue.value"
-    references = F.from_json(get(st, "$.references"), f"array<struct<snaks:{snaks}>>")
-    told = F.flatten(F.transform(references, lambda r: pairs(r["snaks"])))
+    get = lambda path: F.try_variant_get("st.mainsnak.datavalue.value", path, "string")
+    told = F.flatten(F.transform("st.references", lambda r: pairs(r["snaks"])))
     return statements.select(
-        "uid", "property", "place", F.coalesce(get(st, "$.rank"), F.lit("normal")).alias("rank"), get(st, "$.mainsnak.snaktype").alias("snak"),
-        F.coalesce(get(st, f"{main}.id"), get(st, f"{main}.time"), get(st, f"{main}.text"), get(st, main)).alias("value"),
-        pairs(F.from_json(get(st, "$.qualifiers"), snaks)).alias("qualifiers"), F.coalesce(told, F.array().cast("array<struct<property:string,value:string>>")).alias("references"),
+        "uid", "property", "place", F.coalesce("st.rank", F.lit("normal")).alias("rank"), F.col("st.mainsnak.snaktype").alias("snak"),
+        F.coalesce(get("$.id"), get("$.time"), get("$.text"), get("$")).alias("value"),
+        pairs(F.col("st.qualifiers")).alias("qualifiers"), F.coalesce(told, F.array().cast("array<struct<property:string,value:string>>")).alias("references"),
     )
 
 
@@ -440,25 +442,31 @@ def wikidata_taxa(statements: DataFrame, taxon_classes: tuple[str, ...] = TAXON_
     years and status are those of the name's qualifiers; of several parents or
     names the last counts; src lists ids elsewhere as ``prefix:id``.
     """
-    spark = statements.sparkSession
-    codes = lambda table, name: F.broadcast(spark.createDataFrame(list(table.items()), f"value string, {name} string"))  # noqa: E731  fixed tables
-    used = truthy(statements).filter("snak = 'value'")
-    kinds = used.filter(F.col("property") == "P31").filter(F.col("value").isin(*taxon_classes)).select("uid").distinct()
-    own = staged(used.filter(F.col("property").isin("P171", "P225", "P105", *OTHER_IDS)).join(kinds, "uid", "left_semi"))
-    ranks = own.filter("property = 'P105'").join(codes(RANK_ITEMS, "named"), "value").groupBy("uid").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "named"))), lambda x: x["named"]), ",").alias("rank"))
-    last = lambda p: F.max_by(F.when(F.col("property") == p, F.col("value")), F.when(F.col("property") == p, F.col("place")))
-    ids = F.filter(F.sort_array(F.collect_list(F.when(F.col("property").isin(*OTHER_IDS), F.struct(F.create_map(*[F.lit(x) for kv in OTHER_IDS.items() for x in kv])[F.col("property")].alias("prefix"), "place", "value")))), lambda x: x.isNotNull())
-    basic = own.groupBy("uid").agg(last("P171").alias("par_id"), last("P225").alias("name"), F.array_join(F.transform(ids, lambda x: F.concat_ws(":", x["prefix"], x["value"])), ",").alias("src"))
+    codes = lambda table: F.create_map(*[F.lit(x) for kv in table.items() for x in kv])  # noqa: E731  fixed tables
+    wanted = statements.filter(F.col("property").isin("P31", "P171", "P225", "P105", *OTHER_IDS) & (F.col("rank") != "deprecated"))
+    # an entity's statements are those of one line of the dump; all that follows is done within its row
+    said = F.struct("property", "place", F.col("rank") == "preferred", (F.col("snak") == "value"), "value", F.when(F.col("property") == "P225", F.col("qualifiers")))
+    names = "array<struct<property:string,place:int,preferred:boolean,told:boolean,value:string,qualifiers:array<struct<property:string,value:string>>>>"
+    own = wanted.groupBy("uid").agg(F.sort_array(F.collect_list(said)).cast(names).alias("all"))
+    best = F.transform(F.filter("all", lambda s: s["preferred"]), lambda s: s["property"])
+    used = own.withColumn("best", best).select("uid", F.filter("all", lambda s: F.coalesce(s["told"], F.lit(False)) & (s["preferred"] | ~F.array_contains("best", s["property"]))).alias("s"))
+    of = lambda p: F.filter("s", lambda x: x["property"] == p)
+    values = lambda found: F.transform(found, lambda x: x["value"])
+    taxa = used.filter(F.exists("s", lambda x: (x["property"] == "P31") & x["value"].isin(*taxon_classes)))
+    taxa = taxa.filter(F.exists("s", lambda x: x["property"] != "P31")).select("uid", *[of(p).alias(n) for p, n in (("P171", "parents"), ("P225", "names"), ("P105", "ranks"))], F.filter("s", lambda x: x["property"].isin(*OTHER_IDS)).alias("ids"))
+    ranks = F.transform("ranks", lambda x: F.try_element_at(codes(RANK_ITEMS), x["value"]))
+    ids = F.array_sort(F.transform("ids", lambda x: F.struct(F.try_element_at(codes(OTHER_IDS), x["property"]).alias("prefix"), x["place"].alias("place"), x["value"].alias("value"))))
 
     # what the qualifiers of the last name say
-    named = own.filter("property = 'P225'").groupBy("uid").agg(F.max_by("qualifiers", "place").alias("q")).select("uid", F.posexplode("q").alias("at", "q"))
-    listed = lambda rows, c, name: rows.groupBy("uid").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", c))), lambda x: x[c]), ",").alias(name))
-    of = lambda p: named.filter(F.col("q.property") == p).select("uid", "at", F.col("q.value").alias("value"))
-    years = of("P574").select("uid", F.substring("value", 2, 4).alias("value"), "at").groupBy("uid", "value").agg(F.min("at").alias("at"))
-    status = of("P1135").join(codes(NOMENCLATURAL_STATUS, "named"), "value", "left").withColumn("named", F.when(F.col("named").isNull(), F.raise_error(F.concat(F.lit("unknown nomenclatural status: "), "value")).cast("string")).otherwise(F.col("named")))
-    out = basic.join(ranks, "uid", "left").join(listed(of("P405"), "value", "aut_id"), "uid", "left").join(listed(years, "value", "aut_yr_id"), "uid", "left").join(listed(status, "named", "nom_status"), "uid", "left")
-    blank = ("rank", "aut_id", "aut_yr_id", "nom_status", "src")
-    return out.select("uid", "par_id", "name", *[F.coalesce(c, F.lit("")).alias(c) for c in blank])
+    taxa = taxa.withColumn("q", F.try_element_at("names", F.lit(-1))["qualifiers"])
+    listed = lambda p: values(F.filter("q", lambda x: x["property"] == p))
+    status = F.transform(listed("P1135"), lambda v: F.coalesce(F.try_element_at(codes(NOMENCLATURAL_STATUS), v), F.raise_error(F.concat(F.lit("unknown nomenclatural status: "), v)).cast("string")))
+    joined = lambda texts: F.coalesce(F.array_join(texts, ","), F.lit(""))
+    return taxa.select(
+        "uid", *[F.try_element_at(values(F.col(c)), F.lit(-1)).alias(n) for c, n in (("parents", "par_id"), ("names", "name"))], joined(F.filter(ranks, lambda x: x.isNotNull())).alias("rank"),
+        joined(listed("P405")).alias("aut_id"), joined(F.array_distinct(F.transform(listed("P574"), lambda v: F.substring(v, 2, 4)))).alias("aut_yr_id"), joined(status).alias("nom_status"),
+        joined(F.transform(ids, lambda x: F.concat_ws(":", x["prefix"], x["value"]))).alias("src"),
+    )
 
 
 # What tells the kind of a wiki page.

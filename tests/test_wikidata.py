@@ -47,3 +47,17 @@ def test_taxa(spark, tmp_path):
     bad = _dump(tmp_path, {"id": "Q5", "claims": {"P31": [TAXON], "P225": [_claim("Aus", qualifiers={"P1135": [_snak({"id": "Q0"})]})]}})
     with pytest.raises(Exception, match="unknown nomenclatural status: Q0"):
         readers.wikidata_taxa(readers.wikidata_statements(spark, bad)).collect()
+
+
+def test_odd_lines_keep_their_sound_statements(spark, tmp_path):
+    quantity = _claim({"unit": "1", "amount": "+5"}, qualifiers=[])
+    looks = _claim('{"b":1,"a":2}', references=[{}])
+    path = _dump(tmp_path, {"id": "Q1", "claims": {"P1": [5, {"mainsnak": "bad"}, _claim("ok")], "P2": [quantity, looks]}}, {"id": "Q2", "claims": []}, '{"id":"Q3","claims":{"P1":[{"mainsnak":{"snaktype":"val')
+    got = {(r["uid"], r["property"], r["place"]): r["value"] for r in readers.wikidata_statements(spark, path).collect()}
+    assert got == {("Q1", "P1", 0): None, ("Q1", "P1", 1): None, ("Q1", "P1", 2): "ok", ("Q1", "P2", 0): '{"amount":"+5","unit":"1"}', ("Q1", "P2", 1): '{"b":1,"a":2}'}
+
+
+def test_the_dump_is_read_once(spark, tmp_path):
+    path = _dump(tmp_path, {"id": "Q5", "claims": {"P31": [TAXON], "P225": [_claim("Aus")]}})
+    plan = readers.wikidata_taxa(readers.wikidata_statements(spark, path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and plan.count("from_json(") <= 3
