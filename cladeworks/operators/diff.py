@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..model import SPECIES
 from ..staging import staged
 from .folds import fold_up
-from .hierarchy import absorb, closure, genus_of, leaves, rank_ranges
+from .hierarchy import absorb, best_ranks, closure, genus_of, leaves
 
 # Status bits.
 PAR_CHANGED, NAME_CHANGED, NEW_TERMINAL, INTERNAL, UNDIAGNOSED, DELETED_TERMINAL = 0x01, 0x02, 0x04, 0x08, 0x10, 0x20
@@ -89,7 +89,7 @@ def cascading_renames(prev: DataFrame, curr: DataFrame) -> DataFrame:
 
 def species_moves(prev: DataFrame, curr: DataFrame) -> DataFrame:
     """uid, move (elevated, demoted): across the species border while the genus stayed."""
-    best = lambda t, s: rank_ranges(t).select("uid", F.col("best").alias(s))
+    best = lambda t, s: best_ranks(t).withColumnRenamed("best", s)
     both = best(prev, "old").join(best(curr, "new"), "uid")
     same = genus_of(prev).withColumnRenamed("genus_uid", "g").join(genus_of(curr), "uid").filter("g = genus_uid").select("uid")
     move = F.when((F.col("old") < SPECIES) & (F.col("new") == SPECIES), "elevated").when((F.col("old") == SPECIES) & (F.col("new") < SPECIES), "demoted")

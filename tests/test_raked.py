@@ -82,3 +82,16 @@ def test_barren_sorts_nothing(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan  # several sorts of all rows in one task
     assert out.filter(F.col("uid").isNull()).isEmpty()
+
+
+def test_ranks_in_order_need_no_fold(spark, monkeypatch):
+    """Where every taxon's number tops its children's, only the unranked ones are folded; a child of its parent's rank lifts those above."""
+    folded, plain = [], hierarchy.fold_up
+    monkeypatch.setattr(hierarchy, "fold_up", lambda taxa, *more: folded.append(taxa.count()) or plain(taxa, *more))
+    rows = [("r", None, "no rank"), ("g", "r", "genus"), ("h", "g", "subgenus")] + [(f"s{i}", "g" if i % 2 else "h", "species") for i in range(50)]
+    best = lambda rows: {r["uid"]: r["best"] for r in hierarchy.best_ranks(spark.createDataFrame(rows, "uid string, par_id string, rank string")).collect()}
+    got = best(rows)
+    assert got == {"r": 72, "g": 70, "h": 60} | {f"s{i}": 30 for i in range(50)} and sum(folded) == 1
+    folded.clear()
+    got = best([*rows, ("x", "h", "genus"), ("y", "x", "no rank")])
+    assert got == {"r": 73, "g": 72, "h": 71, "x": 70, "y": 0} | {f"s{i}": 30 for i in range(50)} and sum(folded) == 2 + 3
