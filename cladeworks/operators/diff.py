@@ -24,9 +24,19 @@ def _sides(prev: DataFrame, curr: DataFrame) -> DataFrame:
     return side(prev, "old").join(side(curr, "new"), "uid", "full")
 
 
+def _joined(prev: DataFrame, curr: DataFrame) -> DataFrame:
+    """The records of every uid of either release side by side."""
+    side = lambda t, s: t.select("uid", F.lit(True).alias(f"{s}_there"), *[F.col(c).alias(f"{s}_{c}") for c in ("par_id", "name", "rank")])
+    return side(prev, "old").join(side(curr, "new"), "uid", "full")
+
+
 def statuses(prev: DataFrame, curr: DataFrame) -> DataFrame:
     """uid, status (label), code (bits) of every uid of either release."""
-    both = _sides(prev, curr)
+    return _told(_sides(prev, curr)).select("uid", "status", "code")
+
+
+def _told(both: DataFrame) -> DataFrame:
+    """The rows of ``_sides`` with status and code."""
     old, new = F.col("old_there").isNotNull(), F.col("new_there").isNotNull()
     par = ~F.col("old_par_id").eqNullSafe(F.col("new_par_id"))
     name = ~F.col("old_name").eqNullSafe(F.col("new_name"))
@@ -44,7 +54,7 @@ def statuses(prev: DataFrame, curr: DataFrame) -> DataFrame:
     label, code = F.lit("UNCHANGED"), F.lit(0)
     for test, text, bits in reversed(kinds):
         label, code = F.when(test, text).otherwise(label), F.when(test, bits).otherwise(code)
-    return both.select("uid", label.alias("status"), code.alias("code"))
+    return both.withColumns({"status": label, "code": code})
 
 
 def field_changes(prev: DataFrame, curr: DataFrame) -> DataFrame:
@@ -126,7 +136,11 @@ def oldest_changed(curr: DataFrame, changed: DataFrame) -> DataFrame:
 
 def child_transfers(prev: DataFrame, curr: DataFrame) -> DataFrame:
     """par_id, n_new, n_lost, took_from, lost_to: children that changed parents."""
-    both = prev.select("uid", F.col("par_id").alias("old")).join(curr.select("uid", F.col("par_id").alias("new")), "uid").filter("old <> new")
+    return _transfers(prev.select("uid", F.col("par_id").alias("old")).join(curr.select("uid", F.col("par_id").alias("new")), "uid").filter("old <> new"))
+
+
+def _transfers(both: DataFrame) -> DataFrame:
+    """``child_transfers`` of the children (uid, old, new) that have moved."""
     gained = both.groupBy(F.col("new").alias("par_id")).agg(F.count("uid").alias("n_new"), F.array_sort(F.collect_set("old")).alias("took_from"))
     lost = both.groupBy(F.col("old").alias("par_id")).agg(F.count("uid").alias("n_lost"), F.array_sort(F.collect_set("new")).alias("lost_to"))
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
@@ -146,24 +160,39 @@ def edits(prev: DataFrame, curr: DataFrame) -> DataFrame:
     taxa.  parent is the current parent's record at its first use in that order
     if the parent is not edited itself, else only its uid.
     """
-    status = statuses(prev, curr).select("uid", "status")
-    moves = child_transfers(prev, curr).select(F.col("par_id").alias("uid"), "took_from", "lost_to")
-    kids = status.filter("status like 'NEW%' or status like '%PAR_CHANGED'").join(curr.select("uid", "par_id"), "uid")
+    both = _joined(prev, curr)
+    # the few taxa that differ are kept with both records; only theirs are asked whether they are tips
+    there = F.col("old_there").isNotNull() & F.col("new_there").isNotNull()
+    same = reduce(lambda x, y: x & y, [F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}")) for c in ("par_id", "name", "rank")])
+    raw = staged(both.filter(~(there & same)))
+    for t, s, o in ((prev, "old", "new"), (curr, "new", "old")):  # a tip counts only where the taxon is in one release alone
+        alone = raw.filter(F.col(f"{o}_there").isNull()).select("uid")
+        inner = t.select(F.col("par_id").alias("uid")).join(alone, "uid", "left_semi").distinct().withColumn(f"{s}_inner", F.lit(True))
+        raw = raw.join(staged(inner), "uid", "left").withColumn(f"{s}_tip", F.col(f"{s}_there").isNotNull() & F.col(f"{s}_inner").isNull())
+    changed = staged(_told(raw).select("uid", "status", *[f"{s}_{c}" for s in ("old", "new") for c in ("there", "par_id", "name", "rank")]))
     mine = F.concat_ws(":", F.lower("status"), "uid")
+    moved = changed.filter("old_par_id <> new_par_id and old_there and new_there").select("uid", F.col("old_par_id").alias("old"), F.col("new_par_id").alias("new"))
+    moves = _transfers(moved).select(F.col("par_id").alias("uid"), "took_from", "lost_to")
+    kids = staged(changed.filter("status like 'NEW%' or status like '%PAR_CHANGED'").select("uid", "status", F.col("new_par_id").alias("par_id")))
     gained = kids.groupBy(F.col("par_id").alias("uid")).agg(F.array_sort(F.collect_list(mine)).alias("new_children"))
-    gone = status.filter("status like 'DELETED%'").join(prev.select("uid", "par_id"), "uid").select(F.col("par_id").alias("uid")).distinct().withColumn("lost", F.lit(True))
-    all_of = status.join(moves, "uid", "left").join(gained, "uid", "left").join(gone, "uid", "left")
-    edited = staged(all_of.filter("status <> 'UNCHANGED' or took_from is not null or new_children is not null or lost").drop("lost").withColumn("edit_id", mine))
+    gone = changed.filter("status like 'DELETED%'").select(F.col("old_par_id").alias("uid")).distinct().withColumn("lost", F.lit(True))
+    above = staged(moves.join(gained, "uid", "full").join(gone, "uid", "full").filter("uid is not null"))
+    # taxa that did not change themselves, but whose children did
+    still = above.select("uid").join(changed.select("uid"), "uid", "left_anti")
+    records = both.filter(there & same).join(staged(still), "uid", "left_semi").withColumn("status", F.lit("UNCHANGED"))
+    edited = staged(changed.unionByName(records.select(changed.columns)).join(above.drop("lost"), "uid", "left").withColumn("edit_id", mine))
 
     # an edit stands above those of its new children: a fold over these edges only
     edges = edited.select("uid").join(kids.select("uid", "par_id"), "uid", "left")
     levels = fold_up(edges, edges.select("uid", F.lit(0).alias("level")), {"level": F.max}, {"level": lambda c, k: c + k})
-    record = lambda t, side: t.select("uid", F.struct("uid", "par_id", "name", "rank").alias(side))
-    full = edited.join(levels, "uid").join(record(prev, "previous"), "uid", "left").join(record(curr, "current"), "uid", "left")
+    record = lambda s: F.when(F.col(f"{s}_there"), F.struct("uid", *[F.col(f"{s}_{c}").alias(c) for c in ("par_id", "name", "rank")]))
+    full = edited.join(levels, "uid").withColumns({"previous": record("old"), "current": record("new")})
     full = staged(full.withColumn("up", F.col("current.par_id")))
     # the parent's record goes with its first user
     users = full.filter("up is not null").join(edited.select(F.col("uid").alias("up")), "up", "left_anti")
-    first = users.groupBy("up").agg(F.min(F.struct("level", "edit_id")).alias("f")).join(record(curr, "above").withColumnRenamed("uid", "up"), "up").select(F.col("f.edit_id").alias("edit_id"), "above")
+    first = users.groupBy("up").agg(F.min(F.struct("level", "edit_id")).alias("f"))
+    records = curr.select(F.col("uid").alias("up"), F.struct("uid", "par_id", "name", "rank").alias("above"))
+    first = staged(first).join(records, "up").select(F.col("f.edit_id").alias("edit_id"), "above")
     names = F.struct(F.col("up").alias("uid"), F.col("above.par_id").alias("par_id"), F.col("above.name").alias("name"), F.col("above.rank").alias("rank"))
     none = F.array().cast("array<string>")
     return full.join(first, "edit_id", "left").select(
