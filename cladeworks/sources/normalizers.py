@@ -54,7 +54,7 @@ def _darwin_core(spark: SparkSession, path: str) -> Normalized:
 
 
 def _wikidata(spark: SparkSession, path: str) -> Normalized:
-    return _whole(spark, readers.wikidata_taxa(readers.wikidata_statements(spark, path)))
+    return _whole(spark, readers.wikidata_dump_taxa(spark, path))
 
 
 BY_SCHEMA: dict[str, Normalizer] = {

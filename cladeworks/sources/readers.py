@@ -387,43 +387,57 @@ RANK_ITEMS = {
 OTHER_IDS = {"P9157": "ott", "P846": "gbif", "P10585": "col", "P685": "ncbi", "P5055": "irmng"}
 
 
-def wikidata_statements(spark: SparkSession, path: str) -> DataFrame:
-    """uid, property, place, rank, snak, value, qualifiers, references: the statements of a line-delimited entity dump.
+# main values stay variants, so that an object is told from a text that looks like one
+_SNAKS = "map<string, array<struct<datavalue:struct<value:string>>>>"
+_CLAIM = f"struct<mainsnak:struct<snaktype:string,datavalue:struct<value:variant>>,rank:string,qualifiers:{_SNAKS},references:array<struct<snaks:{_SNAKS}>>>"
+_PAIRS = "array<struct<property:string,value:string>>"
 
-    place is the statement's among those of its property, from 0.  snak says
-    whether there is a value.  A value is the item's id, else the time, else
-    the text itself.  qualifiers and references are arrays of (property,
-    value), null values left out.  Lines that are no entities (brackets, broken
-    JSON) are skipped; an entity without statements has no rows.
-    """
+
+def _wikidata_lines(spark: SparkSession, path: str) -> tuple[DataFrame, Column]:
+    """A row for each entity's line with the uid, and its claims: by property the array of its statements."""
     line = F.rtrim(F.col("value"), F.lit(", \t\r\n"))
-    # one pass of the parser a line; main values stay variants, so that an object is told from a text that looks like one
-    snaks = "map<string, array<struct<datavalue:struct<value:string>>>>"
-    claim = f"struct<mainsnak:struct<snaktype:string,datavalue:struct<value:variant>>,rank:string,qualifiers:{snaks},references:array<struct<snaks:{snaks}>>>"
-    parsed = F.from_json("value", f"id string, claims map<string, array<{claim}>>, odd string", {"columnNameOfCorruptRecord": "odd"})
+    # one pass of the parser a line
+    parsed = F.from_json("value", f"id string, claims map<string, array<{_CLAIM}>>, odd string", {"columnNameOfCorruptRecord": "odd"})
     # through a generator, so that filters do not parse the line again
     rows = spark.read.text(path).select(line.alias("value")).select(F.explode(F.array(parsed)).alias("e"))
     rows = rows.filter("e.id is not null and (e.odd is null or json_object_keys(e.odd) is not null)")
     # where anything in a line is out of form, its statements are taken one by one
-    each = F.transform_values(F.from_json("e.odd", "claims map<string, variant>")["claims"], lambda _, v: F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda s: F.from_json(s.cast("string"), claim)))
-    rows = rows.select(F.col("e.id").alias("uid"), F.explode(F.when(F.col("e.odd").isNull(), F.col("e.claims")).otherwise(each)).alias("property", "found"))
-    statements = rows.select("uid", "property", F.posexplode("found").alias("place", "st"))
+    each = F.transform_values(F.from_json("e.odd", "claims map<string, variant>")["claims"], lambda _, v: F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda s: F.from_json(s.cast("string"), _CLAIM)))
+    return rows.withColumn("uid", F.col("e.id")), F.when(F.col("e.odd").isNull(), F.col("e.claims")).otherwise(each)
+
+
+def _snak_pairs(found: Column) -> Column:
+    """(property, value) of the snaks, null values left out."""
 
     def value(v: Column) -> Column:
         # only an object has fields to ask for
         return F.when(v.startswith("{"), F.coalesce(F.get_json_object(v, "$.id"), F.get_json_object(v, "$.time"), F.get_json_object(v, "$.text"), v)).otherwise(v)
 
-    def pairs(found: Column) -> Column:
-        flat = F.flatten(F.transform(F.map_entries(found), lambda e: F.transform(e["value"], lambda x: F.struct(e["key"].alias("property"), value(x["datavalue"]["value"]).alias("value")))))
-        return F.coalesce(F.filter(flat, lambda x: x["value"].isNotNull()), F.array().cast("array<struct<property:string,value:string>>"))
+    flat = F.flatten(F.transform(F.map_entries(found), lambda e: F.transform(e["value"], lambda x: F.struct(e["key"].alias("property"), value(x["datavalue"]["value"]).alias("value")))))
+    return F.coalesce(F.filter(flat, lambda x: x["value"].isNotNull()), F.array().cast(_PAIRS))
 
-    get = lambda path: F.try_variant_get("st.mainsnak.datavalue.value", path, "string")
-    told = F.flatten(F.transform("st.references", lambda r: pairs(r["snaks"])))
-    return statements.select(
-        "uid", "property", "place", F.coalesce("st.rank", F.lit("normal")).alias("rank"), F.col("st.mainsnak.snaktype").alias("snak"),
-        F.coalesce(get("$.id"), get("$.time"), get("$.text"), get("$")).alias("value"),
-        pairs(F.col("st.qualifiers")).alias("qualifiers"), F.coalesce(told, F.array().cast("array<struct<property:string,value:string>>")).alias("references"),
-    )
+
+def _statement(st: Column) -> dict[str, Column]:
+    """rank, snak, value, qualifiers of a statement as it is parsed."""
+    get = lambda path: F.try_variant_get(st["mainsnak"]["datavalue"]["value"], path, "string")
+    value = F.coalesce(get("$.id"), get("$.time"), get("$.text"), get("$"))
+    return {"rank": F.coalesce(st["rank"], F.lit("normal")), "snak": st["mainsnak"]["snaktype"], "value": value, "qualifiers": _snak_pairs(st["qualifiers"])}
+
+
+def wikidata_statements(spark: SparkSession, path: str) -> DataFrame:
+    """uid, property, place, rank, snak, value, qualifiers, references: the statements of a line-delimited entity dump.
+
+    place is the statement's among those of its property, from 0.  snak says
+    whether there is a value.  A value is the item's id, else the time, else
+    the text itself.  qualifiers and references are arrays of (property,
+    value), null values left out.  Lines that are no entities (brackets, broken
+    JSON) are skipped; an entity without statements has no rows.
+    """
+    lines, claims = _wikidata_lines(spark, path)
+    rows = lines.select("uid", F.explode(claims).alias("property", "found"))
+    statements = rows.select("uid", "property", F.posexplode("found").alias("place", "st"))
+    told = F.flatten(F.transform("st.references", lambda r: _snak_pairs(r["snaks"])))
+    return statements.select("uid", "property", "place", *[c.alias(n) for n, c in _statement(F.col("st")).items()], F.coalesce(told, F.array().cast(_PAIRS)).alias("references"))
 
 
 def truthy(statements: DataFrame) -> DataFrame:
@@ -434,6 +448,15 @@ def truthy(statements: DataFrame) -> DataFrame:
     return statements.filter("rank <> 'deprecated'").withColumn("__best", best).filter((F.col("rank") == "preferred") | ~F.col("__best")).drop("__best")
 
 
+# what taxa are made of
+_TAXON_PROPERTIES = ("P31", "P171", "P225", "P105", *OTHER_IDS)
+_SAID = f"array<struct<property:string,place:int,preferred:boolean,told:boolean,value:string,qualifiers:{_PAIRS}>>"
+
+
+def _said(property: Column, place: Column, st: dict[str, Column]) -> Column:
+    return F.struct(property, place, st["rank"] == "preferred", st["snak"] == "value", st["value"], F.when(property == "P225", st["qualifiers"]))
+
+
 def wikidata_taxa(statements: DataFrame, taxon_classes: tuple[str, ...] = TAXON_CLASSES) -> DataFrame:
     """uid, par_id, name, rank, aut_id, aut_yr_id, nom_status, src of the taxa among the entities of ``statements``.
 
@@ -442,14 +465,32 @@ def wikidata_taxa(statements: DataFrame, taxon_classes: tuple[str, ...] = TAXON_
     years and status are those of the name's qualifiers; of several parents or
     names the last counts; src lists ids elsewhere as ``prefix:id``.
     """
+    wanted = statements.filter(F.col("property").isin(*_TAXON_PROPERTIES) & (F.col("rank") != "deprecated"))
+    said = _said(F.col("property"), F.col("place"), {c: F.col(c) for c in ("rank", "snak", "value", "qualifiers")})
+    return _taxa_of(wanted.groupBy("uid").agg(F.sort_array(F.collect_list(said)).cast(_SAID).alias("all")), taxon_classes)
+
+
+def wikidata_dump_taxa(spark: SparkSession, path: str, taxon_classes: tuple[str, ...] = TAXON_CLASSES) -> DataFrame:
+    """``wikidata_taxa`` of a line-delimited entity dump, where an entity is one line.
+
+    Its statements are put together within the line, so nothing is shuffled; an
+    id on two lines has two rows.
+    """
+    lines, claims = _wikidata_lines(spark, path)
+    wanted = F.filter(F.map_entries(claims), lambda e: e["key"].isin(*_TAXON_PROPERTIES) & e["value"].isNotNull())
+    kept = lambda e: F.filter(F.transform(e["value"], lambda st, i: F.struct(i.alias("i"), st.alias("st"))), lambda x: F.coalesce(x["st"]["rank"], F.lit("normal")) != "deprecated")
+    said = F.flatten(F.transform(wanted, lambda e: F.transform(kept(e), lambda x: _said(e["key"], x["i"], _statement(x["st"])))))
+    # through a generator, so that filters do not take the statements out again
+    return _taxa_of(lines.select("uid", F.explode(F.array(F.sort_array(said.cast(_SAID)))).alias("all")), taxon_classes)
+
+
+def _taxa_of(own: DataFrame, taxon_classes: tuple[str, ...]) -> DataFrame:
+    """Taxa from uid and ``all``, the statements of an entity in order; all is done within its row."""
     codes = lambda table: F.create_map(*[F.lit(x) for kv in table.items() for x in kv])  # noqa: E731  fixed tables
-    wanted = statements.filter(F.col("property").isin("P31", "P171", "P225", "P105", *OTHER_IDS) & (F.col("rank") != "deprecated"))
-    # an entity's statements are those of one line of the dump; all that follows is done within its row
-    said = F.struct("property", "place", F.col("rank") == "preferred", (F.col("snak") == "value"), "value", F.when(F.col("property") == "P225", F.col("qualifiers")))
-    names = "array<struct<property:string,place:int,preferred:boolean,told:boolean,value:string,qualifiers:array<struct<property:string,value:string>>>>"
-    own = wanted.groupBy("uid").agg(F.sort_array(F.collect_list(said)).cast(names).alias("all"))
-    best = F.transform(F.filter("all", lambda s: s["preferred"]), lambda s: s["property"])
-    used = own.withColumn("best", best).select("uid", F.filter("all", lambda s: F.coalesce(s["told"], F.lit(False)) & (s["preferred"] | ~F.array_contains("best", s["property"]))).alias("s"))
+    beaten = lambda s: ~s["preferred"] & F.exists("all", lambda o: o["preferred"] & (o["property"] == s["property"]))
+    used = F.filter("all", lambda s: F.coalesce(s["told"], F.lit(False)) & ~beaten(s))
+    # through a generator, so that filters do not choose again
+    used = own.select("uid", F.explode(F.array(used)).alias("s"))
     of = lambda p: F.filter("s", lambda x: x["property"] == p)
     values = lambda found: F.transform(found, lambda x: x["value"])
     taxa = used.filter(F.exists("s", lambda x: (x["property"] == "P31") & x["value"].isin(*taxon_classes)))

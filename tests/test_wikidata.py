@@ -2,6 +2,8 @@ import json
 
 import pytest
 
+from cladeworks.plans import formats
+from cladeworks.plans.catalogue import ORACLES, QUERIES
 from cladeworks.sources import readers
 
 
@@ -61,3 +63,45 @@ def test_the_dump_is_read_once(spark, tmp_path):
     path = _dump(tmp_path, {"id": "Q5", "claims": {"P31": [TAXON], "P225": [_claim("Aus")]}})
     plan = readers.wikidata_taxa(readers.wikidata_statements(spark, path))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation") == 1 and plan.count("from_json(") <= 3
+
+
+def test_taxa_of_a_dump_need_no_shuffle(spark, tmp_path):
+    name = _claim("Aus", qualifiers={"P405": [_snak({"id": "Q1"}), {"snaktype": "somevalue"}], "P574": [_snak({"time": "+1758-00-00"})], "P1135": [_snak({"id": "Q749462"})]}, references=[{"snaks": {}}])
+    path = _dump(
+        tmp_path,
+        {"id": "Q5", "claims": {"P31": [TAXON], "P225": [_claim("Old", "deprecated"), name], "P105": [_claim({"id": "Q34740"}), _claim({"id": "Q7432"}, "preferred")], "P171": [_claim({"id": "Q1"}), _claim(None, snak="novalue")]}},
+        {"id": "Q6", "claims": {"P31": [_claim({"id": "Q5"})], "P225": [name]}},
+        {"id": "Q7", "claims": {"P31": [TAXON], "P1": 5, "P171": None, "P685": [7, {"mainsnak": "bad"}, _claim("3")], "P846": [_claim("9"), _claim("8")], "P225": [{"mainsnak": _snak('{"b":1}')}]}},
+        {"id": "Q8", "claims": []}, {"id": "Q9"}, {"id": "Q10", "claims": {"P31": [TAXON]}}, '{"broken', "",
+    )
+    found = readers.wikidata_dump_taxa(spark, path)
+    got = sorted(tuple(r) for r in found.collect())
+    assert got == [("Q5", "Q1", "Aus", "species", "Q1", "1758", "replacement name", ""), ("Q7", None, '{"b":1}', "", "", "", "", "gbif:9,gbif:8,ncbi:3")]
+    assert got == sorted(tuple(r) for r in readers.wikidata_taxa(readers.wikidata_statements(spark, path)).collect())
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    bad = _dump(tmp_path, {"id": "Q5", "claims": {"P31": [TAXON], "P225": [_claim("Aus", qualifiers={"P1135": [_snak({"id": "Q0"})]})]}})
+    with pytest.raises(Exception, match="unknown nomenclatural status: Q0"):
+        readers.wikidata_dump_taxa(spark, bad).collect()
+
+
+def test_the_query_packs_its_dump(spark, tmp_path, monkeypatch):
+    duckdb = pytest.importorskip("duckdb")
+    d = str(tmp_path / "tables")
+    # the first order comes twice
+    tables = {
+        "region": ([(0, "AFRICA")], "r_regionkey int, r_name string"), "nation": ([(0, "N0", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(c, f"C{c}", 0) for c in range(20)], "c_custkey int, c_name string, c_nationkey int"), "orders": ([(i, i % 20) for i in range(3000)] + [(0, 7)], "o_orderkey int, o_custkey int"),
+    }
+    con = duckdb.connect()
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{d}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{d}/{name}.parquet/*.parquet')")
+    shared = tmp_path / "shared"
+    monkeypatch.setattr(formats, "shared_root", lambda _: str(shared))
+    found = QUERIES["read_wikidata_statements"](spark, d)
+    want = con.execute(ORACLES["read_wikidata_statements"])
+    columns = [c[0] for c in want.description]
+    assert sorted((tuple(r) for r in found.select(*columns).collect()), key=str) == sorted(want.fetchall(), key=str)
+    # plain lines of the dump take over 1000 bytes a taxon
+    written = sum(f.stat().st_size for f in shared.rglob("*") if f.is_file())
+    assert 0 < written < 100 * (1 + 1 + 1 + 20 + 3001)
